@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
+from functools import partial
 
 import pandas as pd
 from pyspark.sql import Column
@@ -103,7 +104,7 @@ class Redactor:
             return F.lit(True)
         return text.contains("@") if needs == "@" else text.rlike(needs)
 
-    def _redact_kind(self, text: Column, kind: str, pattern: str) -> Column:
+    def _redact_kind(self, kind: str, pattern: str, text: Column) -> Column:
         if not self.allowlist and self.strategy == "remove":
             done = F.regexp_replace(text, _java(pattern), F.lit(f"[{kind}:REDACTED]"))
         else:
@@ -119,7 +120,7 @@ class Redactor:
         if not self.expressible:
             return self._redact_udf()(text)
         for kind, pattern in self.active.items():
-            text = _let(text, lambda t, k=kind, p=pattern: self._redact_kind(t, k, p))
+            text = _let(text, partial(self._redact_kind, kind, pattern))
         return text
 
     def detect(self, text: Column) -> Column:

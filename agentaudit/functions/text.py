@@ -67,3 +67,25 @@ def parse_traceparent(header: Column) -> Column:
 def nonempty(value: Column) -> Column:
     """The text, or NULL when it is empty."""
     return F.nullif(value, F.lit(""))
+
+
+def fixed_text(value: Column, places: int) -> Column:
+    """A number with a fixed number of decimals, as C and Python print it.
+
+    They round the exact binary value, so 0.01275 (a little less in binary)
+    gives 0.0127, while Java rounds the shortest decimal text and gives 0.0128.
+    The scaled value is therefore taken as product plus rounding error, split
+    the classic way into high and low parts, and compared with the half exactly.
+    """
+    scale = float(10 ** places)
+    x = F.abs(value.cast("double"))
+    big = x * F.lit(134217729.0)
+    high = big - (big - x)
+    product = x * F.lit(scale)
+    error = (high * F.lit(scale) - product) + (x - high) * F.lit(scale)
+    whole = F.floor(product)
+    over = (product - whole - F.lit(0.5)) + error
+    up = F.when(over > 0, 1).when(over < 0, 0).otherwise(whole % 2)
+    rounded = (whole + up).cast("decimal(20,0)") / F.lit(10 ** places).cast("decimal(10,0)")
+    digits = F.format_string("%s", rounded.cast(f"decimal(30,{places})"))
+    return F.concat(F.when(value < 0, "-").otherwise(""), digits)

@@ -8,6 +8,7 @@ from functools import partial
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import fixed_text
 from ..sources.tables import in_range
 from .lookup import flag, human_oversight
 
@@ -76,8 +77,8 @@ def reference_databases(records: DataFrame, start, end) -> DataFrame:
 
 
 def percent_text(value: Column) -> Column:
-    """A percentage with one decimal, halves to even."""
-    return F.concat(F.format_string("%.1f", F.bround(value, 1).cast("double")), F.lit("%"))
+    """A percentage with one decimal."""
+    return F.concat(fixed_text(value, 1), F.lit("%"))
 
 
 def guardrail_summary(records: DataFrame, start, end) -> DataFrame:

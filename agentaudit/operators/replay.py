@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import fixed_text
 from .lookup import error_text
 from .skew import number_rows
 
@@ -45,7 +46,7 @@ def timeline(step_rows: DataFrame) -> DataFrame:
     """One text block per step (column ``line``)."""
     total = F.coalesce("input_tokens", F.lit(0)) + F.coalesce("output_tokens", F.lit(0))
     cost = F.when(
-        F.col("cost_usd") != 0, F.format_string("$%.4f", F.col("cost_usd").cast("double"))
+        F.col("cost_usd") != 0, F.concat(F.lit("$"), fixed_text(F.col("cost_usd"), 4))
     ).otherwise("—")
     icon = F.when(F.col("status") == "ok", "✅").otherwise("❌")
     present = lambda c: F.col(c).isNotNull() & (F.col(c) != "")
@@ -67,8 +68,8 @@ def timeline_summary(analysis: DataFrame) -> DataFrame:
     """Closing text block per trace, from the trace analysis."""
     lines = F.array_compact(F.array(
         F.format_string(
-            "  Total: %dms | $%.4f | %d tokens", "total_duration_ms",
-            F.col("total_cost_usd").cast("double"), "total_tokens",
+            "  Total: %dms | $%s | %d tokens", "total_duration_ms",
+            fixed_text(F.col("total_cost_usd"), 4), "total_tokens",
         ),
         F.format_string("  Agents: %d | Spans: %d | Errors: %d",
                         "agent_count", "span_count", "error_count"),

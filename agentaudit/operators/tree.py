@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..session import cut
@@ -46,21 +46,22 @@ def span_nodes(records: DataFrame) -> DataFrame:
 def climb(nodes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     """Follow ``parent`` of every node up to the top.
 
-    ``nodes`` holds trace_id, span_id, parent (NULL at a root) and weight.
+    ``nodes`` holds trace_id, span_id, parent (NULL at a root) and weight, and
+    should be materialised, as every round reads it.
     Returns (reached, levels). ``reached`` has one row per node that ends at a
     root or at a missing parent: its depth, the sum of weights from the top to
     the node, the top span and ``rooted`` (whether the top is a real root).
     Nodes on or below a cycle never end and are left out. ``levels[k]`` maps a
     node to its ancestor 2^k steps up.
     """
-    start = cut(nodes.select(
+    start = nodes.select(
         "trace_id", "span_id",
         F.col("parent").alias("ptr"),
         F.col("weight").alias("total"),
         F.col("parent").isNotNull().cast("long").alias("depth"),
         F.col("span_id").alias("top"),
         F.lit(True).alias("rooted"),
-    ))
+    )
     done = [start.where(F.col("ptr").isNull())]
     moving = start.where(F.col("ptr").isNotNull())
     left = moving.count()
@@ -71,6 +72,7 @@ def climb(nodes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
             "trace_id", F.col("span_id").alias("ptr"),
             F.struct("ptr", "total", "depth", "top", "rooted").alias("up"),
         )
+        pending = Observation()
         moved = cut(moving.join(above, ["trace_id", "ptr"], "left").select(
             "trace_id", "span_id",
             F.col("up.ptr").alias("ptr"),
@@ -79,10 +81,10 @@ def climb(nodes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
             (F.col("depth") + F.coalesce("up.depth", F.lit(-1))).alias("depth"),
             F.coalesce("up.top", "top").alias("top"),
             F.coalesce("up.rooted", F.lit(False)).alias("rooted"),
-        ))
+        ).observe(pending, F.count("ptr").alias("n")))
         done.append(moved.where(F.col("ptr").isNull()))
         moving = moved.where(F.col("ptr").isNotNull())
-        still = moving.count()
+        still = pending.get["n"]
         # No node arrived in this round: all that is left runs in cycles.
         left = 0 if still == left else still
     return reduce(DataFrame.unionByName, done).drop("ptr"), levels
@@ -94,9 +96,9 @@ def with_ancestors(picked: DataFrame, levels: list[DataFrame]) -> DataFrame:
     Going through the doubled pointers from the widest down adds every distance.
     """
     out = picked.select("trace_id", "span_id").distinct()
+    both = F.array_compact(F.array("span_id", "ptr"))
     for level in reversed(levels):
-        both = F.array_compact(F.array("span_id", "ptr"))
-        out = cut(
+        out = (
             out.join(level, ["trace_id", "span_id"], "left")
             .select("trace_id", F.explode(both).alias("span_id"))
             .distinct()

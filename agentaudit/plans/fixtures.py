@@ -142,7 +142,7 @@ def as_spans(rows: DataFrame) -> DataFrame:
     return rows.select(
         "trace_id", "span_id", "parent_span_id",
         F.col("timestamp").alias("start_time"),
-        F.timestampadd("MILLISECOND", F.col("duration_ms"), F.col("timestamp")).alias("end_time"),
+        F.expr("timestampadd(MILLISECOND, duration_ms, timestamp)").alias("end_time"),
         F.when(F.col("status") == "error", "STATUS_CODE_ERROR").otherwise("STATUS_CODE_OK").alias("status_code"),
         attributes.alias("attributes"),
         F.create_map(F.lit("service.name"), F.lit("test")).alias("resource"),
