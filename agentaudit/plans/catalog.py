@@ -628,7 +628,8 @@ def stream_metrics(spark, sf):
     stream = spark.readStream.schema(records.drop("batch").schema).option(
         "recursiveFileLookup", "true").parquet(f"{root}/records")
     _finish(pipeline.to_table(pipeline.metric_windows(stream), f"{root}/metrics", f"{root}/ck-m", once=True))
-    return spark.read.parquet(f"{root}/metrics").drop("batch")
+    return spark.read.parquet(f"{root}/metrics").withColumn(
+        "avg_ms_per_token", F.col("avg_s_per_token") * 1000).drop("batch", "avg_s_per_token")
 
 
 @query

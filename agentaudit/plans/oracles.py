@@ -361,7 +361,8 @@ ORACLES: dict[str, str] = {
     "usage_normalise": f"""{W} select span_id, cast(input_tokens as bigint) as input_tokens,
  cast(output_tokens as double) as output_tokens,
  cast(case when input_tokens % 30 <> 0 then 5 end as double) as cache_read_tokens,
- {_d('cost_usd')} as cost_usd, model_name as response_model from records""",
+ {_d("case when input_tokens % 30 = 0 then nullif(cost_usd, 0) else cost_usd end")} as cost_usd,
+ model_name as response_model from records""",
     "nested_roundtrip": f"""{W} select trace_id, span_id, timestamp, agent_id, operation_name, cast(duration_ms as bigint) as duration_ms,
  {_d('cost_usd')} as cost_usd, coalesce(reasoning ->> '$.rationale', '') as rationale,
  cast(coalesce(json_array_length(tool_calls), 0) as bigint) as tool_calls,
@@ -439,7 +440,7 @@ ORACLES: dict[str, str] = {
  when outcome is not null then 'gpt-4o' else model_name end as answering from records)
  select time_bucket(interval 30 seconds, timestamp) as window_start, operation_name, answering as model_name, count(*) as calls,
  {_d('avg(duration_ms / 1000)')} as avg_s, cast(sum({TOKENS}) as bigint) as tokens,
- {_d('avg(duration_ms / 1000 / nullif(output_tokens, 0))')} as avg_s_per_token from m group by 1, 2, 3""",
+ {_d('avg(duration_ms / 1000 / nullif(output_tokens, 0)) * 1000')} as avg_ms_per_token from m group by 1, 2, 3""",
     "stream_alerts": f"""{W}, w as (select unnest(generate_series(
    time_bucket(interval 1 minute, timestamp) - interval 4 minutes, time_bucket(interval 1 minute, timestamp), interval 1 minute)) as window_start,
  * from records), a as (

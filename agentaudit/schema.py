@@ -66,21 +66,28 @@ MAX_LENGTH = {
 
 REQUIRED = ["trace_id", "span_id", "timestamp", "agent_id"]
 
+def _group(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
+
+
+_S, _I, _B, _LIST = T.StringType(), T.IntegerType(), T.BooleanType(), T.ArrayType(T.StringType())
+
 #: The documented nested record, one JSON object per event.
-NESTED = T.StructType.fromDDL("""
-  trace_id string, span_id string, parent_span_id string, timestamp timestamp, duration_ms int,
-  agent struct<id:string, name:string, version:string, config_hash:string>,
-  operation struct<name:string, type:string, status:string>,
-  model struct<request_model:string, response_model:string, temperature:float, max_tokens:int>,
-  tokens struct<input:int, output:int, cache_read:int, cost_usd:decimal(10,6)>,
-  reasoning struct<strategy:string, confidence:double, alternatives_considered:int,
-                   selected_action:string, rationale:string>,
-  tool_calls array<struct<tool_name:string, tool_type:string, call_id:string,
-                          parameters:map<string,string>, response_status:int, latency_ms:int, retry_count:int>>,
-  inter_agent struct<delegation_type:string, target_agent:string, message_payload_hash:string, protocol:string>,
-  state struct<context_window_hash:string, memory_reads:array<string>, memory_writes:array<string>,
-               state_diff_hash:string>,
-  outcome struct<task_result:string, user_feedback:string, error_code:string, eval_scores:map<string,double>>,
-  compliance struct<pii_detected:boolean, pii_redacted_fields:array<string>, guardrail_checks:array<string>,
-                    guardrail_passed:boolean, human_in_loop:boolean>
-""")
+NESTED = _group(
+    trace_id=_S, span_id=_S, parent_span_id=_S, timestamp=T.TimestampType(), duration_ms=_I,
+    agent=_group(id=_S, name=_S, version=_S, config_hash=_S),
+    operation=_group(name=_S, type=_S, status=_S),
+    model=_group(request_model=_S, response_model=_S, temperature=T.FloatType(), max_tokens=_I),
+    tokens=_group(input=_I, output=_I, cache_read=_I, cost_usd=T.DecimalType(10, 6)),
+    reasoning=_group(strategy=_S, confidence=T.DoubleType(), alternatives_considered=_I,
+                     selected_action=_S, rationale=_S),
+    tool_calls=T.ArrayType(_group(
+        tool_name=_S, tool_type=_S, call_id=_S, parameters=_STRINGS, response_status=_I,
+        latency_ms=_I, retry_count=_I)),
+    inter_agent=_group(delegation_type=_S, target_agent=_S, message_payload_hash=_S, protocol=_S),
+    state=_group(context_window_hash=_S, memory_reads=_LIST, memory_writes=_LIST, state_diff_hash=_S),
+    outcome=_group(task_result=_S, user_feedback=_S, error_code=_S,
+                   eval_scores=T.MapType(T.StringType(), T.DoubleType())),
+    compliance=_group(pii_detected=_B, pii_redacted_fields=_LIST, guardrail_checks=_LIST,
+                      guardrail_passed=_B, human_in_loop=_B),
+)

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
+from ..functions.text import hex_id
 from ..operators.convert import redact_attributes, spans_to_records, truncate_long_text
 from ..operators.cost import tokens
 from ..operators.lookup import flag
@@ -135,10 +136,11 @@ def late_spans(staged: DataFrame, decisions: DataFrame, records: DataFrame,
     then, and append the result.
     """
     kept = combine(decisions, policy).where("keep").select("trace_id")
-    have = records.select("trace_id", "span_id")
-    return staged.join(kept, "trace_id", "left_semi").join(
-        have, ["trace_id", "span_id"], "left_anti"
-    )
+    mine = staged.join(kept, "trace_id", "left_semi")
+    have = records.select(F.col("trace_id").alias("_trace"), F.col("span_id").alias("_span"))
+    same = (hex_id(F.col("trace_id"), 32) == F.col("_trace")) & (
+        hex_id(F.col("span_id"), 16) == F.col("_span"))
+    return mine.join(have, same, "left_anti")
 
 
 def late_count(query: StreamingQuery) -> int:
