@@ -19,6 +19,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .text import let
+
 # The built-in patterns, in the order in which they run.
 PATTERNS: dict[str, str] = {
     "email": r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b",
@@ -30,9 +32,10 @@ PATTERNS: dict[str, str] = {
     "pan_india": r"\b[A-Z]{5}\d{4}[A-Z]\b",
 }
 
-#: What a text must contain for a built-in pattern to match at all; a cheap test
-#: that spares most texts the costly patterns.
-_NEEDS = {name: (r"@" if name == "email" else r"(?U)\d") for name in PATTERNS}
+#: What a text must contain for any built-in pattern to match, and for one of
+#: them: cheap tests that spare most texts the costly patterns.
+_ANY_NEEDS = r"[@\p{Nd}]"
+_NEEDS = {name: "@" if name == "email" else r"\p{Nd}" for name in PATTERNS}
 
 DETECTION = "struct<type:string,start:int,end:int,length:int>"
 DETECTIONS = f"array<{DETECTION}>"
@@ -104,6 +107,9 @@ class Redactor:
             return F.lit(True)
         return text.contains("@") if needs == "@" else text.rlike(needs)
 
+    def _worth_it(self, text: Column) -> Column:
+        return F.lit(True) if self.custom else text.rlike(_ANY_NEEDS)
+
     def _redact_kind(self, kind: str, pattern: str, text: Column) -> Column:
         if not self.allowlist and self.strategy == "remove":
             done = F.regexp_replace(text, _java(pattern), F.lit(f"[{kind}:REDACTED]"))
@@ -119,14 +125,21 @@ class Redactor:
         """The text with every match replaced."""
         if not self.expressible:
             return self._redact_udf()(text)
-        for kind, pattern in self.active.items():
-            text = _let(text, partial(self._redact_kind, kind, pattern))
-        return text
+        def run_all(text: Column) -> Column:
+            done = text
+            for kind, pattern in self.active.items():
+                done = let(done, partial(self._redact_kind, kind, pattern))
+            return F.when(self._worth_it(text), done).otherwise(text)
+
+        return let(text, run_all)
 
     def detect(self, text: Column) -> Column:
         """All matches on the original text, pattern by pattern."""
         if not self.expressible:
             return self._detect_udf()(text)
+        return let(text, self._detect_all)
+
+    def _detect_all(self, text: Column) -> Column:
         parts = []
         for kind, pattern in self.active.items():
             found = F.when(
@@ -137,12 +150,13 @@ class Redactor:
                 found = F.filter(found, lambda d: ~F.array_contains(
                     allowed, F.substr(text, d["start"] + 1, d["length"])))
             parts.append(F.coalesce(found, F.array().cast(DETECTIONS)))
-        return F.concat(*parts)
+        none = F.array().cast(DETECTIONS)
+        return F.when(self._worth_it(text), F.concat(*parts)).otherwise(none)
 
     def scan(self, text: Column) -> Column:
         """Struct of lengths before and after, matches, flag and types found."""
         def result(t: Column) -> Column:
-            return _let(self.detect(t), lambda d: F.struct(
+            return let(self.detect(t), lambda d: F.struct(
                 F.length(t).alias("original_length"),
                 F.when(F.size(d) > 0, F.length(self.redact(t)))
                  .otherwise(F.length(t)).alias("redacted_length"),
@@ -151,7 +165,7 @@ class Redactor:
                 F.array_distinct(F.transform(d, lambda x: x["type"])).alias("pii_types_found"),
             ).cast(RESULT))
 
-        return _let(F.coalesce(text, F.lit("")), result)
+        return let(F.coalesce(text, F.lit("")), result)
 
     def redact_longest(self, text: Column) -> Column:
         """Redact on the original text only: the longest match wins an overlap.
@@ -187,7 +201,7 @@ class Redactor:
             taken = F.aggregate(by_length, F.array().cast(DETECTIONS), _take_if_free)
             return F.when(F.size(taken) > 0, build(t, taken)).otherwise(t)
 
-        return _let(text, whole)
+        return let(text, whole)
 
     # -- patterns that can match nothing, and free-form payloads ---------------
 
@@ -253,11 +267,6 @@ def _java(pattern: str) -> Column:
     return F.lit("(?U)" + pattern)
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with ``value`` computed once, however often it is used."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _pieces(text: Column, pattern: str) -> tuple[Column, Column]:
     """The text between the matches (n + 1 pieces) and the n matches."""
     return (

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,6 +16,11 @@ LIMITS = {
 }
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def truncate(value: Column, limit: int) -> Column:
     """First ``limit`` characters (code points)."""
     return F.substring(value, 1, limit)

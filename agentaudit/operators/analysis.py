@@ -6,11 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import parse_traceparent
-from ..session import cut
 from .cost import tokens
 from .lookup import flag
 from .replay import agent_label
-from .tree import critical_path_steps, critical_paths, span_nodes
+from .tree import critical_paths, span_nodes
 
 
 def trace_totals(records: DataFrame) -> DataFrame:
@@ -48,8 +47,7 @@ def trace_totals(records: DataFrame) -> DataFrame:
 
 def analyze(records: DataFrame) -> DataFrame:
     """Totals of every trace together with its critical path."""
-    paths = critical_paths(cut(critical_path_steps(records)))
-    return trace_totals(records).join(paths, "trace_id", "left").withColumns({
+    return trace_totals(records).join(critical_paths(records), "trace_id", "left").withColumns({
         "path_length": F.coalesce("path_length", F.lit(0)),
         "path_duration_ms": F.coalesce("path_duration_ms", F.lit(0)),
         "critical_path": F.when(

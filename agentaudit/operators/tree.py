@@ -1,27 +1,48 @@
 """Span trees: parent links, depths, critical paths.
 
-Depths and path sums come from pointer doubling: every span keeps a pointer to
-an ancestor and the sum of what lies between, and each round replaces the
-pointer by the pointer of that ancestor. Depth ``d`` takes about log2(d) rounds
-of one join each, whatever the size of a trace, and no path is ever held as an
-array while it is being searched.
+Ordinary traces are small: their spans are gathered into one row per trace, and
+array expressions do the rest after a single shuffle. Traces of more than
+``SMALL_TRACE`` spans, however large, are worked on as rows spread over the
+cluster.
+
+Both ways use pointer doubling: every span keeps a pointer to an ancestor and
+what lies between, and each round replaces the pointer by the pointer of that
+ancestor, so depth ``d`` takes about log2(d) rounds.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ..functions.text import let
 from ..session import cut
 from .replay import agent_label
 from .skew import number_rows
 
+#: Traces up to this many spans are handled as one array.
+SMALL_TRACE = 512
 #: Paths up to this many steps are also given as an array per trace.
 ARRAY_STEPS = 10_000
 
 
+def by_size(records: DataFrame, small: int = SMALL_TRACE) -> tuple[DataFrame, DataFrame | None]:
+    """Split records into those of small traces and those of large ones (if any).
+
+    The sizes are exact counts, combined on the map side. The list of large
+    traces is usually short; the adaptive planner broadcasts it only if its
+    measured size allows that.
+    """
+    sizes = records.groupBy("trace_id").agg(F.count(F.lit(1)).alias("n"))
+    large = cut(sizes.where(F.col("n") > small).select("trace_id"))
+    if large.isEmpty():
+        return records, None
+    return records.join(large, "trace_id", "left_anti"), records.join(large, "trace_id", "left_semi")
+
+
 def span_nodes(records: DataFrame) -> DataFrame:
     """One node per (trace, span): parent, time, agent and duration.
 
@@ -43,19 +64,130 @@ def span_nodes(records: DataFrame) -> DataFrame:
     ).select("trace_id", "span_id", "node.*")
 
 
+def _gather(records: DataFrame) -> DataFrame:
+    """One row per small trace with ``rows``, sorted by span, longest copy first."""
+    duration = F.coalesce("duration_ms", F.lit(0)).cast("long")
+    row = F.struct(
+        "span_id", (-duration).alias("rank"), "timestamp",
+        F.nullif("parent_span_id", F.lit("")).alias("parent"),
+        agent_label().alias("agent_name"), duration.alias("duration_ms"),
+    )
+    return records.groupBy("trace_id").agg(F.array_sort(F.collect_list(row)).alias("rows"))
+
+
+def _with_nodes(body: Callable[[Column, Column], Column]) -> Column:
+    """``body(nodes, up)`` over the ``rows`` of a trace.
+
+    ``nodes`` are its spans in time order, one per span id. ``up`` holds the
+    position of the parent of each (from 1), 0 for a missing one, NULL for none.
+    """
+    fields = ["timestamp", "span_id", "parent", "agent_name", "duration_ms"]
+    first_of_span = lambda x, i: (i == 0) | (F.get("rows", i - 1)["span_id"] != x["span_id"])
+    nodes = F.array_sort(F.transform(
+        F.filter("rows", first_of_span), lambda x: F.struct(*[x[f].alias(f) for f in fields])))
+
+    def with_up(nodes: Column) -> Column:
+        up = let(nodes["span_id"], lambda ids: F.transform(
+            nodes, lambda x: F.array_position(ids, x["parent"])))
+        return let(up, lambda up: body(nodes, up))
+
+    return let(nodes, with_up)
+
+
+def _double(start: Column, merge: Callable[[Column, Column], Column]) -> Column:
+    """Rounds of pointer doubling over an array of structs with field ``ptr``.
+
+    ``merge(node, ancestor)`` builds the next state of a node. Nodes in cycles
+    still have a pointer above 0 at the end.
+    """
+    rounds = F.sequence(F.lit(1), F.ceil(F.log2(F.size("rows") + 1)).cast("int"))
+
+    def step(state: Column, _: Column) -> Column:
+        return F.transform(state, lambda x: F.when(
+            x["ptr"] > 0, merge(x, F.get(state, x["ptr"].cast("int") - 1))).otherwise(x))
+
+    return F.aggregate(rounds, start, step)
+
+
+def _best_chain(nodes: Column, up: Column) -> Column:
+    """Positions of the nodes on the best chain."""
+    start = F.transform(nodes, lambda x, i: F.struct(
+        F.get(up, i).alias("ptr"), x["duration_ms"].alias("total"),
+        F.array((i + 1).cast("long")).alias("chain")))
+    merge = lambda x, above: F.struct(
+        above["ptr"].alias("ptr"), (x["total"] + above["total"]).alias("total"),
+        F.concat(above["chain"], x["chain"]).alias("chain"))
+
+    def pick(rooted: Column) -> Column:
+        # The order of structs does the choice: greatest total, then earliest chain.
+        best = F.array_min(F.transform(rooted, lambda e: F.struct(
+            (-e["total"]).alias("neg"), e["chain"].alias("chain"))))
+        return (
+            F.when(F.size(rooted) == 0, F.array(F.lit(1).cast("long")))
+            .otherwise(let(best, lambda b: F.when(b["neg"] < 0, b["chain"])
+                           .otherwise(F.array().cast("array<long>"))))
+        )
+
+    return let(F.filter(_double(start, merge), lambda e: e["ptr"].isNull()), pick)
+
+
+def _small_paths(records: DataFrame) -> DataFrame:
+    """Per small trace: ``steps``, the best chain from the root down."""
+    def steps(nodes: Column, up: Column) -> Column:
+        return F.transform(_best_chain(nodes, up), lambda at, i: let(
+            F.get(nodes, at.cast("int") - 1), lambda n: F.struct(
+                i.cast("long").alias("position"), n["span_id"].alias("span_id"),
+                n["agent_name"].alias("agent_name"), n["duration_ms"].alias("duration_ms"))))
+
+    return _gather(records).select("trace_id", _with_nodes(steps).alias("steps"))
+
+
+def _small_tree(records: DataFrame) -> DataFrame:
+    """Tree rows of small traces."""
+    def rows(nodes: Column, up: Column) -> Column:
+        start = F.transform(nodes, lambda x, i: F.struct(
+            F.nullif(F.get(up, i), F.lit(0)).alias("ptr"),
+            F.when(F.get(up, i) > 0, 1).otherwise(0).cast("long").alias("depth"),
+            x["span_id"].alias("top")))
+        merge = lambda x, above: F.struct(
+            above["ptr"].alias("ptr"), (x["depth"] + above["depth"]).alias("depth"),
+            above["top"].alias("top"))
+        links = F.transform(up, lambda u: F.coalesce(u, F.lit(0)))
+
+        def row(ends: Column, links: Column, x: Column, i: Column) -> Column:
+            own, end = F.get(links, i), F.get(ends, i)
+            return F.struct(
+                x["span_id"].alias("span_id"),
+                F.when(own > 0, x["parent"]).alias("parent_span_id"),
+                (own == 0).alias("is_root"),
+                end["depth"].alias("depth"), end["top"].alias("root_span_id"),
+                F.size(F.filter(F.slice(links, F.lit(1), i + 1), lambda u: u == own))
+                 .cast("long").alias("sibling_no"),
+                F.size(F.filter(links, lambda u: u == i + 1)).cast("long").alias("child_count"),
+                end["ptr"].isNull().alias("has_root"),
+            )
+
+        return let(_double(start, merge), lambda ends: let(links, lambda links: F.transform(
+            nodes, lambda x, i: row(ends, links, x, i))))
+
+    out = _gather(records).select("trace_id", F.explode(_with_nodes(rows)).alias("n"))
+    return out.where("n.has_root").select("trace_id", "n.*").drop("has_root")
+
+
 def climb(nodes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     """Follow ``parent`` of every node up to the top.
 
     ``nodes`` holds trace_id, span_id, parent (NULL at a root) and weight, and
     should be materialised, as every round reads it.
     Returns (reached, levels). ``reached`` has one row per node that ends at a
-    root or at a missing parent: its depth, the sum of weights from the top to
-    the node, the top span and ``rooted`` (whether the top is a real root).
+    root or at a missing parent: its parent and depth, the sum of weights from
+    the top to the node, the top span and ``rooted`` (whether the top is a real
+    root).
     Nodes on or below a cycle never end and are left out. ``levels[k]`` maps a
     node to its ancestor 2^k steps up.
     """
     start = nodes.select(
-        "trace_id", "span_id",
+        "trace_id", "span_id", "parent",
         F.col("parent").alias("ptr"),
         F.col("weight").alias("total"),
         F.col("parent").isNotNull().cast("long").alias("depth"),
@@ -74,7 +206,7 @@ def climb(nodes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
         )
         pending = Observation()
         moved = cut(moving.join(above, ["trace_id", "ptr"], "left").select(
-            "trace_id", "span_id",
+            "trace_id", "span_id", "parent",
             F.col("up.ptr").alias("ptr"),
             (F.col("total") + F.coalesce("up.total", F.lit(0))).alias("total"),
             # A missing parent ends the climb one step earlier, at the orphan.
@@ -106,13 +238,19 @@ def with_ancestors(picked: DataFrame, levels: list[DataFrame]) -> DataFrame:
     return out
 
 
-def span_tree(records: DataFrame, hot: list | None = None) -> DataFrame:
+def span_tree(records: DataFrame, small: int = SMALL_TRACE, hot: list | None = None) -> DataFrame:
     """The forest of every trace as rows: depth, root, place among siblings.
 
     A span whose parent is missing is a root. Spans in cycles have no root and
     do not appear. Children are numbered in time order; the number of children
     comes as a count, so that a wide parent never becomes one large value.
     """
+    ordinary, large = by_size(records, small)
+    out = _small_tree(ordinary)
+    return out if large is None else out.unionByName(_large_tree(large, hot))
+
+
+def _large_tree(records: DataFrame, hot: list | None) -> DataFrame:
     nodes = cut(span_nodes(records))
     known = nodes.select("trace_id", F.col("span_id").alias("parent"), F.lit(True).alias("known"))
     linked = nodes.join(known, ["trace_id", "parent"], "left").withColumn(
@@ -137,23 +275,43 @@ def span_tree(records: DataFrame, hot: list | None = None) -> DataFrame:
     )
 
 
-def critical_path_steps(records: DataFrame) -> DataFrame:
+def critical_path_steps(records: DataFrame, small: int = SMALL_TRACE) -> DataFrame:
     """The root-to-node chain with the greatest summed duration, one row per step.
 
     Among equal chains the one that goes through earlier siblings wins, a chain
     before its own extension. A trace without any root yields its first step; a
     trace whose greatest sum is 0 yields nothing.
     """
+    ordinary, large = by_size(records, small)
+    steps = _small_paths(ordinary).select("trace_id", F.explode("steps").alias("n")).select(
+        "trace_id", "n.*")
+    return steps if large is None else steps.unionByName(_large_path_steps(large))
+
+
+def critical_paths(records: DataFrame, small: int = SMALL_TRACE,
+                   array_steps: int = ARRAY_STEPS) -> DataFrame:
+    """One row per trace that has a path: length, duration and agents along it.
+
+    The array is filled for paths up to ``array_steps`` steps; longer ones stay
+    whole as rows of ``critical_path_steps``.
+    """
+    ordinary, large = by_size(records, small)
+    total = F.aggregate("steps", F.lit(0).cast("long"), lambda s, n: s + n["duration_ms"])
+    out = _small_paths(ordinary).where(F.size("steps") > 0).select(
+        "trace_id", F.size("steps").cast("long").alias("path_length"),
+        total.alias("path_duration_ms"), F.col("steps.agent_name").alias("critical_path"),
+    )
+    if large is None:
+        return out
+    return out.unionByName(_paths_from_steps(cut(_large_path_steps(large)), array_steps))
+
+
+def _large_path_steps(records: DataFrame) -> DataFrame:
     nodes = cut(span_nodes(records))
     reached, levels = climb(nodes.withColumn("weight", F.col("duration_ms")))
-    sums = reached.where("rooted").select("trace_id", "span_id", "total")
+    sums = reached.where("rooted").select("trace_id", "span_id", "parent", "total")
     best = sums.groupBy("trace_id").agg(F.max("total").alias("total")).where(F.col("total") > 0)
-    ends = cut(
-        sums.join(best, ["trace_id", "total"], "left_semi")
-        .select("trace_id", "span_id")
-        .join(nodes, ["trace_id", "span_id"])
-        .select("trace_id", "span_id", "parent")
-    )
+    ends = cut(sums.join(best, ["trace_id", "total"], "left_semi").drop("total"))
     above = ends.select("trace_id", F.col("span_id").alias("parent"))
     # A chain that only lengthens another best chain loses against it.
     shortest = ends.join(above, ["trace_id", "parent"], "left_anti")
@@ -181,7 +339,7 @@ def critical_path_steps(records: DataFrame) -> DataFrame:
 
 def _first_branches(tight: DataFrame, ends_above: DataFrame) -> DataFrame:
     """Of all nodes on best chains, those on the chain through first siblings."""
-    kept = cut(tight.join(ends_above, ["trace_id", "parent"], "left_anti"))
+    kept = tight.join(ends_above, ["trace_id", "parent"], "left_anti")
     first = kept.groupBy("trace_id", "parent").agg(
         F.min(F.struct("timestamp", "span_id", "agent_name", "duration_ms")).alias("n")
     ).select("trace_id", "parent", "n.*")
@@ -192,12 +350,8 @@ def _first_branches(tight: DataFrame, ends_above: DataFrame) -> DataFrame:
     return first.join(alive, ["trace_id", "span_id"])
 
 
-def critical_paths(path_steps: DataFrame, array_steps: int = ARRAY_STEPS) -> DataFrame:
-    """One row per trace: length, duration and the agents along the path.
-
-    The array is filled for paths up to ``array_steps`` steps; longer ones stay
-    whole as rows of ``critical_path_steps``.
-    """
+def _paths_from_steps(path_steps: DataFrame, array_steps: int) -> DataFrame:
+    """One row per trace from path steps; arrays only where they are short."""
     summary = path_steps.groupBy("trace_id").agg(
         F.count(F.lit(1)).alias("path_length"),
         F.sum("duration_ms").alias("path_duration_ms"),

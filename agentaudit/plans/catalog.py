@@ -271,7 +271,7 @@ def loop_repeats(spark, sf):
 
 def _redacted(strategy: str) -> Query:
     def run(spark, sf):
-        docs = fixtures.table(spark, sf, "documents").select("doc_id", "text")
+        docs = fixtures.texts(spark, sf, "documents").select("doc_id", "text")
         return privacy.redact_text(docs, "text", Redactor(strategy=strategy))
 
     return run
@@ -285,13 +285,13 @@ for _strategy in ("hash", "mask", "remove"):
 
 @query
 def pii_redact_longest(spark, sf):
-    docs = fixtures.table(spark, sf, "documents").select("doc_id", "text")
+    docs = fixtures.texts(spark, sf, "documents").select("doc_id", "text")
     return privacy.redact_text(docs, "text", Redactor(), mode="longest")
 
 
 @query
 def pii_scan(spark, sf):
-    docs = fixtures.table(spark, sf, "documents").select("doc_id", "text")
+    docs = fixtures.texts(spark, sf, "documents").select("doc_id", "text")
     return privacy.scan_text(docs, "text", Redactor()).select(
         "doc_id", "scan.original_length", "scan.redacted_length", "scan.pii_detected",
         F.size("scan.detections").alias("detections"),
@@ -300,14 +300,14 @@ def pii_scan(spark, sf):
 
 @query
 def pii_detections(spark, sf):
-    docs = fixtures.table(spark, sf, "documents")
+    docs = fixtures.texts(spark, sf, "documents")
     return privacy.detections(docs, ["doc_id"], "text", Redactor())
 
 
 @query
 def pii_custom_allowlist(spark, sf):
     """A pattern of one's own beside two built-in ones, with an allowed address."""
-    talk = fixtures.table(spark, sf, "documents").select("doc_id", "text")
+    talk = fixtures.texts(spark, sf, "documents").select("doc_id", "text")
     redactor = Redactor(patterns=("email", "ip_address"), strategy="remove",
                         custom={"marker": r"\*{3}"}, allowlist=frozenset({"19@mail5.example.com"}))
     return privacy.redact_text(talk, "text", redactor)
@@ -340,7 +340,7 @@ def pii_payload_redact(spark, sf):
 @query
 def pii_conversations(spark, sf):
     """Turns with personal data, per role."""
-    talk = fixtures.table(spark, sf, "conversations")
+    talk = fixtures.texts(spark, sf, "conversations")
     found = F.size(Redactor().detect(F.col("text")))
     return talk.groupBy("role").agg(
         F.count(F.lit(1)).alias("turns"), F.count_if(found > 0).alias("with_pii"),
@@ -349,13 +349,13 @@ def pii_conversations(spark, sf):
 
 @query
 def intent_routing(spark, sf):
-    talk = fixtures.table(spark, sf, "conversations")
+    talk = fixtures.texts(spark, sf, "conversations")
     return privacy.route_intent(talk, "text").select("conv_id", "turn", "route", "confidence")
 
 
 @query
 def text_guardrails(spark, sf):
-    docs = fixtures.table(spark, sf, "documents")
+    docs = fixtures.texts(spark, sf, "documents")
     score = F.col("n_chars") % 100 / 200
     out = privacy.text_guardrails(docs, "text", Redactor(("email", "phone", "credit_card")), score)
     return out.select(
@@ -573,14 +573,13 @@ def tier_export(spark, sf):
 
 
 def _span_files(spark: SparkSession, sf: str, root: str) -> None:
-    """Spans as files in order of time, then one that closes all windows."""
-    spans = fixtures.spans(spark, sf)
-    spans.repartitionByRange(8, "start_time").write.parquet(f"{root}/spans")
-    closing = spans.orderBy(F.desc("start_time")).limit(1).withColumns({
-        "trace_id": F.lit("f" * 32), "parent_span_id": F.lit(None).cast("string"),
-        "start_time": F.col("start_time") + F.expr("interval 1 day"),
-        "end_time": F.col("end_time") + F.expr("interval 1 day"),
-    })
+    """Spans as files in order of time, then one span that closes all windows."""
+    fixtures.spans(spark, sf).repartitionByRange(8, "start_time").write.parquet(f"{root}/spans")
+    written = span_files.read_spans(spark, f"{root}/spans")
+    later = written.agg((F.max("start_time") + F.expr("interval 1 day")).alias("start_time"))
+    closing = later.select(
+        F.lit("f" * 32).alias("trace_id"), F.lit("f" * 16).alias("span_id"),
+        "start_time", F.col("start_time").alias("end_time"))
     closing.write.mode("append").parquet(f"{root}/spans")
 
 

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.texts import read_texts
+
 #: A time range around all derived records.
 START, END = "2024-01-01", "2025-01-01"
 #: "Now" for queries that look back.
@@ -20,6 +22,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return read_texts(spark, f"{sf_dir}/{name}.parquet")
+
+
 def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").selectExpr(
         "event_id", "user_id", "event_type",

@@ -20,7 +20,7 @@ from ..operators.convert import redact_attributes, spans_to_records, truncate_lo
 from ..operators.cost import tokens
 from ..operators.lookup import flag
 from ..operators.sampling import Policy, flag_aggregates, span_flags, with_decision
-from ..sources.tables import BATCH_ROWS, BATCH_SECONDS, validate
+from ..sources.tables import BATCH_ROWS, BATCH_SECONDS, violations
 
 #: Quiet time after which a trace is decided.
 DECISION_WAIT = "10 seconds"
@@ -56,13 +56,14 @@ def ingest(spans: DataFrame, path: str, quarantine_path: str, checkpoint: str, o
     neither loses nor doubles rows. ``exporters`` get each batch as well.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        valid, bad = validate(spans_to_records(batch))
-        valid.write.mode("overwrite").partitionBy("date").parquet(f"{path}/batch={batch_id}")
-        bad.write.mode("overwrite").parquet(f"{quarantine_path}/batch={batch_id}")
+        checked = spans_to_records(batch).withColumn("violations", violations()).persist()
+        valid, bad = F.size("violations") == 0, F.size("violations") > 0
+        checked.where(valid).drop("violations").write.mode("overwrite").partitionBy("date").parquet(
+            f"{path}/batch={batch_id}")
+        checked.where(bad).write.mode("overwrite").parquet(f"{quarantine_path}/batch={batch_id}")
+        checked.unpersist()
         for export in exporters:
             export(batch, batch_id)
-        batch.unpersist()
 
     writer = spans.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return _start(writer, once)

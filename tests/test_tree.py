@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from agentaudit.operators import tree
 
 from helpers import at, record, records
@@ -68,24 +70,28 @@ def as_records(spark, traces):
         for rows in traces for r in rows])
 
 
-def test_critical_paths_match_brute_force(spark):
+@pytest.mark.parametrize("small", [tree.SMALL_TRACE, 0, 4])
+def test_critical_paths_match_brute_force(spark, small):
     rnd = random.Random(11)
     traces = [random_trace(rnd, f"t{i:04d}") for i in range(400)]
-    steps = tree.critical_path_steps(as_records(spark, traces)).collect()
+    df = as_records(spark, traces)
+    steps = tree.critical_path_steps(df, small).collect()
     got = {rows[0]["trace"]: [] for rows in traces}
     for r in sorted(steps, key=lambda r: r.position):
         got[r.trace_id].append(r.agent_name)
     want = {rows[0]["trace"]: best_path(rows) for rows in traces}
     assert got == want
+    arrays = {r.trace_id: r.critical_path for r in tree.critical_paths(df, small).collect()}
+    assert arrays == {k: v for k, v in want.items() if v}
 
 
 def test_span_trees_match_brute_force(spark):
     rnd = random.Random(5)
     traces = [random_trace(rnd, f"t{i:04d}") for i in range(200)]
     df = as_records(spark, traces)
-    for hot in ([], ["t0000", "t0001", "t0002"]):
+    for small, hot in ((tree.SMALL_TRACE, []), (0, []), (0, ["t0000", "t0001", "t0002"]), (5, [])):
         got = {}
-        for r in tree.span_tree(df, hot=hot).collect():
+        for r in tree.span_tree(df, small, hot).collect():
             got.setdefault(r.trace_id, {})[r.span_id] = (
                 r.parent_span_id, r.depth, r.root_span_id, r.sibling_no, r.child_count)
         want = {rows[0]["trace"]: forest(rows) for rows in traces}
@@ -96,18 +102,21 @@ def test_deep_chain(spark):
     n = 300
     rows = [record(span=f"{i:04d}", parent_span_id=f"{i - 1:04d}" if i else None, duration_ms=1, timestamp=at(i))
             for i in range(n)]
-    steps = tree.critical_path_steps(records(spark, *rows))
-    assert sorted(r.position for r in steps.collect()) == list(range(n))
+    for small in (tree.SMALL_TRACE, 0):
+        steps = tree.critical_path_steps(records(spark, *rows), small)
+        assert sorted(r.position for r in steps.collect()) == list(range(n))
 
 
 def test_wide_parent_of_equal_children(spark):
     rows = [record(span="root", duration_ms=1)] + [
         record(span=f"{i:04d}", parent_span_id="root", duration_ms=5, timestamp=at(1 + i // 10)) for i in range(500)]
-    steps = tree.critical_path_steps(records(spark, *rows)).orderBy("position").collect()
-    assert [r.span_id for r in steps] == ["root", "0000"]
+    for small in (tree.SMALL_TRACE, 0):
+        steps = tree.critical_path_steps(records(spark, *rows), small).orderBy("position").collect()
+        assert [r.span_id for r in steps] == ["root", "0000"]
 
 
 def test_copies_of_a_span_count_once(spark):
     rows = [record(span="r", duration_ms=3), record(span="r", duration_ms=4), record(span="c", parent_span_id="r", duration_ms=1, timestamp=at(1))]
-    steps = tree.critical_path_steps(records(spark, *rows)).orderBy("position").collect()
-    assert [(r.span_id, r.duration_ms) for r in steps] == [("r", 4), ("c", 1)]
+    for small in (tree.SMALL_TRACE, 0):
+        steps = tree.critical_path_steps(records(spark, *rows), small).orderBy("position").collect()
+        assert [(r.span_id, r.duration_ms) for r in steps] == [("r", 4), ("c", 1)]
