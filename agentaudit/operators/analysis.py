@@ -9,6 +9,7 @@ from ..functions.text import parse_traceparent
 from .cost import tokens
 from .lookup import flag
 from .replay import agent_label
+from .skew import join_unique
 from .tree import critical_paths, span_nodes
 
 
@@ -71,9 +72,9 @@ def diff(analysis: DataFrame, pairs: DataFrame) -> DataFrame:
             *[F.col(c).alias(f"{c}_{name}") for c in ("bottleneck_agent", "costliest_agent")],
         )
 
-    both = pairs.select("trace_a", "trace_b").join(side("a"), "trace_a", "left").join(
-        side("b"), "trace_b", "left"
-    )
+    # One baseline may be compared with very many traces.
+    both = join_unique(pairs.select("trace_a", "trace_b"), side("a"), ["trace_a"], "left")
+    both = join_unique(both, side("b"), ["trace_b"], "left")
     zeros = {f"{c}_{s}": F.coalesce(f"{c}_{s}", F.lit(0)) for c in numbers for s in "ab"}
     minus = lambda c: F.col(f"{c}_b") - F.col(f"{c}_a")
     return both.withColumns(zeros).withColumns({
@@ -104,7 +105,8 @@ def stitch(calls: DataFrame, records: DataFrame, header: str = "traceparent") ->
         F.when(F.col("caller_trace_id").isNull(), "malformed")
         .when(F.col("caller_agent").isNull(), "missing").otherwise("linked")
     )
-    return remote.join(callers, ["caller_trace_id", "caller_span_id"], "left").withColumn("link", link)
+    linked = join_unique(remote, callers, ["caller_trace_id", "caller_span_id"], "left")
+    return linked.withColumn("link", link)
 
 
 def delegation_edges(records: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.tables import in_range
+from .skew import join_unique
 
 
 def flag(name: str, records: DataFrame) -> Column:
@@ -21,12 +22,8 @@ def trace(records: DataFrame, trace_id: str) -> DataFrame:
 
 
 def traces(records: DataFrame, ids: DataFrame) -> DataFrame:
-    """All records of the traces in ``ids`` (column ``trace_id``), in time order.
-
-    Copies in ``ids`` do no harm; the adaptive planner broadcasts ``ids`` if its
-    measured size allows that.
-    """
-    picked = records.join(ids.select("trace_id"), "trace_id", "left_semi")
+    """All records of the traces in ``ids`` (column ``trace_id``), in time order."""
+    picked = join_unique(records, ids.select("trace_id").distinct(), ["trace_id"], "left_semi")
     return picked.orderBy("trace_id", "timestamp", "span_id")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .convert import guardrail_passed
+from .skew import join_unique
 
 
 @dataclass(frozen=True)
@@ -74,4 +75,4 @@ def decide(spans: DataFrame, policy: Policy = Policy()) -> DataFrame:
 def sample(spans: DataFrame, policy: Policy = Policy()) -> DataFrame:
     """The spans of all traces that are kept."""
     kept = decide(spans, policy).where("keep").select("trace_id")
-    return spans.join(kept, "trace_id", "left_semi")
+    return join_unique(spans, kept, ["trace_id"], "left_semi")

@@ -1,9 +1,9 @@
-"""Row numbering that stays exact when one group holds a large share of the rows.
+"""Numbering and joins that stay exact when one key holds a large share of the rows.
 
-A plain ``row_number`` window puts every group into one task. That is right for
-ordinary traces and wrong for a trace with billions of spans. ``number_rows``
-looks for such groups first with a fixed-size sketch, numbers ordinary groups by
-a window, and numbers hot groups by a range-partitioned sort plus offsets.
+A plain ``row_number`` window puts every group into one task, and a join does the
+same with the rows of one key. That is right for ordinary traces and wrong for a
+trace with billions of spans. The helpers here look for such keys first with a
+fixed-size sketch, treat ordinary keys the plain way, and spread the hot ones.
 """
 
 from __future__ import annotations
@@ -20,18 +20,21 @@ HOT_ROWS = 2_000_000
 #: Items the sketch tracks. A key above 3.5 / TRACKED of all rows is always among
 #: them, so an unseen key has fewer rows than that.
 TRACKED = 65_536
+#: The part of a row id that counts the rows of its partition.
+ROWS_MASK = (1 << 33) - 1
 #: Most keys that can be reported; bounds what reaches the driver.
 REPORTED = 4_096
 
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> list:
-    """Values of ``key`` with more than ``hot_rows`` rows.
+def hot_keys(df: DataFrame, key: str, hot_rows: int | None = None, rows: int | None = None) -> list:
+    """Values of ``key`` with more than ``hot_rows`` rows (``HOT_ROWS`` if not given).
 
     One pass over one column with a frequent-items sketch: no shuffle of keys,
     and at most ``REPORTED`` values come back. A table that is smaller than one
-    hot group needs no sketch.
+    hot group needs no sketch; ``rows`` is its size, where known.
     """
-    if df.count() <= hot_rows:
+    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
+    if (df.count() if rows is None else rows) <= hot_rows:
         return []
     top = df.where(F.col(key).isNotNull()).select(
         F.col(key).alias("_key")
@@ -40,6 +43,40 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> list:
     return [r["item"] for r in rows]
 
 
+def join_unique(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    how: str,
+    hot: list | None = None,
+    rows: int | None = None,
+) -> DataFrame:
+    """Join to a right side that has one row per key, whatever the keys on the left.
+
+    ``how`` is ``left``, ``inner``, ``left_semi`` or ``left_anti``. Left rows of a
+    hot key meet the one right row of that key by broadcast (at most ``REPORTED``
+    rows, since the right side has each key once); all other rows join as usual.
+    The adaptive planner cannot do this here: it splits a skewed join only where
+    both sides were shuffled for it, and an aggregated or materialised right side
+    was not. ``hot`` lists hot keys (see ``hot_keys``; several key columns are
+    joined by a NUL); it is looked up when not given.
+    """
+    keys = list(keys)
+    key = F.concat_ws("\0", *keys) if len(keys) > 1 else F.col(keys[0]).cast("string")
+    if hot is None:
+        whole = F.lit(True)
+        for c in keys:
+            whole = whole & F.col(c).isNotNull()
+        hot = hot_keys(left.where(whole).select(key.alias("_key")), "_key", rows=rows)
+    if not hot:
+        return left.join(right, keys, how)
+    is_hot = F.coalesce(key.isin(hot), F.lit(False))
+    few = F.broadcast(right.where(is_hot))
+    return left.where(~is_hot).join(right, keys, how).unionByName(
+        left.where(is_hot).join(few, keys, how)
+    )
+
+
 def number_rows(
     df: DataFrame,
     group: Sequence[str],
@@ -65,29 +102,40 @@ def number_rows(
 def _number_by_range(
     df: DataFrame, group: list[str], order: Sequence[Column], out: str
 ) -> DataFrame:
-    """Number rows through a total sort: position in the range + rows before it."""
+    """Number rows through a total sort: place in the range + rows before it.
+
+    One range shuffle spreads a hot group over many partitions. The row id of a
+    sorted partition counts its rows, so no window is needed; what comes before
+    a range is worked out on one row per range and group.
+    """
     spark = df.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     parts = max(parts, df.count() // HOT_ROWS + 1)
     # Exact copies share the whole sort key; the row id lets the sort split them.
+    key = [*[F.col(c) for c in group], *order, F.col("_copy")]
     ranged = cut(
         df.withColumn("_copy", F.monotonically_increasing_id())
-        .repartitionByRange(parts, *group, *order, F.col("_copy"))
+        .repartitionByRange(parts, *key)
+        .sortWithinPartitions(*key)
+        .drop("_copy")
         .withColumn("_range", F.spark_partition_id())
+        .withColumn("_place", F.monotonically_increasing_id().bitwiseAND(F.lit(ROWS_MASK)))
     )
-    inside = Window.partitionBy("_range", *group).orderBy(*order, F.col("_copy"))
     before = (
         Window.partitionBy(*group).orderBy("_range")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    # One row per group and range, so at most `parts` rows in any window.
+    # One row per range and group, so at most `parts` rows in any window.
     offsets = (
-        ranged.groupBy("_range", *group).agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-        .drop("_n")
+        ranged.groupBy("_range", *group)
+        .agg(F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first"))
+        .withColumn("_shift", F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1)
+        .select("_shift", *[F.col(c).alias(f"_of_{c}") for c in ["_range", *group]])
+    )
+    if len(group) == 1:
+        # Ranges are contiguous, so there are at most `parts` + REPORTED offsets.
+        offsets = F.broadcast(offsets)
+    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in ["_range", *group]]
+    return ranged.join(offsets, on=same, how="inner").select(
+        *df.columns, (F.col("_place") + F.col("_shift")).cast("long").alias(out)
     )
-    numbered = ranged.withColumn("_pos", F.row_number().over(inside))
-    same = [numbered[c].eqNullSafe(offsets[c]) for c in ["_range", *group]]
-    joined = numbered.join(offsets, on=same, how="inner")
-    keep = [numbered[c] for c in df.columns]
-    return joined.select(*keep, (F.col("_pos") + F.col("_before")).cast("long").alias(out))

@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 
 from ..functions.text import let
 from ..session import cut
+from . import skew
 from .replay import agent_label
-from .skew import number_rows
+from .skew import join_unique, number_rows
 
 #: Traces up to this many spans are handled as one array.
 SMALL_TRACE = 512
@@ -32,15 +33,18 @@ ARRAY_STEPS = 10_000
 def by_size(records: DataFrame, small: int = SMALL_TRACE) -> tuple[DataFrame, DataFrame | None]:
     """Split records into those of small traces and those of large ones (if any).
 
-    The sizes are exact counts, combined on the map side. The list of large
-    traces is usually short; the adaptive planner broadcasts it only if its
-    measured size allows that.
+    The sizes are exact counts, combined on the map side. They also tell which
+    traces are too large for one task; there are at most (rows / HOT_ROWS) such.
     """
     sizes = records.groupBy("trace_id").agg(F.count(F.lit(1)).alias("n"))
-    large = cut(sizes.where(F.col("n") > small).select("trace_id"))
+    large = cut(sizes.where(F.col("n") > small))
     if large.isEmpty():
         return records, None
-    return records.join(large, "trace_id", "left_anti"), records.join(large, "trace_id", "left_semi")
+    hot = [r.trace_id for r in large.where(F.col("n") > skew.HOT_ROWS).select("trace_id").collect()]
+    ids = large.select("trace_id")
+    return tuple(
+        join_unique(records, ids, ["trace_id"], how, hot) for how in ("left_anti", "left_semi")
+    )
 
 
 def span_nodes(records: DataFrame) -> DataFrame:
@@ -205,7 +209,7 @@ def climb(nodes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
             F.struct("ptr", "total", "depth", "top", "rooted").alias("up"),
         )
         pending = Observation()
-        moved = cut(moving.join(above, ["trace_id", "ptr"], "left").select(
+        moved = cut(join_unique(moving, above, ["trace_id", "ptr"], "left", rows=left).select(
             "trace_id", "span_id", "parent",
             F.col("up.ptr").alias("ptr"),
             (F.col("total") + F.coalesce("up.total", F.lit(0))).alias("total"),
@@ -253,7 +257,7 @@ def span_tree(records: DataFrame, small: int = SMALL_TRACE, hot: list | None = N
 def _large_tree(records: DataFrame, hot: list | None) -> DataFrame:
     nodes = cut(span_nodes(records))
     known = nodes.select("trace_id", F.col("span_id").alias("parent"), F.lit(True).alias("known"))
-    linked = nodes.join(known, ["trace_id", "parent"], "left").withColumn(
+    linked = join_unique(nodes, known, ["trace_id", "parent"], "left").withColumn(
         "parent", F.when(F.col("known"), F.col("parent"))
     ).drop("known")
     linked = cut(linked)
@@ -311,10 +315,10 @@ def _large_path_steps(records: DataFrame) -> DataFrame:
     reached, levels = climb(nodes.withColumn("weight", F.col("duration_ms")))
     sums = reached.where("rooted").select("trace_id", "span_id", "parent", "total")
     best = sums.groupBy("trace_id").agg(F.max("total").alias("total")).where(F.col("total") > 0)
-    ends = cut(sums.join(best, ["trace_id", "total"], "left_semi").drop("total"))
+    ends = cut(join_unique(sums, best, ["trace_id", "total"], "left_semi").drop("total"))
     above = ends.select("trace_id", F.col("span_id").alias("parent"))
     # A chain that only lengthens another best chain loses against it.
-    shortest = ends.join(above, ["trace_id", "parent"], "left_anti")
+    shortest = join_unique(ends, above, ["trace_id", "parent"], "left_anti")
     tied = shortest.groupBy("trace_id").count().where(F.col("count") > 1)
     tight = with_ancestors(shortest, levels).join(nodes, ["trace_id", "span_id"])
     if tied.isEmpty():
@@ -339,7 +343,7 @@ def _large_path_steps(records: DataFrame) -> DataFrame:
 
 def _first_branches(tight: DataFrame, ends_above: DataFrame) -> DataFrame:
     """Of all nodes on best chains, those on the chain through first siblings."""
-    kept = tight.join(ends_above, ["trace_id", "parent"], "left_anti")
+    kept = join_unique(tight, ends_above, ["trace_id", "parent"], "left_anti")
     first = kept.groupBy("trace_id", "parent").agg(
         F.min(F.struct("timestamp", "span_id", "agent_name", "duration_ms")).alias("n")
     ).select("trace_id", "parent", "n.*")
@@ -358,7 +362,7 @@ def _paths_from_steps(path_steps: DataFrame, array_steps: int) -> DataFrame:
     )
     fits = summary.where(F.col("path_length") <= array_steps).select("trace_id")
     longest = path_steps.agg(F.max("position")).first()[0] or 0
-    rows = path_steps if longest < array_steps else path_steps.join(fits, "trace_id", "left_semi")
+    rows = path_steps if longest < array_steps else join_unique(path_steps, fits, ["trace_id"], "left_semi")
     arrays = rows.groupBy("trace_id").agg(
         F.array_sort(F.collect_list(F.struct("position", "agent_name"))).alias("p")
     ).select("trace_id", F.col("p.agent_name").alias("critical_path"))

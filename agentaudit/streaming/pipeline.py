@@ -20,6 +20,7 @@ from ..operators.convert import redact_attributes, spans_to_records, truncate_lo
 from ..operators.cost import tokens
 from ..operators.lookup import flag
 from ..operators.sampling import Policy, flag_aggregates, span_flags, with_decision
+from ..operators.skew import join_unique
 from ..sources.tables import BATCH_ROWS, BATCH_SECONDS, violations
 
 #: Quiet time after which a trace is decided.
@@ -110,13 +111,11 @@ def sample(staged_stream: DataFrame, staged_path: str, path: str, decisions_path
         if span[0] is None:
             return
         staged = spark.read.parquet(staged_path).where(F.col("date").between(span[0], span[1]))
-        session = kept.select("trace_id", "first_start", F.col("last_end"))
-        mine = staged.join(
-            session,
-            (staged["trace_id"] == session["trace_id"])
-            & staged["start_time"].between(session["first_start"], session["last_end"]),
-            "left_semi",
-        )
+        # A trace may have several sessions; its kept ones make one row here.
+        sessions = kept.groupBy("trace_id").agg(
+            F.collect_list(F.struct("first_start", "last_end")).alias("sessions"))
+        inside = F.exists("sessions", lambda x: F.col("start_time").between(x["first_start"], x["last_end"]))
+        mine = join_unique(staged, sessions, ["trace_id"], "inner").where(inside).drop("sessions")
         spans_to_records(mine).write.mode("overwrite").partitionBy("date").parquet(
             f"{path}/batch={batch_id}"
         )
@@ -137,7 +136,7 @@ def late_spans(staged: DataFrame, decisions: DataFrame, records: DataFrame,
     then, and append the result.
     """
     kept = combine(decisions, policy).where("keep").select("trace_id")
-    mine = staged.join(kept, "trace_id", "left_semi")
+    mine = join_unique(staged, kept, ["trace_id"], "left_semi")
     have = records.select(F.col("trace_id").alias("_trace"), F.col("span_id").alias("_span"))
     same = (hex_id(F.col("trace_id"), 32) == F.col("_trace")) & (
         hex_id(F.col("span_id"), 16) == F.col("_span"))

@@ -45,3 +45,23 @@ def test_operators_agree_on_hot_traces(spark, sf):
     for run in (replay.steps, loops.loops):
         plain, split = run(records, hot=[]), run(records, hot=hot)
         assert plain.exceptAll(split).isEmpty() and split.exceptAll(plain).isEmpty()
+
+
+def test_join_with_hot_keys(spark):
+    rows = [("hot" if i % 3 else f"k{i % 50}", "x" if i % 2 else "y", i) for i in range(3_000)] + [(None, "x", -1)]
+    left = spark.createDataFrame(rows, "k string, g string, i int")
+    right = spark.createDataFrame([("hot", "x", 1), ("k3", "y", 2), ("k4", "y", 3)], "k string, g string, v int")
+    for how in ("left", "inner", "left_semi", "left_anti"):
+        want = left.join(right, ["k", "g"], how)
+        for hot in ([], ["hot\0x"], ["hot\0x", "hot\0y", "k4\0y"]):
+            got = skew.join_unique(left, right, ["k", "g"], how, hot)
+            assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_hot_side_is_looked_up(spark, monkeypatch):
+    monkeypatch.setattr(skew, "HOT_ROWS", 500)
+    left = spark.range(3_000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
+    right = spark.createDataFrame([("hot", 1)], "k string, v int")
+    joined = skew.join_unique(left, right, ["k"], "left")
+    assert "Union" in joined._jdf.queryExecution().optimizedPlan().toString()
+    assert joined.where("v = 1").count() == 1_000 and joined.count() == 3_000

@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from agentaudit.operators import tree
+from agentaudit.operators import skew, tree
 
 from helpers import at, record, records
 
@@ -70,8 +70,9 @@ def as_records(spark, traces):
         for rows in traces for r in rows])
 
 
-@pytest.mark.parametrize("small", [tree.SMALL_TRACE, 0, 4])
-def test_critical_paths_match_brute_force(spark, small):
+@pytest.mark.parametrize("small, hot_rows", [(tree.SMALL_TRACE, 10 ** 6), (0, 10 ** 6), (4, 8), (0, 40)])
+def test_critical_paths_match_brute_force(spark, monkeypatch, small, hot_rows):
+    monkeypatch.setattr(skew, "HOT_ROWS", hot_rows)
     rnd = random.Random(11)
     traces = [random_trace(rnd, f"t{i:04d}") for i in range(400)]
     df = as_records(spark, traces)
@@ -107,7 +108,8 @@ def test_deep_chain(spark):
         assert sorted(r.position for r in steps.collect()) == list(range(n))
 
 
-def test_wide_parent_of_equal_children(spark):
+def test_wide_parent_of_equal_children(spark, monkeypatch):
+    monkeypatch.setattr(skew, "HOT_ROWS", 100)
     rows = [record(span="root", duration_ms=1)] + [
         record(span=f"{i:04d}", parent_span_id="root", duration_ms=5, timestamp=at(1 + i // 10)) for i in range(500)]
     for small in (tree.SMALL_TRACE, 0):
