@@ -20,6 +20,7 @@ from ..functions.payload import redact_json
 from ..functions.pii import Redactor
 from ..operators import (analysis, compliance, convert, cost, lookup, loops, metrics, privacy,
                          replay, sampling, tree)
+from ..schema import RECORD
 from ..sources import nested, spans as span_files, tables
 from ..streaming import pipeline
 from . import fixtures
@@ -589,18 +590,27 @@ def _finish(started) -> None:
         raise started.exception()
 
 
-def _ingested(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
-    root = _scratch(spark)
-    _span_files(spark, sf, root)
-    stream = span_files.stream_spans(spark, f"{root}/spans")
-    _finish(pipeline.ingest(stream, f"{root}/records", f"{root}/bad", f"{root}/ck-ingest", once=True))
-    return root, spark.read.parquet(f"{root}/records")
+def _record_stream(spark: SparkSession, sf: str, root: str) -> DataFrame:
+    """Records as files, with one later record that closes all windows, as a stream."""
+    path = f"{root}/records"
+    tables.conform(fixtures.records(spark, sf)).write.parquet(path)
+    later = tables.read(spark, path).agg(
+        (F.max("timestamp") + F.expr("interval 1 day")).alias("timestamp"))
+    closing = later.select(
+        F.lit("f" * 32).alias("trace_id"), F.lit("f" * 16).alias("span_id"), "timestamp",
+        F.lit("closing").alias("agent_id"))
+    tables.conform(closing).write.mode("append").parquet(path)
+    return spark.readStream.schema(RECORD).parquet(path)
 
 
 @query
 def stream_ingest(spark, sf):
     """Spans through the ingest stream, aggregated per agent."""
-    _, records = _ingested(spark, sf)
+    root = _scratch(spark)
+    _span_files(spark, sf, root)
+    stream = span_files.stream_spans(spark, f"{root}/spans")
+    _finish(pipeline.ingest(stream, f"{root}/records", f"{root}/bad", f"{root}/ck", once=True))
+    records = spark.read.parquet(f"{root}/records")
     return records.where(F.col("trace_id") != "f" * 32).groupBy("agent_id").agg(
         F.count(F.lit(1)).alias("records"), F.sum("cost_usd").alias("cost"),
         F.count_if(F.col("status") == "error").alias("errors"))
@@ -623,10 +633,9 @@ def stream_sample(spark, sf):
 @query
 def stream_metrics(spark, sf):
     """30-second metric windows from a stream of records."""
-    root, records = _ingested(spark, sf)
-    stream = spark.readStream.schema(records.drop("batch").schema).option(
-        "recursiveFileLookup", "true").parquet(f"{root}/records")
-    _finish(pipeline.to_table(pipeline.metric_windows(stream), f"{root}/metrics", f"{root}/ck-m", once=True))
+    root = _scratch(spark)
+    windows = pipeline.metric_windows(_record_stream(spark, sf, root))
+    _finish(pipeline.to_table(windows, f"{root}/metrics", f"{root}/ck", once=True))
     return spark.read.parquet(f"{root}/metrics").withColumn(
         "avg_ms_per_token", F.col("avg_s_per_token") * 1000).drop("batch", "avg_s_per_token")
 
@@ -634,10 +643,7 @@ def stream_metrics(spark, sf):
 @query
 def stream_alerts(spark, sf):
     """Sliding alert windows from a stream of records."""
-    root, records = _ingested(spark, sf)
-    stream = spark.readStream.schema(records.drop("batch").schema).option(
-        "recursiveFileLookup", "true").parquet(f"{root}/records")
-    alerts = pipeline.alert_windows(stream, 0.05, 0.5, 2500)
-    _finish(pipeline.to_table(alerts, f"{root}/alerts", f"{root}/ck-a", once=True))
-    return spark.read.parquet(f"{root}/alerts").drop("batch").select(
-        "window_start", "agent_id", "cost", "alerts")
+    root = _scratch(spark)
+    alerts = pipeline.alert_windows(_record_stream(spark, sf, root), 0.05, 0.5, 2500)
+    _finish(pipeline.to_table(alerts, f"{root}/alerts", f"{root}/ck", once=True))
+    return spark.read.parquet(f"{root}/alerts").select("window_start", "agent_id", "cost", "alerts")

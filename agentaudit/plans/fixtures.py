@@ -27,14 +27,16 @@ def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").selectExpr(
+    events = table(spark, sf_dir, "events").selectExpr(
         "event_id", "user_id", "event_type",
         "cast(get_json_object(props, '$.k') as int) as k",
         "cast(round(value * 100) as bigint) as cents",
         "cast(event_id % 8 as int) as pos",
         "event_id - event_id % 8 as b0",
-        "min(cast(ts as timestamp)) over (partition by event_id - event_id % 8) as t0",
+        "cast(ts as timestamp) as ts",
     )
+    # The same shuffle serves the window and spreads the one row group.
+    return events.repartition("b0").withColumn("t0", F.expr("min(ts) over (partition by b0)"))
 
 
 _COLUMNS = {

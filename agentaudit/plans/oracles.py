@@ -436,11 +436,10 @@ ORACLES: dict[str, str] = {
  count(*) filter (where status = 'error') as errors from records group by 1""",
     "stream_sample": f"""{W}, {FLAGS} select trace_id, span_id, timestamp as start_time from records
  where trace_id in (select trace_id from decided where keep)""",
-    "stream_metrics": f"""{W}, m as (select *, case when input_tokens % 20 <> 0 then model_name
- when outcome is not null then 'gpt-4o' else model_name end as answering from records)
- select time_bucket(interval 30 seconds, timestamp) as window_start, operation_name, answering as model_name, count(*) as calls,
+    "stream_metrics": f"""{W}
+ select time_bucket(interval 30 seconds, timestamp) as window_start, operation_name, model_name, count(*) as calls,
  {_d('avg(duration_ms / 1000)')} as avg_s, cast(sum({TOKENS}) as bigint) as tokens,
- {_d('avg(duration_ms / 1000 / nullif(output_tokens, 0)) * 1000')} as avg_ms_per_token from m group by 1, 2, 3""",
+ {_d('avg(duration_ms / 1000 / nullif(output_tokens, 0)) * 1000')} as avg_ms_per_token from records group by 1, 2, 3""",
     "stream_alerts": f"""{W}, w as (select unnest(generate_series(
    time_bucket(interval 1 minute, timestamp) - interval 4 minutes, time_bucket(interval 1 minute, timestamp), interval 1 minute)) as window_start,
  * from records), a as (
