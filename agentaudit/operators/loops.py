@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut
 from .replay import agent_label
-from .skew import hot_keys, number_rows
+from .skew import hot_keys, join_unique, number_rows
+from .tree import climb
 
 #: Repeats after which an agent counts as caught in a loop.
 LOOP_LIMIT = 5
@@ -43,3 +45,31 @@ def loops(records: DataFrame, limit: int = LOOP_LIMIT, hot: list | None = None)
 def caught(records: DataFrame, limit: int = LOOP_LIMIT, hot: list | None = None) -> DataFrame:
     """Only the repeats that reached the limit."""
     return loops(records, limit, hot).where(F.col("repeats") >= limit)
+
+
+def recursion(records: DataFrame, limit: int = LOOP_LIMIT) -> DataFrame:
+    """Chains of spans down the tree in which one agent repeats one operation.
+
+    One row per chain of at least ``limit`` spans: its top span and its length.
+    Only links between equal steps are followed, so the number of rounds depends
+    on the length of these chains alone.
+    """
+    step = F.struct(agent_label().alias("agent"), F.coalesce("operation_name", F.lit("unknown")).alias("operation"))
+    nodes = cut(
+        records.groupBy("trace_id", "span_id").agg(
+            F.min(F.struct(F.nullif("parent_span_id", F.lit("")).alias("parent"), step.alias("step"))).alias("n")
+        ).select("trace_id", "span_id", "n.*")
+    )
+    above = nodes.select("trace_id", F.col("span_id").alias("parent"), F.col("step").alias("above"))
+    linked = cut(join_unique(nodes, above, ["trace_id", "parent"], "left").select(
+        "trace_id", "span_id", "step",
+        F.when(F.col("above") == F.col("step"), F.col("parent")).alias("parent"),
+        F.lit(0).cast("long").alias("weight"),
+    ))
+    reached, _ = climb(linked)
+    chains = reached.groupBy("trace_id", F.col("top").alias("span_id")).agg(
+        (F.max("depth") + 1).alias("length")
+    ).where(F.col("length") >= limit)
+    return chains.join(linked, ["trace_id", "span_id"]).select(
+        "trace_id", "span_id", "step.agent", "step.operation", "length"
+    )

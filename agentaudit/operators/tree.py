@@ -178,6 +178,47 @@ def _small_tree(records: DataFrame) -> DataFrame:
     return out.where("n.has_root").select("trace_id", "n.*").drop("has_root")
 
 
+def forest_json(records: DataFrame, small: int = SMALL_TRACE) -> DataFrame:
+    """The span forest of every trace as one nested JSON text.
+
+    Children stand in time order under ``children``. A nested value has to fit
+    into one row, so only traces of up to ``small`` spans get one; larger traces
+    have NULL here and stay whole as rows of ``span_tree``.
+    """
+    def build(nodes: Column, up: Column) -> Column:
+        start = F.transform(nodes, lambda x, i: F.struct(
+            F.nullif(F.get(up, i), F.lit(0)).alias("ptr"),
+            F.when(F.get(up, i) > 0, 1).otherwise(0).cast("long").alias("depth")))
+        merge = lambda x, above: F.struct(
+            above["ptr"].alias("ptr"), (x["depth"] + above["depth"]).alias("depth"))
+        # Deepest first, so that children are complete before their parent.
+        order = lambda ends: F.array_sort(F.filter(
+            F.transform(ends, lambda e, i: F.struct(
+                (-e["depth"]).alias("level"), i.alias("i"), e["ptr"].alias("ptr"))),
+            lambda o: o["ptr"].isNull()))
+        # Slot 0 collects the roots, slot i the children of node i.
+        empty = F.transform(F.sequence(F.lit(0), F.size(nodes)), lambda _: F.array().cast("array<string>"))
+
+        def add(slots: Column, o: Column) -> Column:
+            node = F.get(nodes, o["i"])
+            fields = F.to_json(F.struct(*[node[c].alias(c) for c in ("span_id", "agent_name", "duration_ms")]))
+            text = F.concat(
+                F.regexp_replace(fields, r"\}$", ""), F.lit(',"children":['),
+                F.array_join(F.get(slots, o["i"] + 1), ","), F.lit("]}"))
+            home = F.coalesce(F.get(up, o["i"]), F.lit(0))
+            return let(text, lambda t: F.transform(
+                slots, lambda slot, j: F.when(j == home, F.array_append(slot, t)).otherwise(slot)))
+
+        filled = F.aggregate(order(_double(start, merge)), empty, add)
+        return F.concat(F.lit("["), F.array_join(F.get(filled, F.lit(0)), ","), F.lit("]"))
+
+    ordinary, large = by_size(records, small)
+    out = _gather(ordinary).select("trace_id", _with_nodes(build).alias("forest"))
+    if large is None:
+        return out
+    return out.unionByName(large.select("trace_id").distinct().withColumn("forest", F.lit(None).cast("string")))
+
+
 def climb(nodes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     """Follow ``parent`` of every node up to the top.
 

@@ -221,6 +221,15 @@ def span_tree(spark, sf):
     return tree.span_tree(fixtures.records(spark, sf))
 
 
+@query
+def span_forest_json(spark, sf):
+    """Nested JSON per trace, with the number of spans found in it."""
+    out = tree.forest_json(fixtures.records(spark, sf))
+    spans = F.regexp_count("forest", F.lit('"span_id"'))
+    leaves = F.regexp_count("forest", F.lit(r'"children":\[\]'))
+    return out.select("trace_id", "forest", spans.alias("spans"), leaves.alias("leaves"))
+
+
 @query
 def critical_path(spark, sf):
     return tree.critical_path_steps(fixtures.records(spark, sf))
@@ -267,6 +276,12 @@ def loop_repeats(spark, sf):
     return loops.loops(fixtures.records(spark, sf), limit=3)
 
 
+@query
+def recursion(spark, sf):
+    """Agents whose operation calls itself at least once."""
+    return loops.recursion(fixtures.records(spark, sf), limit=2)
+
+
 # -- personal data --------------------------------------------------------------
 
 

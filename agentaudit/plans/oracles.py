@@ -321,6 +321,14 @@ ORACLES: dict[str, str] = {
        min(case when nth = 3 then timestamp end) as t from y group by all)
  select trace_id, agent, operation, action, cast(sum(run) as bigint) as repeats, max(run) as longest_run,
  min(t) as tripped_at from z group by 1, 2, 3, 4""",
+    "recursion": f"""{WR}, x as (
+ select trace_id, span_id, parent_span_id, {LABEL} as agent, operation_name as operation from records),
+ e as (select c.*, p.span_id as up from x c left join x p on p.trace_id = c.trace_id and p.span_id = c.parent_span_id
+       and p.agent = c.agent and p.operation = c.operation),
+ w as (select trace_id, span_id, span_id as top, agent, operation, 1 as n from e where up is null
+       union all select e.trace_id, e.span_id, w.top, e.agent, e.operation, w.n + 1
+       from w join e on e.trace_id = w.trace_id and e.up = w.span_id)
+ select trace_id, top as span_id, agent, operation, cast(max(n) as bigint) as length from w group by 1, 2, 3, 4 having max(n) >= 2""",
     "pii_redact_hash": _redact_sql("hash"),
     "pii_redact_mask": _redact_sql("mask"),
     "pii_redact_remove": _redact_sql("remove"),

@@ -1,5 +1,6 @@
 """Trees and critical paths against brute force over random forests."""
 
+import json
 import random
 
 import pytest
@@ -122,3 +123,25 @@ def test_copies_of_a_span_count_once(spark):
     for small in (tree.SMALL_TRACE, 0):
         steps = tree.critical_path_steps(records(spark, *rows), small).orderBy("position").collect()
         assert [(r.span_id, r.duration_ms) for r in steps] == [("r", 4), ("c", 1)]
+
+
+def nested(rows):
+    """The forest as nested lists, children in time order."""
+    tree_of = forest(rows)
+    agents = {r["span"]: (r["agent"], r["ms"]) for r in rows}
+    order = [r["span"] for r in sorted(rows, key=lambda r: (r["ts"], r["span"])) if r["span"] in tree_of]
+    build = lambda parent: [
+        {"span_id": s, "agent_name": agents[s][0], "duration_ms": agents[s][1], "children": build(s)}
+        for s in order if tree_of[s][0] == parent]
+    return build(None)
+
+
+def test_nested_json_matches_brute_force(spark):
+    rnd = random.Random(23)
+    traces = [random_trace(rnd, f"t{i:04d}") for i in range(150)]
+    df = as_records(spark, traces)
+    got = {r.trace_id: json.loads(r.forest) for r in tree.forest_json(df).collect()}
+    assert got == {rows[0]["trace"]: nested(rows) for rows in traces}
+    sizes = {rows[0]["trace"]: len(rows) for rows in traces}
+    for r in tree.forest_json(df, small=5).collect():
+        assert (r.forest is None) == (sizes[r.trace_id] > 5)
