@@ -652,7 +652,7 @@ def stream_metrics(spark, sf):
     windows = pipeline.metric_windows(_record_stream(spark, sf, root))
     _finish(pipeline.to_table(windows, f"{root}/metrics", f"{root}/ck", once=True))
     return spark.read.parquet(f"{root}/metrics").withColumn(
-        "avg_ms_per_token", F.col("avg_s_per_token") * 1000).drop("batch", "avg_s_per_token")
+        "avg_ms_per_token", F.col("avg_s_per_token") * 1000).drop("avg_s_per_token")
 
 
 @query

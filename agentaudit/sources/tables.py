@@ -64,6 +64,12 @@ def conform(records: DataFrame) -> DataFrame:
     return records.select(*[column(f) for f in RECORD])
 
 
+def _clustered(records: DataFrame) -> DataFrame:
+    """Records in table form, range-partitioned and sorted by day, agent and time."""
+    order = ["date", "agent_id", "timestamp", "span_id"]
+    return conform(records).repartitionByRange(*order).sortWithinPartitions(*order)
+
+
 def append(records: DataFrame, path: str, max_rows_per_file: int | None = None) -> None:
     """Append records to the table at ``path``; an empty input adds no rows.
 
@@ -71,14 +77,23 @@ def append(records: DataFrame, path: str, max_rows_per_file: int | None = None)
     spread over many tasks, and each file covers a narrow range of agents and
     times, which its Parquet statistics then let later scans skip.
     """
-    order = ["date", "agent_id", "timestamp", "span_id"]
-    out = conform(records).repartitionByRange(*order).sortWithinPartitions(*order)
-    writer = out.write.mode("append").partitionBy("date")
+    writer = _clustered(records).write.mode("append").partitionBy("date")
     if max_rows_per_file:
         writer = writer.option("maxRecordsPerFile", max_rows_per_file)
     writer.parquet(path)
 
 
+def settle_day(landed: DataFrame, path: str, day) -> None:
+    """Write one day of landed stream output to the table, in large clustered files.
+
+    Streams leave many small files. This replaces the day in the table by all
+    that has landed for it, so it can run again after late spans came in.
+    """
+    rows = landed.where(F.col("date") == F.lit(day).cast("date"))
+    _clustered(rows).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
+
+
 def read(spark: SparkSession, path: str) -> DataFrame:
     """Read the record table with its fixed schema (nothing is inferred)."""
     return spark.read.schema(RECORD).parquet(path)

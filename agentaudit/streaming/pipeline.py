@@ -49,18 +49,26 @@ def stage(spans: DataFrame, path: str, checkpoint: str, once: bool = False,
     return _start(writer, once)
 
 
+def land(records: DataFrame, path: str, batch_id: int) -> None:
+    """Write one batch of records by day; a repeated batch replaces its own rows."""
+    (
+        records.withColumn("batch", F.lit(batch_id)).write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy("date", "batch").parquet(path)
+    )
+
+
 def ingest(spans: DataFrame, path: str, quarantine_path: str, checkpoint: str, once: bool = False,
            exporters: Sequence[Callable[[DataFrame, int], None]] = ()) -> StreamingQuery:
     """Convert spans to records; valid ones to the table, others to quarantine.
 
-    Every batch owns a folder that a repeated batch replaces, so a restart
-    neither loses nor doubles rows. ``exporters`` get each batch as well.
+    A repeated batch replaces what it wrote before, so a restart neither loses
+    nor doubles rows. ``exporters`` get each batch as well. ``tables.settle_day``
+    moves finished days from here to the clustered record table.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         checked = spans_to_records(batch).withColumn("violations", violations()).persist()
         valid, bad = F.size("violations") == 0, F.size("violations") > 0
-        checked.where(valid).drop("violations").write.mode("overwrite").partitionBy("date").parquet(
-            f"{path}/batch={batch_id}")
+        land(checked.where(valid).drop("violations"), path, batch_id)
         checked.where(bad).write.mode("overwrite").parquet(f"{quarantine_path}/batch={batch_id}")
         checked.unpersist()
         for export in exporters:
@@ -116,9 +124,7 @@ def sample(staged_stream: DataFrame, staged_path: str, path: str, decisions_path
             F.collect_list(F.struct("first_start", "last_end")).alias("sessions"))
         inside = F.exists("sessions", lambda x: F.col("start_time").between(x["first_start"], x["last_end"]))
         mine = join_unique(staged, sessions, ["trace_id"], "inner").where(inside).drop("sessions")
-        spans_to_records(mine).write.mode("overwrite").partitionBy("date").parquet(
-            f"{path}/batch={batch_id}"
-        )
+        land(spans_to_records(mine), path, batch_id)
 
     writer = (
         session_decisions(staged_stream, policy, wait, delay).writeStream
@@ -193,11 +199,7 @@ def alert_windows(records: DataFrame, cost_usd: float, failure_rate: float, p99_
 
 
 def to_table(stream: DataFrame, path: str, checkpoint: str, once: bool = False) -> StreamingQuery:
-    """Append the finished windows of a stream to a Parquet table, batch by batch."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-
-    writer = stream.writeStream.foreachBatch(write).outputMode("append").option(
-        "checkpointLocation", checkpoint
-    )
+    """Append the finished windows of a stream to a Parquet table; exactly once."""
+    writer = stream.writeStream.format("parquet").outputMode("append").option(
+        "path", path).option("checkpointLocation", checkpoint)
     return _start(writer, once)

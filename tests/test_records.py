@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from agentaudit.operators import compliance, cost, lookup, metrics
 from agentaudit.sources import nested, tables
+from agentaudit.streaming import pipeline
 
 from helpers import T0, at, record, records
 
@@ -35,6 +36,18 @@ def test_full_record_survives_the_table(spark, tmp_path):
     assert json.loads(rows[0].reasoning)["confidence"] == 0.87
 
 
+def test_settling_a_day_replaces_only_that_day(spark, tmp_path):
+    path, landing = str(tmp_path / "table"), str(tmp_path / "landing")
+    day1, day2 = datetime(2026, 3, 1, 5), datetime(2026, 3, 2, 5)
+    pipeline.land(records(spark, record(span="1", timestamp=day1), record(span="2", timestamp=day2)), landing, 0)
+    pipeline.land(records(spark, record(span="3", timestamp=day1)), landing, 1)
+    pipeline.land(records(spark, record(span="3", timestamp=day1)), landing, 1)  # a repeated batch
+    for _ in range(2):
+        for day in ("2026-03-01", "2026-03-02"):
+            tables.settle_day(spark.read.parquet(landing), path, day)
+    assert sorted(r.span_id for r in tables.read(spark, path).collect()) == ["1", "2", "3"]
+
+
 def test_create_table_is_idempotent(spark, tmp_path):
     for _ in range(2):
         tables.create_table(spark, "audit_records", str(tmp_path / "t"))
