@@ -11,20 +11,21 @@ from .compliance import tool_calls
 TOKEN_BUCKETS = [4 ** i for i in range(14)]
 
 
-def window_start(width: str = "30 seconds") -> Column:
-    """Start of the tumbling window a record falls into."""
-    return F.window("timestamp", width)["start"].alias("window_start")
+def _windows(df: DataFrame, width: str, keys: list, aggregates: list[Column]) -> DataFrame:
+    """Aggregates per tumbling window and keys; also works on a stream with a watermark."""
+    out = df.groupBy(F.window("timestamp", width).alias("w"), *keys).agg(*aggregates)
+    return out.select(F.col("w.start").alias("window_start"), *[c for c in out.columns if c != "w"])
 
 
 def operation_duration(records: DataFrame, width: str = "30 seconds") -> DataFrame:
     """Duration in seconds per window, operation and model."""
     seconds = F.col("duration_ms") / 1000
-    return records.groupBy(window_start(width), "operation_name", "model_name").agg(
+    return _windows(records, width, ["operation_name", "model_name"], [
         F.count("duration_ms").alias("calls"),
         F.avg(seconds).alias("avg_s"),
         F.max(seconds).alias("max_s"),
         F.percentile_approx(seconds, F.lit(0.95), F.lit(1000)).alias("p95_s"),
-    )
+    ])
 
 
 def token_bucket(tokens: Column) -> Column:
@@ -41,10 +42,11 @@ def token_histogram(records: DataFrame, width: str = "30 seconds") -> DataFrame:
         ),
         lambda _, v: v.isNotNull(),
     )
-    exploded = records.select(window_start(width), F.explode(kinds).alias("token_type", "tokens"))
-    return exploded.groupBy(
-        "window_start", "token_type", token_bucket(F.col("tokens")).alias("bucket")
-    ).agg(F.count(F.lit(1)).alias("records"), F.sum("tokens").alias("tokens"))
+    exploded = records.select("timestamp", F.explode(kinds).alias("token_type", "tokens"))
+    return _windows(
+        exploded.withColumn("bucket", token_bucket(F.col("tokens"))), width, ["token_type", "bucket"],
+        [F.count(F.lit(1)).alias("records"), F.sum("tokens").alias("tokens")],
+    )
 
 
 def time_per_token(records: DataFrame) -> DataFrame:

@@ -2,12 +2,13 @@ from datetime import timedelta
 
 from pyspark.sql import functions as F
 
-from agentaudit.operators import sampling
+from agentaudit.operators import metrics, sampling
 from agentaudit.plans import catalog
-from agentaudit.sources import spans as span_files
+from agentaudit.schema import RECORD
+from agentaudit.sources import spans as span_files, tables
 from agentaudit.streaming import pipeline
 
-from helpers import T0, at, event, span, spans
+from helpers import T0, at, event, record, records, span, spans
 
 
 def test_each_policy_keeps(spark):
@@ -100,3 +101,27 @@ def test_staged_spans_are_redacted(spark, tmp_path):
     spans(spark, span(attributes={"gen_ai.input.messages": "secret", "x": "y"})).write.parquet(f"{root}/spans")
     pipeline.stage(span_files.stream_spans(spark, f"{root}/spans"), f"{root}/staged", f"{root}/ck", once=True).awaitTermination()
     assert spark.read.parquet(f"{root}/staged").first().attributes == {"x": "y"}
+
+
+def test_metric_windows_on_a_stream(spark, sf, tmp_path):
+    root = str(tmp_path)
+    stream = catalog._record_stream(spark, sf, root).withWatermark("timestamp", "1 minute")
+    batch = tables.read(spark, f"{root}/records").where("agent_id <> 'closing'")
+    for name, run in (("duration", metrics.operation_duration), ("tokens", metrics.token_histogram)):
+        out = f"{root}/{name}"
+        pipeline.to_table(run(stream), out, f"{root}/ck-{name}", once=True).awaitTermination()
+        got = [tuple(r) for r in spark.read.parquet(out).collect()]
+        assert sorted(got, key=str) == sorted((tuple(r) for r in run(batch).collect()), key=str)
+
+
+def test_late_rows_are_left_out_and_counted(spark, tmp_path):
+    root = str(tmp_path)
+    rows = [record(span=str(i), timestamp=at(ms)) for i, ms in enumerate((0, 600_000, 1_000, 1_200_000))]
+    for row in rows:
+        records(spark, row).coalesce(1).write.mode("append").parquet(f"{root}/records")
+        stream = spark.readStream.schema(RECORD).parquet(f"{root}/records")
+        query = pipeline.to_table(pipeline.metric_windows(stream), f"{root}/m", f"{root}/ck", once=True)
+        query.awaitTermination()
+        if row is rows[2]:
+            assert pipeline.late_count(query) == 1
+    assert [r.calls for r in spark.read.parquet(f"{root}/m").collect()] == [1, 1]
