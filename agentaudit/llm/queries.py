@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure
-from . import exact
+from . import decontaminate, exact, language, licenses, mixing, secrets, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -43,3 +43,96 @@ select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_siz
 from documents
 window same as (partition by coalesce(text, ''))
 """
+
+
+@query
+def op4_decontamination(spark, sf_dir):
+    """Words and items of the benchmark found in every document."""
+    found = decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        F.col("id").alias("doc_id"), F.col("n_words").cast("long").alias("n_words"),
+        decontaminate.covered(F.col("hits")).cast("long").alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (F.size("hits") > 0).alias("contaminated"))
+
+
+ORACLES["op4_decontamination"] = """
+with docs as (
+ select doc_id, row_number() over () as r, regexp_extract_all(
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w
+ from documents),
+items as (
+ select coalesce(cast(item_id as varchar), 'null') as item, regexp_extract_all(
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w
+ from benchmark),
+starts as (
+ select item, w, least(10, len(w)) as n, unnest(range(1, len(w) - least(10, len(w)) + 2)) as i
+ from items where len(w) > 0),
+grams as (select distinct item, n, array_to_string(w[i:i + n - 1], ' ') as gram from starts),
+lengths as (select distinct n from grams),
+places as (
+ select r, w, n, unnest(range(1, len(w) - n + 2)) as i from docs, lengths where len(w) >= n),
+hits as (
+ select r, i, p.n, item from (select r, i, n, array_to_string(w[i:i + n - 1], ' ') as gram from places) p
+ join grams using (gram) where p.n = grams.n),
+words as (select r, count(distinct k) as n_hit from (select r, unnest(range(i, i + n)) as k from hits) group by r),
+found as (select r, count(*) as n_items, string_agg(item, ',' order by item) as list
+          from (select distinct r, item from hits) group by r)
+select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+       sha256(coalesce(list, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from docs left join words using (r) left join found using (r)
+"""
+
+
+@query
+def op5_secrets(spark, sf_dir):
+    """Secrets in every document: counts of the base kinds, and all spans."""
+    base = [r.name for r in secrets.BASE]
+    found = secrets.find(table(spark, sf_dir, "documents"))
+    of_base = F.filter("spans", lambda s: s["kind"].isin(base))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *[secrets.count(F.col("spans"), k).alias(f"n_{k}") for k in base],
+        F.sha2(secrets.listed(of_base), 256).alias("base_sha256"), secrets.listed(F.col("spans")).alias("spans"))
+
+
+@query
+def op6_language_id(spark, sf_dir):
+    """Language of every page from its text, declaration and address."""
+    model = language.fit(table(spark, sf_dir, "documents"))
+    html = F.coalesce("html", F.lit(""))
+    pages = table(spark, sf_dir, "pages").select(
+        F.col("page_id").alias("id"), language.text_in(html).alias("text"),
+        language.declared_in(html).alias("declared"), language.host_of(F.col("url")).alias("host"))
+    found = language.identify(pages, model)
+    return found.withColumnRenamed("id", "page_id").withColumn("posterior", F.round("posterior", 6))
+
+
+@query
+def op7_simhash(spark, sf_dir):
+    """Fingerprint and component of every document."""
+    _, found = simhash.near_duplicates(table(spark, sf_dir, "documents"), plain_scan=True)
+    return found.select(F.col("id").alias("doc_id"),
+                        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+#: Shares of the sources in the mix; all others together have one share.
+SHARES = {"src0": 4, "src1": 3, "src2": 3, "src3": 2, "src4": 2, "src5": 2, "src6": 1, "src7": 1}
+
+
+@query
+def op8_mixing(spark, sf_dir):
+    """Block and slot of every document in a mix of the sources to target shares."""
+    placed = mixing.schedule(table(spark, sf_dir, "documents"), SHARES)
+    return placed.withColumnRenamed("id", "doc_id")
+
+
+@query
+def op10_license_scan(spark, sf_dir):
+    """Licences that are a document's entire text, and licences of single lines."""
+    found = licenses.scan(table(spark, sf_dir, "documents"), licenses.known_digests(spark))
+    return found.select(F.col("id").alias("doc_id"), F.array_join("whole", ",").alias("whole_text"),
+                        F.array_join("lines", ",").alias("line_notices"))
