@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure
-from . import decontaminate, exact, language, licenses, mixing, secrets, simhash
+from . import (decontaminate, exact, language, licenses, lm, mixing, secrets, simhash, substrings,
+               tokens)
+from .common import folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -45,6 +47,20 @@ window same as (partition by coalesce(text, ''))
 """
 
 
+@query
+def op2_lm_score(spark, sf_dir):
+    """Scores of every document under the word-count base and the trained model."""
+    return lm.score(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op3_token_counts(spark, sf_dir):
+    """Tokens of every document, counted in flat token files."""
+    path = folder(spark, "flat")
+    manifest = tokens.write_flat(table(spark, sf_dir, "documents"), path, plain_scan=True)
+    return tokens.named(tokens.count(spark, path), manifest).withColumnRenamed("id", "doc_id")
+
+
 @query
 def op4_decontamination(spark, sf_dir):
     """Words and items of the benchmark found in every document."""
@@ -130,6 +146,14 @@ def op8_mixing(spark, sf_dir):
     return placed.withColumnRenamed("id", "doc_id")
 
 
+@query
+def op9_substring_dedup(spark, sf_dir):
+    """Every document without the 35-word windows that occur twice."""
+    found = substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed",
+                        F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 @query
 def op10_license_scan(spark, sf_dir):
     """Licences that are a document's entire text, and licences of single lines."""
