@@ -33,6 +33,8 @@ STATE = {
     # All stores of an executor share this much memory; the rest is on disk.
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    # Otherwise every store reserves megabytes of disk ahead, however little it holds.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 
