@@ -272,7 +272,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                      pa.array(found[0]), pa.array(np.full(len(lens), counts.n)), pa.array(found[1]), pa.array(found[2])],
                     names=["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    whole = blocks.select("block", "ids", "held", "lens", "tokens", "words").join(back, "block", "left")
+    whole = blocks.select("block", "ids", "held", "lens", "tokens", "words").join(
+        back.hint("merge"), "block", "left")  # the counts of its words grow with the corpus: no broadcast
     long, double = T.LongType(), T.DoubleType()
     return whole.mapInArrow(run, T.StructType([
         T.StructField("id", blocks.schema["ids"].dataType.elementType), T.StructField("held_out", T.BooleanType()),

@@ -183,14 +183,17 @@ def remove_repeats(docs: DataFrame, window: int = 35, id_col: str = "doc_id",
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"),
                        F.lit(False).alias("held"))
     blocks = bucketed(encode(rows, lower=False).drop("held", "train"), "block")
+    # Sizes of Arrow stages are guesses to the optimiser; the lists sent back to the blocks
+    # grow with the corpus and must not be broadcast on such a guess.
     anchors = blocks.select("block", "lens", "tokens", "words").mapInArrow(
         _anchor_rows(window), "hash long, tag long")
     shared = repeated(anchors, ["hash"]).groupBy("block").agg(F.collect_list("hash").alias("hashes"))
-    windows = blocks.select("block", "lens", "tokens", "words").join(shared, "block").mapInArrow(
+    windows = blocks.select("block", "lens", "tokens", "words").join(
+        shared.hint("merge"), "block").mapInArrow(
         _window_rows(window), "a long, b long, tag long")
     twice = repeated(windows, ["a", "b"]).groupBy("block").agg(F.collect_list(F.struct("a", "b")).alias("twice"))
     id_type = blocks.schema["ids"].dataType.elementType
-    return blocks.join(twice, "block", "left").mapInArrow(
+    return blocks.join(twice.hint("merge"), "block", "left").mapInArrow(
         _removed(window, id_type),
         T.StructType([T.StructField("id", id_type), T.StructField("n_words", T.LongType()),
                       T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType())]))
