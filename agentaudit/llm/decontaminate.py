@@ -131,9 +131,9 @@ def remove_documents(docs: DataFrame, benchmark: DataFrame, n: int = 10, **optio
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = 10, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
-    """``docs`` with a column ``clean_words``: the words outside all benchmark windows."""
+    """Each row of ``docs`` as struct ``row``, and ``clean_words`` outside all benchmark windows."""
     found = scan(docs, benchmark, n, id_col, text_col, keep=packed(docs))
     words = words_of(F.coalesce(F.col(f"kept.`{text_col}`").cast("string"), F.lit("")))
     clean = F.filter(words, lambda w, i: ~F.exists(
         "hits", lambda h: (h["start"] <= i) & (i < h["start"] + h["length"])))
-    return found.select("kept.*", clean.alias("clean_words"))
+    return found.select(F.col("kept").alias("row"), clean.alias("clean_words"))

@@ -7,6 +7,11 @@ folder and grows by one small entry per distinct text. A digest that was seen mo
 than once is a hit: the full texts are then compared with the text at the keeper's
 locator, and rows that differ (digests that collide) are grouped by their whole text.
 
+Only texts that may be hits are shuffled: the repeated digests set bits in a bitmap of
+fixed size (``SIFT_BITS``, 8 MB), which is broadcast and sifts the rows while they are
+read. Where there are too many repeated digests for it, it lets more rows pass, and the
+join after it decides as before.
+
 Skew: the aggregation combines before its shuffle, and the comparison is a plain
 equi-join of two scans, which adaptive execution splits for a hot digest.
 
@@ -37,6 +42,9 @@ STATE = {
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
+#: Bits of the bitmap that tells which digests may be repeated; an eighth as many bytes are broadcast.
+SIFT_BITS = 1 << 26
+
 
 @contextmanager
 def _settings(spark: SparkSession, settings: dict[str, str]):
@@ -89,6 +97,20 @@ def recall(spark: SparkSession, checkpoint: str) -> DataFrame:
                         F.col("value.count").alias("n"))
 
 
+def sifted(rows: DataFrame, digests: DataFrame, bits: int = SIFT_BITS) -> DataFrame:
+    """The rows whose ``digest`` may be among ``digests``; all that are, and few others."""
+    place = F.pmod(F.xxhash64("digest"), F.lit(bits))
+    bitmap = digests.groupBy(F.bitmap_bucket_number(place).alias("part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bitmap"))  # bits / 8 bytes at most
+    bit = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring("bitmap", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return (
+        rows.join(F.broadcast(bitmap), F.col("part") == F.bitmap_bucket_number(place))
+        .where(byte.bitwiseAND(F.expr("shiftleft(1, cast(bitmap_bit_position("
+                                      f"pmod(xxhash64(digest), {bits}L)) % 8 as int))")) != 0)
+        .drop("part", "bitmap"))
+
+
 def members(places: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             digest: Callable[[Column], Column] = sha256,
             files_per_batch: int | None = None) -> DataFrame:
@@ -117,7 +139,7 @@ def members(places: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     is_keeper = ((F.col("file") == F.col("keeper.file"))
                  & (F.col("place") == F.col("keeper.place")))
     repeated = stored(seen.where("n > 1"), "repeated")
-    hits = stored(rows.join(repeated, "digest").withColumn("is_keeper", is_keeper), "hits")
+    hits = stored(sifted(rows, repeated).join(repeated, "digest").withColumn("is_keeper", is_keeper), "hits")
     keepers = hits.where("is_keeper").select("digest", F.col("text").alias("keep_text"))
     odd = stored(
         hits.join(keepers, "digest").where(F.col("text") != F.col("keep_text"))
@@ -144,11 +166,14 @@ def members(places: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
 
 
+def without(places: DataFrame, dropped: DataFrame) -> DataFrame:
+    """The located rows that are not among ``dropped``, with their own columns."""
+    return places.join(stored(dropped.select("file", "place"), "dropped"),
+                       ["file", "place"], "left_anti").select("row.*")
+
+
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 plain_scan: bool = False, **options) -> DataFrame:
     """``docs`` without the rows whose text another row keeps; columns unchanged."""
     places = located(docs, plain_scan)
-    dropped = stored(
-        members(places, id_col, text_col, **options).where("NOT kept").select("file", "place"),
-        "dropped")
-    return places.join(dropped, ["file", "place"], "left_anti").select("row.*")
+    return without(places, members(places, id_col, text_col, **options).where("NOT kept"))

@@ -16,7 +16,7 @@ scans on both sides, which adaptive execution splits for a hot host.
 Defined results: a text without letters is ``und`` (undetermined) and rejected, whatever
 else is known of it; null texts are such; missing or unknown declarations and addresses
 are values of their own; without labelled rows everything is ``und``. Repeated rows are
-judged each for itself. Further columns are carried in ``kept`` if asked for.
+judged each for itself. Further columns are ignored.
 """
 
 from __future__ import annotations
@@ -133,22 +133,16 @@ def text_in(html: Column) -> Column:
     return F.regexp_replace(bare, r"&[a-zA-Z0-9#]+;", " ")
 
 
-def _array(values) -> Column:
-    return F.array(*values)
-
-
 def identify(rows: DataFrame, model: Model) -> DataFrame:
     """Language and posterior per row.
 
-    ``rows`` has ``id``, ``text``, ``declared`` and ``host``, and may have ``kept``.
-    Gives id, language, posterior, text_language, n_trigrams, accepted (and ``kept``).
+    ``rows`` has ``id`` (of any type), ``text``, ``declared`` and ``host``. Gives id,
+    language, posterior, text_language, n_trigrams, accepted.
     """
     languages, k = model.languages, len(model.languages)
-    spark = rows.sparkSession
-    carried = [c for c in ("kept",) if c in rows.columns]
     known = F.coalesce(F.lower(F.col("declared").cast("string")), F.lit(""))
     ready = rows.select(
-        "id", *carried, F.col("text").cast("string").alias("text"),
+        "id", F.col("text").cast("string").alias("text"),
         F.when(known.isin(list(languages)) | (known == ""), known).otherwise("?").alias("declared"),
         F.coalesce(F.lower(F.col("host").cast("string")), F.lit("")).alias("host"))
 
@@ -163,12 +157,10 @@ def identify(rows: DataFrame, model: Model) -> DataFrame:
                  pa.array(best, pa.int32()), pa.array(n, pa.int64())],
                 names=[*rest, "evidence", "best", "n_trigrams"])
 
-    kept_out = [c for c in ready.columns if c not in ("text", "kept")]
-    slim = ready.drop("kept") if carried else ready
-    schema = T.StructType([*[slim.schema[c] for c in kept_out],
+    schema = T.StructType([*[f for f in ready.schema.fields if f.name != "text"],
                            T.StructField("evidence", T.ArrayType(T.DoubleType())),
                            T.StructField("best", T.IntegerType()), T.StructField("n_trigrams", T.LongType())])
-    scored = stored(slim.mapInArrow(score, schema), "language-scores")
+    scored = stored(ready.mapInArrow(score, schema), "language-scores")
 
     # Verdicts by text alone, counted at every level of the address.
     votes = [F.count_if(F.col("best") == i).alias(f"v{i}") for i in range(k)]
@@ -181,9 +173,9 @@ def identify(rows: DataFrame, model: Model) -> DataFrame:
         .withColumn("suffix", F.substring_index("host", ".", -1)), "hosts")
     domains = stored(hosts.groupBy("domain").agg(*summed), "domains")
     suffixes = stored(hosts.groupBy("suffix").agg(*summed), "suffixes")
-    level = lambda df, name: df.select(name, _array(names or [F.lit(0)]).alias(f"{name}_votes"))
+    level = lambda df, name: df.select(name, F.array(*names or [F.lit(0)]).alias(f"{name}_votes"))
     addresses = stored(
-        hosts.select("host", "domain", "suffix", _array(names or [F.lit(0)]).alias("host_votes"))
+        hosts.select("host", "domain", "suffix", F.array(*names or [F.lit(0)]).alias("host_votes"))
         .join(level(domains, "domain"), "domain").join(level(suffixes, "suffix"), "suffix")
         .select("host", "host_votes", "domain_votes", "suffix_votes"), "addresses")
     overall = suffixes.agg(*summed).first() if k else ()  # one number per language

@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from .common import slices, stored
 from .components import components
-from .exact import located
+from .exact import located, without
 
 SEED = 42
 BITS = 64
@@ -243,5 +243,4 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def deduplicate(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one row of each component of near duplicates; columns unchanged."""
     places, found = near_duplicates(docs, **options)
-    dropped = stored(found.where("NOT kept").select("file", "place"), "dropped")
-    return places.join(dropped, ["file", "place"], "left_anti").select("row.*")
+    return without(places, found.where("NOT kept"))
