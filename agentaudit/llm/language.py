@@ -41,6 +41,8 @@ MOST_LANGUAGES = 64
 UND = "und"
 #: Beyond this many trigrams more text adds little: neighbouring trigrams are not independent.
 ENOUGH = 100.0
+#: Share of a text's trigrams that may come from no language, so that a rare one costs little.
+NOISE = 0.1
 #: Pseudo-rows that each level of the address prior takes from the level above.
 STRENGTH = 10.0
 
@@ -114,8 +116,9 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lab
              for r in rows.mapInArrow(count, "label string, counts binary").collect()}
     common = sorted(found, key=lambda k: (-found[k].sum(), k))[:MOST_LANGUAGES]
     languages = tuple(sorted(k for k in common if found[k].sum()))
-    counts = np.array([found[k] for k in languages]).reshape(len(languages), BUCKETS) + 0.1
-    return Model(languages, np.log(counts / counts.sum(axis=1, keepdims=True)) if languages else counts)
+    counts = np.array([found[k] for k in languages], float).reshape(len(languages), BUCKETS)
+    share = counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)
+    return Model(languages, np.log((1 - NOISE) * share + NOISE / BUCKETS))
 
 
 def host_of(url: Column) -> Column:
@@ -165,7 +168,7 @@ def identify(rows: DataFrame, model: Model) -> DataFrame:
     # Verdicts by text alone, counted at every level of the address.
     votes = [F.count_if(F.col("best") == i).alias(f"v{i}") for i in range(k)]
     names = [f"v{i}" for i in range(k)]
-    summed = [F.sum(n).alias(n) for n in names]
+    summed = [F.sum(n).alias(n) for n in ("rows", *names)]
     hosts = stored(
         scored.groupBy("host").agg(F.count(F.lit(1)).alias("rows"), *votes)
         .withColumn("domain", F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1))
@@ -178,11 +181,12 @@ def identify(rows: DataFrame, model: Model) -> DataFrame:
         hosts.select("host", "domain", "suffix", F.array(*names or [F.lit(0)]).alias("host_votes"))
         .join(level(domains, "domain"), "domain").join(level(suffixes, "suffix"), "suffix")
         .select("host", "host_votes", "domain_votes", "suffix_votes"), "addresses")
-    overall = suffixes.agg(*summed).first() if k else ()  # one number per language
-    # P(declared | language), add-one smoothed; (languages + 2) squared numbers.
+    overall = suffixes.agg(*summed).first()[1:]  # one number per language
+    # P(declared | language), add-one smoothed; (languages + 1) squared numbers. A missing
+    # declaration says nothing.
     table = {(r["declared"], r["best"]): r["n"] for r in scored.groupBy("declared", "best").agg(
         F.count(F.lit(1)).alias("n")).collect()}
-    values = [*languages, "", "?"]
+    values = [*languages, "?"]
     declared_log = {d: [float(np.log((table.get((d, i), 0) + 1) / (sum(table.get((v, i), 0) for v in values)
                                                                   + len(values)))) for i in range(k)] for d in values}
 
@@ -204,8 +208,9 @@ def identify(rows: DataFrame, model: Model) -> DataFrame:
     joined = scored.join(addresses, "host")
     joined = joined.select("id", "best", "n_trigrams", "evidence", *[
         (F.col("evidence")[i] + by_declared[i] + F.log(prior(i))).alias(f"s{i}") for i in range(k)],
-        # A text in no language: flat prior over declarations, and rare.
-        (F.col("evidence")[k] + F.lit(float(np.log(1.0 / len(values)) + np.log(0.01)))).alias(f"s{k}"))
+        # A text in no language: any declaration is as likely, and such texts are rare.
+        (F.col("evidence")[k] + F.when(F.col("declared") == "", 0.0).otherwise(float(np.log(1.0 / len(values))))
+         + float(np.log(0.01))).alias(f"s{k}"))
     all_scores = [F.col(f"s{i}") for i in range(k + 1)]
     top = F.greatest(*all_scores) if k else all_scores[0]
     spread = sum((F.exp(s - F.col("top")) for s in all_scores), F.lit(0.0))

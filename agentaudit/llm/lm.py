@@ -41,7 +41,7 @@ HEADS = 256
 ENDINGS = 254
 WIDTH = 32
 NOISE = 64
-BATCH = 4096
+BATCH = 2048
 RATE = 0.15
 
 

@@ -160,3 +160,69 @@ def op10_license_scan(spark, sf_dir):
     found = licenses.scan(table(spark, sf_dir, "documents"), licenses.known_digests(spark))
     return found.select(F.col("id").alias("doc_id"), F.array_join("whole", ",").alias("whole_text"),
                         F.array_join("lines", ",").alias("line_notices"))
+
+
+def _values(rows) -> str:
+    quoted = lambda v: str(v) if isinstance(v, int) else "'" + v.replace("'", "''") + "'"
+    return ", ".join("(" + ", ".join(map(quoted, r)) + ")" for r in rows)
+
+
+# The schedule is built slot by slot: of the released blocks the one due first.
+ORACLES["op8_mixing"] = f"""
+with recursive src as (
+ select doc_id, case when source in ({", ".join(f"'{s}'" for s in SHARES)}) then source else 'other' end as pool,
+        length(coalesce(text, '')) as chars, md5(coalesce(cast(doc_id as varchar), '')) as key,
+        md5(coalesce(text, '')) as text_key
+ from documents),
+numbered as (
+ select *, cast(sum(chars) over (partition by pool order by key, doc_id, chars, text_key rows unbounded preceding)
+               - chars as bigint) // 65536 as block
+ from src),
+shares as (select * from (values {_values([*SHARES.items(), ("other", 1)])}) t(pool, w)
+           where pool in (select pool from src)),
+all_shares as (select list(pool order by pool) as p, list(w order by pool) as w, cast(sum(w) as bigint) as q from shares),
+plan as (
+ select cast(-1 as bigint) as slot, cast(null as struct(d bigint, i bigint, k bigint, r bigint)) as c, list_transform(w, lambda x: cast(0 as bigint)) as ks from all_shares
+ union all
+ select slot + 1, c, list_transform(ks, lambda x, j: x + cast(j = c.i as bigint))
+ from (select slot, ks, list_min(list_filter(
+   list_transform(range(1, len(p) + 1), lambda i: {{'d': ((ks[i] + 1) * q + w[i] - 1) // w[i], 'i': i, 'k': ks[i], 'r': ks[i] * q // w[i]}}),
+   lambda s: s.r <= slot + 1)) as c from plan, all_shares where slot + 1 < q)),
+places as (select p[c.i] as pool, c.k as k, slot as place, c.r as r, c.d as d from plan, all_shares where slot >= 0),
+placed as (
+ select n.*, n.block // w as round, q, place, r, d
+ from numbered n join shares s using (pool) join places x on x.pool = n.pool and x.k = n.block % s.w, all_shares a(p0, w0, q)),
+lasts as (select pool, greatest(sum(chars) - 1, 0) // 65536 as block from src group by pool),
+ends as (select min((l.block // s.w) * q + place) as e from lasts l join shares s using (pool)
+         join places x on x.pool = l.pool and x.k = l.block % s.w, all_shares a(p0, w0, q))
+select doc_id, pool, chars, block, round * q + r as release, round * q + d as deadline,
+       round * q + place as slot, round * q + place <= (select e from ends) as in_mix
+from placed
+"""
+
+
+def _canonical(line: str) -> str:
+    out = f"trim(regexp_replace(lower({line}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
+    for spelling, kept in licenses.SPELLINGS.items():
+        out = f"regexp_replace({out}, '\\b{spelling}\\b', '{kept}', 'g')"
+    return f"case when regexp_matches(lower({line}), '{licenses.COPYRIGHT}') then '' else {out} end"
+
+
+ORACLES["op10_license_scan"] = f"""
+with texts as (
+ select 'doc' as kind, row_number() over () as r, coalesce(text, '') as text, doc_id, null as license from documents
+ union all
+ select 'known', row_number() over (), text, null, license from (values {_values(licenses.KNOWN)}) t(license, text)),
+cut as (select *, regexp_split_to_array(text, '\r\n|\r|\n') as l from texts),
+raw as (select kind, r, i, l[i] as line from (select kind, r, l, unnest(range(1, len(l) + 1)) as i from cut)),
+lines as (select * from (select kind, r, i, {_canonical("line")} as form from raw) where form != ''),
+wholes as (select kind, r, string_agg(form, ' ' order by i) as form from lines group by kind, r),
+known as (select distinct license, form from wholes join texts using (kind, r) where kind = 'known'),
+whole as (select r, string_agg(license, ',' order by license) as names
+          from (select distinct r, license from wholes join known using (form) where kind = 'doc') group by r),
+notes as (select r, string_agg(license, ',' order by license) as names
+          from (select distinct r, license from lines join known using (form) where kind = 'doc') group by r)
+select t.doc_id, coalesce(whole.names, '') as whole_text, coalesce(notes.names, '') as line_notices
+from texts t left join whole using (r) left join notes using (r)
+where t.kind = 'doc'
+"""
