@@ -49,8 +49,13 @@ def valid_span_name(name: Column) -> Column:
 
 
 def hex_id(value: Column, width: int) -> Column:
-    """Lower-case hexadecimal id, padded with zeros to ``width``."""
-    return F.lower(F.lpad(value, width, "0"))
+    """Lower-case hexadecimal id, padded with zeros to ``width``.
+
+    An empty id is none (NULL); one that is too long stays as it is, for the record
+    contract to find.
+    """
+    short = (F.length(value) > 0) & (F.length(value) < width)
+    return F.lower(F.when(short, F.lpad(value, width, "0")).otherwise(nonempty(value)))
 
 
 #: W3C trace context header: version, trace id, span id, flags.

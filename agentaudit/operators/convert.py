@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..schema import RECORD
+from ..sources.tables import violations
 
+# Fixed values.
 #: Attributes that hold prompt or answer text; exported only on request.
 CONTENT_KEYS = ["gen_ai.system_instructions", "gen_ai.input.messages", "gen_ai.output.messages"]
 #: Attributes replaced by their hash on export.
@@ -59,11 +61,13 @@ def _json_field(entry: Column) -> Column:
     return F.concat(_quoted(key), F.lit(":"), shown)
 
 
-def spans_to_records(spans: DataFrame, keep_oversight_only: bool = False) -> DataFrame:
+def spans_to_records(spans: DataFrame, keep_oversight_only: bool = False,
+                     extra: dict[str, Column] | None = None) -> DataFrame:
     """Convert spans to flat audit records.
 
     ``timestamp`` is the start of the span. With ``keep_oversight_only`` a span
     that records human oversight but no check still gets a compliance value.
+    ``extra`` are further columns over the spans.
     """
     checks = _events("guardrail_check")
     calls = _events("tool_call")
@@ -120,7 +124,29 @@ def spans_to_records(spans: DataFrame, keep_oversight_only: bool = False) -> Dat
     }
     return spans.select(*[
         values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in RECORD
-    ])
+    ], *[c.alias(name) for name, c in (extra or {}).items()])
+
+
+#: Attributes that become numbers of a record, and their types there.
+NUMBERS = {
+    "duration_ms": "int", "gen_ai.usage.input_tokens": "int", "gen_ai.usage.output_tokens": "int",
+    "gen_ai.usage.cache_read.input_tokens": "int", "gen_ai.cost_usd": "decimal(10,6)",
+}
+
+
+def checked_records(spans: DataFrame, keep_oversight_only: bool = False) -> DataFrame:
+    """Records with ``violations``, which also names attributes that are not the numbers they should be.
+
+    Such an attribute is NULL in the record; without this check it would get lost.
+    """
+    def wrong(key: str, kind: str) -> Column:
+        value = F.nullif(_attr(key), F.lit(""))
+        return F.when(value.isNotNull() & value.try_cast(kind).isNull(), F.lit(f"{key} is not {kind}"))
+
+    unread = F.array_compact(F.array(*[wrong(k, t) for k, t in NUMBERS.items()]))
+    # The two columns travel beside the record columns through one projection.
+    records = spans_to_records(spans, keep_oversight_only, {"_unread": unread})
+    return records.withColumn("violations", F.concat(violations(), "_unread")).drop("_unread")
 
 
 def redact_attributes(spans: DataFrame, capture_content: bool = False) -> DataFrame:

@@ -45,6 +45,7 @@ def flag_aggregates() -> list[Column]:
     return [
         F.bool_or("is_error").alias("has_error"),
         F.min("start_time").alias("first_start"),
+        F.max("start_time").alias("last_start"),
         F.max("end_time").alias("last_end"),
         F.bool_or("is_failed_check").alias("has_failed_check"),
         F.bool_or("is_risky").alias("has_risk"),

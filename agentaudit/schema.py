@@ -57,6 +57,7 @@ RECORD = T.StructType([
     T.StructField("date", T.DateType()),
 ])
 
+# Fixed values.
 #: Longest text each column may hold.
 MAX_LENGTH = {
     "trace_id": 32, "span_id": 16, "parent_span_id": 16, "agent_id": 128,
@@ -70,24 +71,24 @@ def _group(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
 
+#: Groups to which users add keys of their own; nothing of them may get lost.
+_FREE = T.VariantType()
 _S, _I, _B, _LIST = T.StringType(), T.IntegerType(), T.BooleanType(), T.ArrayType(T.StringType())
 
-#: The documented nested record, one JSON object per event.
+#: The nested record, one JSON object per event. ``error`` holds what the flat record
+#: says of an error; records without it give their error code in ``outcome``.
 NESTED = _group(
     trace_id=_S, span_id=_S, parent_span_id=_S, timestamp=T.TimestampType(), duration_ms=_I,
     agent=_group(id=_S, name=_S, version=_S, config_hash=_S),
     operation=_group(name=_S, type=_S, status=_S),
     model=_group(request_model=_S, response_model=_S, temperature=T.FloatType(), max_tokens=_I),
     tokens=_group(input=_I, output=_I, cache_read=_I, cost_usd=T.DecimalType(10, 6)),
-    reasoning=_group(strategy=_S, confidence=T.DoubleType(), alternatives_considered=_I,
-                     selected_action=_S, rationale=_S),
+    reasoning=_FREE,
     tool_calls=T.ArrayType(_group(
         tool_name=_S, tool_type=_S, call_id=_S, parameters=_STRINGS, response_status=_I,
         latency_ms=_I, retry_count=_I)),
-    inter_agent=_group(delegation_type=_S, target_agent=_S, message_payload_hash=_S, protocol=_S),
-    state=_group(context_window_hash=_S, memory_reads=_LIST, memory_writes=_LIST, state_diff_hash=_S),
-    outcome=_group(task_result=_S, user_feedback=_S, error_code=_S,
-                   eval_scores=T.MapType(T.StringType(), T.DoubleType())),
+    inter_agent=_FREE, state=_FREE, outcome=_FREE,
+    error=_group(type=_S, message=_S),
     compliance=_group(pii_detected=_B, pii_redacted_fields=_LIST, guardrail_checks=_LIST,
                       guardrail_passed=_B, human_in_loop=_B),
 )

@@ -15,6 +15,8 @@ SETTINGS = {
     # trace may hold a large share of all rows.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Spans of one session are merged before they meet their trace's task.
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 

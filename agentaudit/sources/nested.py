@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..schema import NESTED
 from .tables import conform
@@ -65,14 +64,11 @@ def flatten(nested: DataFrame) -> DataFrame:
         _json(F.col("outcome")).alias("outcome"),
         _json(compliance).alias("compliance"),
         F.col("operation.status").alias("status"),
-        F.col("outcome.error_code").alias("error_type"),
+        F.coalesce("error.type", F.try_variant_get("outcome", "$.error_code", "string")).alias("error_type"),
+        F.col("error.message").alias("error_message"),
     ))
 
 
-def _field(name: str) -> T.DataType:
-    return NESTED[name].dataType
-
-
 def nest(records: DataFrame) -> DataFrame:
     """Flat record columns back to the nested form."""
     calls = F.transform(
@@ -102,7 +98,6 @@ def nest(records: DataFrame) -> DataFrame:
         checks["all_passed"].alias("guardrail_passed"),
         checks["human_in_loop"].alias("human_in_loop"),
     ))
-    typed = lambda c: F.from_json(c, _field(c))
     columns = {
         "agent": F.struct(
             F.col("agent_id").alias("id"), F.col("agent_name").alias("name"),
@@ -117,7 +112,9 @@ def nest(records: DataFrame) -> DataFrame:
             F.col("cache_read_tokens").alias("cache_read"), "cost_usd"),
         "tool_calls": calls,
         "compliance": compliance,
-        **{c: typed(c) for c in ("reasoning", "inter_agent", "state", "outcome")},
+        "error": F.when(F.coalesce("error_type", "error_message").isNotNull(), F.struct(
+            F.col("error_type").alias("type"), F.col("error_message").alias("message"))),
+        **{c: F.try_parse_json(F.col(c)) for c in ("reasoning", "inter_agent", "state", "outcome")},
     }
     return records.select(*[
         columns.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in NESTED

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import MAX_LENGTH, RECORD, REQUIRED
+from ..session import cut
 
 #: Largest number of rows in one small-batch output file.
 BATCH_ROWS = 1024
@@ -70,30 +72,51 @@ def _clustered(records: DataFrame) -> DataFrame:
     return conform(records).repartitionByRange(*order).sortWithinPartitions(*order)
 
 
-def append(records: DataFrame, path: str, max_rows_per_file: int | None = None) -> None:
-    """Append records to the table at ``path``; an empty input adds no rows.
+def append(records: DataFrame, target: str, max_rows_per_file: int | None = None) -> None:
+    """Append records to the table ``target``, a path or the name of a created table.
+
+    An empty input adds no rows. New days of a named table are registered with it.
 
     The rows are range-partitioned by day, agent and time: a hot day or agent is
     spread over many tasks, and each file covers a narrow range of agents and
     times, which its Parquet statistics then let later scans skip.
     """
-    writer = _clustered(records).write.mode("append").partitionBy("date")
+    writer = _clustered(records).write.mode("append")
     if max_rows_per_file:
         writer = writer.option("maxRecordsPerFile", max_rows_per_file)
-    writer.parquet(path)
+    if "/" in target:
+        writer.partitionBy("date").parquet(target)
+    else:
+        writer.insertInto(target)
 
 
 def settle_day(landed: DataFrame, path: str, day) -> None:
     """Write one day of landed stream output to the table, in large clustered files.
 
-    Streams leave many small files. This replaces the day in the table by all
-    that has landed for it, so it can run again after late spans came in.
+    Streams leave many small files. This replaces the day in the table by all that has
+    landed for it and by what else the table holds: records that came another way, such
+    as appended ones, stay. It can run again after late spans came in.
     """
-    rows = landed.where(F.col("date") == F.lit(day).cast("date"))
+    today = F.col("date") == F.lit(day).cast("date")
+    rows = conform(landed.where(today))
+    spark = landed.sparkSession
+    if _exists(spark, path):
+        # Read before the day is replaced, and cut off from the files that go.
+        others = read(spark, path).where(today).join(
+            rows.select("trace_id", "span_id"), ["trace_id", "span_id"], "left_anti")
+        rows = rows.unionByName(cut(others.select(*rows.columns)))
     _clustered(rows).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.schema(RECORD).parquet(path).limit(0).collect()
+        return True
+    except AnalysisException:
+        return False
+
+
 def read(spark: SparkSession, path: str) -> DataFrame:
     """Read the record table with its fixed schema (nothing is inferred)."""
     return spark.read.schema(RECORD).parquet(path)
@@ -119,8 +142,13 @@ def in_range(records: DataFrame, start, end, end_inclusive_day: bool = False) ->
 
 
 def violations() -> F.Column:
-    """Names of the record rules a row breaks, as an array (empty: valid)."""
-    rules = [F.when(F.col(c).isNull(), F.lit(f"{c} is null")) for c in REQUIRED]
+    """Names of the record rules a row breaks, as an array (empty: valid).
+
+    Meant for rows before ``conform``: a column that is already cut to its type can no
+    longer be too long or too large. An empty required text counts as missing.
+    """
+    missing = lambda c: F.col(c).isNull() | (F.trim(F.col(c).cast("string")) == "")
+    rules = [F.when(missing(c), F.lit(f"{c} is null")) for c in REQUIRED]
     rules += [
         F.when(F.length(c) > n, F.lit(f"{c} longer than {n}")) for c, n in MAX_LENGTH.items()
     ]

@@ -13,15 +13,16 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.listener import StreamingQueryListener
 from pyspark.sql.streaming.query import StreamingQuery
 
 from ..functions.text import hex_id
-from ..operators.convert import redact_attributes, spans_to_records, truncate_long_text
+from ..operators.convert import checked_records, redact_attributes, truncate_long_text
 from ..operators.cost import tokens
 from ..operators.lookup import flag
 from ..operators.sampling import Policy, flag_aggregates, span_flags, with_decision
 from ..operators.skew import join_unique
-from ..sources.tables import BATCH_ROWS, BATCH_SECONDS, violations
+from ..sources.tables import BATCH_ROWS, BATCH_SECONDS
 
 #: Quiet time after which a trace is decided.
 DECISION_WAIT = "10 seconds"
@@ -40,8 +41,8 @@ def stage(spans: DataFrame, path: str, checkpoint: str, once: bool = False,
     """Append spans to the staged table, redacted for export; exactly once."""
     out = truncate_long_text(redact_attributes(spans, capture_content))
     writer = (
-        out.withColumn("date", F.to_date("start_time")).writeStream.format("parquet")
-        .partitionBy("date")
+        out.withColumns({"date": F.to_date("start_time"), "hour": F.hour("start_time")})
+        .writeStream.format("parquet").partitionBy("date", "hour")
         .option("path", path).option("checkpointLocation", checkpoint)
         .option("maxRecordsPerFile", BATCH_ROWS * 1024)
         .outputMode("append")
@@ -57,24 +58,31 @@ def land(records: DataFrame, path: str, batch_id: int) -> None:
     )
 
 
+def split(spans: DataFrame, path: str, quarantine_path: str, batch_id: int) -> None:
+    """Land the valid records of one batch of spans, and the others in quarantine."""
+    checked = checked_records(spans).persist()
+    land(checked.where(F.size("violations") == 0).drop("violations"), path, batch_id)
+    checked.where(F.size("violations") > 0).write.mode("overwrite").parquet(
+        f"{quarantine_path}/batch={batch_id}")
+    checked.unpersist()
+
+
 def ingest(spans: DataFrame, path: str, quarantine_path: str, checkpoint: str, once: bool = False,
-           exporters: Sequence[Callable[[DataFrame, int], None]] = ()) -> StreamingQuery:
+           exporters: Sequence[Callable[[DataFrame, int], None]] = (),
+           capture_content: bool = False) -> StreamingQuery:
     """Convert spans to records; valid ones to the table, others to quarantine.
 
     A repeated batch replaces what it wrote before, so a restart neither loses
-    nor doubles rows. ``exporters`` get each batch as well. ``tables.settle_day``
+    nor doubles rows. Prompts, answers and user ids are redacted before anything else
+    happens; ``exporters`` get each redacted batch as well. ``tables.settle_day``
     moves finished days from here to the clustered record table.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        checked = spans_to_records(batch).withColumn("violations", violations()).persist()
-        valid, bad = F.size("violations") == 0, F.size("violations") > 0
-        land(checked.where(valid).drop("violations"), path, batch_id)
-        checked.where(bad).write.mode("overwrite").parquet(f"{quarantine_path}/batch={batch_id}")
-        checked.unpersist()
+        split(batch, path, quarantine_path, batch_id)
         for export in exporters:
             export(batch, batch_id)
 
-    writer = spans.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    writer = truncate_long_text(redact_attributes(spans, capture_content)).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return _start(writer, once)
 
 
@@ -93,6 +101,7 @@ def combine(decisions: DataFrame, policy: Policy = Policy()) -> DataFrame:
     whole = decisions.groupBy("trace_id").agg(
         F.bool_or("has_error").alias("has_error"),
         F.min("first_start").alias("first_start"),
+        F.max("last_start").alias("last_start"),
         F.max("last_end").alias("last_end"),
         F.bool_or("has_failed_check").alias("has_failed_check"),
         F.bool_or("has_risk").alias("has_risk"),
@@ -103,11 +112,15 @@ def combine(decisions: DataFrame, policy: Policy = Policy()) -> DataFrame:
 
 def sample(staged_stream: DataFrame, staged_path: str, path: str, decisions_path: str,
            checkpoint: str, policy: Policy = Policy(), wait: str = DECISION_WAIT,
-           delay: str = DELAY, once: bool = False) -> StreamingQuery:
+           delay: str = DELAY, once: bool = False, quarantine_path: str | None = None) -> StreamingQuery:
     """Write the records of kept traces as soon as each trace is decided.
 
     ``staged_stream`` reads the table at ``staged_path``, so whatever is decided
-    has been staged before. Each batch reads only the days its sessions cover.
+    has been staged before. Each batch reads only the hours in which its kept sessions
+    have spans. A session is matched by the start times of its spans: the sessions of a
+    trace are disjoint there, so that no span is written twice, however long its root
+    lasts. Records that break the contract go to ``quarantine_path`` (beside ``path``
+    if not given).
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -115,16 +128,20 @@ def sample(staged_stream: DataFrame, staged_path: str, path: str, decisions_path
         batch.write.mode("overwrite").parquet(target)
         decided = spark.read.schema(batch.schema).parquet(target)
         kept = decided.where("keep")
-        span = kept.agg(F.min("first_start").cast("date"), F.max("last_end").cast("date")).first()
-        if span[0] is None:
+        whole_hour = lambda c: F.date_trunc("hour", c)
+        hours = kept.select(F.explode(F.sequence(
+            whole_hour("first_start"), whole_hour("last_start"), F.expr("interval 1 hour"))).alias("h")
+        ).distinct().select(F.to_date("h").alias("date"), F.hour("h").alias("hour"))
+        # One row per hour of the batch's sessions; their days and hours prune the scan.
+        read = [(r["date"], r["hour"]) for r in hours.collect()]
+        if not read:
             return
-        staged = spark.read.parquet(staged_path).where(F.col("date").between(span[0], span[1]))
-        # A trace may have several sessions; its kept ones make one row here.
-        sessions = kept.groupBy("trace_id").agg(
-            F.collect_list(F.struct("first_start", "last_end")).alias("sessions"))
-        inside = F.exists("sessions", lambda x: F.col("start_time").between(x["first_start"], x["last_end"]))
-        mine = join_unique(staged, sessions, ["trace_id"], "inner").where(inside).drop("sessions")
-        land(spans_to_records(mine), path, batch_id)
+        staged = spark.read.parquet(staged_path).where(
+            F.col("date").isin(sorted({d for d, _ in read})) & F.col("hour").isin(sorted({h for _, h in read})))
+        sessions = kept.select("trace_id", "first_start", "last_start")
+        inside = F.col("start_time").between(F.col("first_start"), F.col("last_start"))
+        mine = staged.join(sessions, "trace_id").where(inside).drop("first_start", "last_start", "date", "hour")
+        split(mine, path, quarantine_path or f"{path.rstrip('/')}-quarantine", batch_id)
 
     writer = (
         session_decisions(staged_stream, policy, wait, delay).writeStream
@@ -149,12 +166,29 @@ def late_spans(staged: DataFrame, decisions: DataFrame, records: DataFrame,
     return mine.join(have, same, "left_anti")
 
 
-def late_count(query: StreamingQuery) -> int:
-    """Rows the query left out because they came after the watermark."""
-    return sum(
-        op["numRowsDroppedByWatermark"]
-        for progress in query.recentProgress for op in progress["stateOperators"]
-    )
+class LateRows(StreamingQueryListener):
+    """Counts the rows queries leave out because they came after the watermark.
+
+    A query itself remembers its last progresses only; register this with
+    ``spark.streams.addListener`` before the query starts. ``count`` is by query id.
+    """
+
+    def __init__(self):
+        self.count: dict[str, int] = {}
+
+    def onQueryProgress(self, event) -> None:
+        late = sum(op.numRowsDroppedByWatermark for op in event.progress.stateOperators)
+        key = str(event.progress.id)
+        self.count[key] = self.count.get(key, 0) + late
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
 
 
 def metric_windows(records: DataFrame, width: str = "30 seconds", delay: str = DELAY) -> DataFrame:
