@@ -47,13 +47,13 @@ def trace_totals(records: DataFrame) -> DataFrame:
 
 
 def analyze(records: DataFrame) -> DataFrame:
-    """Totals of every trace together with its critical path."""
+    """Totals of every trace with length and duration of its critical path.
+
+    The steps of the path are rows of ``tree.critical_path_steps``.
+    """
     return trace_totals(records).join(critical_paths(records), "trace_id", "left").withColumns({
         "path_length": F.coalesce("path_length", F.lit(0)),
         "path_duration_ms": F.coalesce("path_duration_ms", F.lit(0)),
-        "critical_path": F.when(
-            F.col("path_length").isNull(), F.array().cast("array<string>")
-        ).otherwise(F.col("critical_path")),
     })
 
 

@@ -2,8 +2,10 @@
 
 A plain ``row_number`` window puts every group into one task, and a join does the
 same with the rows of one key. That is right for ordinary traces and wrong for a
-trace with billions of spans. The helpers here look for such keys first with a
-fixed-size sketch, treat ordinary keys the plain way, and spread the hot ones.
+trace with billions of spans. ``hot_keys`` finds such keys with a fixed-size sketch,
+once per table; the helpers treat ordinary keys the plain way and spread the hot ones
+they are told of. Without a list nothing runs ahead of the query: joins then rely on
+the adaptive planner, which splits what was shuffled for them.
 """
 
 from __future__ import annotations
@@ -26,16 +28,14 @@ ROWS_MASK = (1 << 33) - 1
 REPORTED = 4_096
 
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int | None = None, rows: int | None = None) -> list:
+def hot_keys(df: DataFrame, key: str, hot_rows: int | None = None) -> list:
     """Values of ``key`` with more than ``hot_rows`` rows (``HOT_ROWS`` if not given).
 
     One pass over one column with a frequent-items sketch: no shuffle of keys,
-    and at most ``REPORTED`` values come back. A table that is smaller than one
-    hot group needs no sketch; ``rows`` is its size, where known.
+    and at most ``REPORTED`` values come back. Keep the list beside the table and
+    pass it to every operator that reads it.
     """
     hot_rows = HOT_ROWS if hot_rows is None else hot_rows
-    if (df.count() if rows is None else rows) <= hot_rows:
-        return []
     top = df.where(F.col(key).isNotNull()).select(
         F.col(key).alias("_key")
     ).agg(F.expr(f"approx_top_k(_key, {REPORTED}, {TRACKED})").alias("_top"))
@@ -49,25 +49,16 @@ def join_unique(
     keys: Sequence[str],
     how: str,
     hot: list | None = None,
-    rows: int | None = None,
 ) -> DataFrame:
     """Join to a right side that has one row per key, whatever the keys on the left.
 
     ``how`` is ``left``, ``inner``, ``left_semi`` or ``left_anti``. Left rows of a
     hot key meet the one right row of that key by broadcast (at most ``REPORTED``
     rows, since the right side has each key once); all other rows join as usual.
-    The adaptive planner cannot do this here: it splits a skewed join only where
-    both sides were shuffled for it, and an aggregated or materialised right side
-    was not. ``hot`` lists hot keys (see ``hot_keys``; several key columns are
-    joined by a NUL); it is looked up when not given.
+    ``hot`` lists hot keys (see ``hot_keys``; several key columns are joined by a NUL).
     """
     keys = list(keys)
     key = F.concat_ws("\0", *keys) if len(keys) > 1 else F.col(keys[0]).cast("string")
-    if hot is None:
-        whole = F.lit(True)
-        for c in keys:
-            whole = whole & F.col(c).isNotNull()
-        hot = hot_keys(left.where(whole).select(key.alias("_key")), "_key", rows=rows)
     if not hot:
         return left.join(right, keys, how)
     is_hot = F.coalesce(key.isin(hot), F.lit(False))
@@ -86,11 +77,10 @@ def number_rows(
 ) -> DataFrame:
     """Add ``out``: 1, 2, 3 … inside each group in the given order.
 
-    ``hot`` lists hot values of ``group[0]`` (see ``hot_keys``); it is looked up
-    when not given. ``order`` should be a full sort key.
+    ``hot`` lists hot values of ``group[0]`` (see ``hot_keys``). ``order`` should be a
+    full sort key.
     """
     group = list(group)
-    hot = hot_keys(df, group[0]) if hot is None else hot
     by_group = Window.partitionBy(*group).orderBy(*order)
     if not hot:
         return df.withColumn(out, F.row_number().over(by_group).cast("long"))

@@ -15,6 +15,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -26,21 +27,20 @@ from .skew import join_unique, number_rows
 
 #: Traces up to this many spans are handled as one array.
 SMALL_TRACE = 512
-#: Paths up to this many steps are also given as an array per trace.
-ARRAY_STEPS = 10_000
 
 
 def by_size(records: DataFrame, small: int = SMALL_TRACE) -> tuple[DataFrame, DataFrame | None]:
     """Split records into those of small traces and those of large ones (if any).
 
     The sizes are exact counts, combined on the map side. They also tell which
-    traces are too large for one task; there are at most (rows / HOT_ROWS) such.
+    traces are too large for one task; the ``REPORTED`` largest of them are spread.
     """
     sizes = records.groupBy("trace_id").agg(F.count(F.lit(1)).alias("n"))
     large = cut(sizes.where(F.col("n") > small))
     if large.isEmpty():
         return records, None
-    hot = [r.trace_id for r in large.where(F.col("n") > skew.HOT_ROWS).select("trace_id").collect()]
+    hottest = large.where(F.col("n") > skew.HOT_ROWS).orderBy(F.desc("n"), "trace_id").limit(skew.REPORTED)
+    hot = [r.trace_id for r in hottest.select("trace_id").collect()]
     ids = large.select("trace_id")
     return tuple(
         join_unique(records, ids, ["trace_id"], how, hot) for how in ("left_anti", "left_semi")
@@ -53,19 +53,15 @@ def span_nodes(records: DataFrame) -> DataFrame:
     Of several records with one span id the longest stands for the span.
     """
     duration = F.coalesce("duration_ms", F.lit(0)).cast("long")
-    rows = records.select(
-        "trace_id", "span_id",
-        F.struct((-duration).alias("rank"), F.col("timestamp")).alias("key"),
-        F.struct(
-            F.nullif("parent_span_id", F.lit("")).alias("parent"),
-            F.col("timestamp"),
-            agent_label().alias("agent_name"),
-            duration.alias("duration_ms"),
-        ).alias("node"),
+    # Ties go by the whole row, as in the arrays of small traces.
+    node = F.struct(
+        (-duration).alias("rank"), F.col("timestamp"),
+        F.nullif("parent_span_id", F.lit("")).alias("parent"),
+        agent_label().alias("agent_name"), duration.alias("duration_ms"),
     )
-    return rows.groupBy("trace_id", "span_id").agg(
-        F.min_by("node", "key").alias("node")
-    ).select("trace_id", "span_id", "node.*")
+    rows = records.select("trace_id", "span_id", node.alias("node"))
+    return rows.groupBy("trace_id", "span_id").agg(F.min("node").alias("node")).select(
+        "trace_id", "span_id", "node.parent", "node.timestamp", "node.agent_name", "node.duration_ms")
 
 
 def _gather(records: DataFrame) -> DataFrame:
@@ -181,9 +177,10 @@ def _small_tree(records: DataFrame) -> DataFrame:
 def forest_json(records: DataFrame, small: int = SMALL_TRACE) -> DataFrame:
     """The span forest of every trace as one nested JSON text.
 
-    Children stand in time order under ``children``. A nested value has to fit
-    into one row, so only traces of up to ``small`` spans get one; larger traces
-    have NULL here and stay whole as rows of ``span_tree``.
+    Children stand in time order under ``children``. Such a value has to fit into one
+    row; so do the spans of its trace, which are then put together by one grouped
+    function where they are more than ``small``. ``span_tree`` has the same as rows, for
+    traces too large for that.
     """
     def build(nodes: Column, up: Column) -> Column:
         start = F.transform(nodes, lambda x, i: F.struct(
@@ -216,7 +213,34 @@ def forest_json(records: DataFrame, small: int = SMALL_TRACE) -> DataFrame:
     out = _gather(ordinary).select("trace_id", _with_nodes(build).alias("forest"))
     if large is None:
         return out
-    return out.unionByName(large.select("trace_id").distinct().withColumn("forest", F.lit(None).cast("string")))
+    return out.unionByName(_large_forests(large))
+
+
+def _large_forests(records: DataFrame) -> DataFrame:
+    text = F.to_json(F.struct("span_id", "agent_name", "duration_ms"))
+    nodes = span_nodes(records).select("trace_id", "span_id", "parent", "timestamp", text.alias("text"))
+
+    def assemble(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["timestamp", "span_id"])
+        texts = dict(zip(rows["span_id"], rows["text"]))
+        below: dict = {}
+        for span, parent in zip(rows["span_id"], rows["parent"]):
+            below.setdefault(parent if parent in texts else None, []).append(span)
+        # Open nodes with what is left of their children; no recursion, however deep.
+        out, open_nodes = ["["], [iter(below.get(None, []))]
+        while open_nodes:
+            span = next(open_nodes[-1], None)
+            if span is None:
+                open_nodes.pop()
+                out.append("]}" if open_nodes else "]")
+                continue
+            if not out[-1].endswith("["):
+                out.append(",")
+            out.append(texts[span][:-1] + ',"children":[')
+            open_nodes.append(iter(below.get(span, [])))
+        return pd.DataFrame({"trace_id": rows["trace_id"].iloc[:1], "forest": ["".join(out)]})
+
+    return nodes.groupBy("trace_id").applyInPandas(assemble, "trace_id string, forest string")
 
 
 def climb(nodes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
@@ -250,7 +274,7 @@ def climb(nodes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
             F.struct("ptr", "total", "depth", "top", "rooted").alias("up"),
         )
         pending = Observation()
-        moved = cut(join_unique(moving, above, ["trace_id", "ptr"], "left", rows=left).select(
+        moved = cut(join_unique(moving, above, ["trace_id", "ptr"], "left").select(
             "trace_id", "span_id", "parent",
             F.col("up.ptr").alias("ptr"),
             (F.col("total") + F.coalesce("up.total", F.lit(0))).alias("total"),
@@ -333,22 +357,21 @@ def critical_path_steps(records: DataFrame, small: int = SMALL_TRACE) -> DataFra
     return steps if large is None else steps.unionByName(_large_path_steps(large))
 
 
-def critical_paths(records: DataFrame, small: int = SMALL_TRACE,
-                   array_steps: int = ARRAY_STEPS) -> DataFrame:
-    """One row per trace that has a path: length, duration and agents along it.
+def critical_paths(records: DataFrame, small: int = SMALL_TRACE) -> DataFrame:
+    """One row per trace that has a path: its length and duration.
 
-    The array is filled for paths up to ``array_steps`` steps; longer ones stay
-    whole as rows of ``critical_path_steps``.
+    The path itself is ``critical_path_steps``, as rows whatever its length.
     """
     ordinary, large = by_size(records, small)
     total = F.aggregate("steps", F.lit(0).cast("long"), lambda s, n: s + n["duration_ms"])
     out = _small_paths(ordinary).where(F.size("steps") > 0).select(
         "trace_id", F.size("steps").cast("long").alias("path_length"),
-        total.alias("path_duration_ms"), F.col("steps.agent_name").alias("critical_path"),
+        total.alias("path_duration_ms"),
     )
     if large is None:
         return out
-    return out.unionByName(_paths_from_steps(cut(_large_path_steps(large)), array_steps))
+    return out.unionByName(_large_path_steps(large).groupBy("trace_id").agg(
+        F.count(F.lit(1)).alias("path_length"), F.sum("duration_ms").alias("path_duration_ms")))
 
 
 def _large_path_steps(records: DataFrame) -> DataFrame:
@@ -393,18 +416,3 @@ def _first_branches(tight: DataFrame, ends_above: DataFrame) -> DataFrame:
     reached, _ = climb(first.withColumn("weight", F.lit(0).cast("long")))
     alive = reached.where("rooted").select("trace_id", "span_id", "depth")
     return first.join(alive, ["trace_id", "span_id"])
-
-
-def _paths_from_steps(path_steps: DataFrame, array_steps: int) -> DataFrame:
-    """One row per trace from path steps; arrays only where they are short."""
-    summary = path_steps.groupBy("trace_id").agg(
-        F.count(F.lit(1)).alias("path_length"),
-        F.sum("duration_ms").alias("path_duration_ms"),
-    )
-    fits = summary.where(F.col("path_length") <= array_steps).select("trace_id")
-    longest = path_steps.agg(F.max("position")).first()[0] or 0
-    rows = path_steps if longest < array_steps else join_unique(path_steps, fits, ["trace_id"], "left_semi")
-    arrays = rows.groupBy("trace_id").agg(
-        F.array_sort(F.collect_list(F.struct("position", "agent_name"))).alias("p")
-    ).select("trace_id", F.col("p.agent_name").alias("critical_path"))
-    return summary.join(arrays, "trace_id", "left")

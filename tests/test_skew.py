@@ -58,10 +58,9 @@ def test_join_with_hot_keys(spark):
             assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
 
 
-def test_hot_side_is_looked_up(spark, monkeypatch):
-    monkeypatch.setattr(skew, "HOT_ROWS", 500)
+def test_hot_keys_are_found_once_and_passed_on(spark):
     left = spark.range(3_000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
     right = spark.createDataFrame([("hot", 1)], "k string, v int")
-    joined = skew.join_unique(left, right, ["k"], "left")
+    joined = skew.join_unique(left, right, ["k"], "left", skew.hot_keys(left, "k", 500))
     assert "Union" in joined._jdf.queryExecution().optimizedPlan().toString()
     assert joined.where("v = 1").count() == 1_000 and joined.count() == 3_000
