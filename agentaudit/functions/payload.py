@@ -1,7 +1,7 @@
 """Free-form JSON payloads, whose shape differs from row to row.
 
-Only these need Python: one Arrow-batched function to redact and one table
-function that lists the strings of a payload with their paths.
+Only these need Python: one Arrow-batched function to redact, and one that lists the
+strings of a payload with their paths.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .pii import Redactor
 
@@ -66,20 +67,28 @@ def _leaves(value, path: str) -> Iterator[tuple[str, str]]:
             yield from _leaves(inner, f"{path}[{i}]")
 
 
-@F.udtf(returnType="path string, value string")
-class JsonLeaves:
-    """One row per string of a JSON payload: path such as ``a.b[0].c`` and value."""
+LEAVES = T.ArrayType(T.StructType([
+    T.StructField("path", T.StringType()), T.StructField("value", T.StringType())]))
 
-    def eval(self, payload: str):
+
+@F.pandas_udf(LEAVES)
+def json_leaves(payloads: pd.Series) -> pd.Series:
+    """The strings of JSON payloads with their paths, such as ``a.b[0].c``.
+
+    Text that is not JSON is one string with an empty path; NULL has none.
+    """
+    def leaves(payload: str | None) -> list[dict]:
         if payload is None:
-            return
+            return []
         try:
             value = json.loads(payload)
         except ValueError:
             value = payload
-        yield from _leaves(value, "")
+        return [{"path": p, "value": v} for p, v in _leaves(value, "")]
+
+    return payloads.map(leaves)
 
 
 def register(spark: SparkSession) -> None:
-    """Make ``json_leaves(payload)`` available to SQL."""
-    spark.udtf.register("json_leaves", JsonLeaves)
+    """Make ``json_leaves(payload)`` available to SQL; ``inline`` turns its result into rows."""
+    spark.udf.register("json_leaves", json_leaves)

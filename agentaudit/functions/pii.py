@@ -61,8 +61,8 @@ def _remove(match: Column, kind: str) -> Column:
     return F.lit(f"[{kind}:REDACTED]")
 
 
-#: How a match is replaced: name -> (match, type) -> replacement. Users may add
-#: their own.
+# The forms of the replacements.
+#: How a match is replaced: name -> (match, type) -> replacement. ``add_strategy`` adds more.
 STRATEGIES: dict[str, Callable[[Column, str], Column]] = {
     "mask": _mask,
     "hash": _hash,
@@ -70,6 +70,20 @@ STRATEGIES: dict[str, Callable[[Column, str], Column]] = {
 }
 
 
+def add_strategy(name: str, column: Callable[[Column, str], Column],
+                 plain: Callable[[str, str], str] | None = None) -> None:
+    """A replacement of one's own, as an expression and as a plain function.
+
+    The plain form serves free-form payloads and patterns that can match nothing; using
+    the strategy there without it is an error.
+    """
+    STRATEGIES[name] = column
+    if plain is None:
+        _PYTHON.pop(name, None)
+    else:
+        _PYTHON[name] = plain
+
+
 @dataclass(frozen=True)
 class Redactor:
     """Which patterns to look for and how to replace what they find.
@@ -206,6 +220,8 @@ class Redactor:
     # -- patterns that can match nothing, and free-form payloads ---------------
 
     def _python(self) -> tuple[dict[str, re.Pattern], Callable[[str, str], str]]:
+        if self.strategy in STRATEGIES and self.strategy not in _PYTHON:
+            raise ValueError(f"strategy {self.strategy!r} has no plain form; see add_strategy")
         return {k: re.compile(p) for k, p in self.active.items()}, _PYTHON.get(self.strategy, _PYTHON["hash"])
 
     def redactor(self) -> Callable[[str], str]:
@@ -232,7 +248,7 @@ class Redactor:
         return redact_text
 
     def _detect_udf(self):
-        patterns, _ = self._python()
+        patterns = {k: re.compile(p) for k, p in self.active.items()}
         allow = self.allowlist
 
         def run(text: str | None) -> list[dict]:

@@ -43,10 +43,11 @@ def cost_hourly(records: DataFrame) -> DataFrame:
 
 def cost_since(records: DataFrame, now, hours: int = 24) -> DataFrame:
     """Cost and latency per agent over the last hours before ``now``."""
-    since = F.lit(now).cast("timestamp") - F.make_dt_interval(hours=F.lit(hours))
-    recent = records.where(F.col("timestamp") > since)
+    until = F.lit(now).cast("timestamp")
+    since = until - F.make_dt_interval(hours=F.lit(hours))
+    recent = records.where((F.col("timestamp") > since) & (F.col("timestamp") <= until))
     if "date" in records.columns:
-        recent = recent.where(F.col("date") >= since.cast("date"))
+        recent = recent.where(F.col("date").between(since.cast("date"), until.cast("date")))
     return (
         recent.groupBy("agent_name").agg(*_per_agent())
         .orderBy(F.desc_nulls_first("total_cost"), "agent_name")
@@ -66,26 +67,39 @@ def version_compare(records: DataFrame) -> DataFrame:
 def cost_spikes(records: DataFrame, hours: int = 24, sigmas: float = 2.0) -> DataFrame:
     """Hourly cost per agent against the hours before; flags unusual hours.
 
-    The window runs over hourly sums, so its input has one row per agent and hour.
+    Hours without calls between an agent's first and last one count as hours without
+    cost. The windows run over hourly sums, so their input has one row per agent and hour.
     """
     hourly = records.groupBy(
         "agent_name", F.date_trunc("hour", "timestamp").alias("hour")
     ).agg(F.sum("cost_usd").alias("cost"))
-    return flag_spikes(hourly, ["agent_name"], "hour", F.col("cost").cast("double"), hours, sigmas)
+    one = F.expr("interval 1 hour")
+    following = F.lead("hour").over(Window.partitionBy("agent_name").orderBy("hour"))
+    # Every hour is followed by the quiet ones up to the next.
+    until = hourly.withColumn("called", F.col("hour")).withColumn("until", F.coalesce(following - one, "hour"))
+    every = until.withColumn("hour", F.explode(F.sequence("called", "until", one))).drop("until")
+    busy = F.col("hour") == F.col("called")
+    cost = F.when(busy, F.col("cost").cast("double")).otherwise(0.0)
+    before = Window.partitionBy("agent_name").orderBy("hour").rowsBetween(-hours, -1)
+    return flag_spikes(every, cost, before, sigmas).where(busy).drop("called")
 
 
 def error_spikes(records: DataFrame, hours: int = 24, sigmas: float = 2.0) -> DataFrame:
-    """Hourly error rate per agent against the hours before; flags unusual hours."""
+    """Hourly error rate per agent against the hours before; flags unusual hours.
+
+    An hour without calls has no rate; the hours before are those on the clock.
+    """
     failed = (F.col("status") == "error").cast("int")
     hourly = records.groupBy(
         "agent_name", F.date_trunc("hour", "timestamp").alias("hour")
     ).agg(F.count(F.lit(1)).alias("calls"), F.avg(failed).alias("error_rate"))
-    return flag_spikes(hourly, ["agent_name"], "hour", F.col("error_rate"), hours, sigmas)
+    before = (Window.partitionBy("agent_name").orderBy(F.col("hour").cast("long"))
+              .rangeBetween(-hours * 3600, -3600))
+    return flag_spikes(hourly, F.col("error_rate"), before, sigmas)
 
 
-def flag_spikes(df: DataFrame, group, order, value, rows: int, sigmas: float) -> DataFrame:
-    """Add mean and spread of the ``rows`` rows before, and whether a row is above."""
-    before = Window.partitionBy(*group).orderBy(order).rowsBetween(-rows, -1)
+def flag_spikes(df: DataFrame, value, before, sigmas: float) -> DataFrame:
+    """Add mean and spread over the window ``before``, and whether a row is above."""
     return df.withColumns({
         "baseline": F.avg(value).over(before),
         "spread": F.stddev_samp(value).over(before),

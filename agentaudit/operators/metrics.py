@@ -17,14 +17,18 @@ def _windows(df: DataFrame, width: str, keys: list, aggregates: list[Column]) ->
     return out.select(F.col("w.start").alias("window_start"), *[c for c in out.columns if c != "w"])
 
 
-def operation_duration(records: DataFrame, width: str = "30 seconds") -> DataFrame:
-    """Duration in seconds per window, operation and model."""
+def operation_duration(records: DataFrame, width: str = "30 seconds", exact: bool = False) -> DataFrame:
+    """Duration in seconds per window, operation and model.
+
+    The 95th percentile comes from a sketch of fixed size unless ``exact``.
+    """
     seconds = F.col("duration_ms") / 1000
     return _windows(records, width, ["operation_name", "model_name"], [
         F.count("duration_ms").alias("calls"),
         F.avg(seconds).alias("avg_s"),
         F.max(seconds).alias("max_s"),
-        F.percentile_approx(seconds, F.lit(0.95), F.lit(1000)).alias("p95_s"),
+        (F.percentile(seconds, F.lit(0.95)) if exact
+         else F.percentile_approx(seconds, F.lit(0.95), F.lit(1000))).alias("p95_s"),
     ])
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.payload import JsonLeaves
+from ..functions.payload import json_leaves
 from ..functions.pii import Redactor
 from ..functions.text import LIMITS, truncate
 
@@ -40,7 +40,8 @@ def payload_leaves(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -
         F.create_map(*[x for c in columns for x in (F.lit(c), F.col(c))]),
         lambda _, v: v.isNotNull(),
     )).alias("field", "payload"))
-    return stacked.lateralJoin(JsonLeaves(F.col("payload").outer())).drop("payload")
+    return stacked.select(*[c for c in stacked.columns if c != "payload"],
+                          F.inline(json_leaves(F.col("payload"))))
 
 
 def payload_detections(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
