@@ -77,7 +77,8 @@ FIRST_TOOL = "json_extract_string(tool_calls, '$[0].\"gen_ai.tool.name\"')"
 
 FLAGS = """flags as (
  select trace_id, bool_or(status = 'error') as has_error, bool_or(coalesce(not all_passed, false)) as has_failed_check,
-        bool_or(risk_level in ('high', 'critical')) as has_risk, count(*) as spans,
+        bool_or(risk_level in ('high', 'critical')) as has_risk, count(*) as spans, min(timestamp) as first_start,
+        max(timestamp) as last_start, max(timestamp + to_milliseconds(duration_ms)) as last_end,
         epoch_us(max(timestamp + to_milliseconds(duration_ms))) - epoch_us(min(timestamp)) > 5000000 as is_slow,
         cast('0x' || left(sha256(trace_id), 8) as bigint) % 10000 < 1000 as is_lucky
  from records group by 1),
@@ -91,14 +92,24 @@ def _per_agent(group: str, where: str = "true", tokens: str | None = TOKENS) ->
  {_d('avg(duration_ms)')} as avg_latency_ms{extra} from records where {where} group by {group}"""
 
 
-def _spikes(value: str, cols: str, agg: str) -> str:
+def _spikes(value: str, cols: str, agg: str, quiet: bool) -> str:
+    """Hours before on the clock; ``quiet`` hours count as zero, or else not at all."""
+    frame = "rows between 24 preceding and 1 preceding" if quiet else (
+        "range between interval 24 hours preceding and interval 1 hour preceding")
+    series = f"""every as (
+ select agent_name, unnest(generate_series(called, coalesce(following - interval 1 hour, called), interval 1 hour)) as hour,
+  called, {value} from (select *, hour as called, lead(hour) over (partition by agent_name order by hour) as following
+  from hourly)),
+series as (select * replace (if(hour = called, {value}, 0.0) as {value}) from every)""" if quiet else (
+        "series as (select *, hour as called from hourly)")
     return f"""{W}, hourly as (
- select agent_name, date_trunc('hour', timestamp) as hour, {agg} from records group by 1, 2),
- framed as (
- select *, avg({value}) over w as base, stddev_samp({value}) over w as spread from hourly
- window w as (partition by agent_name order by hour rows between 24 preceding and 1 preceding))
+ select agent_name, date_trunc('hour', timestamp)::timestamp as hour, {agg} from records group by 1, 2),
+{series},
+framed as (
+ select *, avg({value}) over w as base, stddev_samp({value}) over w as spread from series
+ window w as (partition by agent_name order by hour {frame}))
  select agent_name, hour, {cols}, {_d('base')} as baseline, coalesce({value} > base + 2.0 * spread, false) as is_spike
- from framed"""
+ from framed where hour = called"""
 
 
 def _redact_steps(strategy: str, kinds: list[str]) -> tuple[str, str]:
@@ -200,15 +211,15 @@ ORACLES: dict[str, str] = {
     "cost_hourly": f"""{W} select agent_name, date_trunc('hour', timestamp) as hour, count(*) as invocations,
  {_d('sum(cost_usd)')} as total_cost, {_d('avg(duration_ms)')} as avg_latency_ms,
  cast(sum(input_tokens + output_tokens) as double) as total_tokens from records group by 1, 2""",
-    "cost_last_24h": _per_agent("agent_name", f"timestamp > timestamp '{NOW}' - interval 24 hours", None),
+    "cost_last_24h": _per_agent("agent_name", f"timestamp > timestamp '{NOW}' - interval 24 hours and timestamp <= timestamp '{NOW}'", None),
     "version_compare": f"""{W} select agent_name, agent_version, config_hash, count(*) as invocations,
  {_d('sum(cost_usd)')} as total_cost, {_d('avg(duration_ms)')} as avg_latency_ms,
  count(*) filter (where status = 'error') as errors, {_d("avg(cast(status = 'error' as int))")} as error_rate
  from records group by 1, 2, 3""",
-    "cost_spikes": _spikes("cost", f"{_d('cost')} as cost", "cast(sum(cost_usd) as double) as cost"),
+    "cost_spikes": _spikes("cost", f"{_d('cost')} as cost", "cast(sum(cost_usd) as double) as cost", True),
     "error_spikes": _spikes(
         "error_rate", f"calls, {_d('error_rate')} as error_rate",
-        "count(*) as calls, avg(cast(status = 'error' as int)) as error_rate"),
+        "count(*) as calls, avg(cast(status = 'error' as int)) as error_rate", False),
     "usage_periods": f"""{W} select date_trunc('day', timestamp)::timestamp as day, min(timestamp) as first_use,
  max(timestamp) as last_use, count(*) as total_operations from records where {RANGE} group by 1""",
     "root_usage_periods": f"""{W} select date_trunc('day', timestamp)::timestamp as day, min(timestamp) as first_start,
@@ -277,8 +288,7 @@ ORACLES: dict[str, str] = {
     "critical_path": f"""{WR}, {STEPS}, {PATH} select trace_id, unnest(range(len(seqs))) as position, unnest(ids) as span_id,
  unnest(names) as agent_name, cast(unnest(durs) as bigint) as duration_ms from best""",
     "trace_analysis": f"""{WR}, {STEPS}, {PATH}, {TOTALS} select t.*, l.bottleneck_agent, l.costliest_agent,
- coalesce(len(b.seqs), 0) as path_length, coalesce(b.total, 0) as path_duration_ms,
- coalesce(array_to_string(b.names, '>'), '') as critical_path
+ coalesce(len(b.seqs), 0) as path_length, coalesce(b.total, 0) as path_duration_ms
  from totals t join leaders l on l.trace_id = t.trace_id left join best b on b.trace_id = t.trace_id""",
     "trace_diff": f"""{W}, {TOTALS},
  n as (select t.*, l.bottleneck_agent as bottleneck, cast('0x' || trace_id as bigint) as num
@@ -374,7 +384,9 @@ ORACLES: dict[str, str] = {
     "nested_roundtrip": f"""{W} select trace_id, span_id, timestamp, agent_id, operation_name, cast(duration_ms as bigint) as duration_ms,
  {_d('cost_usd')} as cost_usd, coalesce(reasoning ->> '$.rationale', '') as rationale,
  cast(coalesce(json_array_length(tool_calls), 0) as bigint) as tool_calls,
- coalesce(inter_agent ->> '$.target_agent', '') as target_agent, {TEXT_BOOL.format('all_passed')} from records""",
+ coalesce(inter_agent ->> '$.target_agent', '') as target_agent, coalesce(reasoning ->> '$.confidence', '') as confidence,
+ coalesce(reasoning ->> '$.strategy', '') as strategy, status, error_type, error_message, agent_name, agent_version,
+ model_name, parent_span_id, {TEXT_BOOL.format('all_passed')} from records""",
     "export_redacted": f"""{W} select span_id, sha256(concat('u-', agent_id)) as user_hash, '' as content, agent_id from records""",
     "span_names": f"""{W}, n as (select span_id, concat_ws(' ', operation_name,
  case when operation_name = 'chat' then model_name when operation_name = 'execute_tool' then {FIRST_TOOL}
@@ -386,7 +398,8 @@ ORACLES: dict[str, str] = {
     "tail_sample": f"""{W}, {FLAGS} select trace_id, span_id, timestamp as start_time from records
  where trace_id in (select trace_id from decided where keep)""",
     "operation_duration": f"""{W} select time_bucket(interval 30 seconds, timestamp) as window_start, operation_name, model_name,
- count(duration_ms) as calls, {_d('avg(duration_ms / 1000)')} as avg_s, {_d('max(duration_ms / 1000)')} as max_s
+ count(duration_ms) as calls, {_d('avg(duration_ms / 1000)')} as avg_s, {_d('max(duration_ms / 1000)')} as max_s,
+ {_d('quantile_cont(duration_ms / 1000, 0.95)')} as p95_s
  from records group by 1, 2, 3""",
     "token_histogram": f"""{W}, t as (
  select time_bucket(interval 1 hour, timestamp) as window_start, 'input' as token_type, input_tokens as tokens from records
@@ -428,13 +441,15 @@ ORACLES: dict[str, str] = {
  case when operation_name = 'chat' then 84 else 6 end as m from records group by 1)
  select tag, records, cast(m as bigint) as months_required, d <= date '2024-07-15' - to_months(m) as covers_period,
  cast(d as varchar) as first_day, cast(cast(date '2024-07-15' - to_months(m) as date) as varchar) as keep_from from g""",
-    "retention_gaps": f"""{W}, d as (select distinct cast(timestamp as date) as day from records where status = 'error' and agent_id = 'agent-3'),
+    "retention_gaps": f"""{W}, d as (select distinct cast(timestamp as date) - if(day(timestamp) % 5 = 0, 1, 0) as day from records),
  n as (select day, lead(day) over (order by day) as nxt from d)
  select cast(cast(day + 1 as date) as varchar) as gap_start, cast(cast(nxt - 1 as date) as varchar) as gap_end,
  datediff('day', day, nxt) - 1 as days from n where datediff('day', day, nxt) > 1""",
-    "quarantine": f"""{W}, v as (select span_id, duration_ms % 50 = 7 as a, duration_ms % 40 = 3 as b from records)
+    "quarantine": f"""{W}, v as (select span_id, duration_ms % 50 = 7 as a, duration_ms % 40 = 3 as b,
+ duration_ms % 30 = 4 as c, duration_ms % 60 = 9 as d from records)
  select span_id, concat_ws('; ', case when a then 'agent_id is null' end,
- case when b then 'agent_version longer than 64' end) as violations from v where a or b""",
+ case when c then 'trace_id longer than 32' end, case when b then 'agent_version longer than 64' end,
+ case when d then 'cost_usd out of range' end) as violations from v where a or b or c or d""",
     "table_roundtrip": f"""{W} select strftime(timestamp, '%Y-%m-%d') as date, agent_id, count(*) as records,
  {_d('sum(cost_usd)')} as cost, count(compliance) as checked from records group by 1, 2""",
     "tier_export": f"""{W}, t as (select *, datediff('day', cast(timestamp as date), date '{NOW}') as age from records)
