@@ -19,7 +19,9 @@ from pyspark.sql import types as T
 
 from .common import ROW_GROUP, folder, slices, words
 
-BLOCK_WORDS = 1 << 20
+BLOCK_WORDS = 1 << 19
+#: Blocks are rows of a few megabytes; a Python worker gets few of them at a time.
+ARROW_BYTES = "16m"
 SLICE = 4 << 20
 
 
@@ -78,6 +80,7 @@ def encode(rows: DataFrame, lower: bool, block_words: int = BLOCK_WORDS) -> Data
 def bucketed(df: DataFrame, key: str) -> DataFrame:
     """``df`` written once, dealt by ``key``, so that later joins on it move only the other side."""
     spark = df.sparkSession
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
     name = f"blocks_{uuid4().hex}"
     (df.write.option("path", folder(spark, "blocks")).option("compression", "zstd")
      .option("parquet.block.size", ROW_GROUP)
@@ -85,12 +88,12 @@ def bucketed(df: DataFrame, key: str) -> DataFrame:
     return spark.table(name)
 
 
-def repeated(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Of (keys, tag) rows those whose key occurs twice or more, with their block.
+def repeated(rows: DataFrame, keys: list[str], out: str) -> DataFrame:
+    """Of (keys, tag, out) rows those whose key occurs twice or more: block and ``out``.
 
     ``tag`` is twice the block, plus one if the key occurs several times there. A block
     sends a key once, so a key has at most as many rows as there are blocks.
     """
     n = f"count(1) over (partition by {', '.join(keys)})"
-    return (rows.selectExpr(*keys, "tag", f"{n} as n").where("n > 1 or tag % 2 = 1")
-            .select(F.expr("shiftright(tag, 1)").alias("block"), *keys))
+    return (rows.selectExpr("*", f"{n} as n").where("n > 1 or tag % 2 = 1")
+            .select(F.expr("shiftright(tag, 1)").alias("block"), out))

@@ -117,24 +117,22 @@ def _window_rows(window: int):
                 starts = starts[before[starts + PERIOD] > before[starts]]
                 pairs = np.empty(len(starts), [("a", np.uint64), ("b", np.uint64)])
                 pairs["a"], pairs["b"] = (seq.windows(starts, window, i) for i in (0, 1))
-                found, counts = np.unique(pairs, return_counts=True)
+                found, first, counts = np.unique(pairs, return_index=True, return_counts=True)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(found["a"].copy().view(np.int64)), pa.array(found["b"].copy().view(np.int64)),
-                     _tags(counts, batch.column("block")[row].as_py())], names=["a", "b", "tag"])
+                     _tags(counts, batch.column("block")[row].as_py()), pa.array(starts[first], pa.int32())],
+                    names=["a", "b", "tag", "at"])
     return run
 
 
-def _member(a: np.ndarray, b: np.ndarray, known: pa.Array) -> np.ndarray:
-    """Which of the pairs (a, b) are among the known ones."""
-    pairs = np.empty(len(a), [("a", np.uint64), ("b", np.uint64)])
-    pairs["a"], pairs["b"] = a, b
-    wanted = np.empty(len(known), pairs.dtype)
-    for name in ("a", "b"):
-        wanted[name] = np.asarray(known.field(name), dtype=np.int64).view(np.uint64)
-    # Few pairs agree in their first half, so that half sifts first.
-    maybe = np.flatnonzero(np.isin(pairs["a"], wanted["a"]))
+def _same(a: np.ndarray, b: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Which of the pairs (a, b) equal one of those at the places ``at``."""
+    # Few pairs agree in their first half only, so that half sifts first.
+    maybe = np.flatnonzero(np.isin(a, a[at]))
+    pairs = np.empty(len(maybe) + len(at), [("a", np.uint64), ("b", np.uint64)])
+    pairs["a"], pairs["b"] = a[np.concatenate((maybe, at))], b[np.concatenate((maybe, at))]
     found = np.zeros(len(a), bool)
-    found[maybe] = np.isin(pairs[maybe], wanted)
+    found[maybe] = np.isin(pairs[:len(maybe)], pairs[len(maybe):])
     return found
 
 
@@ -147,8 +145,8 @@ def _removed(window: int, id_type: pa.DataType):
                 twice = batch.column("twice")[row]
                 if twice.is_valid and len(twice.values):
                     starts = seq.starts(window, window)
-                    hit = starts[_member(seq.windows(starts, window, 0), seq.windows(starts, window, 1),
-                                         twice.values)]
+                    at = np.searchsorted(starts, np.asarray(twice.values, dtype=np.int64))
+                    hit = starts[_same(seq.windows(starts, window, 0), seq.windows(starts, window, 1), at)]
                     change = np.zeros(len(seq.tokens) + 1, np.int64)
                     np.add.at(change, hit, 1)
                     np.add.at(change, hit + window, -1)
@@ -187,11 +185,12 @@ def remove_repeats(docs: DataFrame, window: int = 35, id_col: str = "doc_id",
     # grow with the corpus and must not be broadcast on such a guess.
     anchors = blocks.select("block", "lens", "tokens", "words").mapInArrow(
         _anchor_rows(window), "hash long, tag long")
-    shared = repeated(anchors, ["hash"]).groupBy("block").agg(F.collect_list("hash").alias("hashes"))
+    shared = repeated(anchors, ["hash"], "hash").groupBy("block").agg(F.collect_list("hash").alias("hashes"))
     windows = blocks.select("block", "lens", "tokens", "words").join(
         shared.hint("merge"), "block").mapInArrow(
-        _window_rows(window), "a long, b long, tag long")
-    twice = repeated(windows, ["a", "b"]).groupBy("block").agg(F.collect_list(F.struct("a", "b")).alias("twice"))
+        _window_rows(window), "a long, b long, tag long, at int")
+    # A block hears where a repeated window stands first in it, and finds the others itself.
+    twice = repeated(windows, ["a", "b"], "at").groupBy("block").agg(F.collect_list("at").alias("twice"))
     id_type = blocks.schema["ids"].dataType.elementType
     return blocks.join(twice.hint("merge"), "block", "left").mapInArrow(
         _removed(window, id_type),
