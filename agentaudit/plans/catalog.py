@@ -20,7 +20,7 @@ from ..functions.payload import redact_json
 from ..functions.pii import Redactor
 from ..operators import (analysis, compliance, convert, cost, lookup, loops, metrics, privacy,
                          replay, sampling, tree)
-from ..schema import RECORD
+from ..schema import JSON_COLUMNS, RECORD
 from ..sources import nested, spans as span_files, tables
 from ..streaming import pipeline
 from . import fixtures
@@ -328,20 +328,16 @@ def pii_custom_allowlist(spark, sf):
     return privacy.redact_text(talk, "text", redactor)
 
 
-PAYLOADS = ["reasoning", "outcome", "inter_agent"]
-
-
 @query
 def pii_payload_paths(spark, sf):
-    records = fixtures.records(spark, sf)
-    return privacy.payload_detections(records, ["span_id"], PAYLOADS, Redactor(patterns=("email",)))
+    records = fixtures.records(spark, sf).withColumn("state", F.expr(fixtures.STATE))
+    return privacy.payload_detections(records, ["span_id"], JSON_COLUMNS, Redactor())
 
 
 @query
 def pii_summary(spark, sf):
-    records = fixtures.records(spark, sf)
-    found = privacy.payload_detections(records, ["span_id"], PAYLOADS, Redactor(patterns=("email",)))
-    return privacy.summary(found)
+    records = fixtures.records(spark, sf).withColumn("state", F.expr(fixtures.STATE))
+    return privacy.summary(privacy.payload_detections(records, ["span_id"], JSON_COLUMNS, Redactor()))
 
 
 @query

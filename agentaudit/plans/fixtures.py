@@ -14,6 +14,9 @@ from ..sources.texts import read_texts
 
 #: A time range around all derived records.
 START, END = "2024-01-01", "2025-01-01"
+#: A state payload of some records, in the words of both engines.
+STATE = """case when input_tokens % 70 = 0
+ then concat('{"memory_reads":["m', cast(input_tokens as string), '@example.org","none"],"shelf":"10.0.0.7"}') end"""
 #: "Now" for queries that look back.
 NOW = "2024-01-31"
 

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from ..functions.pii import PATTERNS
-from .fixtures import END, NOW, RECORDS_SQL, START
+from ..schema import JSON_COLUMNS
+from .fixtures import END, NOW, RECORDS_SQL, START, STATE
 
 W = f"with {RECORDS_SQL}"
 WR = f"with recursive {RECORDS_SQL}"
@@ -182,12 +183,12 @@ DETECT = _detect_steps("documents", "doc_id", list(PATTERNS))
 TURNS = _detect_steps("turns", "turn_id", list(PATTERNS))
 
 EMAIL = PATTERNS["email"]
-PAYLOAD = f"""leaves as (
- select span_id, 'reasoning.rationale' as field_path, reasoning ->> '$.rationale' as text from records where reasoning is not null),
-found as (
- select span_id, field_path, 'email' as type,
-        strpos(text, regexp_extract(text, '{EMAIL}')) - 1 as start, length(regexp_extract(text, '{EMAIL}')) as length
- from leaves where regexp_matches(text, '{EMAIL}'))"""
+# All strings of all payload columns, with their paths, and what the patterns find in them.
+_LEAVES = " union all ".join(f"""select concat(span_id, '|{c}', replace(substr(t.fullkey, 2), '"', '')) as key,
+ t.atom ->> '$' as text from records_ r, json_tree(r.{c}) t where t.type = 'VARCHAR'""" for c in JSON_COLUMNS)
+PAYLOAD = f"""records_ as (select *, {STATE} as state from records),
+leaves as ({_LEAVES}), {_detect_steps("leaves", "key", list(PATTERNS))},
+located as (select split_part(key, '|', 1) as span_id, substr(key, strpos(key, '|') + 1) as field_path, * from found)"""
 
 ERR = "concat(coalesce(error_type, 'None'), ': ', coalesce(error_message, 'None'))"
 TEXT_BOOL = "coalesce(cast({0} as varchar), '') as {0}"
@@ -349,9 +350,9 @@ ORACLES: dict[str, str] = {
  f as (select turn_id, count(*) as n from found group by 1)
  select role, count(*) as turns, count(f.n) as with_pii, cast(coalesce(sum(f.n), 0) as bigint) as detections
  from turns left join f using (turn_id) group by 1""",
-    "pii_payload_paths": f"""{W}, {PAYLOAD} select span_id, field_path, type, start, start + length as "end", length from found""",
-    "pii_summary": f"""{W}, {PAYLOAD} select type, field_path, count(*) as detections, cast(sum(length) as bigint) as characters
- from found group by 1, 2""",
+    "pii_payload_paths": f"""{W}, {PAYLOAD} select span_id, field_path, type, start, "end", length from located""",
+    "pii_summary": f"""{W}, {PAYLOAD} select type, regexp_replace(field_path, '\\[[0-9]+\\]', '[]', 'g') as field_path, count(*) as detections,
+ cast(sum(length) as bigint) as characters from located group by 1, 2""",
     "pii_payload_redact": f"""{W} select span_id, case when regexp_matches(reasoning, '{EMAIL}')
  then regexp_replace(reasoning ->> '$.rationale', '{EMAIL}',
    concat('[email:sha256:', left(sha256(regexp_extract(reasoning ->> '$.rationale', '{EMAIL}')), 12), ']'))
