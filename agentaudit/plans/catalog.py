@@ -591,12 +591,17 @@ def tier_export(spark, sf):
 def _span_files(spark: SparkSession, sf: str, root: str) -> None:
     """Spans as files, then one later span that closes all windows."""
     fixtures.spans(spark, sf).write.parquet(f"{root}/spans")
-    written = span_files.read_spans(spark, f"{root}/spans")
+    _closing_span(spark, f"{root}/spans")
+
+
+def _closing_span(spark: SparkSession, path: str) -> None:
+    """Append a span a day after the last one, which closes all windows."""
+    written = span_files.read_spans(spark, path)
     later = written.agg((F.max("start_time") + F.expr("interval 1 day")).alias("start_time"))
     closing = later.select(
         F.lit("f" * 32).alias("trace_id"), F.lit("f" * 16).alias("span_id"),
         "start_time", F.col("start_time").alias("end_time"))
-    closing.write.mode("append").parquet(f"{root}/spans")
+    closing.write.mode("append").parquet(path)
 
 
 def _finish(started) -> None:
@@ -661,4 +666,32 @@ def stream_alerts(spark, sf):
     root = _scratch(spark)
     alerts = pipeline.alert_windows(_record_stream(spark, sf, root), 0.05, 0.5, 2500)
     _finish(pipeline.to_table(alerts, f"{root}/alerts", f"{root}/ck", once=True))
-    return spark.read.parquet(f"{root}/alerts").select("window_start", "agent_id", "cost", "alerts")
+    return spark.read.parquet(f"{root}/alerts")
+
+
+@query
+def stream_trace_costs(spark, sf):
+    """Traces above a cost limit, per hour, from a stream of records."""
+    root = _scratch(spark)
+    dear = pipeline.trace_cost_windows(_record_stream(spark, sf, root), 0.1)
+    _finish(pipeline.to_table(dear, f"{root}/dear", f"{root}/ck", once=True))
+    return spark.read.parquet(f"{root}/dear")
+
+
+@query
+def stream_sample_batches(spark, sf):
+    """The sampling stream fed in several batches, in time order, one file each."""
+    root = _scratch(spark)
+    spans = fixtures.spans(spark, sf)
+    third = F.floor(F.dayofmonth("start_time") / 11)  # the spans lie within one month
+    staged, kept = f"{root}/staged", f"{root}/kept"
+    for part in (0, 1, 2, None):
+        if part is None:
+            _closing_span(spark, f"{root}/spans")
+        else:
+            spans.where(third == part).coalesce(1).write.mode("append").parquet(f"{root}/spans")
+        stream = span_files.stream_spans(spark, f"{root}/spans", max_files_per_trigger=1)
+        _finish(pipeline.stage(stream, staged, f"{root}/ck-stage", once=True))
+        _finish(pipeline.sample(span_files.stream_spans(spark, staged), staged, kept, f"{root}/decisions",
+                                f"{root}/ck-sample", once=True))
+    return spark.read.parquet(kept).select("trace_id", "span_id", F.col("timestamp").alias("start_time"))

@@ -469,7 +469,12 @@ ORACLES: dict[str, str] = {
  * from records), a as (
  select window_start, agent_id, cast(sum(cost_usd) as double) as cost, avg(cast(not all_passed as int)) as rate,
  quantile_disc(duration_ms, 0.99) as p99 from w group by 1, 2)
- select window_start, agent_id, {_d('cost')} as cost, concat_ws(',', case when cost > 0.05 then 'cost' end,
+ select window_start, agent_id, {_d('cost')} as cost, {_d('rate')} as failure_rate, cast(p99 as bigint) as p99_ms,
+ concat_ws(',', case when cost > 0.05 then 'cost' end,
  case when rate > 0.5 then 'guardrail_failure_rate' end, case when p99 > 2500 then 'p99_latency' end) as alerts
  from a where cost > 0.05 or rate > 0.5 or p99 > 2500""",
+    "stream_trace_costs": f"""{W} select time_bucket(interval 1 hour, timestamp) as window_start, trace_id, count(*) as records,
+ {_d('sum(cost_usd)')} as cost from records group by 1, 2 having sum(cost_usd) > 0.1""",
+    "stream_sample_batches": f"""{W}, {FLAGS} select trace_id, span_id, timestamp as start_time from records
+ where trace_id in (select trace_id from decided where keep)""",
 }

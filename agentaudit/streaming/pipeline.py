@@ -232,6 +232,17 @@ def alert_windows(records: DataFrame, cost_usd: float, failure_rate: float, p99_
     )
 
 
+def trace_cost_windows(records: DataFrame, cost_usd: float, width: str = "1 hour",
+                       delay: str = DELAY) -> DataFrame:
+    """Traces whose records in a window cost more than a limit."""
+    costs = (
+        records.withWatermark("timestamp", delay).groupBy(F.window("timestamp", width), "trace_id")
+        .agg(F.count(F.lit(1)).alias("records"), F.sum("cost_usd").alias("cost"))
+    )
+    return costs.where(F.col("cost") > F.lit(cost_usd).cast("decimal(20,6)")).select(
+        F.col("window.start").alias("window_start"), "trace_id", "records", "cost")
+
+
 def to_table(stream: DataFrame, path: str, checkpoint: str, once: bool = False) -> StreamingQuery:
     """Append the finished windows of a stream to a Parquet table; exactly once."""
     writer = stream.writeStream.format("parquet").outputMode("append").option(
