@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from .. import session
 from ..functions import text
 from ..functions.payload import redact_json
-from ..functions.pii import Redactor
+from ..functions.pii import Redactor, add_strategy
 from ..operators import (analysis, compliance, convert, cost, lookup, loops, metrics, privacy,
                          replay, sampling, tree)
 from ..schema import JSON_COLUMNS, RECORD
@@ -304,6 +304,17 @@ def pii_redact_longest(spark, sf):
     return privacy.redact_text(docs, "text", Redactor(), mode="longest")
 
 
+@query
+def pii_own_strategy(spark, sf):
+    """A replacement of one's own, in texts and in JSON payloads made of them."""
+    add_strategy("angle", lambda match, kind: F.lit(f"<{kind}>"), lambda match, kind: f"<{kind}>")
+    redactor = Redactor(patterns=("email",), strategy="angle")
+    docs = fixtures.texts(spark, sf, "documents")
+    payload = redact_json(F.to_json(F.struct("text")), redactor)
+    return docs.select("doc_id", redactor.redact(F.col("text")).alias("text"),
+                       F.get_json_object(payload, "$.text").alias("payload_text"))
+
+
 @query
 def pii_scan(spark, sf):
     docs = fixtures.texts(spark, sf, "documents").select("doc_id", "text")
@@ -440,6 +451,26 @@ def export_redacted(spark, sf):
         attr("gen_ai.agent.id").alias("agent_id"))
 
 
+@query
+def export_captured(spark, sf):
+    """Exported attributes with content on request; user ids stay hashed."""
+    out = convert.redact_attributes(fixtures.spans(spark, sf), capture_content=True)
+    attr = lambda k: F.try_element_at("attributes", F.lit(k))
+    return out.select("span_id", attr("user.id").alias("user_hash"),
+                      F.coalesce(attr("gen_ai.input.messages"), F.lit("")).alias("content"))
+
+
+@query
+def spans_from_json(spark, sf):
+    """Spans as JSON files, read back and converted, per agent."""
+    path = _scratch(spark)
+    fixtures.spans(spark, sf).write.json(path)
+    records = convert.spans_to_records(span_files.read_spans(spark, path, "json"))
+    return records.groupBy("agent_id").agg(
+        F.count(F.lit(1)).alias("records"), F.sum("cost_usd").alias("cost"),
+        F.count_if(F.col("status") == "error").alias("errors"))
+
+
 @query
 def span_names(spark, sf):
     """Span names, configuration fingerprints and cut error text."""
@@ -569,11 +600,43 @@ def table_roundtrip(spark, sf):
     path = _scratch(spark)
     tables.append(fixtures.records(spark, sf), path)
     stored = tables.in_range(tables.read(spark, path), START, END)
+    return _by_day_and_agent(stored)
+
+
+def _by_day_and_agent(stored: DataFrame) -> DataFrame:
     return stored.groupBy(F.col("date").cast("string").alias("date"), "agent_id").agg(
         F.count(F.lit(1)).alias("records"), F.sum("cost_usd").alias("cost"),
         F.count_if(F.col("compliance").isNotNull()).alias("checked"))
 
 
+@query
+def table_by_name(spark, sf):
+    """Create a table, append to it by name in two parts, read it by name."""
+    name = f"audit_{uuid4().hex}"
+    tables.create_table(spark, name, _scratch(spark))
+    records = fixtures.records(spark, sf)
+    for even in (True, False):
+        tables.append(records.where((F.col("duration_ms") % 2 == 0) == even), name)
+    return _by_day_and_agent(tables.in_range(spark.table(name), START, END))
+
+
+#: Days that ``settle_roundtrip`` settles.
+SETTLED = ("2024-01-05", "2024-01-06")
+
+
+@query
+def settle_roundtrip(spark, sf):
+    """Days of which one part was appended and the other landed by a stream, settled twice."""
+    root = _scratch(spark)
+    records = tables.conform(fixtures.records(spark, sf)).where(F.col("date").cast("string").isin(*SETTLED))
+    landed = F.col("duration_ms") % 3 == 0
+    tables.append(records.where(~landed), f"{root}/table")
+    pipeline.land(records.where(landed), f"{root}/landing", 0)
+    for day in (*SETTLED, *SETTLED):
+        tables.settle_day(spark.read.parquet(f"{root}/landing"), f"{root}/table", day)
+    return _by_day_and_agent(tables.read(spark, f"{root}/table"))
+
+
 @query
 def tier_export(spark, sf):
     """Compressed JSON of the records past the hot tier, read back."""

@@ -453,6 +453,17 @@ ORACLES: dict[str, str] = {
  case when d then 'cost_usd out of range' end) as violations from v where a or b or c or d""",
     "table_roundtrip": f"""{W} select strftime(timestamp, '%Y-%m-%d') as date, agent_id, count(*) as records,
  {_d('sum(cost_usd)')} as cost, count(compliance) as checked from records group by 1, 2""",
+    "export_captured": f"""{W} select span_id, sha256(concat('u-', agent_id)) as user_hash,
+ concat('hello from ', agent_id) as content from records""",
+    "table_by_name": f"""{W} select strftime(timestamp, '%Y-%m-%d') as date, agent_id, count(*) as records,
+ {_d('sum(cost_usd)')} as cost, count(compliance) as checked from records group by 1, 2""",
+    "settle_roundtrip": f"""{W} select strftime(timestamp, '%Y-%m-%d') as date, agent_id, count(*) as records,
+ {_d('sum(cost_usd)')} as cost, count(compliance) as checked from records
+ where strftime(timestamp, '%Y-%m-%d') in ('2024-01-05', '2024-01-06') group by 1, 2""",
+    "spans_from_json": f"""{W} select agent_id, count(*) as records, {_d('sum(cost_usd)')} as cost,
+ count(*) filter (where status = 'error') as errors from records group by 1""",
+    "pii_own_strategy": f"""select doc_id, regexp_replace(text, '{EMAIL}', '<email>', 'g') as text,
+ regexp_replace(text, '{EMAIL}', '<email>', 'g') as payload_text from documents""",
     "tier_export": f"""{W}, t as (select *, datediff('day', cast(timestamp as date), date '{NOW}') as age from records)
  select case when age < 90 then 'warm' else 'cold' end as tier, count(*) as records, count(distinct trace_id) as traces,
  cast(sum(duration_ms) as bigint) as duration_ms from t where age >= 7 group by 1""",
