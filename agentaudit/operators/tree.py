@@ -60,8 +60,9 @@ def span_nodes(records: DataFrame) -> DataFrame:
         agent_label().alias("agent_name"), duration.alias("duration_ms"),
     )
     rows = records.select("trace_id", "span_id", node.alias("node"))
-    return rows.groupBy("trace_id", "span_id").agg(F.min("node").alias("node")).select(
-        "trace_id", "span_id", "node.parent", "node.timestamp", "node.agent_name", "node.duration_ms")
+    return rows.groupBy("trace_id", "span_id").agg(
+        F.min("node").alias("node"), F.count(F.lit(1)).alias("copies")
+    ).select("trace_id", "span_id", "node.parent", "node.timestamp", "node.agent_name", "node.duration_ms", "copies")
 
 
 def _gather(records: DataFrame) -> DataFrame:
@@ -164,6 +165,7 @@ def _small_tree(records: DataFrame) -> DataFrame:
                 F.size(F.filter(F.slice(links, F.lit(1), i + 1), lambda u: u == own))
                  .cast("long").alias("sibling_no"),
                 F.size(F.filter(links, lambda u: u == i + 1)).cast("long").alias("child_count"),
+                F.size(F.filter("rows", lambda y: y["span_id"] == x["span_id"])).cast("long").alias("copies"),
                 end["ptr"].isNull().alias("has_root"),
             )
 
@@ -313,6 +315,7 @@ def span_tree(records: DataFrame, small: int = SMALL_TRACE, hot: list | None = N
     A span whose parent is missing is a root. Spans in cycles have no root and
     do not appear. Children are numbered in time order; the number of children
     comes as a count, so that a wide parent never becomes one large value.
+    ``copies`` says how many records have the span's id.
     """
     ordinary, large = by_size(records, small)
     out = _small_tree(ordinary)
@@ -339,7 +342,7 @@ def _large_tree(records: DataFrame, hot: list | None) -> DataFrame:
             "trace_id", "span_id", F.col("parent").alias("parent_span_id"),
             F.col("parent").isNull().alias("is_root"),
             "depth", F.col("top").alias("root_span_id"), "sibling_no",
-            F.coalesce("child_count", F.lit(0)).alias("child_count"),
+            F.coalesce("child_count", F.lit(0)).alias("child_count"), "copies",
         )
     )
 

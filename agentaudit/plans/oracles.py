@@ -284,8 +284,24 @@ ORACLES: dict[str, str] = {
     "span_tree": f"""{WR}, {TREE} select n.trace_id, n.span_id, n.parent as parent_span_id, n.parent is null as is_root,
  cast(d.depth as bigint) as depth, d.root_span_id,
  row_number() over (partition by n.trace_id, n.parent order by n.timestamp, n.span_id) as sibling_no,
- (select count(*) from nodes c where c.trace_id = n.trace_id and c.parent = n.span_id) as child_count
+ (select count(*) from nodes c where c.trace_id = n.trace_id and c.parent = n.span_id) as child_count,
+ (select count(*) from records r where r.trace_id = n.trace_id and r.span_id = n.span_id) as copies
  from nodes n join down d on d.trace_id = n.trace_id and d.span_id = n.span_id""",
+    # Nodes in pre-order; each closes itself and the ancestors that end with it.
+    "span_forest_json": f"""{WR}, {TREE}, numbered as (
+ select n.trace_id, n.span_id, n.parent, coalesce(nullif(r.agent_name, ''), r.agent_id) as agent_name,
+  coalesce(r.duration_ms, 0) as ms,
+  row_number() over (partition by n.trace_id, n.parent order by n.timestamp, n.span_id) as nth
+ from nodes n join records r on r.trace_id = n.trace_id and r.span_id = n.span_id),
+walk as (
+ select *, 0 as depth, [nth] as path from numbered where parent is null
+ union all
+ select n.*, w.depth + 1, list_append(w.path, n.nth) from walk w join numbered n on n.trace_id = w.trace_id and n.parent = w.span_id),
+pieces as (select *, lead(depth) over (partition by trace_id order by path) as following from walk)
+ select trace_id, concat('[', string_agg(concat(case when nth > 1 then ',' else '' end, '{{"span_id":"', span_id,
+  '","agent_name":"', agent_name, '","duration_ms":', ms, ',"children":[',
+  repeat(']}}', cast(depth - coalesce(following, 0) + 1 as bigint))), '' order by path), ']') as forest,
+ count(*) as spans, count(*) filter (where following is null or following <= depth) as leaves from pieces group by 1""",
     "critical_path": f"""{WR}, {STEPS}, {PATH} select trace_id, unnest(range(len(seqs))) as position, unnest(ids) as span_id,
  unnest(names) as agent_name, cast(unnest(durs) as bigint) as duration_ms from best""",
     "trace_analysis": f"""{WR}, {STEPS}, {PATH}, {TOTALS} select t.*, l.bottleneck_agent, l.costliest_agent,
@@ -357,6 +373,24 @@ ORACLES: dict[str, str] = {
  then regexp_replace(reasoning ->> '$.rationale', '{EMAIL}',
    concat('[email:sha256:', left(sha256(regexp_extract(reasoning ->> '$.rationale', '{EMAIL}')), 12), ']'))
  else reasoning ->> '$.rationale' end as rationale from records where reasoning is not null""",
+    # Matches by length; one is taken if it overlaps none that was taken before.
+    "pii_redact_longest": f"""with recursive {DETECT},
+ranked as (select *, row_number() over (partition by doc_id order by length desc, start, nth) as i from found),
+walk as (
+ select distinct doc_id, cast(0 as bigint) as i, cast([] as struct(s bigint, e bigint, type varchar)[]) as taken from found
+ union all
+ select w.doc_id, w.i + 1, case when len(list_filter(taken, lambda t: t.s < r."end" and r.start < t.e)) = 0
+  then list_append(taken, {{'s': r.start, 'e': r."end", 'type': r.type}}) else taken end
+ from walk w join ranked r on r.doc_id = w.doc_id and r.i = w.i + 1),
+picked as (select doc_id, unnest(taken) as t from (select doc_id, arg_max(taken, i) as taken from walk group by 1)),
+placed as (select doc_id, t.s as s, t.e as e, t.type as type,
+ coalesce(lag(t.e) over (partition by doc_id order by t.s), 0) as before from picked),
+built as (
+ select p.doc_id, max(e) as done, string_agg(concat(substr(d.text, before + 1, s - before), '[', type, ':sha256:',
+  left(sha256(substr(d.text, s + 1, e - s)), 12), ']'), '' order by s) as head
+ from placed p join documents d using (doc_id) group by 1)
+ select d.doc_id, case when head is null then text else concat(head, substr(text, done + 1)) end as text
+ from documents d left join built using (doc_id)""",
     "pii_custom_allowlist": f"""with a as (select doc_id, array_to_string(list_transform(list_zip(
    string_split_regex(text, '{EMAIL}'),
    list_append(list_transform(regexp_extract_all(text, '{EMAIL}'),

@@ -123,6 +123,8 @@ def test_copies_of_a_span_count_once(spark):
     for small in (tree.SMALL_TRACE, 0):
         steps = tree.critical_path_steps(records(spark, *rows), small).orderBy("position").collect()
         assert [(r.span_id, r.duration_ms) for r in steps] == [("r", 4), ("c", 1)]
+        placed = tree.span_tree(records(spark, *rows), small).orderBy("span_id").collect()
+        assert [(r.span_id, r.copies, r.child_count) for r in placed] == [("c", 1, 0), ("r", 2, 1)]
 
 
 def nested(rows):
