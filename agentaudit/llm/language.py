@@ -7,8 +7,10 @@ are smoothed towards those of the address suffix, and these towards all rows. Th
 counts come from grouped aggregation over the text's own verdicts; a row's own verdict
 is taken out of its prior, so that no evidence counts twice.
 
-The trigram model is fitted on a bounded sample of labelled texts (``SAMPLE`` rows, the
-smallest hashes of their ids); every other count covers all rows.
+Every label of the table is a language with a trigram model, however rare. The model is
+fitted on a bounded sample per label (about twice its part of ``SAMPLE`` rows, or twice
+``LEAST`` where that is more; the smallest hashes); every other count covers all rows.
+A model takes 128 KB per language, in the driver and in every task.
 
 Skew: counts combine before the shuffle, and the one join of rows with hosts has plain
 scans on both sides, which adaptive execution splits for a hot host.
@@ -23,7 +25,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,9 +36,9 @@ from pyspark.sql import types as T
 from .common import slices, stored
 
 BUCKETS = 1 << 14
+#: Rows that the labels share as a sample, and what each label may take however many there are.
 SAMPLE = 8_000
-#: Most languages a model tells apart: the most frequent labels of the sample.
-MOST_LANGUAGES = 64
+LEAST = 2_000
 UND = "und"
 #: Beyond this many trigrams more text adds little: neighbouring trigrams are not independent.
 ENOUGH = 100.0
@@ -45,6 +46,8 @@ ENOUGH = 100.0
 NOISE = 0.1
 #: Pseudo-rows that each level of the address prior takes from the level above.
 STRENGTH = 10.0
+#: Rows times languages that are judged at a time.
+CELLS = 1 << 20
 
 
 def trigrams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -91,16 +94,14 @@ class Model:
 
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang",
         sample: int = SAMPLE) -> Model:
-    """Trigram model from at most ``sample`` labelled rows."""
+    """Trigram model of every label, from its rows with the smallest hashes."""
     label = F.lower(F.trim(F.col(f"`{label_col}`").cast("string")))
     rows = labelled.select(
         label.alias("label"), F.col(f"`{text_col}`").cast("string").alias("text"),
-        F.pmod(F.xxhash64(F.col(f"`{id_col}`").cast("string")), F.lit(1 << 40)).alias("order"),
+        F.xxhash64(F.col(f"`{id_col}`").cast("string")).alias("order"),
     ).where("label IS NOT NULL AND label != '' AND text IS NOT NULL")
-    # Only about twice the sample leaves the scan, from however many partitions.
-    share = min(1.0, 2 * sample / max(1, labelled.where(label.isNotNull()).count()))
-    rows = rows.where(F.col("order") < int(share * (1 << 40))).orderBy("order", "label").limit(sample).select(
-        "label", "text")
+    held = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}  # a row per language
+    each = max(sample // max(1, len(held)), LEAST)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
@@ -109,17 +110,22 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lab
             for name, a, b in zip(batch.column("label").to_pylist(), bounds[:-1], bounds[1:]):
                 totals.setdefault(name, np.zeros(BUCKETS, np.int64))
                 totals[name] += np.bincount(code[a:b], minlength=BUCKETS)
-        if totals:
+        for name, total in totals.items():
+            at = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(list(totals)), pa.array([v.tobytes() for v in totals.values()], pa.binary())],
-                names=["label", "counts"])
-
-    # One task's totals: a row per label of the sample.
-    found = {r["label"]: np.frombuffer(bytes(r["counts"]), np.int64)
-             for r in rows.mapInArrow(count, "label string, counts binary").collect()}
-    common = sorted(found, key=lambda k: (-found[k].sum(), k))[:MOST_LANGUAGES]
-    languages = tuple(sorted(k for k in common if found[k].sum()))
-    counts = np.array([found[k] for k in languages], float).reshape(len(languages), BUCKETS)
+                [pa.array([name] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(total[at])],
+                names=["label", "code", "n"])
+
+    # Only about twice the sample of a label leaves the scan, from however many partitions.
+    limits = labelled.sparkSession.createDataFrame(
+        [(k, int(min(1.0, 2 * each / n) * (1 << 40))) for k, n in held.items()], "label string, limit long")
+    picked = rows.join(F.broadcast(limits), "label").where(F.shiftrightunsigned("order", 24) < F.col("limit"))
+    found = picked.select("label", "text").mapInArrow(count, "label string, code int, n long").groupBy(
+        "label", "code").agg(F.sum("n").alias("n")).toArrow()  # at most BUCKETS rows per label
+    languages = tuple(sorted(pc.unique(found["label"]).to_pylist()))
+    counts = np.zeros((len(languages), BUCKETS))
+    row = pc.index_in(found["label"], value_set=pa.array(languages, pa.string()))
+    counts[np.asarray(row), np.asarray(found["code"])] = np.asarray(found["n"])
     share = counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)
     return Model(languages, np.log((1 - NOISE) * share + NOISE / BUCKETS))
 
@@ -168,62 +174,75 @@ def identify(rows: DataFrame, model: Model) -> DataFrame:
                            T.StructField("best", T.IntegerType()), T.StructField("n_trigrams", T.LongType())])
     scored = stored(ready.mapInArrow(score, schema), "language-scores")
 
-    # Verdicts by text alone, counted at every level of the address.
-    votes = [F.count_if(F.col("best") == i).alias(f"v{i}") for i in range(k)]
-    names = [f"v{i}" for i in range(k)]
-    summed = [F.sum(n).alias(n) for n in ("rows", *names)]
-    hosts = stored(
-        scored.groupBy("host").agg(F.count(F.lit(1)).alias("rows"), *votes)
+    # Verdicts by text alone, counted at every level of the address: a row per verdict that occurs.
+    votes = stored(
+        scored.groupBy("host", "best").agg(F.count(F.lit(1)).alias("n"))
         .withColumn("domain", F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1))
         .withColumn("domain", F.when(F.col("domain") == "", F.col("host")).otherwise(F.col("domain")))
-        .withColumn("suffix", F.substring_index("host", ".", -1)), "hosts")
-    domains = stored(hosts.groupBy("domain").agg(*summed), "domains")
-    suffixes = stored(hosts.groupBy("suffix").agg(*summed), "suffixes")
-    level = lambda df, name: df.select(name, F.array(*names or [F.lit(0)]).alias(f"{name}_votes"))
+        .withColumn("suffix", F.substring_index("host", ".", -1)), "votes")
+
+    def level(name: str, *more: str) -> DataFrame:
+        each = votes.groupBy(name, *more, "best").agg(F.sum("n").alias("n"))
+        return stored(each.groupBy(name, *more).agg(
+            F.collect_list(F.struct("best", "n")).alias(f"{name}_votes")), f"{name}-votes")
+
     addresses = stored(
-        hosts.select("host", "domain", "suffix", F.array(*names or [F.lit(0)]).alias("host_votes"))
-        .join(level(domains, "domain"), "domain").join(level(suffixes, "suffix"), "suffix")
+        level("host", "domain", "suffix").join(level("domain"), "domain").join(level("suffix"), "suffix")
         .select("host", "host_votes", "domain_votes", "suffix_votes"), "addresses")
-    overall = suffixes.agg(*summed).first()[1:]  # one number per language
+    overall = np.zeros(k + 1)
+    for r in votes.groupBy("best").agg(F.sum("n").alias("n")).collect():  # one number per language
+        overall[r["best"]] = r["n"]
+    base = (overall[:k] + 1) / (overall[:k].sum() + k)
     # P(declared | language), add-one smoothed; (languages + 1) squared numbers. A missing
     # declaration says nothing.
-    table = {(r["declared"], r["best"]): r["n"] for r in scored.groupBy("declared", "best").agg(
-        F.count(F.lit(1)).alias("n")).collect()}
     values = [*languages, "?"]
-    declared_log = {d: [float(np.log((table.get((d, i), 0) + 1) / (sum(table.get((v, i), 0) for v in values)
-                                                                  + len(values)))) for i in range(k)] for d in values}
-
-    total = sum(v or 0 for v in overall)
-    base = [((v or 0) + 1) / (total + k) for v in overall]
-
-    def prior(i: int) -> Column:
-        """Host over domain over suffix over all rows, without the row's own vote."""
-        own = (F.col("best") == i).cast("double")
-        any_own = (F.col("best") < k).cast("double")
-        p: Column = F.lit(base[i])
-        for votes in ("suffix_votes", "domain_votes", "host_votes"):
-            n = F.aggregate(votes, F.lit(0).cast("bigint"), lambda a, b: a + b)
-            p = (F.col(votes)[i] - own + STRENGTH * p) / (n - any_own + STRENGTH)
-        return p
-
-    by_declared = [reduce(lambda rest, d, i=i: F.when(F.col("declared") == d, declared_log[d][i]).otherwise(rest),
-                          values, F.lit(0.0)) for i in range(k)]
-    joined = scored.join(addresses, "host")
-    joined = joined.select("id", "best", "n_trigrams", "evidence", *[
-        (F.col("evidence")[i] + by_declared[i] + F.log(prior(i))).alias(f"s{i}") for i in range(k)],
-        # A text in no language: any declaration is as likely, and such texts are rare.
-        (F.col("evidence")[k] + F.when(F.col("declared") == "", 0.0).otherwise(float(np.log(1.0 / len(values))))
-         + float(np.log(0.01))).alias(f"s{k}"))
-    all_scores = [F.col(f"s{i}") for i in range(k + 1)]
-    top = F.greatest(*all_scores) if k else all_scores[0]
-    spread = sum((F.exp(s - F.col("top")) for s in all_scores), F.lit(0.0))
-    labels = [*languages, UND]
-    name = reduce(lambda rest, i: F.when(F.col(f"s{i}") == F.col("top"), labels[i]).otherwise(rest),
-                  reversed(range(k + 1)), F.lit(UND))
-    text_name = F.get(F.array(*[F.lit(x) for x in labels]), F.col("best"))
-    return (
-        joined.withColumn("top", top)
-        .select("id", F.when(F.col("n_trigrams") > 0, name).otherwise(UND).alias("language"),
-                F.when(F.col("n_trigrams") > 0, F.lit(1.0) / spread).otherwise(0.0).alias("posterior"),
-                text_name.alias("text_language"), "n_trigrams")
-        .withColumn("accepted", (F.col("language") != UND) & (F.col("posterior") >= 0.5)))
+    row_of = {v: i for i, v in enumerate(values)}
+    table = np.ones((len(values), k + 1))
+    for r in scored.where("declared != ''").groupBy("declared", "best").agg(F.count(F.lit(1)).alias("n")).collect():
+        table[row_of[r["declared"]], r["best"]] += r["n"]
+    declared_log = np.concatenate((np.zeros((1, k)), np.log(table / table.sum(axis=0))[:, :k]))
+    labels = np.array([*languages, UND], object)
+
+    def counted(lists: pa.Array) -> np.ndarray:
+        """Votes per row and language from lists of (best, n)."""
+        best, n = lists.flatten().flatten()
+        dense = np.zeros((len(lists), k + 1))
+        at = np.repeat(np.arange(len(lists)), np.asarray(pc.list_value_length(lists)))
+        dense[at, np.asarray(best)] = np.asarray(n)
+        return dense[:, :k]
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        step = max(1, CELLS // (k + 1))
+        for whole in batches:
+            for at in range(0, whole.num_rows, step):
+                batch = whole.slice(at, step)
+                size, best = batch.num_rows, np.asarray(batch.column("best"))
+                own = np.zeros((size, k + 1))
+                own[np.arange(size), best] = 1
+                own = own[:, :k]
+                # Prior: host over domain over suffix over all rows, without the row's own vote.
+                p = np.tile(base, (size, 1))
+                for name in ("suffix_votes", "domain_votes", "host_votes"):
+                    held = counted(batch.column(name)) - own
+                    p = (held + STRENGTH * p) / (held.sum(axis=1, keepdims=True) + STRENGTH)
+                says = np.asarray(pc.index_in(batch.column("declared"), value_set=pa.array(["", *values])))
+                scores = np.asarray(batch.column("evidence").flatten()).reshape(size, k + 1).copy()
+                scores[:, :k] += declared_log[says] + np.log(p)
+                # A text in no language: any declaration is as likely, and such texts are rare.
+                scores[:, k] += np.where(says == 0, 0.0, np.log(1.0 / len(values))) + np.log(0.01)
+                n = np.asarray(batch.column("n_trigrams"))
+                top = np.where(n > 0, scores.argmax(axis=1), k)
+                spread = np.exp(scores - scores.max(axis=1, keepdims=True)).sum(axis=1)
+                posterior = np.where(n > 0, 1.0 / spread, 0.0)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("id"), pa.array(labels[top], pa.string()), pa.array(posterior),
+                     pa.array(labels[best], pa.string()), batch.column("n_trigrams"),
+                     pa.array((top < k) & (posterior >= 0.5))],
+                    names=["id", "language", "posterior", "text_language", "n_trigrams", "accepted"])
+
+    return scored.join(addresses, "host").select(
+        "id", "declared", "best", "n_trigrams", "evidence", "host_votes", "domain_votes", "suffix_votes",
+    ).mapInArrow(judge, T.StructType([
+        scored.schema["id"], T.StructField("language", T.StringType()), T.StructField("posterior", T.DoubleType()),
+        T.StructField("text_language", T.StringType()), T.StructField("n_trigrams", T.LongType()),
+        T.StructField("accepted", T.BooleanType())]))

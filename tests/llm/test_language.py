@@ -106,3 +106,18 @@ def test_query_is_right_about_pages(spark):
     found = QUERIES["op6_language_id"](spark, sf).join(pages, "page_id")
     assert found.count() == pages.count()
     assert found.where("language != declared").count() <= 0.02 * pages.count()
+
+
+def test_rare_labels_and_many_labels_have_models(spark):
+    """A script of its own in 20 of 20,020 rows, and 80 further scripts."""
+    text = lambda first, i: " ".join(chr(first + (i * 7 + j * j) % 20) * 3 for j in range(12))
+    data = [(i, "the words of the and to that is with this from there", "en") for i in range(20_000)]
+    data += [(20_000 + i, text(0x3B1, i), "el") for i in range(20)]
+    data += [(30_000 + 5 * m + i, text(0x4E00 + 32 * m, i), f"l{m:02}") for m in range(80) for i in range(5)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string").repartition(8)
+    model = language.fit(docs)
+    assert set(model.languages) == {"en", "el", *(f"l{m:02}" for m in range(80))}
+    found = language.identify(docs.select(F.col("doc_id").alias("id"), "text", F.col("lang").alias("declared"),
+                                          F.lit(None).cast("string").alias("host")), model)
+    wrong = found.join(docs.select(F.col("doc_id").alias("id"), "lang"), "id").where("language != lang OR NOT accepted")
+    assert wrong.count() == 0
