@@ -9,7 +9,8 @@ is taken out of its prior, so that no evidence counts twice.
 
 Every label of the table is a language with a trigram model, however rare. The model is
 fitted on a bounded sample per label (about twice its part of ``SAMPLE`` rows, or twice
-``LEAST`` where that is more; the smallest hashes); every other count covers all rows.
+``LEAST`` where that is more; the smallest hashes of id and text, copies once); every
+other count covers all rows.
 A model takes 128 KB per language, in the driver and in every task.
 
 Skew: counts combine before the shuffle, and the one join of rows with hosts has plain
@@ -98,34 +99,47 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lab
     label = F.lower(F.trim(F.col(f"`{label_col}`").cast("string")))
     rows = labelled.select(
         label.alias("label"), F.col(f"`{text_col}`").cast("string").alias("text"),
-        F.xxhash64(F.col(f"`{id_col}`").cast("string")).alias("order"),
+        F.xxhash64(F.col(f"`{id_col}`").cast("string"), F.col(f"`{text_col}`").cast("string")).alias("order"),
     ).where("label IS NOT NULL AND label != '' AND text IS NOT NULL")
     held = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}  # a row per language
     each = max(sample // max(1, len(held)), LEAST)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
+        rows_in: dict[str, int] = {}
         for batch in slices(batches, "text", 4 << 20):
             code, bounds = trigrams(batch.column("text"))
             for name, a, b in zip(batch.column("label").to_pylist(), bounds[:-1], bounds[1:]):
                 totals.setdefault(name, np.zeros(BUCKETS, np.int64))
                 totals[name] += np.bincount(code[a:b], minlength=BUCKETS)
+                rows_in[name] = rows_in.get(name, 0) + 1
         for name, total in totals.items():
             at = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([name] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(total[at])],
-                names=["label", "code", "n"])
-
-    # Only about twice the sample of a label leaves the scan, from however many partitions.
-    limits = labelled.sparkSession.createDataFrame(
-        [(k, int(min(1.0, 2 * each / n) * (1 << 40))) for k, n in held.items()], "label string, limit long")
-    picked = rows.join(F.broadcast(limits), "label").where(F.shiftrightunsigned("order", 24) < F.col("limit"))
-    found = picked.select("label", "text").mapInArrow(count, "label string, code int, n long").groupBy(
-        "label", "code").agg(F.sum("n").alias("n")).toArrow()  # at most BUCKETS rows per label
-    languages = tuple(sorted(pc.unique(found["label"]).to_pylist()))
-    counts = np.zeros((len(languages), BUCKETS))
-    row = pc.index_in(found["label"], value_set=pa.array(languages, pa.string()))
-    counts[np.asarray(row), np.asarray(found["code"])] = np.asarray(found["n"])
+                [pa.array([name] * (len(at) + 1), pa.string()), pa.array([-1, *at], pa.int32()),
+                 pa.array([rows_in[name], *total[at]], pa.int64())], names=["label", "code", "n"])
+
+    # Only about twice the sample of a label leaves the scan, from however many partitions. A
+    # label that gives less than its sample, because many rows are copies, is taken again from
+    # a larger share.
+    shares = {k: min(1.0, 2 * each / n) for k, n in held.items()}
+    found: dict[str, np.ndarray] = {}
+    while shares:
+        limits = labelled.sparkSession.createDataFrame(
+            [(k, int(share * (1 << 40))) for k, share in shares.items()], "label string, limit long")
+        picked = (rows.join(F.broadcast(limits), "label").where(F.shiftrightunsigned("order", 24) < F.col("limit"))
+                  .groupBy("label", "order").agg(F.first("text").alias("text")))  # copies count once
+        part = picked.select("label", "text").mapInArrow(count, "label string, code int, n long").groupBy(
+            "label", "code").agg(F.sum("n").alias("n")).toArrow()  # at most BUCKETS + 1 rows per label
+        names = pa.array(list(shares), pa.string())
+        dense = np.zeros((len(shares), BUCKETS + 1))
+        dense[np.asarray(pc.index_in(part["label"], value_set=names)), np.asarray(part["code"])] = np.asarray(part["n"])
+        found |= {k: v[:-1] for k, v in zip(shares, dense)}
+        # The last place holds the number of rows (code -1).
+        shares = {k: min(1.0, 8 * shares[k]) for k, v in zip(shares, dense)
+                  if shares[k] < 1 and v[-1] < min(each, held[k])}
+    languages = tuple(sorted(k for k, v in found.items() if v.any()))
+    counts = np.array([found[k] for k in languages]).reshape(len(languages), BUCKETS)
     share = counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)
     return Model(languages, np.log((1 - NOISE) * share + NOISE / BUCKETS))
 

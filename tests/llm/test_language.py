@@ -121,3 +121,20 @@ def test_rare_labels_and_many_labels_have_models(spark):
                                           F.lit(None).cast("string").alias("host")), model)
     wrong = found.join(docs.select(F.col("doc_id").alias("id"), "lang"), "id").where("language != lang OR NOT accepted")
     assert wrong.count() == 0
+
+
+def test_sample_stays_whole_among_empty_labels_and_repeated_ids(spark):
+    """Labelled rows are few among all; all ids are equal, and most rows are copies."""
+    text = lambda first, i: " ".join(chr(first + (i * 7 + j * j) % 20) * 3 for j in range(12))
+    unlabelled = spark.range(400_000).selectExpr("id as doc_id", "'words' as text", "'' as lang")
+    few = spark.createDataFrame([(i, text(0x3B1, i), "el") for i in range(10)], "doc_id long, text string, lang string")
+    assert language.fit(unlabelled.unionByName(few)).languages == ("el",)
+    for same in range(4):
+        copies = spark.range(60_000).selectExpr(f"{same}L as doc_id", "'the same words' as text", "'en' as lang")
+        others = spark.range(50).selectExpr(f"{same}L as doc_id", "concat('zebra ', repeat('q', int(id))) as text", "'en' as lang")
+        model = language.fit(copies.unionByName(others))
+        assert model.languages == ("en",)
+        # 'zeb' is in 50 of 51 distinct texts.
+        code, _ = language.trigrams(pa.array(["zeb"]))
+        rest, _ = language.trigrams(pa.array(["sam"]))
+        assert model.weights[0, code].sum() > model.weights[0, rest].sum()
