@@ -1,7 +1,8 @@
 """Licence scan by canonical digests.
 
-A text is brought to a canonical form: lower case, copyright lines dropped, punctuation
-and white space to single spaces, equivalent spellings to one of them. The SHA-256 of
+A text is brought to a canonical form: lower case, copyright notices dropped, punctuation
+and line breaks to single spaces, equivalent spellings to one of them. A body line that
+only begins with the word copyright stays. The SHA-256 of
 the whole form is joined with the digests of known licences. The same is done for every
 line, so that one-line notices inside other text are found too.
 
@@ -15,6 +16,8 @@ several times is listed once; an empty table of licences matches nothing.
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -89,32 +92,91 @@ KNOWN = [
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0"),
     ("MIT", "Released under the MIT License"),
 ]
+#: What the SQL twin takes for a copyright line; the scan itself uses ``NOTICE``.
 COPYRIGHT = r"^[^\p{L}\p{N}]*(copyright\b|©|\(c\)\s|all rights reserved)"
+
+BSD_TERMS = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+BSD_THIRD = """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+BSD_END = """
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE
+FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER
+CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY,
+OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE
+OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+BSD_2, BSD_3 = BSD_TERMS + BSD_END, BSD_TERMS + BSD_THIRD + BSD_END
+
+#: Whole texts beside those of ``KNOWN``, which the SQL twin holds too.
+MORE = [
+    ("BSD-2-Clause", BSD_2), ("BSD-2-Clause", "BSD 2-Clause License\n" + BSD_2),
+    ("BSD-3-Clause", BSD_3), ("BSD-3-Clause", "BSD 3-Clause License\n" + BSD_3),
+]
+#: Long texts come from the folder of a Debian machine: file and name; without it they are not known.
+SHIPPED = "/usr/share/common-licenses"
+SHIPPED_NAMES = {
+    "Apache-2.0": "Apache-2.0", "CC0-1.0": "CC0-1.0", "GFDL-1.2": "GFDL-1.2", "GFDL-1.3": "GFDL-1.3", "GPL-1": "GPL-1.0",
+    "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2": "LGPL-2.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0",
+    "MPL-1.1": "MPL-1.1", "MPL-2.0": "MPL-2.0",
+}
+#: A line that is a copyright notice: a year, a sign or a holder follows.
+NOTICE = (r"^[^\p{L}\p{N}(©]*(?:(?i:copyright)\s*(?:(?i:\(c\))|©|\d{4}\b)|(?i:\(c\))\s*(?:\d{4}\b|(?i:copyright)\b)|©"
+          r"|Copyright\s+(?:by\s+)?(?!(?:Notice|Holder|Owner|Law|Act|Licen[cs]e)s?\b)\p{Lu}"
+          r"|(?i:all rights reserved)[^\p{L}\p{N}]*$)")
+#: How the known texts begin; a notice that has no line of its own ends there.
+OPENINGS = r"(?:permission is hereby granted|permission to use|this software is provided|redistribution and use)"
+#: In a canonical text: a notice of at most 200 characters before the known text, after a title if there is one.
+LEADING = (r"^((?:\w+ ){0,5}?license (?:mit )?)?(?:copyright (?:c )?|c )\d{4}\b.{0,200}?\b(?=" + OPENINGS + r"\b)")
 # -------------------------------------------------------------------------------
 
 _ANY_SPELLING = r"\b(" + "|".join(SPELLINGS) + r")\b"
 
 
 def canonical(line: Column) -> Column:
-    """Canonical form of one line; empty for a copyright line."""
+    """Canonical form of a line or a text."""
     low = F.lower(line)
     plain = F.trim(F.regexp_replace(low, r"[^\p{L}\p{N}]+", " "))
     one = plain
     for spelling, kept in SPELLINGS.items():
         one = F.regexp_replace(one, rf"\b{spelling}\b", kept)
-    one = F.when(plain.rlike(_ANY_SPELLING), one).otherwise(plain)
-    return F.when(low.rlike(COPYRIGHT), F.lit("")).otherwise(one)
+    return F.when(plain.rlike(_ANY_SPELLING), one).otherwise(plain)
 
 
 def forms(text: Column) -> Column:
-    """The canonical form of the whole text, then of every line; empty lines dropped."""
-    lines = F.array_remove(F.transform(F.split(text, r"\r\n|\r|\n"), canonical), "")
-    return F.concat(F.array(F.array_join(lines, " ")), lines)
+    """Canonical forms: the text without its notice lines, the text without a leading notice
+    that shares lines with it (or empty), then every line; empty lines dropped."""
+    lines = F.array_remove(F.transform(F.split(text, r"\r\n|\r|\n"), lambda line: F.when(
+        line.rlike(NOTICE), F.lit("")).otherwise(canonical(line))), "")
+    joined = F.when(text.rlike("(?i)" + OPENINGS.replace(" ", r"\s+")) & text.rlike(r"(?i)copyright|\(c\)|©"),
+                    F.regexp_replace(canonical(text), LEADING, "$1")).otherwise("")
+    return F.concat(F.array(F.array_join(lines, " "), joined), lines)
+
+
+def shipped(folder: str = SHIPPED) -> list[tuple[str, str]]:
+    """Name and text of the licences that the driver's machine ships."""
+    files = [(name, Path(folder) / file) for file, name in SHIPPED_NAMES.items()]
+    return [(name, path.read_text("utf-8")) for name, path in files if path.exists()]
 
 
-def known_digests(spark: SparkSession, texts: list[tuple[str, str]] = KNOWN) -> DataFrame:
-    """(license, digest) of known texts; a text may have several names."""
-    table = spark.createDataFrame(texts, "license string, text string")
+def known_digests(spark: SparkSession, texts: list[tuple[str, str]] | None = None) -> DataFrame:
+    """(license, digest) of known texts, by default all of this module; a text may have several names."""
+    table = spark.createDataFrame(KNOWN + MORE + shipped() if texts is None else texts, "license string, text string")
     return table.select("license", F.sha2(forms(F.col("text"))[0], 256).alias("digest")).distinct()
 
 
@@ -130,4 +192,4 @@ def scan(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: st
     met = each.join(known, "digest", "left").where(F.col("license").isNotNull() | (F.col("at") == 0))
     names = lambda where: F.sort_array(F.collect_set(F.when(where, F.col("license"))))
     return met.groupBy("row_id").agg(
-        F.first("id").alias("id"), names(F.col("at") == 0).alias("whole"), names(F.col("at") > 0).alias("lines"))
+        F.first("id").alias("id"), names(F.col("at") <= 1).alias("whole"), names(F.col("at") > 1).alias("lines"))

@@ -50,3 +50,29 @@ def test_spellings_are_canonical(spark):
     assert not kept & set(licenses.SPELLINGS)
     row = spark.range(1).select(licenses.canonical(F.lit("The LICENCE, whilst organisation-wide")).alias("c")).first()
     assert row["c"] == "the license while organization wide"
+
+
+@pytest.mark.parametrize("name, text", [("MIT", licenses.MIT), ("ISC", licenses.ISC), ("Zlib", licenses.ZLIB),
+                                        ("BSD-2-Clause", licenses.BSD_2), ("BSD-3-Clause", licenses.BSD_3)])
+def test_known_texts_at_any_width(spark, name, text):
+    import textwrap
+
+    widths = [20, 40, 50, 60, 68, 72, 76, 80, 100, 100_000]
+    notice = "Copyright (c) 2020 Some Body and a Company of a Long Name"
+    texts = [textwrap.fill(" ".join(f"{before}{text}".split()), w)
+             for w in widths for before in ("", notice + " ", notice + ". All rights reserved. ")]
+    texts += [notice + "\n" + textwrap.fill(" ".join(text.split()), w) for w in widths]
+    found = [whole for whole, _ in scan(spark, texts)]
+    assert found == [[name]] * len(texts)
+
+
+def test_body_lines_that_begin_with_copyright_stay(spark):
+    changed = licenses.MIT + "\ncopyright holders must be paid."
+    assert scan(spark, [changed, "Copyright Some Body\n" + licenses.MIT]) == [([], []), (["MIT"], [])]
+
+
+def test_shipped_texts(spark):
+    texts = licenses.shipped()
+    if not texts:
+        pytest.skip("this machine ships no licences")
+    assert scan(spark, [text for _, text in texts]) == [([name], []) for name, _ in texts]
