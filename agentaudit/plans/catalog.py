@@ -620,21 +620,26 @@ def table_by_name(spark, sf):
     return _by_day_and_agent(tables.in_range(spark.table(name), START, END))
 
 
-#: Days that ``settle_roundtrip`` settles.
+#: Days that ``settle_roundtrip`` settles twice and returns, as its SQL twin does.
 SETTLED = ("2024-01-05", "2024-01-06")
 
 
-@query
-def settle_roundtrip(spark, sf):
-    """Days of which one part was appended and the other landed by a stream, settled twice."""
+def settled_table(spark: SparkSession, sf: str) -> DataFrame:
+    """All records after one part was appended, the other landed by a stream, and two days settled twice."""
     root = _scratch(spark)
-    records = tables.conform(fixtures.records(spark, sf)).where(F.col("date").cast("string").isin(*SETTLED))
+    records = tables.conform(fixtures.records(spark, sf))
     landed = F.col("duration_ms") % 3 == 0
     tables.append(records.where(~landed), f"{root}/table")
     pipeline.land(records.where(landed), f"{root}/landing", 0)
     for day in (*SETTLED, *SETTLED):
         tables.settle_day(spark.read.parquet(f"{root}/landing"), f"{root}/table", day)
-    return _by_day_and_agent(tables.read(spark, f"{root}/table"))
+    return tables.read(spark, f"{root}/table")
+
+
+@query
+def settle_roundtrip(spark, sf):
+    """Days of which one part was appended and the other landed by a stream, settled twice; the table has all days."""
+    return _by_day_and_agent(settled_table(spark, sf).where(F.col("date").cast("string").isin(*SETTLED)))
 
 
 @query

@@ -221,3 +221,14 @@ def test_spike_needs_history(spark):
              for i, c in enumerate(["1", "1.1", "1", "0.9", "5"])]
     rows = cost.cost_spikes(records(spark, *hours)).orderBy("hour").collect()
     assert [r.is_spike for r in rows] == [False, False, False, False, True]
+
+
+def test_settling_keeps_all_days_of_the_table(spark, sf):
+    from agentaudit.plans import catalog
+
+    by_day = lambda df: sorted(map(tuple, catalog._by_day_and_agent(df).collect()), key=repr)
+    every = tables.conform(catalog.fixtures.records(spark, sf))
+    settled = F.col("date").cast("string").isin(*catalog.SETTLED)
+    want = by_day(every.where(settled | (F.col("duration_ms") % 3 != 0)))  # other days have what was appended
+    assert len({r[0] for r in want}) > len(catalog.SETTLED)
+    assert by_day(catalog.settled_table(spark, sf)) == want
