@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure
-from . import (decontaminate, exact, language, licenses, lm, mixing, secrets, simhash, substrings,
-               tokens)
+from . import (align, decontaminate, exact, language, licenses, lm, mixing, pieces, search, secrets, simhash,
+               substrings, tokens)
 from .common import folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -162,6 +162,54 @@ def op10_license_scan(spark, sf_dir):
                         F.array_join("lines", ",").alias("line_notices"))
 
 
+@query
+def op11_token_alignment(spark, sf_dir):
+    """Tokens of two vocabularies aligned in every document, with the counts of their pairs."""
+    found, _ = align.align(table(spark, sf_dir, "documents"))
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise(F.lit(""))
+    return found.select(F.col("id").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
+                        digest.alias("groups_sha256"))
+
+
+@query
+def op12_piece_encoding(spark, sf_dir):
+    """Pieces of every document and the text they decode to."""
+    found = pieces.encode(table(spark, sf_dir, "documents"), decoded=True)
+    return found.select(
+        F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op13_lexical_search(spark, sf_dir):
+    """The ten best documents for every item of the benchmark."""
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+_TERMS = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),"
+          " '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')")
+
+ORACLES["op13_lexical_search"] = f"""
+with docs as (select doc_id, row_number() over () as r, {_TERMS} as w from documents),
+totals as (select count(*) filter (where len(w) > 0) as n_docs, cast(sum(len(w)) as bigint) as n_terms from docs),
+sizes as (select r, doc_id, 100 - 75 + (75 * len(w) * n_docs) // n_terms as m from docs, totals where len(w) > 0),
+tfs as (select r, term, count(*) as tf from (select r, unnest(w) as term from docs) group by r, term),
+weights as (select term, cast(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) as bigint) as weight
+            from tfs, totals group by term, n_docs),
+items as (select q, item_id, term, count(*) as repeats
+          from (select row_number() over () as q, item_id, unnest({_TERMS}) as term from benchmark)
+          group by q, item_id, term),
+scores as (select q, item_id, r, cast(sum(repeats * weight * ((1000000000 * tf) // (1000 * tf + 8 * m))) as bigint) as score
+           from items join weights using (term) join tfs using (term) join sizes using (r) group by q, item_id, r)
+select item_id, cast(rank as integer) as rank, doc_id, score
+from (select item_id, doc_id, score,
+             row_number() over (partition by q order by score desc, doc_id nulls last) as rank
+      from scores join sizes using (r) where score > 0)
+where rank <= 10
+"""
+
+
 def _values(rows) -> str:
     quoted = lambda v: str(v) if isinstance(v, int) else "'" + v.replace("'", "''") + "'"
     return ", ".join("(" + ", ".join(map(quoted, r)) + ")" for r in rows)

@@ -1,0 +1,85 @@
+"""Ranked search against scoring every document for every item."""
+
+import math
+import random
+import re
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from agentaudit.llm import search
+
+TERM = re.compile("[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def terms(text):
+    return TERM.findall((text or "").translate(LOWER))
+
+
+def brute(docs, items, k=10):
+    bags = [(i, Counter(terms(t))) for i, t in docs]
+    sizes = [sum(b.values()) for _, b in bags]
+    n_docs, n_terms = sum(n > 0 for n in sizes), sum(sizes)
+    df = Counter(t for _, b in bags for t in b)
+    weight = {t: math.floor(1000 * math.log((2 * n_docs + 2) / (2 * n + 1))) for t, n in df.items()}
+    out = []
+    for item, text in items:
+        found = []
+        for (i, bag), n in zip(bags, sizes):
+            m = 25 + 75 * n * n_docs // n_terms if n_terms else 0
+            score = sum(weight[t] * (1_000_000_000 * bag[t] // (1000 * bag[t] + 8 * m)) for t in terms(text) if bag[t])
+            if score > 0:
+                found.append((-score, i is None, i or 0, i))
+        out += [(item, r, f[3], -f[0]) for r, f in enumerate(sorted(found, key=lambda f: f[:3])[:k], 1)]
+    return out
+
+
+def key(row):
+    return tuple((v is None, v or 0) for v in row)
+
+
+def made(seed):
+    rng = random.Random(seed)
+    words = ["a", "B", "c", "dé", "日本", "x1", "the", "of", "And", "it's", "zz", "\x80", "_"]
+    text = lambda n: None if rng.random() < 0.05 else " ".join(rng.choices(words, k=rng.randrange(n)))
+    docs = [(rng.randrange(200) if rng.random() > 0.05 else None, text(7)) for _ in range(400)]
+    docs += [(5000 + i, "same the text a") for i in range(60)] + [(7000, "the x1 " * 20_000)]
+    items = [(i % 12, text(9)) for i in range(20)] + [(None, "the"), (99, None), (98, ""), (97, "nowhere")]
+    return docs, items
+
+
+@pytest.mark.parametrize(("item_bytes", "cells"), [(search.ITEM_BYTES, search.CELLS), (40, 64)])
+def test_against_brute_force(spark, monkeypatch, item_bytes, cells):
+    monkeypatch.setattr(search, "CELLS", cells)
+    docs, items = made(item_bytes)
+    rows = spark.createDataFrame(docs, "doc_id long, text string").withColumns(
+        {"id": F.lit("x"), "rank": F.lit(1), "terms": F.lit(2)}).repartition(6)
+    asked = spark.createDataFrame(items, "item_id int, text string").withColumns({"row": F.lit(0), "doc_id": F.lit(0)})
+    got = sorted(map(tuple, search.search(rows, asked, item_bytes=item_bytes).collect()), key=key)
+    assert got == sorted(brute(docs, items), key=key)
+
+
+def test_other_id_types(spark):
+    docs = spark.createDataFrame([("b", "x"), ("a", "x"), (None, "x"), ("c", "y x"), ("ä", "x")], "doc_id string, text string")
+    items = spark.createDataFrame([("i", "x y")], "item_id string, text string")
+    assert [r["doc_id"] for r in search.search(docs, items, k=4).orderBy("rank").collect()] == ["c", "a", "b", "ä"]
+
+
+def test_empty_tables(spark):
+    docs = spark.createDataFrame([(1, "x")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "x")], "item_id long, text string")
+    for d, i in ((docs.where("false"), items), (docs, items.where("false")), (docs, items.withColumn("text", F.lit(None)))):
+        found = search.search(d, i)
+        assert found.columns == ["item_id", "rank", "doc_id", "score"]
+        assert found.count() == 0
+
+
+def test_copies_are_cut_before_the_shuffle(spark):
+    docs = spark.range(1000).select(F.col("id").alias("doc_id"), F.lit("same text").alias("text"))
+    found = search.bags(docs.withColumnRenamed("doc_id", "id"), spark.sparkContext.broadcast(
+        search.Items(["same"]).vocabulary))
+    plan = search.classes(found, 1000, 2000, 10)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2
+    assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
