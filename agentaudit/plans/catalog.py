@@ -22,7 +22,7 @@ from ..operators import (analysis, compliance, convert, cost, lookup, loops, met
                          replay, sampling, tree)
 from ..schema import JSON_COLUMNS, RECORD
 from ..sources import nested, spans as span_files, tables
-from ..streaming import pipeline
+from ..streaming import pipeline, verdicts
 from . import fixtures
 from .fixtures import END, NOW, START
 
@@ -706,16 +706,37 @@ def stream_ingest(spark, sf):
 
 @query
 def stream_sample(spark, sf):
-    """Spans through staging and the sampling stream: spans of kept traces."""
+    """Spans through the sampling stream, decided per trace: spans of kept traces."""
     root = _scratch(spark)
     _span_files(spark, sf, root)
-    staged = f"{root}/staged"
     stream = span_files.stream_spans(spark, f"{root}/spans")
-    _finish(pipeline.stage(stream, staged, f"{root}/ck-stage", once=True))
-    again = span_files.stream_spans(spark, staged)
-    _finish(pipeline.sample(again, staged, f"{root}/kept", f"{root}/decisions",
-                            f"{root}/ck-sample", once=True))
-    return spark.read.parquet(f"{root}/kept").select("trace_id", "span_id", F.col("timestamp").alias("start_time"))
+    _finish(verdicts.sample(stream, f"{root}/kept", f"{root}/bad", f"{root}/ck", once=True))
+    return spark.read.parquet(f"{root}/kept").where(F.col("trace_id") != "f" * 32).select(
+        "trace_id", "span_id", F.col("timestamp").alias("start_time"))
+
+
+@query
+def stream_late(spark, sf):
+    """Traces with pauses far longer than the wait, over several runs of the sampling stream.
+
+    In a third of the traces the last spans come after 25 seconds, in another third the
+    last one after 36 hours, often in a later run than its trace's verdict.
+    """
+    root = _scratch(spark)
+    spans = fixtures.paused(fixtures.spans(spark, sf))
+    part = F.floor(F.datediff("start_time", F.lit(START)) / 10)
+    spans.withColumn("part", part.cast("int")).write.partitionBy("part").parquet(f"{root}/parts")
+    parts = span_files.read_spans(spark, f"{root}/parts")
+    for number in range(4):
+        mine = parts.where(F.col("part") == number).drop("part") if number < 3 else parts.where(
+            F.col("part") >= number).drop("part")
+        mine.write.mode("append").parquet(f"{root}/spans")
+        if number == 3:
+            _closing_span(spark, f"{root}/spans")
+        _finish(verdicts.sample(span_files.stream_spans(spark, f"{root}/spans"), f"{root}/kept", f"{root}/bad",
+                                f"{root}/ck", remember_seconds=7 * 86_400, once=True))
+    return spark.read.parquet(f"{root}/kept").where(F.col("trace_id") != "f" * 32).select(
+        "trace_id", "span_id", F.col("timestamp").alias("start_time"))
 
 
 @query

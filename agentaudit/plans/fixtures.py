@@ -106,6 +106,20 @@ def spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     ))
 
 
+#: How much later spans of some traces come, by the number of the trace and the place in it.
+PAUSE = """case when {trace} % 3 = 0 and {pos} >= 5 then {seconds25}
+ when {trace} % 3 = 1 and {pos} = 7 then {hours36} else {none} end"""
+
+
+def paused(spans: DataFrame) -> DataFrame:
+    """The spans with pauses inside two thirds of the traces."""
+    shift = F.expr(PAUSE.format(
+        trace="cast(conv(substring(trace_id, 17), 16, 10) as bigint)",
+        pos="((cast(conv(span_id, 16, 10) as bigint) - 1) % 8)",
+        seconds25="interval '25' second", hours36="interval '36' hour", none="interval '0' second"))
+    return spans.withColumns({c: F.col(c) + shift for c in ("start_time", "end_time")})
+
+
 def as_spans(rows: DataFrame) -> DataFrame:
     """Put record columns back into span attributes and span events."""
     text = lambda c: F.col(c).cast("string")
@@ -183,6 +197,10 @@ def _duckdb(sql: str) -> str:
     return sql
 
 
+PAUSE_SQL = PAUSE.format(
+    trace="cast('0x' || substring(trace_id, 17) as bigint)", pos="((cast('0x' || span_id as bigint) - 1) % 8)",
+    seconds25="interval 25 second", hours36="interval 36 hour", none="interval 0 second")
+
 RECORDS_SQL = """b as (
  select event_id, user_id, event_type,
         cast(json_extract_string(props, '$.k') as int) as k,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from ..functions.pii import PATTERNS
 from ..schema import JSON_COLUMNS
-from .fixtures import END, NOW, RECORDS_SQL, START, STATE
+from .fixtures import END, NOW, PAUSE_SQL, RECORDS_SQL, START, STATE
 
 W = f"with {RECORDS_SQL}"
 WR = f"with recursive {RECORDS_SQL}"
@@ -505,6 +505,15 @@ built as (
  count(*) filter (where status = 'error') as errors from records group by 1""",
     "stream_sample": f"""{W}, {FLAGS} select trace_id, span_id, timestamp as start_time from records
  where trace_id in (select trace_id from decided where keep)""",
+    "stream_late": f"""{W}, moved as (
+ select *, timestamp + {PAUSE_SQL} as start from records),
+placed as (select *, min(start) over (partition by trace_id) as first from moved),
+verdicts as (
+ select trace_id, bool_or(status = 'error' or coalesce(not all_passed, false) or risk_level in ('high', 'critical'))
+   or coalesce(epoch_us(max(start + to_milliseconds(duration_ms))) - epoch_us(min(first)) > 5000000, false)
+   or cast('0x' || left(sha256(trace_id), 8) as bigint) % 10000 < 1000 as keep
+ from placed where start <= first + interval 10 second group by 1)
+ select trace_id, span_id, start as start_time from placed where trace_id in (select trace_id from verdicts where keep)""",
     "stream_metrics": f"""{W}
  select time_bucket(interval 30 seconds, timestamp) as window_start, operation_name, model_name, count(*) as calls,
  {_d('avg(duration_ms / 1000)')} as avg_s, cast(sum({TOKENS}) as bigint) as tokens,
