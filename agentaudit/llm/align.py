@@ -8,9 +8,10 @@ word of a block is tokenised and aligned once.
 
 An array gives each A id the B id with the same bytes. Groups of one A and one B token
 that agree with it are counted in one vector per task, of the length of A's vocabulary;
-only the pairs of all other groups are shuffled, as (block, pair, count) rows. They are
-summed by pair, and each block gets back the sums of its own pairs. The vectors, and the
-highest count of every B id, are as long as a vocabulary and pass through the driver.
+only the pairs of all other groups are shuffled, summed up per task, to be summed by pair.
+Up to ``SENT_PAIRS`` sums are counted and broadcast; beyond that each block gets back the
+sums of its own pairs by joins. The vectors, and the highest count of every B id, are as
+long as a vocabulary and pass through the driver.
 
 Defined results: texts that are null or empty, or whose tokens' bytes are not those of
 the space and the text (B writes U+2581 as a space), have no tokens and count nowhere.
@@ -38,7 +39,13 @@ from .pieces import MODEL, _read, _sums, gather, pieces
 from .wordcut import between_words, cut, flat_bytes, from_offsets, prefixed
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
-SLICE = 8 << 20
+SLICE = 2 << 20
+#: Pairs a task sums up before it hands them on.
+HELD_PAIRS = 1 << 20
+#: Sums of pairs that are broadcast, 16 bytes each; more of them are joined to the blocks.
+SENT_PAIRS = 2 << 20
+#: Words the library encodes at once.
+WORDS = 1 << 14
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -76,9 +83,12 @@ class Tables:
 
     def tokens(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """A ids and B ids of all ``words``, each with the number per word."""
-        found = [e.ids for e in self.a.encode_batch_fast(words.to_pylist(), add_special_tokens=False)]
-        a_n = np.fromiter(map(len, found), np.int64, len(found))
-        a = np.fromiter((i for ids in found for i in ids), np.int64, int(a_n.sum()))
+        flat, a_n = [np.zeros(0, np.int64)], np.zeros(len(words), np.int64)
+        for at in range(0, len(words), WORDS):  # the library's results take far more room than the ids
+            found = [e.ids for e in self.a.encode_batch_fast(words[at:at + WORDS].to_pylist(), add_special_tokens=False)]
+            a_n[at:at + WORDS] = [len(ids) for ids in found]
+            flat.append(np.array([i for ids in found for i in ids], np.int64))
+        a = np.concatenate(flat)
         b, b_n = self.b.words(words)
         return a, a_n, b, b_n
 
@@ -146,16 +156,35 @@ def _one(array: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(array)], pa.int32()), array)
 
 
+class Sums:
+    """Counts of id pairs so far, sorted by pair."""
+
+    def __init__(self):
+        self.pairs, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def add(self, pairs: np.ndarray, counts: np.ndarray) -> None:
+        self.pairs, which = np.unique(np.concatenate((self.pairs, pairs)), return_inverse=True)
+        total = np.zeros(len(self.pairs), np.int64)
+        np.add.at(total, which, np.concatenate((self.counts, counts)))
+        self.counts = total
+
+
 def _blocks(rows: DataFrame, vocabulary, model) -> DataFrame:
-    """A row per slice of text, and a row with the vector of direct links per task."""
+    """A row per slice of text; and, per task, rows with the pairs and the vector of direct links."""
     id_type = rows.schema["id"].dataType
-    columns = [("block", pa.int64()), ("ids", None), ("lens", pa.list_(pa.int32())),
-               *((c, pa.binary()) for c in ("codes", "a", "a_n", "b", "b_n")),
-               ("pairs", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64())), ("direct", pa.binary())]
+    parts = ("codes", "a", "a_n", "b", "b_n")
+    names = ["block", "ids", "lens", *parts, "pairs", "counts", "direct"]
+    longs, blob = pa.list_(pa.int64()), pa.binary()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = tables(vocabulary.value, model.value)
-        direct, number, id_list = np.zeros(len(table.a_len), np.int64), TaskContext.get().partitionId() << 32, None
+        direct, sums, number, id_list = np.zeros(len(table.a_len), np.int64), Sums(), TaskContext.get().partitionId() << 32, None
+
+        def summary(vector: pa.Array) -> pa.RecordBatch:
+            empty = [pa.nulls(1, kind) for kind in (pa.int64(), id_list, pa.list_(pa.int32()), *[blob] * len(parts))]
+            return pa.RecordBatch.from_arrays(
+                [*empty, _one(pa.array(sums.pairs)), _one(pa.array(sums.counts)), vector], names=names)
+
         for batch in slices(batches, "text", SLICE):
             words, codes, lens = cut(prefixed(batch.column("text")), between_words)
             a, a_n, b, b_n = table.tokens(words)
@@ -171,28 +200,26 @@ def _blocks(rows: DataFrame, vocabulary, model) -> DataFrame:
             links = Links(table, a, a_n, b, b_n)
             weight = used[kept][links.word]
             np.add.at(direct, links.a[links.direct], weight[links.direct])
-            pairs, which = np.unique(links.pair[~links.direct], return_inverse=True)
-            counts = np.zeros(len(pairs), np.int64)
-            np.add.at(counts, which, weight[~links.direct])
+            sums.add(links.pair[~links.direct], weight[~links.direct])
             ids = _one(batch.column("id"))
             id_list = ids.type
-            packed = [pa.array([pack(v)], pa.binary()) for v in (renumber[codes], a, a_n, b, b_n)]
+            packed = [pa.array([pack(v)], blob) for v in (renumber[codes], a, a_n, b, b_n)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([number], pa.int64()), ids, _one(pa.array(lens, pa.int32())), *packed,
-                 _one(pa.array(pairs)), _one(pa.array(counts)), pa.nulls(1, pa.binary())], names=[c for c, _ in columns])
+                 pa.nulls(1, longs), pa.nulls(1, longs), pa.nulls(1, blob)], names=names)
             number += 1
+            if len(sums.pairs) > HELD_PAIRS:
+                yield summary(pa.nulls(1, blob))
+                sums = Sums()
         if id_list is not None:
-            yield pa.RecordBatch.from_arrays(
-                [pa.nulls(1, id_list if c == "ids" else kind) for c, kind in columns[:-1]]
-                + [pa.array([direct.tobytes()], pa.binary())], names=[c for c, _ in columns])
+            yield summary(pa.array([direct.tobytes()], blob))
 
-    long, blob = T.LongType(), T.BinaryType()
+    long, binary = T.LongType(), T.BinaryType()
     return rows.mapInArrow(run, T.StructType([
         T.StructField("block", long), T.StructField("ids", T.ArrayType(id_type)),
-        T.StructField("lens", T.ArrayType(T.IntegerType())),
-        *(T.StructField(c, blob) for c in ("codes", "a", "a_n", "b", "b_n")),
+        T.StructField("lens", T.ArrayType(T.IntegerType())), *(T.StructField(c, binary) for c in parts),
         T.StructField("pairs", T.ArrayType(long)), T.StructField("counts", T.ArrayType(long)),
-        T.StructField("direct", blob)]))
+        T.StructField("direct", binary)]))
 
 
 def _vector(rows: DataFrame, size: int) -> np.ndarray:
@@ -201,6 +228,31 @@ def _vector(rows: DataFrame, size: int) -> np.ndarray:
     return parts.treeAggregate(np.zeros(size, np.int64), lambda x, y: x + y, lambda x, y: x + y, depth=3)
 
 
+def _block(batch: pa.RecordBatch, row: int, table: Tables) -> tuple:
+    value = lambda name: batch.column(name)[row]
+    codes, *tokens = (unpack(value(c).as_py()) for c in ("codes", "a", "a_n", "b", "b_n"))
+    return codes, tokens, Links(table, *tokens)
+
+
+def _own_counts(blocks: DataFrame, totals: DataFrame, sent) -> DataFrame:
+    """``blocks`` with the sums of their own pairs, for sums too many to broadcast."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = tables(*(f.value for f in sent))
+        for batch in batches:
+            for row in range(batch.num_rows):
+                links = _block(batch, row, table)[2]
+                pairs = np.unique(links.pair[~links.direct])
+                block = np.full(len(pairs), batch.column("block")[row].as_py())
+                yield pa.RecordBatch.from_arrays([pa.array(block), pa.array(pairs)], names=["block", "pair"])
+
+    each = blocks.drop("ids", "lens", "pairs", "n").mapInArrow(run, "block long, pair long")
+    back = each.join(totals.hint("merge"), "pair").groupBy("block").agg(
+        F.sort_array(F.collect_list(F.struct("pair", "n"))).alias("own"))
+    return blocks.join(back.hint("merge"), "block", "left").withColumns({
+        "pairs": F.col("own.pair"), "n": F.col("own.n")}).drop("own")
+
+
 def align(docs: DataFrame, vocabulary: str = VOCABULARY, model: str = MODEL, id_col: str = "doc_id",
           text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """Two tables: the documents' alignments, and the counts of linked id pairs.
@@ -216,14 +268,13 @@ def align(docs: DataFrame, vocabulary: str = VOCABULARY, model: str = MODEL, id_
     sent = [spark.sparkContext.broadcast(f) for f in files]
     table = tables(*files)
     made = stored(_blocks(rows, *sent), "aligned")
-    blocks = made.where("direct IS NULL")
     vector = _vector(made, len(table.a_len))
     own = np.flatnonzero(vector)
     direct = spark.createDataFrame(pa.table({
         "pair": pa.array(own << 32 | table.identity[own]), "n": pa.array(vector[own])}), "pair long, n long")
-    each = blocks.select("block", F.posexplode(F.arrays_zip("pairs", "counts")).alias("at", "pair")).select(
-        "block", "at", F.col("pair.pairs").alias("pair"), F.col("pair.counts").alias("n"))
-    totals = stored(each.select("pair", "n").unionByName(direct).groupBy("pair").agg(F.sum("n").alias("n")), "pairs")
+    each = made.where("block IS NULL").select(F.explode(F.arrays_zip("pairs", "counts")).alias("one")).select(
+        F.col("one.pairs").alias("pair"), F.col("one.counts").alias("n"))
+    totals = stored(each.unionByName(direct).groupBy("pair").agg(F.sum("n").alias("n")), "pairs")
 
     # One number per id of a vocabulary each.
     best = np.zeros(len(table.b_len), np.int64)
@@ -232,26 +283,29 @@ def align(docs: DataFrame, vocabulary: str = VOCABULARY, model: str = MODEL, id_
     identical = np.zeros(len(table.a_len), np.int64)
     for pair, n in totals.join(F.broadcast(direct.select("pair")), "pair").collect():
         identical[pair >> 32] = n
-    sums = spark.sparkContext.broadcast((best, identical))
-
-    back = each.select("block", "at", "pair").join(totals, "pair").groupBy("block").agg(
-        F.collect_list(F.struct("at", "n")).alias("known"))
+    blocks = made.where("block IS NOT NULL").select(
+        "block", "ids", "lens", "codes", "a", "a_n", "b", "b_n", F.lit(None).cast("array<bigint>").alias("pairs"),
+        F.lit(None).cast("array<bigint>").alias("n"))
+    if totals.count() <= SENT_PAIRS:
+        found = totals.orderBy("pair").toArrow()
+        every = [found.column(c).combine_chunks().to_numpy() for c in ("pair", "n")]
+    else:
+        every = [np.zeros(0, np.int64)] * 2
+        blocks = _own_counts(blocks, totals, sent)
+    sums = spark.sparkContext.broadcast((best, identical, *every))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, (best, identical) = tables(*(f.value for f in sent)), sums.value
+        table, (best, identical, *every) = tables(*(f.value for f in sent)), sums.value
         for batch in batches:
             for row in range(batch.num_rows):
                 value = lambda name: batch.column(name)[row]  # noqa: B023,E731
                 lens = np.asarray(value("lens").values, dtype=np.int64)
-                codes, a, a_n, b, b_n = (unpack(value(c).as_py()) for c in ("codes", "a", "a_n", "b", "b_n"))
-                links = Links(table, a, a_n, b, b_n)
-                n = identical[links.a]
-                known = value("known")
-                if known.is_valid:
-                    of_pair = np.zeros(len(value("pairs").values), np.int64)
-                    of_pair[np.asarray(known.values.field("at"))] = np.asarray(known.values.field("n"))
-                    other = ~links.direct
-                    n[other] = of_pair[np.unique(links.pair[other], return_inverse=True)[1]]
+                codes, (a, a_n, b, b_n), links = _block(batch, row, table)
+                pairs, counts = (np.asarray(value(c).values, dtype=np.int64) for c in ("pairs", "n")) if value(
+                    "pairs").is_valid else every
+                other, n = ~links.direct, identical[links.a]
+                if other.any():
+                    n[other] = counts[np.searchsorted(pairs, links.pair[other])]
                 total, top = np.zeros(len(a_n), np.int64), np.zeros(len(a_n), np.int64)
                 np.add.at(total, links.word, n)
                 np.add.at(top, links.word, (n == best[links.b]).astype(np.int64))
@@ -260,8 +314,7 @@ def align(docs: DataFrame, vocabulary: str = VOCABULARY, model: str = MODEL, id_
                     [value("ids").values, *map(pa.array, numbers), _groups(links, table, a, a_n, b, b_n, codes, lens)],
                     names=["id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"])
 
-    whole = blocks.drop("counts", "direct").join(back.hint("merge"), "block", "left")
-    found = whole.mapInArrow(run, T.StructType([
+    found = blocks.mapInArrow(run, T.StructType([
         rows.schema["id"], *(T.StructField(c, T.LongType()) for c in (
             "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")), T.StructField("groups", T.StringType())]))
     return found, totals.selectExpr("cast(shiftright(pair, 32) as int) as a", "cast(pair & 4294967295L as int) as b", "n")

@@ -4,6 +4,7 @@ import bisect
 import random
 from collections import Counter
 
+import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -64,8 +65,11 @@ def brute(rows):
              sum(pairs[x] for x in links), text) for doc, n_a, n_b, n_groups, links, text in found], pairs
 
 
-def test_against_brute_force(spark, monkeypatch):
+@pytest.mark.parametrize("sent", [align.SENT_PAIRS, 0])
+def test_against_brute_force(spark, monkeypatch, sent):
     monkeypatch.setattr(align, "SLICE", 2000)  # many blocks
+    monkeypatch.setattr(align, "HELD_PAIRS", 300)
+    monkeypatch.setattr(align, "SENT_PAIRS", sent)
     rng = random.Random(3)
     rows = [(1, None), (2, ""), (3, " "), (3, "x"), (3, "x"), (None, "the end"), (4, "ab " * 3000)]
     rows += [(i + 10, "".join(rng.choices(PARTS, k=rng.randrange(30)))) for i in range(600)]
