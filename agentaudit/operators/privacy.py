@@ -40,8 +40,13 @@ def payload_leaves(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -
         F.create_map(*[x for c in columns for x in (F.lit(c), F.col(c))]),
         lambda _, v: v.isNotNull(),
     )).alias("field", "payload"))
-    return stacked.select(*[c for c in stacked.columns if c != "payload"],
-                          F.inline(json_leaves(F.col("payload"))))
+    return json_leaves(stacked, "payload")
+
+
+def field_path() -> Column:
+    """Column and path of a string in one, such as ``state.a.b[0]``."""
+    return F.concat(F.col("field"), F.when(F.col("path").startswith("["), "")
+                    .when(F.col("path") == "", "").otherwise("."), F.col("path"))
 
 
 def payload_detections(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
@@ -49,15 +54,13 @@ def payload_detections(df: DataFrame, keys: Sequence[str], columns: Sequence[str
     """One row per match inside JSON payload columns, with its path.
 
     Payloads without a digit or ``@`` (or an escape that may hide one) are
-    dropped before Python sees them, unless there are patterns of one's own.
+    dropped before they are parsed, unless there are patterns of one's own.
     """
     if not redactor.custom:
         worth = lambda c: F.when(F.col(c).rlike(r"(?U)[@\d\\]"), F.col(c)).alias(c)
         df = df.select(*keys, *[worth(c) for c in columns])
     values = payload_leaves(df, keys, columns)
-    path = F.concat(F.col("field"), F.when(F.col("path").startswith("["), "")
-                    .when(F.col("path") == "", "").otherwise("."), F.col("path"))
-    return detections(values.withColumn("field_path", path), [*keys, "field_path"], "value", redactor)
+    return detections(values.withColumn("field_path", field_path()), [*keys, "field_path"], "value", redactor)
 
 
 def summary(found: DataFrame) -> DataFrame:

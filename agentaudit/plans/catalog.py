@@ -69,13 +69,15 @@ def _scratch(spark: SparkSession) -> str:
 
 @query
 def trace_scan(spark, sf):
-    """The trace with the most errors, all its records in time order."""
-    records = fixtures.records(spark, sf)
+    """The trace with the most errors, all its records in time order, from a table laid out by trace."""
+    path = _scratch(spark)
+    tables.append(fixtures.records(spark, sf), path, layout="trace")
+    records = tables.read(spark, path)
     worst = (
         records.groupBy("trace_id").agg(F.count_if(F.col("status") == "error").alias("n"))
         .orderBy(F.desc("n"), "trace_id").limit(1)
     )
-    return lookup.traces(records, worst).select(
+    return tables.find_traces(records, [r["trace_id"] for r in worst.collect()]).select(
         "trace_id", "span_id", "timestamp", "agent_id", "operation_name", "duration_ms", "status"
     )
 
@@ -353,10 +355,11 @@ def pii_summary(spark, sf):
 
 @query
 def pii_payload_redact(spark, sf):
-    records = fixtures.records(spark, sf)
-    clean = redact_json(F.col("reasoning"), Redactor(patterns=("email",)))
-    return records.where(F.col("reasoning").isNotNull()).select(
-        "span_id", F.get_json_object(clean, "$.rationale").alias("rationale"))
+    """All payload columns redacted with all patterns: every string that is left in them."""
+    records = fixtures.records(spark, sf).withColumn("state", F.expr(fixtures.STATE))
+    clean = records.withColumns({c: redact_json(F.col(c), Redactor()) for c in JSON_COLUMNS})
+    return privacy.payload_leaves(clean, ["span_id"], JSON_COLUMNS).select(
+        "span_id", privacy.field_path().alias("field_path"), "value")
 
 
 @query
@@ -620,26 +623,19 @@ def table_by_name(spark, sf):
     return _by_day_and_agent(tables.in_range(spark.table(name), START, END))
 
 
-#: Days that ``settle_roundtrip`` settles twice and returns, as its SQL twin does.
-SETTLED = ("2024-01-05", "2024-01-06")
-
-
-def settled_table(spark: SparkSession, sf: str) -> DataFrame:
-    """All records after one part was appended, the other landed by a stream, and two days settled twice."""
-    root = _scratch(spark)
-    records = tables.conform(fixtures.records(spark, sf))
-    landed = F.col("duration_ms") % 3 == 0
-    tables.append(records.where(~landed), f"{root}/table")
-    pipeline.land(records.where(landed), f"{root}/landing", 0)
-    for day in (*SETTLED, *SETTLED):
-        tables.settle_day(spark.read.parquet(f"{root}/landing"), f"{root}/table", day)
-    return tables.read(spark, f"{root}/table")
-
-
 @query
 def settle_roundtrip(spark, sf):
-    """Days of which one part was appended and the other landed by a stream, settled twice; the table has all days."""
-    return _by_day_and_agent(settled_table(spark, sf).where(F.col("date").cast("string").isin(*SETTLED)))
+    """All days, of which one part was appended and the other landed by a stream, settled twice."""
+    root = _scratch(spark)
+    records = tables.conform(fixtures.records(spark, sf))
+    from_stream = F.col("duration_ms") % 3 == 0
+    tables.append(records.where(~from_stream), f"{root}/table")
+    pipeline.land(records.where(from_stream), f"{root}/landing", 0)
+    landed = spark.read.parquet(f"{root}/landing")
+    days = [r["date"] for r in landed.select("date").distinct().collect()]  # a row per day
+    for _ in range(2):
+        tables.settle_days(landed, f"{root}/table", days)
+    return _by_day_and_agent(tables.read(spark, f"{root}/table"))
 
 
 @query

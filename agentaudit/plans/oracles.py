@@ -113,7 +113,7 @@ framed as (
  from framed where hour = called"""
 
 
-def _redact_steps(strategy: str, kinds: list[str]) -> tuple[str, str]:
+def _redact_steps(strategy: str, kinds: list[str], table: str = "documents", key: str = "doc_id") -> tuple[str, str]:
     """Steps that run the patterns one after another, and the name of the last."""
     def new(kind: str) -> str:
         if strategy == "hash":
@@ -124,10 +124,10 @@ def _redact_steps(strategy: str, kinds: list[str]) -> tuple[str, str]:
             return "regexp_replace(m, '[^@]', '*', 'g')"
         return f"concat(repeat('*', cast(least(length(m), 12) as bigint)), '[{kind}]')"
 
-    parts, last = [], "documents"
+    parts, last = [], table
     for i, kind in enumerate(kinds):
         pattern = PATTERNS[kind]
-        parts.append(f"""s{i} as (select doc_id,
+        parts.append(f"""s{i} as (select {key},
  array_to_string(list_transform(list_zip(string_split_regex(text, '{pattern}'),
    list_append(list_transform(regexp_extract_all(text, '{pattern}'), lambda m: {new(kind)}), '')),
    lambda z: concat(z[1], z[2])), '') as text from {last})""")
@@ -186,8 +186,9 @@ EMAIL = PATTERNS["email"]
 # All strings of all payload columns, with their paths, and what the patterns find in them.
 _LEAVES = " union all ".join(f"""select concat(span_id, '|{c}', replace(substr(t.fullkey, 2), '"', '')) as key,
  t.atom ->> '$' as text from records_ r, json_tree(r.{c}) t where t.type = 'VARCHAR'""" for c in JSON_COLUMNS)
-PAYLOAD = f"""records_ as (select *, {STATE} as state from records),
-leaves as ({_LEAVES}), {_detect_steps("leaves", "key", list(PATTERNS))},
+PAYLOAD_LEAVES = f"""records_ as (select *, {STATE} as state from records), leaves as ({_LEAVES})"""
+_REDACTED_LEAVES = _redact_steps("hash", list(PATTERNS), "leaves", "key")
+PAYLOAD = f"""{PAYLOAD_LEAVES}, {_detect_steps("leaves", "key", list(PATTERNS))},
 located as (select split_part(key, '|', 1) as span_id, substr(key, strpos(key, '|') + 1) as field_path, * from found)"""
 
 ERR = "concat(coalesce(error_type, 'None'), ': ', coalesce(error_message, 'None'))"
@@ -369,10 +370,9 @@ pieces as (select *, lead(depth) over (partition by trace_id order by path) as f
     "pii_payload_paths": f"""{W}, {PAYLOAD} select span_id, field_path, type, start, "end", length from located""",
     "pii_summary": f"""{W}, {PAYLOAD} select type, regexp_replace(field_path, '\\[[0-9]+\\]', '[]', 'g') as field_path, count(*) as detections,
  cast(sum(length) as bigint) as characters from located group by 1, 2""",
-    "pii_payload_redact": f"""{W} select span_id, case when regexp_matches(reasoning, '{EMAIL}')
- then regexp_replace(reasoning ->> '$.rationale', '{EMAIL}',
-   concat('[email:sha256:', left(sha256(regexp_extract(reasoning ->> '$.rationale', '{EMAIL}')), 12), ']'))
- else reasoning ->> '$.rationale' end as rationale from records where reasoning is not null""",
+    "pii_payload_redact": f"""{W}, {PAYLOAD_LEAVES}, {_REDACTED_LEAVES[0]}
+ select split_part(key, '|', 1) as span_id, substr(key, strpos(key, '|') + 1) as field_path, text as value
+ from {_REDACTED_LEAVES[1]}""",
     # Matches by length; one is taken if it overlaps none that was taken before.
     "pii_redact_longest": f"""with recursive {DETECT},
 ranked as (select *, row_number() over (partition by doc_id order by length desc, start, nth) as i from found),
@@ -492,8 +492,7 @@ built as (
     "table_by_name": f"""{W} select strftime(timestamp, '%Y-%m-%d') as date, agent_id, count(*) as records,
  {_d('sum(cost_usd)')} as cost, count(compliance) as checked from records group by 1, 2""",
     "settle_roundtrip": f"""{W} select strftime(timestamp, '%Y-%m-%d') as date, agent_id, count(*) as records,
- {_d('sum(cost_usd)')} as cost, count(compliance) as checked from records
- where strftime(timestamp, '%Y-%m-%d') in ('2024-01-05', '2024-01-06') group by 1, 2""",
+ {_d('sum(cost_usd)')} as cost, count(compliance) as checked from records group by 1, 2""",
     "spans_from_json": f"""{W} select agent_id, count(*) as records, {_d('sum(cost_usd)')} as cost,
  count(*) filter (where status = 'error') as errors from records group by 1""",
     "pii_own_strategy": f"""select doc_id, regexp_replace(text, '{EMAIL}', '<email>', 'g') as text,

@@ -15,6 +15,10 @@ SETTINGS = {
     # trace may hold a large share of all rows.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # A look-up of up to a hundred ids reaches the Parquet reader, and so the Bloom filters.
+    "spark.sql.parquet.pushdown.inFilterThreshold": "100",
+    # Of repeated keys in a JSON payload the last one counts, as JSON readers commonly do.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     # Spans of one session are merged before they meet their trace's task.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }

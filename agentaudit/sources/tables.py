@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, datetime
 
 from pyspark.errors import AnalysisException
@@ -16,20 +17,34 @@ from ..session import cut
 BATCH_ROWS = 1024
 #: How often a stream writes a batch.
 BATCH_SECONDS = 5
+#: Written into every row group: a Bloom filter of its trace ids, as large as it needs to be.
+TRACE_INDEX = {
+    "parquet.bloom.filter.enabled#trace_id": "true",
+    "parquet.bloom.filter.adaptive.enabled": "true",
+    "parquet.bloom.filter.max.bytes": str(1 << 20),
+}
+#: How rows lie inside a day: by agent and time, or all rows of a trace together.
+LAYOUTS = {
+    "agent": ["agent_id", "timestamp", "span_id"],
+    "trace": ["trace_hash", "trace_id", "timestamp", "span_id"],
+}
+#: Most trace ids of one look-up; session.SETTINGS lets the reader push as many.
+LOOKUP_IDS = 100
 
 
 def create_table(spark: SparkSession, name: str, path: str | None = None) -> None:
     """Create the append-only record table if it does not exist.
 
-    Instead of indexes: partitions by ``date`` serve the time filters, and rows
-    sorted by agent and time inside each file serve agent and error look-ups
-    through Parquet statistics.
+    Instead of indexes: partitions by ``date`` serve the time filters, rows sorted by
+    agent and time inside each file serve agent and error look-ups through Parquet
+    statistics, and Bloom filters of the trace ids serve look-ups of traces.
     """
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in RECORD)
     location = f" LOCATION '{path}'" if path else ""
+    options = ", ".join(f"'{k}' '{v}'" for k, v in TRACE_INDEX.items())
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({columns}) "
-        f"USING parquet PARTITIONED BY (date){location}"
+        f"USING parquet OPTIONS ({options}) PARTITIONED BY (date){location}"
     )
 
 
@@ -66,22 +81,24 @@ def conform(records: DataFrame) -> DataFrame:
     return records.select(*[column(f) for f in RECORD])
 
 
-def _clustered(records: DataFrame) -> DataFrame:
-    """Records in table form, range-partitioned and sorted by day, agent and time."""
-    order = ["date", "agent_id", "timestamp", "span_id"]
+def _clustered(records: DataFrame, layout: str = "agent") -> DataFrame:
+    """Records in table form, range-partitioned and sorted by day and the layout's columns."""
+    order = [F.xxhash64("trace_id") if c == "trace_hash" else F.col(c) for c in ["date", *LAYOUTS[layout]]]
     return conform(records).repartitionByRange(*order).sortWithinPartitions(*order)
 
 
-def append(records: DataFrame, target: str, max_rows_per_file: int | None = None) -> None:
+def append(records: DataFrame, target: str, max_rows_per_file: int | None = None, layout: str = "agent") -> None:
     """Append records to the table ``target``, a path or the name of a created table.
 
     An empty input adds no rows. New days of a named table are registered with it.
 
-    The rows are range-partitioned by day, agent and time: a hot day or agent is
-    spread over many tasks, and each file covers a narrow range of agents and
-    times, which its Parquet statistics then let later scans skip.
+    The rows are range-partitioned by day and the columns of the ``layout``. By agent and
+    time, a hot day or agent is spread over many tasks, and each file covers a narrow range
+    of agents and times, which its Parquet statistics let later scans skip. By trace, the
+    rows of a trace lie together, so that a look-up reads one or two row groups a day; a
+    hot trace is still spread, since the range goes on by time.
     """
-    writer = _clustered(records).write.mode("append")
+    writer = _clustered(records, layout).write.mode("append").options(**TRACE_INDEX)
     if max_rows_per_file:
         writer = writer.option("maxRecordsPerFile", max_rows_per_file)
     if "/" in target:
@@ -90,22 +107,28 @@ def append(records: DataFrame, target: str, max_rows_per_file: int | None = None
         writer.insertInto(target)
 
 
-def settle_day(landed: DataFrame, path: str, day) -> None:
-    """Write one day of landed stream output to the table, in large clustered files.
+def settle_day(landed: DataFrame, path: str, day, layout: str = "agent") -> None:
+    """Write one day of landed stream output to the table; see ``settle_days``."""
+    settle_days(landed, path, [day], layout)
 
-    Streams leave many small files. This replaces the day in the table by all that has
-    landed for it and by what else the table holds: records that came another way, such
-    as appended ones, stay. It can run again after late spans came in.
+
+def settle_days(landed: DataFrame, path: str, days: Sequence, layout: str = "agent") -> None:
+    """Write days of landed stream output to the table, in large clustered files.
+
+    Streams leave many small files. This replaces the days in the table by all that has
+    landed for them and by what else the table holds: records that came another way, such
+    as appended ones, stay. It can run again after late spans came in. Other days are
+    neither read nor written.
     """
-    today = F.col("date") == F.lit(day).cast("date")
-    rows = conform(landed.where(today))
+    these = F.col("date").isin([str(d) for d in days])
+    rows = conform(landed.where(these))
     spark = landed.sparkSession
     if _exists(spark, path):
-        # Read before the day is replaced, and cut off from the files that go.
-        others = read(spark, path).where(today).join(
+        # Read before the days are replaced, and cut off from the files that go.
+        others = read(spark, path).where(these).join(
             rows.select("trace_id", "span_id"), ["trace_id", "span_id"], "left_anti")
         rows = rows.unionByName(cut(others.select(*rows.columns)))
-    _clustered(rows).write.mode("overwrite").option(
+    _clustered(rows, layout).write.mode("overwrite").options(**TRACE_INDEX).option(
         "partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
 
 
@@ -122,6 +145,24 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RECORD).parquet(path)
 
 
+def find_traces(records: DataFrame, trace_ids: Sequence[str], first_day=None, last_day=None) -> DataFrame:
+    """All records of a few traces of the stored table, read through its Bloom filters.
+
+    Row groups without any of the ids are not read; ``first_day`` and ``last_day`` leave
+    out whole days, both included. For more than ``LOOKUP_IDS`` ids join with a table of
+    them instead (``lookup.traces``). Unknown ids find nothing; null ids are ignored.
+    """
+    ids = sorted({i for i in trace_ids if i is not None})
+    if len(ids) > LOOKUP_IDS:
+        raise ValueError(f"a look-up takes up to {LOOKUP_IDS} trace ids")
+    keep = F.col("trace_id").isin(ids)
+    if first_day is not None:
+        keep &= F.col("date") >= F.lit(first_day).cast("date")
+    if last_day is not None:
+        keep &= F.col("date") <= F.lit(last_day).cast("date")
+    return records.where(keep).orderBy("trace_id", "timestamp", "span_id")
+
+
 def in_range(records: DataFrame, start, end, end_inclusive_day: bool = False) -> DataFrame:
     """Records with ``timestamp`` between two bounds, both included.
 

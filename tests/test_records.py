@@ -1,9 +1,13 @@
 import json
 from datetime import datetime, timedelta
+from pathlib import Path
 
+import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
 from agentaudit.operators import compliance, convert, cost, lookup, metrics
+from agentaudit.schema import RECORD
 from agentaudit.sources import nested, tables
 from agentaudit.streaming import pipeline
 
@@ -223,12 +227,100 @@ def test_spike_needs_history(spark):
     assert [r.is_spike for r in rows] == [False, False, False, False, True]
 
 
-def test_settling_keeps_all_days_of_the_table(spark, sf):
+def test_settling_keeps_all_days_of_the_table(spark, sf, tmp_path):
     from agentaudit.plans import catalog
 
     by_day = lambda df: sorted(map(tuple, catalog._by_day_and_agent(df).collect()), key=repr)
     every = tables.conform(catalog.fixtures.records(spark, sf))
-    settled = F.col("date").cast("string").isin(*catalog.SETTLED)
-    want = by_day(every.where(settled | (F.col("duration_ms") % 3 != 0)))  # other days have what was appended
-    assert len({r[0] for r in want}) > len(catalog.SETTLED)
-    assert by_day(catalog.settled_table(spark, sf)) == want
+    path, landing, days = str(tmp_path / "table"), str(tmp_path / "landing"), ["2024-01-05", "2024-01-06"]
+    came = F.col("duration_ms") % 3 == 0
+    tables.append(every.where(~came), path)
+    pipeline.land(every.where(came), landing, 0)
+    for _ in range(2):
+        tables.settle_days(spark.read.parquet(landing), path, days)
+    settled = F.col("date").cast("string").isin(*days)
+    want = by_day(every.where(settled | ~came))  # other days have what was appended
+    assert len({r[0] for r in want}) > len(days)
+    assert by_day(tables.read(spark, path)) == want
+
+
+def many_traces(spark, traces, spans):
+    """Traces whose spans have agents of their own, so that agents scatter a trace."""
+    rows = spark.range(traces * spans).selectExpr(
+        f"sha2(cast(id div {spans} as string), 256) as long_id", f"id % {spans} as nth", "id")
+    return tables.conform(rows.select(
+        F.substring("long_id", 1, 32).alias("trace_id"), F.lpad(F.hex("id"), 16, "0").alias("span_id"),
+        F.timestamp_seconds(F.lit(1_772_000_000) + F.col("id") % 3600).alias("timestamp"),
+        F.concat(F.lit("agent-"), F.col("nth")).alias("agent_id"),
+        F.repeat(F.sha2(F.col("span_id"), 256), 4).alias("error_message")))
+
+
+def rows_read(df):
+    """What the file scan gave to the filter, and the rows found."""
+    found = df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    plan = plan.finalPhysicalPlan() if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec" else plan
+    leaves = []
+
+    def walk(node):
+        children = node.children()
+        if children.isEmpty() and hasattr(node, "plan") and node.getClass().getSimpleName().endswith("QueryStageExec"):
+            walk(node.plan())
+        elif children.isEmpty():
+            leaves.append(node)
+        for i in range(children.size()):
+            walk(children.apply(i) if not node.getClass().getSimpleName().endswith("StageExec") else node.plan())
+
+    walk(plan)
+    return leaves[0].metrics().get("numOutputRows").get().value(), found
+
+
+@pytest.mark.parametrize(("layout", "groups"), [("trace", 1), ("agent", 4)])
+def test_a_trace_is_found_through_bloom_filters(spark, tmp_path, monkeypatch, layout, groups):
+    path = str(tmp_path / "t")
+    monkeypatch.setitem(tables.TRACE_INDEX, "parquet.block.size", str(128 << 10))
+    # The first pages are not to be left out by their statistics: only row groups count here.
+    tables.append(many_traces(spark, 5000, 4).coalesce(1), path, layout=layout)
+    sizes = [pq.ParquetFile(f).metadata.row_group(g).num_rows for f in Path(path).rglob("*.parquet")
+             for g in range(pq.ParquetFile(f).metadata.num_row_groups)]
+    assert len(sizes) > 30
+    stored = spark.read.schema(RECORD).option("parquet.filter.columnindex.enabled", "false")
+    ids = [r[0] for r in stored.parquet(path).select("trace_id").distinct().orderBy("trace_id").limit(3).collect()]
+    read, found = rows_read(tables.find_traces(stored.parquet(path), ids[:1]))
+    assert len(found) == 4
+    assert max(sizes) * (groups + 1) >= read >= 4  # at most one group too many
+    read, found = rows_read(tables.find_traces(stored.parquet(path), ids + [None, "unknown"]))
+    assert len(found) == 12 and read <= max(sizes) * (3 * groups + 6)
+    without = stored.option("parquet.filter.bloom.enabled", "false").option("parquet.filter.dictionary.enabled", "false")
+    if layout == "agent":
+        assert rows_read(tables.find_traces(without.parquet(path), ids[:1]))[0] == sum(sizes)
+
+
+def test_days_limit_a_look_up(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = [record(span=str(d), timestamp=datetime(2026, 3, d, 5)) for d in (1, 2, 3)]
+    tables.append(records(spark, *rows), path, layout="trace")
+    found = tables.find_traces(tables.read(spark, path), ["t"], "2026-03-02", "2026-03-03")
+    assert [r.span_id for r in found.collect()] == ["2", "3"]
+    assert "PartitionFilters: [isnotnull(date" in found._jdf.queryExecution().executedPlan().toString()
+    assert tables.find_traces(tables.read(spark, path), []).count() == 0
+    with pytest.raises(ValueError):
+        tables.find_traces(tables.read(spark, path), [str(i) for i in range(101)])
+
+
+def test_named_tables_have_bloom_filters(spark, tmp_path):
+    tables.create_table(spark, "audit_bloom", str(tmp_path / "t"))
+    tables.append(many_traces(spark, 500, 4), "audit_bloom")
+    spark.sql("DROP TABLE audit_bloom")
+    files = list((tmp_path / "t").rglob("*.parquet"))
+    columns = pq.ParquetFile(files[0]).schema_arrow.names
+    chunk = pq.ParquetFile(files[0]).metadata.row_group(0).column(columns.index("trace_id"))
+    assert "RLE_DICTIONARY" in chunk.encodings or bloom_bytes(files[0]) > 0
+
+
+def bloom_bytes(file):
+    """Bytes of a file that belong to no column chunk and no footer: the filters and page indexes."""
+    meta = pq.ParquetFile(file).metadata
+    chunks = sum(meta.row_group(g).column(c).total_compressed_size
+                 for g in range(meta.num_row_groups) for c in range(meta.num_columns))
+    return file.stat().st_size - chunks - meta.serialized_size
