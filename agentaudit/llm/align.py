@@ -21,7 +21,6 @@ Rows are aligned each for itself, repeated ones too; further columns are ignored
 from __future__ import annotations
 
 import json
-import os
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -35,17 +34,16 @@ from pyspark.sql import types as T
 
 from .blocks import pack, unpack
 from .common import slices, stored
-from .pieces import MODEL, _read, _sums, gather, pieces
-from .wordcut import between_words, cut, flat_bytes, from_offsets, prefixed
+from .pieces import MODEL, _read, _sums, gather, in_order, pieces
+from .tokens import PATTERN
+from .wordcut import between_words, blank, cut, flat_bytes, from_offsets, prefixed
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
-SLICE = 2 << 20
+SLICE = 4 << 20
 #: Pairs a task sums up before it hands them on.
 HELD_PAIRS = 1 << 20
 #: Sums of pairs that are broadcast, 16 bytes each; more of them are joined to the blocks.
 SENT_PAIRS = 2 << 20
-#: Words the library encodes at once.
-WORDS = 1 << 14
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -62,17 +60,22 @@ class Tables:
     """Both tokenizers, the lengths of their tokens, and the identity map from A to B."""
 
     def __init__(self, vocabulary: bytes, model: bytes):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        from tokenizers import Tokenizer
+        import tiktoken
 
-        self.a, self.b = Tokenizer.from_str(vocabulary.decode()), pieces(model)
-        self.a.encode_special_tokens = True
         spec, alphabet = json.loads(vocabulary), byte_alphabet()
-        special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        size = 1 + max([*spec["model"]["vocab"].values(), *special.values()])
-        self.a_bytes = [b""] * size
-        for token, i in spec["model"]["vocab"].items():
+        self.b, ids = pieces(model), spec["model"]["vocab"]
+        merged = ["".join(m) if isinstance(m, list) else m.replace(" ", "") for m in spec["model"]["merges"]]
+        level = spec["pre_tokenizer"]
+        plain = spec["normalizer"] is None and level["type"] == "ByteLevel" and not level["add_prefix_space"]
+        if not plain or not all(ids[a] < ids[b] for a, b in zip(merged, merged[1:])):
+            raise ValueError("only byte-level vocabularies whose ids are in the order of their merges are supported")
+        special = {t["content"] for t in spec["added_tokens"]}
+        self.a_bytes = [b""] * (1 + max(ids.values()))
+        for token, i in ids.items():
             self.a_bytes[i] = token.encode() if token in special else bytes(alphabet[c] for c in token)
+        # The merges of this vocabulary are its ids in order, which the library takes as ranks.
+        self.a = tiktoken.Encoding("a", pat_str=PATTERN, special_tokens={}, mergeable_ranks={
+            self.a_bytes[i]: i for token, i in ids.items() if token not in special})
         self.b_bytes = self.b.surface
         self.a_len = np.array([len(t) for t in self.a_bytes])
         self.b_len = np.array([len(t) for t in self.b_bytes])
@@ -83,14 +86,20 @@ class Tables:
 
     def tokens(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """A ids and B ids of all ``words``, each with the number per word."""
-        flat, a_n = [np.zeros(0, np.int64)], np.zeros(len(words), np.int64)
-        for at in range(0, len(words), WORDS):  # the library's results take far more room than the ids
-            found = [e.ids for e in self.a.encode_batch_fast(words[at:at + WORDS].to_pylist(), add_special_tokens=False)]
-            a_n[at:at + WORDS] = [len(ids) for ids in found]
-            flat.append(np.array([i for ids in found for i in ids], np.int64))
-        a = np.concatenate(flat)
-        b, b_n = self.b.words(words)
-        return a, a_n, b, b_n
+        return *self.a_tokens(words), *self.b.words(words)
+
+    def a_tokens(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        data, offsets = flat_bytes(words)
+        sizes = np.diff(offsets)
+        # Words between single spaces are tokenised as one text, whose tokens end where they end.
+        whole = (sizes > 1) & ~blank(data, offsets[:-1], False) & ~blank(data, offsets[1:], True)
+        ids = np.array(self.a.encode_ordinary("".join(words.filter(pa.array(whole)).to_pylist())), np.int64)
+        ends = np.searchsorted(np.cumsum(self.a_len[ids]), np.cumsum(sizes[whole])) + 1
+        out = [(np.flatnonzero(whole), np.diff(ends, prepend=0), ids)]
+        for at in np.flatnonzero(~whole).tolist():
+            found = self.a.encode_ordinary(words[at].as_py())
+            out.append((np.array([at]), np.array([len(found)]), np.array(found, np.int64)))
+        return in_order(out)
 
     def spelled(self, words: pa.Array, a: np.ndarray, a_n: np.ndarray, b: np.ndarray, b_n: np.ndarray) -> np.ndarray:
         """Which words are the bytes of their A tokens and of their B tokens."""

@@ -233,7 +233,7 @@ class Pieces:
             n = np.bincount(of_symbol[keep], minlength=len(n))
             s, pair, last = s[keep], pair[keep], last[keep]
             n, word = n[n > 0], word[n > 0]
-        return _in_order(out)
+        return in_order(out)
 
     def one_by_one(self, s: list[int]) -> list[int]:
         """The best pair first, of equal ones the leftmost, one after the other."""
@@ -345,7 +345,7 @@ def gather(values: np.ndarray, lens: np.ndarray, codes: np.ndarray) -> np.ndarra
     return values[np.arange(len(shift)) + shift]
 
 
-def _in_order(out: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+def in_order(out: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     if not out:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     word, n, s = (np.concatenate(v) for v in zip(*out))

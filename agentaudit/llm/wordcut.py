@@ -39,7 +39,7 @@ def after_other(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     return at[data[at - 1] != SPACE]
 
 
-def _blank(data: np.ndarray, at: np.ndarray, before: bool) -> np.ndarray:
+def blank(data: np.ndarray, at: np.ndarray, before: bool) -> np.ndarray:
     """Whether the character before (or after) the places ``at`` is white space or a control."""
     step = -1 if before else 1
     near = lambda k: data[np.clip(at + step * k, 0, len(data) - 1)].astype(np.int64)
@@ -52,7 +52,7 @@ def _blank(data: np.ndarray, at: np.ndarray, before: bool) -> np.ndarray:
 def between_words(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Of the places ``at`` of spaces the single ones: no white space on either side."""
     at = at[at + 1 < len(data)]
-    return at[~_blank(data, at, True) & ~_blank(data, at, False)]
+    return at[~blank(data, at, True) & ~blank(data, at, False)]
 
 
 def cut(texts: pa.Array, rule) -> tuple[pa.Array, np.ndarray, np.ndarray]:

@@ -4,6 +4,7 @@ import bisect
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -99,3 +100,23 @@ def test_query(spark, sf):
         row = got[doc]
         assert (row["n_a"], row["n_b"], row["n_groups"], row["n_links"], row["n_best"], row["count_sum"],
                 row["groups_sha256"]) == (n_a, n_b, n_groups, n_links, n_best, total, digest)
+
+
+def test_ids_are_those_of_the_vocabulary_file():
+    table = align.Tables(align._read(align.VOCABULARY), align._read(align.MODEL))
+    rng = random.Random(8)
+    texts = [" " + "".join(rng.choices(PARTS, k=rng.randrange(1, 12))) for _ in range(3000)]
+    texts += [f" a{chr(c)}b {chr(c)} 1{chr(c)}." for c in range(0x110000) if not 0xD800 <= c < 0xE000 and c % 37 == 0]
+    ids, n = table.a_tokens(pa.array(texts))
+    ends = n.cumsum()
+    assert [ids[e - k:e].tolist() for e, k in zip(ends, n)] == [
+        e.ids for e in A.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_other_vocabularies_are_refused():
+    import json
+
+    spec = json.loads(align._read(align.VOCABULARY))
+    spec["model"]["merges"].reverse()
+    with pytest.raises(ValueError):
+        align.Tables(json.dumps(spec).encode(), align._read(align.MODEL))
