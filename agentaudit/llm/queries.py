@@ -135,15 +135,11 @@ def op7_simhash(spark, sf_dir):
                         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-#: Shares of the sources in the mix; all others together have one share.
-SHARES = {"src0": 4, "src1": 3, "src2": 3, "src3": 2, "src4": 2, "src5": 2, "src6": 1, "src7": 1}
-
-
 @query
 def op8_mixing(spark, sf_dir):
-    """Block and slot of every document in a mix of the sources to target shares."""
-    placed = mixing.schedule(table(spark, sf_dir, "documents"), SHARES)
-    return placed.withColumnRenamed("id", "doc_id")
+    """Block and slot of every document in a mix of all sources, with shares by their sizes."""
+    docs = table(spark, sf_dir, "documents")
+    return mixing.schedule(docs, mixing.shares_by_size(docs)).withColumnRenamed("id", "doc_id")
 
 
 @query
@@ -218,17 +214,16 @@ def _values(rows) -> str:
 # The schedule is built slot by slot: of the released blocks the one due first.
 ORACLES["op8_mixing"] = f"""
 with recursive src as (
- select doc_id, case when source in ({", ".join(f"'{s}'" for s in SHARES)}) then source else 'other' end as pool,
-        length(coalesce(text, '')) as chars, md5(coalesce(cast(doc_id as varchar), '')) as key,
-        md5(coalesce(text, '')) as text_key
+ select doc_id, source as pool, length(coalesce(text, '')) as chars,
+        md5(concat(coalesce(cast(doc_id as varchar), ''), ':', md5(coalesce(text, '')))) as key
  from documents),
 numbered as (
- select *, cast(sum(chars) over (partition by pool order by key, doc_id, chars, text_key rows unbounded preceding)
+ select *, cast(sum(chars) over (partition by pool order by key, chars rows unbounded preceding)
                - chars as bigint) // 65536 as block
  from src),
-shares as (select * from (values {_values([*SHARES.items(), ("other", 1)])}) t(pool, w)
-           where pool in (select pool from src)),
-all_shares as (select list(pool order by pool) as p, list(w order by pool) as w, cast(sum(w) as bigint) as q from shares),
+sizes as (select pool, pow(cast(sum(chars) as double), {mixing.POWER}) as size from src group by pool),
+shares as (select pool, greatest(1, cast(floor({mixing.PARTS} * size / (select sum(size order by size) from sizes) + 0.5) as bigint)) as w from sizes),
+all_shares as (select list(pool order by pool nulls first) as p, list(w order by pool nulls first) as w, cast(sum(w) as bigint) as q from shares),
 plan as (
  select cast(-1 as bigint) as slot, cast(null as struct(d bigint, i bigint, k bigint, r bigint)) as c, list_transform(w, lambda x: cast(0 as bigint)) as ks from all_shares
  union all
@@ -239,10 +234,11 @@ plan as (
 places as (select p[c.i] as pool, c.k as k, slot as place, c.r as r, c.d as d from plan, all_shares where slot >= 0),
 placed as (
  select n.*, n.block // w as round, q, place, r, d
- from numbered n join shares s using (pool) join places x on x.pool = n.pool and x.k = n.block % s.w, all_shares a(p0, w0, q)),
+ from numbered n join shares s on s.pool is not distinct from n.pool
+ join places x on x.pool is not distinct from n.pool and x.k = n.block % s.w, all_shares a(p0, w0, q)),
 lasts as (select pool, greatest(sum(chars) - 1, 0) // 65536 as block from src group by pool),
-ends as (select min((l.block // s.w) * q + place) as e from lasts l join shares s using (pool)
-         join places x on x.pool = l.pool and x.k = l.block % s.w, all_shares a(p0, w0, q))
+ends as (select min((l.block // s.w) * q + place) as e from lasts l join shares s on s.pool is not distinct from l.pool
+         join places x on x.pool is not distinct from l.pool and x.k = l.block % s.w, all_shares a(p0, w0, q))
 select doc_id, pool, chars, block, round * q + r as release, round * q + d as deadline,
        round * q + place as slot, round * q + place <= (select e from ends) as in_mix
 from placed

@@ -70,7 +70,8 @@ def test_mixing_keeps_all_rows_in_schedule(stages):
     _, before, after, docs = stages[4]
     assert before == after
     got = docs.select("mix.*").distinct().collect()
-    present = {p: w for p, w in {**pipeline.SHARES, mixing.OTHER: 1}.items() if p in {r["pool"] for r in got}}
+    present = mixing.shares_by_size(stages[3][3])
+    assert set(present) == {r["pool"] for r in got}
     place = {(s, k): slot for s, k, slot, _, _ in mixing.period(present)}
     q = sum(present.values())
     for r in got:
