@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from agentaudit.llm import decontaminate, exact, language, mixing, simhash
 from agentaudit.llm.common import folder
-from agentaudit.llm.queries import SHARES
 from agentaudit.session import configure
 
 
@@ -45,7 +44,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document with its place in the mix of the sources."""
-    placed = mixing.schedule(docs, SHARES, keep_rows=True)
+    placed = mixing.schedule(docs, mixing.shares_by_size(docs), keep_rows=True)
     name = "mix"
     while name in docs.columns:
         name += "_"
