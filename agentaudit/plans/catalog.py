@@ -19,7 +19,7 @@ from ..functions import text
 from ..functions.payload import redact_json
 from ..functions.pii import Redactor, add_strategy
 from ..operators import (analysis, compliance, convert, cost, lookup, loops, metrics, privacy,
-                         replay, sampling, tree)
+                         replay, sampling, sketches, tree)
 from ..schema import JSON_COLUMNS, RECORD
 from ..sources import nested, spans as span_files, tables
 from ..streaming import pipeline, verdicts
@@ -504,6 +504,24 @@ def operation_duration(spark, sf):
     return metrics.operation_duration(fixtures.records(spark, sf), exact=True)
 
 
+@query
+def latency_rollup(spark, sf):
+    """Latency by hour and by day, merged from stored sketches of 30 seconds."""
+    path = _scratch(spark)
+    sketches.sketches(fixtures.records(spark, sf)).write.parquet(path)
+    windows = spark.read.parquet(path)
+    by = {level: sketches.with_percentiles(sketches.roll_up(windows, f"1 {level}")) for level in ("hour", "day")}
+    return by["hour"].withColumn("level", F.lit("hour")).unionByName(by["day"].withColumn("level", F.lit("day")))
+
+
+@query
+def latency_sketch_alerts(spark, sf):
+    """Agents whose 99th percentile of a day's latency is above a limit, from stored sketches."""
+    path = _scratch(spark)
+    sketches.sketches(fixtures.records(spark, sf), "1 hour", ["agent_id"]).write.parquet(path)
+    return sketches.latency_alerts(spark.read.parquet(path), 2500, width="1 day")
+
+
 @query
 def token_histogram(spark, sf):
     return metrics.token_histogram(fixtures.records(spark, sf), "1 hour")
@@ -742,7 +760,7 @@ def stream_metrics(spark, sf):
     windows = pipeline.metric_windows(_record_stream(spark, sf, root))
     _finish(pipeline.to_table(windows, f"{root}/metrics", f"{root}/ck", once=True))
     return spark.read.parquet(f"{root}/metrics").withColumn(
-        "avg_ms_per_token", F.col("avg_s_per_token") * 1000).drop("avg_s_per_token")
+        "avg_ms_per_token", F.col("avg_s_per_token") * 1000).drop("avg_s_per_token", "sketch")
 
 
 @query

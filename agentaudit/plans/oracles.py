@@ -516,7 +516,18 @@ verdicts as (
     "stream_metrics": f"""{W}
  select time_bucket(interval 30 seconds, timestamp) as window_start, operation_name, model_name, count(*) as calls,
  {_d('avg(duration_ms / 1000)')} as avg_s, cast(sum({TOKENS}) as bigint) as tokens,
- {_d('avg(duration_ms / 1000 / nullif(output_tokens, 0)) * 1000')} as avg_ms_per_token from records group by 1, 2, 3""",
+ {_d('avg(duration_ms / 1000 / nullif(output_tokens, 0)) * 1000')} as avg_ms_per_token,
+ cast(quantile_disc(duration_ms, 0.95) as bigint) as p95_ms from records group by 1, 2, 3""",
+    "latency_rollup": " union all ".join(f"""select * from ({W}
+ select '{level}' as level, date_trunc('{level}', timestamp)::timestamp as window_start, operation_name, model_name,
+ count(duration_ms) as calls, cast(min(duration_ms) as bigint) as least, cast(max(duration_ms) as bigint) as greatest,
+ {_d('avg(duration_ms)')} as avg_ms, {", ".join(f"cast(quantile_disc(duration_ms, {q}) as bigint) as p{q * 100:g}_ms" for q in (0.5, 0.95, 0.99))}
+ from records where duration_ms is not null group by 1, 2, 3, 4)""" for level in ("hour", "day")),
+    "latency_sketch_alerts": f"""{W}
+ select date_trunc('day', timestamp)::timestamp as window_start, agent_id, count(*) as calls,
+ cast(min(duration_ms) as bigint) as least, cast(max(duration_ms) as bigint) as greatest,
+ cast(quantile_disc(duration_ms, 0.99) as bigint) as latency_ms
+ from records where duration_ms is not null group by 1, 2 having quantile_disc(duration_ms, 0.99) > 2500""",
     "stream_alerts": f"""{W}, w as (select unnest(generate_series(
    time_bucket(interval 1 minute, timestamp) - interval 4 minutes, time_bucket(interval 1 minute, timestamp), interval 1 minute)) as window_start,
  * from records), a as (

@@ -17,6 +17,7 @@ from pyspark.sql.streaming.listener import StreamingQueryListener
 from pyspark.sql.streaming.query import StreamingQuery
 
 from ..functions.text import hex_id
+from ..operators import sketches
 from ..operators.convert import checked_records, redact_attributes, truncate_long_text
 from ..operators.cost import tokens
 from ..operators.lookup import flag
@@ -192,7 +193,10 @@ class LateRows(StreamingQueryListener):
 
 
 def metric_windows(records: DataFrame, width: str = "30 seconds", delay: str = DELAY) -> DataFrame:
-    """Latency, tokens and time per token by window, operation and model."""
+    """Latency with its 95th percentile, tokens and time per token by window, operation and model.
+
+    ``sketch`` keeps the window's durations for coarser windows (``sketches.roll_up``).
+    """
     seconds = F.col("duration_ms") / 1000
     per_token = seconds / F.nullif("output_tokens", F.lit(0))
     return (
@@ -203,9 +207,11 @@ def metric_windows(records: DataFrame, width: str = "30 seconds", delay: str = D
             F.avg(seconds).alias("avg_s"),
             F.sum(tokens()).alias("tokens"),
             F.avg(per_token).alias("avg_s_per_token"),
+            F.kll_sketch_agg_bigint(F.col("duration_ms").cast("long"), F.lit(sketches.SIZE)).alias("sketch"),
         )
         .select(F.col("window.start").alias("window_start"), "operation_name", "model_name",
-                "calls", "avg_s", "tokens", "avg_s_per_token")
+                "calls", "avg_s", "tokens", "avg_s_per_token",
+                sketches.percentile(F.col("sketch"), 0.95).alias("p95_ms"), "sketch")
     )
 
 
