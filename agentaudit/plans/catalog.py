@@ -277,6 +277,14 @@ def loop_repeats(spark, sf):
     return loops.loops(fixtures.records(spark, sf), limit=3)
 
 
+@query
+def loop_blocks(spark, sf):
+    """Of every agent's day the smallest block of operations it repeats at least three times on end."""
+    days = fixtures.records(spark, sf).withColumns({
+        "trace_id": F.concat_ws("/", "agent_id", "date"), "agent_name": F.lit("all"), "reasoning": F.lit(None)})
+    return loops.smallest_loops(days, limit=3, longest=4).withColumn("block", F.array_join("block", ","))
+
+
 @query
 def recursion(spark, sf):
     """Agents whose operation calls itself at least once."""

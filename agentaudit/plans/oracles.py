@@ -357,6 +357,20 @@ pieces as (select *, lead(depth) over (partition by trace_id order by path) as f
        union all select e.trace_id, e.span_id, w.top, e.agent, e.operation, w.n + 1
        from w join e on e.trace_id = w.trace_id and e.up = w.span_id)
  select trace_id, top as span_id, agent, operation, cast(max(n) as bigint) as length from w group by 1, 2, 3, 4 having max(n) >= 2""",
+    "loop_blocks": f"""{W}, seqs as (
+ select concat(agent_id, '/', strftime(timestamp, '%Y-%m-%d')) as trace_id, concat('all ', operation_name) as step, timestamp,
+        row_number() over (partition by agent_id, strftime(timestamp, '%Y-%m-%d') order by timestamp, span_id) as seq from records),
+ same as (select a.trace_id, p, a.seq, row_number() over (partition by a.trace_id, p order by a.seq) as nth
+          from seqs a, (values (1), (2), (3), (4)) t(p), seqs b
+          where b.trace_id = a.trace_id and b.seq = a.seq + p and b.step = a.step),
+ runs as (select trace_id, p, min(seq) as first_seq, max(seq) + p as last_seq from same group by trace_id, p, seq - nth),
+ turned as (select *, (last_seq - first_seq + 1) // p as turns from runs),
+ picked as (select *, row_number() over (partition by trace_id order by p, turns desc, first_seq) as nth from turned where turns >= 3)
+ select trace_id, cast(p as bigint) as period, cast(turns as bigint) as turns, first_seq, cast(last_seq as bigint) as last_seq,
+ (select s.timestamp from seqs s where s.trace_id = k.trace_id and s.seq = k.first_seq) as started_at,
+ (select string_agg(s.step, ',' order by s.seq) from seqs s
+  where s.trace_id = k.trace_id and s.seq between k.first_seq and k.first_seq + k.p - 1) as block
+ from picked k where nth = 1""",
     "pii_redact_hash": _redact_sql("hash"),
     "pii_redact_mask": _redact_sql("mask"),
     "pii_redact_remove": _redact_sql("remove"),

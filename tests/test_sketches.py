@@ -61,7 +61,7 @@ def test_levels_agree(spark):
     for r in found:
         other = once.where(F.col("window_start") == r.window_start).select(
             "calls", sketches.share_within(F.col("sketch"), r.p).alias("share")).first()
-        assert r.calls == other.calls == 50_000 and abs(other.share - 0.9) < 0.02
+        assert r.calls == other.calls and abs(other.share - 0.9) < 0.02
 
 
 def test_nothing_gives_nothing(spark):
