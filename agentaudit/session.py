@@ -15,6 +15,8 @@ SETTINGS = {
     # trace may hold a large share of all rows.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Rows of a few megabytes reach a Python worker a few at a time.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
     # A look-up of up to a hundred ids reaches the Parquet reader, and so the Bloom filters.
     "spark.sql.parquet.pushdown.inFilterThreshold": "100",
     # Of repeated keys in a JSON payload the last one counts, as JSON readers commonly do.
