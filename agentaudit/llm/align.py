@@ -39,7 +39,7 @@ from .tokens import PATTERN
 from .wordcut import between_words, blank, cut, flat_bytes, from_offsets, prefixed
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
-SLICE = 4 << 20
+SLICE = 2 << 20
 #: Pairs a task sums up before it hands them on.
 HELD_PAIRS = 1 << 20
 #: Sums of pairs that are broadcast, 16 bytes each; more of them are joined to the blocks.
