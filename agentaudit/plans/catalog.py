@@ -18,7 +18,7 @@ from .. import session
 from ..functions import text
 from ..functions.payload import redact_json
 from ..functions.pii import Redactor, add_strategy
-from ..operators import (analysis, compliance, convert, cost, lookup, loops, metrics, privacy,
+from ..operators import (analysis, compliance, convert, cost, handoffs, lookup, loops, metrics, privacy,
                          replay, sampling, sketches, tree)
 from ..schema import JSON_COLUMNS, RECORD
 from ..sources import nested, spans as span_files, tables
@@ -266,6 +266,18 @@ def delegation_edges(spark, sf):
     return analysis.delegation_edges(fixtures.records(spark, sf))
 
 
+@query
+def delegation_chains(spark, sf):
+    """From every agent of every trace back to the origin of its work."""
+    return handoffs.chains(fixtures.records(spark, sf))
+
+
+@query
+def delegation_cycles(spark, sf):
+    """Agents that hand work round in circles, per trace."""
+    return handoffs.cycles(fixtures.records(spark, sf))
+
+
 @query
 def lineage_score(spark, sf):
     return analysis.lineage_score(fixtures.records(spark, sf))

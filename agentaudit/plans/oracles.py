@@ -357,6 +357,30 @@ pieces as (select *, lead(depth) over (partition by trace_id order by path) as f
        union all select e.trace_id, e.span_id, w.top, e.agent, e.operation, w.n + 1
        from w join e on e.trace_id = w.trace_id and e.up = w.span_id)
  select trace_id, top as span_id, agent, operation, cast(max(n) as bigint) as length from w group by 1, 2, 3, 4 having max(n) >= 2""",
+    "delegation_chains": f"""{WR}, n as (
+ select r.trace_id, r.span_id, r.agent_id as agent, r.timestamp, p.span_id as parent, p.agent_id as above
+ from records r left join records p on p.trace_id = r.trace_id and p.span_id = r.parent_span_id),
+ firsts as (select trace_id, agent, arg_min(span_id, row(timestamp, span_id)) as span_id from n
+            where parent is null or above <> agent group by 1, 2),
+ walk as (
+ select trace_id, agent, span_id as here, cast(0 as bigint) as hop, 0 as steps from firsts
+ union all
+ select w.trace_id, w.agent, n.parent, w.hop + cast(n.above <> n.agent as bigint), w.steps + 1
+ from walk w join n on n.trace_id = w.trace_id and n.span_id = w.here where n.parent is not null),
+ ends as (select trace_id, agent, hop, arg_max(here, steps) as span_id from walk group by 1, 2, 3)
+ select e.trace_id, e.agent, e.hop, n.agent as by, e.span_id, n.timestamp from ends e join n using (trace_id, span_id)""",
+    "delegation_cycles": f"""{WR}, edges as (
+ select distinct c.trace_id, p.agent_id as src, c.agent_id as dst from records c
+ join records p on p.trace_id = c.trace_id and p.span_id = c.parent_span_id where p.agent_id <> c.agent_id
+ union
+ select distinct trace_id, agent_id, inter_agent ->> '$.target_agent' from records
+ where inter_agent ->> '$.target_agent' <> agent_id),
+ reach as (select trace_id, src, dst from edges
+           union select r.trace_id, r.src, e.dst from reach r join edges e on e.trace_id = r.trace_id and e.src = r.dst),
+ circles as (select a.trace_id, a.src as agent, least(min(a.dst), a.src) as cycle, count(*) + 1 as agents
+             from reach a join reach b on b.trace_id = a.trace_id and b.src = a.dst and b.dst = a.src
+             where a.src <> a.dst group by 1, 2)
+ select trace_id, agent, cycle, agents from circles""",
     "loop_blocks": f"""{W}, seqs as (
  select concat(agent_id, '/', strftime(timestamp, '%Y-%m-%d')) as trace_id, concat('all ', operation_name) as step, timestamp,
         row_number() over (partition by agent_id, strftime(timestamp, '%Y-%m-%d') order by timestamp, span_id) as seq from records),
