@@ -93,6 +93,17 @@ class _Parser:
         return frozenset(range(256)) - _fold(found, self.fold) if negated else _fold(found, self.fold)
 
 
+def _reversed(node):
+    """The pattern of all matches read backwards."""
+    kind = node[0]
+    if kind == "set":
+        return node
+    if kind == "rep":
+        return ("rep", _reversed(node[1]), *node[2:])
+    inner = [_reversed(n) for n in node[1]]
+    return (kind, inner[::-1] if kind == "cat" else inner)
+
+
 @dataclass
 class _Nfa:
     empty: list[list[int]] = field(default_factory=list)
@@ -156,14 +167,16 @@ class Automaton:
     start: int
 
 
-def compile_rules(patterns: list[tuple[str, bool]], anywhere: bool = False) -> Automaton:
+def compile_rules(patterns: list[tuple[str, bool]], anywhere: bool = False, backwards: bool = False) -> Automaton:
     """One minimal automaton for all (pattern, fold) rules.
 
     ``anywhere`` lets a match begin at every byte; otherwise it begins at the first.
+    ``backwards`` reads matches from their last byte to their first.
     """
     nfa = _Nfa()
     root = nfa.state()
-    ends = [nfa.add(_Parser(p, fold).alternatives(), root) for p, fold in patterns]
+    parsed = [_Parser(p, fold).alternatives() for p, fold in patterns]
+    ends = [nfa.add(_reversed(node) if backwards else node, root) for node in parsed]
     begin = nfa.closure([root])
 
     # Bytes that no rule tells apart share a column.

@@ -3,11 +3,15 @@
 The rules' regexes are compiled together, by subset construction and minimisation, into
 one transition array; every text is scanned once, byte by byte, for all rules at a
 time. Only a text in which some rule fires is looked at again, with the small
-automata of the rules that fired, to find leftmost, longest, non-overlapping matches.
+automata of the rules that fired, to find leftmost, longest, non-overlapping matches: one
+pass backwards marks where matches begin, and each is then read once from there. So every
+byte is read a fixed number of times, in texts of any kind.
 
-A rule is a head, a body and the least length of the body in characters. A match is the
-longest head and then the longest body; a match whose body is too short is dropped but
-its text stays used. Heads must be such that the longest one is the right one.
+A rule is a head, a body, the least length of the body in characters, and maybe a tail. A
+match is the longest head, then the longest body, then the longest tail; a match whose
+body is too short is dropped but its head and body stay used. Heads must be such that the
+longest one is the right one. A private key goes on to its END line or, without one,
+through the words of sixteen or more base64 characters that follow.
 
 Defined results: null and empty texts have no spans; offsets count code points, the end
 is exclusive; spans are ordered by start, then by the order of the rules. Further
@@ -41,6 +45,8 @@ class Rule:
     fold_head: bool = False
     #: Body characters that make the rule fire; more keeps common texts from a second look.
     fires: int = 1
+    #: What belongs to a match after its body.
+    tail: str = ""
 
 
 BASE = (
@@ -52,7 +58,8 @@ BASE = (
 MORE = (
     Rule("github", "gh[oprsu]_", "[A-Za-z0-9]", 36),
     Rule("slack", "xox[abprs]-", "[A-Za-z0-9-]", 10),
-    Rule("private_key", "-----BEGIN [A-Z ]*PRIVATE KEY", "-", 5),
+    Rule("private_key", "-----BEGIN [A-Z ]*PRIVATE KEY", "-", 5,
+         tail="([^-]|-{1,4}[^-])*-----END [A-Z ]*PRIVATE KEY-----|([\\x09-\\x0D\\x20]+[A-Za-z0-9+/=]{16,})*"),
     Rule("jwt", "eyJ[A-Za-z0-9_-]+\\.eyJ[A-Za-z0-9_-]+\\.", "[A-Za-z0-9_-]", 16),
 )
 SPANS = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()),
@@ -68,6 +75,8 @@ class Scanner:
         self.combined = compile_rules([(_joined(r), False) for r in rules], anywhere=True)
         self.heads = [compile_rules([(r.head, r.fold_head)]) for r in rules]
         self.bodies = [compile_rules([(f"{r.body}+", False)]) for r in rules]
+        self.tails = [compile_rules([(r.tail, False)]) if r.tail else None for r in rules]
+        self.starts = [compile_rules([(_joined(r, 1), False)], anywhere=True, backwards=True) for r in rules]
         self._start = None
 
     def __getstate__(self):
@@ -109,18 +118,19 @@ class Scanner:
         found = []
         for k, rule in enumerate(self.rules):
             if rules >> k & 1:
-                found += [(a, k, b) for a, b in _matches(data, self.heads[k], self.bodies[k], rule.least)]
+                automata = self.starts[k], self.heads[k], self.bodies[k], self.tails[k]
+                found += [(a, k, b) for a, b in _matches(data, *automata, rule.least)]
         if not data.isascii():
             chars = np.concatenate(([0], np.cumsum(np.frombuffer(data, np.uint8) & 0xC0 != 0x80)))
             found = [(int(chars[a]), k, int(chars[b])) for a, k, b in found]
         return [(self.rules[k].name, a, b) for a, k, b in sorted(found)]
 
 
-def _joined(rule: Rule) -> str:
-    """Head and the body characters that fire, in one pattern."""
+def _joined(rule: Rule, body: int | None = None) -> str:
+    """Head and ``body`` body characters (those that fire), in one pattern."""
     head = "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() and rule.fold_head and plain else c
                    for c, plain in _plain(rule.head))
-    return head + rule.body + f"{{{rule.fires}}}"
+    return head + rule.body + f"{{{rule.fires if body is None else body}}}"
 
 
 def _plain(pattern: str) -> Iterator[tuple[str, bool]]:
@@ -150,24 +160,29 @@ def _longest(data: bytes, at: int, automaton: Automaton, steps: list, accepts: l
     return end
 
 
-def _matches(data: bytes, head: Automaton, body: Automaton, least: int) -> Iterator[tuple[int, int]]:
-    h, b = head.table.tolist(), body.table.tolist()
-    ha, ba = head.accepts.tolist(), body.accepts.tolist()
-    # Bytes a match can begin with.
-    opens = {c for c in range(256) if h[head.start][c] != DEAD}
-    if ha[head.start]:
-        opens |= {c for c in range(256) if b[body.start][c] != DEAD}
-    at = 0
-    while at < len(data):
-        if data[at] in opens:
-            middle = _longest(data, at, head, h, ha)
-            end = _longest(data, middle, body, b, ba) if middle >= 0 else -1
-            if end > middle:
-                if end - middle >= least:
-                    yield at, end
-                at = end
-                continue
-        at += 1
+def _begins(data: bytes, automaton: Automaton) -> list[int]:
+    """Where a head and a body character begin, in order; one pass from the end."""
+    steps, accepts, state, found = automaton.table.tolist(), automaton.accepts.tolist(), automaton.start, []
+    for i in range(len(data) - 1, -1, -1):
+        state = steps[state][data[i]]
+        if accepts[state]:
+            found.append(i)
+    return found[::-1]
+
+
+def _matches(data: bytes, starts: Automaton, head: Automaton, body: Automaton, tail: Automaton | None,
+             least: int) -> Iterator[tuple[int, int]]:
+    parts = [(x, x.table.tolist(), x.accepts.tolist()) if x else None for x in (head, body, tail)]
+    used = 0
+    for at in _begins(data, starts):
+        if at < used:
+            continue
+        middle = _longest(data, at, *parts[0])
+        used = _longest(data, middle, *parts[1])
+        if used - middle >= least:
+            if parts[2]:
+                used = max(used, _longest(data, used, *parts[2]))
+            yield at, used
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
