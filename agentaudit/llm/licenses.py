@@ -1,10 +1,13 @@
 """Licence scan by canonical digests.
 
 A text is brought to a canonical form: lower case, copyright notices dropped, punctuation
-and line breaks to single spaces, equivalent spellings to one of them. A body line that
-only begins with the word copyright stays. The SHA-256 of
-the whole form is joined with the digests of known licences. The same is done for every
-line, so that one-line notices inside other text are found too.
+and line breaks to single spaces, equivalent spellings to one of them. A notice is a line
+with the word copyright (or its sign) and a year, a sign or a holder's name; a body line
+that only begins with the word stays. A notice that shares its lines with the licence is
+cut, whatever its length and form, from the word copyright at the start (after a title) to
+the words with which a known text opens; so wrapping does not matter. The SHA-256 of the
+whole form is joined with the digests of known licences. The same is done for every line,
+so that one-line notices inside other text are found too.
 
 The table of known digests is small by nature; it is broadcast when it has at most
 ``broadcast_rows`` rows and otherwise joined in the ordinary way. Lines are exploded and
@@ -92,9 +95,6 @@ KNOWN = [
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0"),
     ("MIT", "Released under the MIT License"),
 ]
-#: What the SQL twin takes for a copyright line; the scan itself uses ``NOTICE``.
-COPYRIGHT = r"^[^\p{L}\p{N}]*(copyright\b|©|\(c\)\s|all rights reserved)"
-
 BSD_TERMS = """Redistribution and use in source and binary forms, with or without
 modification, are permitted provided that the following conditions are met:
 
@@ -123,26 +123,23 @@ OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE
 OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
 BSD_2, BSD_3 = BSD_TERMS + BSD_END, BSD_TERMS + BSD_THIRD + BSD_END
 
-#: Whole texts beside those of ``KNOWN``, which the SQL twin holds too.
-MORE = [
+KNOWN += [
     ("BSD-2-Clause", BSD_2), ("BSD-2-Clause", "BSD 2-Clause License\n" + BSD_2),
     ("BSD-3-Clause", BSD_3), ("BSD-3-Clause", "BSD 3-Clause License\n" + BSD_3),
 ]
-#: Long texts come from the folder of a Debian machine: file and name; without it they are not known.
-SHIPPED = "/usr/share/common-licenses"
-SHIPPED_NAMES = {
-    "Apache-2.0": "Apache-2.0", "CC0-1.0": "CC0-1.0", "GFDL-1.2": "GFDL-1.2", "GFDL-1.3": "GFDL-1.3", "GPL-1": "GPL-1.0",
-    "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2": "LGPL-2.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0",
-    "MPL-1.1": "MPL-1.1", "MPL-2.0": "MPL-2.0",
-}
-#: A line that is a copyright notice: a year, a sign or a holder follows.
-NOTICE = (r"^[^\p{L}\p{N}(©]*(?:(?i:copyright)\s*(?:(?i:\(c\))|©|\d{4}\b)|(?i:\(c\))\s*(?:\d{4}\b|(?i:copyright)\b)|©"
-          r"|Copyright\s+(?:by\s+)?(?!(?:Notice|Holder|Owner|Law|Act|Licen[cs]e)s?\b)\p{Lu}"
+#: A line that is a copyright notice has a year or a sign after the word, or says all rights reserved,
+_BEFORE = r"^[^\p{L}\p{N}(©]*"
+SIGNED = (_BEFORE + r"(?:(?i:copyright)\s*(?:(?i:\(c\))|©|\d{4}\b)|(?i:\(c\))\s*(?:\d{4}\b|(?i:copyright)\b)|©"
           r"|(?i:all rights reserved)[^\p{L}\p{N}]*$)")
+#: or a holder's name, which is none of the words that follow in running text.
+NAMED = _BEFORE + r"Copyright\s+(?:by\s+)?\p{Lu}"
+UNNAMED = _BEFORE + r"Copyright\s+(?:by\s+)?(?:Notice|Holder|Owner|Law|Act|Licen[cs]e)s?\b"
 #: How the known texts begin; a notice that has no line of its own ends there.
 OPENINGS = r"(?:permission is hereby granted|permission to use|this software is provided|redistribution and use)"
-#: In a canonical text: a notice of at most 200 characters before the known text, after a title if there is one.
-LEADING = (r"^((?:\w+ ){0,5}?license (?:mit )?)?(?:copyright (?:c )?|c )\d{4}\b.{0,200}?\b(?=" + OPENINGS + r"\b)")
+#: In a canonical text: a notice of any length before a known text, after a title if there is one.
+LEADING = r"^((?:\w+ ){0,5}?license (?:mit )?)?(?:copyright|c|\d{4}) .*?\b(" + OPENINGS + r")\b"
+#: A text that can hold such a notice.
+MARKED = r"(?i)copyright|\(c\)|©"
 # -------------------------------------------------------------------------------
 
 _ANY_SPELLING = r"\b(" + "|".join(SPELLINGS) + r")\b"
@@ -158,25 +155,34 @@ def canonical(line: Column) -> Column:
     return F.when(plain.rlike(_ANY_SPELLING), one).otherwise(plain)
 
 
+def is_notice(line: Column) -> Column:
+    """Whether a line is a copyright notice."""
+    return line.rlike(SIGNED) | (line.rlike(NAMED) & ~line.rlike(UNNAMED))
+
+
+def opened() -> str:
+    """A pattern for texts in which a known text begins, however they are wrapped."""
+    return "(?i)" + OPENINGS.replace(" ", r"\s+")
+
+
 def forms(text: Column) -> Column:
     """Canonical forms: the text without its notice lines, the text without a leading notice
     that shares lines with it (or empty), then every line; empty lines dropped."""
     lines = F.array_remove(F.transform(F.split(text, r"\r\n|\r|\n"), lambda line: F.when(
-        line.rlike(NOTICE), F.lit("")).otherwise(canonical(line))), "")
-    joined = F.when(text.rlike("(?i)" + OPENINGS.replace(" ", r"\s+")) & text.rlike(r"(?i)copyright|\(c\)|©"),
-                    F.regexp_replace(canonical(text), LEADING, "$1")).otherwise("")
+        is_notice(line), F.lit("")).otherwise(canonical(line))), "")
+    joined = F.when(text.rlike(opened()) & text.rlike(MARKED),
+                    F.regexp_replace(canonical(text), LEADING, "$1$2")).otherwise("")
     return F.concat(F.array(F.array_join(lines, " "), joined), lines)
 
 
-def shipped(folder: str = SHIPPED) -> list[tuple[str, str]]:
-    """Name and text of the licences that the driver's machine ships."""
-    files = [(name, Path(folder) / file) for file, name in SHIPPED_NAMES.items()]
-    return [(name, path.read_text("utf-8")) for name, path in files if path.exists()]
+def from_folder(folder: str) -> list[tuple[str, str]]:
+    """Name and text of the licences kept as files in a folder the driver can read."""
+    return [(path.stem, path.read_text("utf-8")) for path in sorted(Path(folder).iterdir()) if path.is_file()]
 
 
 def known_digests(spark: SparkSession, texts: list[tuple[str, str]] | None = None) -> DataFrame:
     """(license, digest) of known texts, by default all of this module; a text may have several names."""
-    table = spark.createDataFrame(KNOWN + MORE + shipped() if texts is None else texts, "license string, text string")
+    table = spark.createDataFrame(KNOWN if texts is None else texts, "license string, text string")
     return table.select("license", F.sha2(forms(F.col("text"))[0], 256).alias("digest")).distinct()
 
 

@@ -245,13 +245,16 @@ from placed
 """
 
 
-def _canonical(line: str) -> str:
-    out = f"trim(regexp_replace(lower({line}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
+def _canonical(text: str) -> str:
+    out = f"trim(regexp_replace(lower({text}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
     for spelling, kept in licenses.SPELLINGS.items():
         out = f"regexp_replace({out}, '\\b{spelling}\\b', '{kept}', 'g')"
-    return f"case when regexp_matches(lower({line}), '{licenses.COPYRIGHT}') then '' else {out} end"
+    return out
 
 
+_NOTICE = (f"(regexp_matches(line, '{licenses.SIGNED}') or (regexp_matches(line, '{licenses.NAMED}')"
+           f" and not regexp_matches(line, '{licenses.UNNAMED}')))")
+
 ORACLES["op10_license_scan"] = f"""
 with texts as (
  select 'doc' as kind, row_number() over () as r, coalesce(text, '') as text, doc_id, null as license from documents
@@ -259,11 +262,15 @@ with texts as (
  select 'known', row_number() over (), text, null, license from (values {_values(licenses.KNOWN)}) t(license, text)),
 cut as (select *, regexp_split_to_array(text, '\r\n|\r|\n') as l from texts),
 raw as (select kind, r, i, l[i] as line from (select kind, r, l, unnest(range(1, len(l) + 1)) as i from cut)),
-lines as (select * from (select kind, r, i, {_canonical("line")} as form from raw) where form != ''),
+lines as (select * from (select kind, r, i, case when {_NOTICE} then '' else {_canonical("line")} end as form from raw)
+          where form != ''),
 wholes as (select kind, r, string_agg(form, ' ' order by i) as form from lines group by kind, r),
+opened as (select kind, r, regexp_replace({_canonical("text")}, '{licenses.LEADING}', '\\1\\2') as form from texts
+           where kind = 'doc' and regexp_matches(text, '{licenses.opened()}') and regexp_matches(text, '{licenses.MARKED}')),
 known as (select distinct license, form from wholes join texts using (kind, r) where kind = 'known'),
 whole as (select r, string_agg(license, ',' order by license) as names
-          from (select distinct r, license from wholes join known using (form) where kind = 'doc') group by r),
+          from (select distinct r, license from (select * from wholes union all select * from opened) join known using (form)
+                where kind = 'doc') group by r),
 notes as (select r, string_agg(license, ',' order by license) as names
           from (select distinct r, license from lines join known using (form) where kind = 'doc') group by r)
 select t.doc_id, coalesce(whole.names, '') as whole_text, coalesce(notes.names, '') as line_notices

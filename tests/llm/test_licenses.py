@@ -1,9 +1,14 @@
 """Canonical forms and whole-text digests."""
 
+import textwrap
+
+import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from agentaudit.llm import licenses
+from agentaudit.llm.queries import ORACLES
 
 
 def scan(spark, texts, known=None):
@@ -52,18 +57,38 @@ def test_spellings_are_canonical(spark):
     assert row["c"] == "the license while organization wide"
 
 
-@pytest.mark.parametrize("name, text", [("MIT", licenses.MIT), ("ISC", licenses.ISC), ("Zlib", licenses.ZLIB),
-                                        ("BSD-2-Clause", licenses.BSD_2), ("BSD-3-Clause", licenses.BSD_3)])
+NOTICES = ["", "Copyright (c) 2020 Some Body and a Company of a Long Name", "copyright jane doe", "© 1999-2003 A. B.",
+           "(c) 2001 X. All rights reserved.", "Copyright 2011 " + ", ".join(f"Author Number {i} of Some Place" for i in range(40))]
+WIDTHS = [20, 40, 50, 60, 68, 72, 76, 80, 100, 100_000]
+TEXTS = [("MIT", licenses.MIT), ("ISC", licenses.ISC), ("Zlib", licenses.ZLIB), ("BSD-2-Clause", licenses.BSD_2),
+         ("BSD-3-Clause", licenses.BSD_3)]
+
+
+def wrapped(text):
+    """The text at any width, after a notice on lines of its own or on the licence's lines."""
+    filled = lambda t, w: textwrap.fill(" ".join(t.split()), w)
+    return ([filled(f"{n} {text}", w) for n in NOTICES for w in WIDTHS]
+            + [f"{n}\n{filled(text, w)}" for n in NOTICES for w in WIDTHS]
+            + [f"{filled(n, w)}\n\n{text}" for n in NOTICES for w in (30, 60)])
+
+
+@pytest.mark.parametrize("name, text", TEXTS)
 def test_known_texts_at_any_width(spark, name, text):
-    import textwrap
+    texts = wrapped(text)
+    assert [whole for whole, _ in scan(spark, texts)] == [[name]] * len(texts)
+
 
-    widths = [20, 40, 50, 60, 68, 72, 76, 80, 100, 100_000]
-    notice = "Copyright (c) 2020 Some Body and a Company of a Long Name"
-    texts = [textwrap.fill(" ".join(f"{before}{text}".split()), w)
-             for w in widths for before in ("", notice + " ", notice + ". All rights reserved. ")]
-    texts += [notice + "\n" + textwrap.fill(" ".join(text.split()), w) for w in widths]
-    found = [whole for whole, _ in scan(spark, texts)]
-    assert found == [[name]] * len(texts)
+def test_the_twin_follows_the_same_rule(spark):
+    texts = [t for _, text in TEXTS for t in wrapped(text)]
+    texts += [licenses.MIT + "\ncopyright holders must be paid.", "Copyright Some Body\n" + licenses.MIT,
+              "Copyright Notice\n" + licenses.MIT, "All rights reserved\n" + licenses.ZLIB, "x " + licenses.ISC, "c d", "",
+              "The MIT License (MIT) Copyright (c) 2020 X " + licenses.MIT, "Licensed under CC BY-NC 4.0\n© x"]
+    con = duckdb.connect()
+    table = pa.table({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": texts})
+    con.register("documents", table)
+    want = con.sql(f"select doc_id, whole_text, line_notices from ({ORACLES['op10_license_scan']}) order by 1").fetchall()
+    got = scan(spark, texts)
+    assert [(",".join(whole), ",".join(lines)) for whole, lines in got] == [tuple(r[1:]) for r in want]
 
 
 def test_body_lines_that_begin_with_copyright_stay(spark):
@@ -71,8 +96,7 @@ def test_body_lines_that_begin_with_copyright_stay(spark):
     assert scan(spark, [changed, "Copyright Some Body\n" + licenses.MIT]) == [([], []), (["MIT"], [])]
 
 
-def test_shipped_texts(spark):
-    texts = licenses.shipped()
-    if not texts:
-        pytest.skip("this machine ships no licences")
-    assert scan(spark, [text for _, text in texts]) == [([name], []) for name, _ in texts]
+def test_texts_from_a_folder(spark, tmp_path):
+    (tmp_path / "Own-1.0.txt").write_text("Own licence.\nDo as you like.")
+    known = licenses.known_digests(spark, licenses.from_folder(str(tmp_path)))
+    assert scan(spark, ["OWN LICENSE: do as you like", licenses.MIT], known) == [(["Own-1.0"], ["Own-1.0"]), ([], [])]
