@@ -19,7 +19,7 @@ from ..functions import text
 from ..functions.payload import redact_json
 from ..functions.pii import Redactor, add_strategy
 from ..operators import (analysis, compliance, convert, cost, handoffs, lookup, loops, metrics, privacy,
-                         replay, sampling, sketches, tree)
+                         replay, requests, sampling, sketches, tree)
 from ..schema import JSON_COLUMNS, RECORD
 from ..sources import nested, spans as span_files, tables
 from ..streaming import pipeline, verdicts
@@ -278,6 +278,13 @@ def delegation_cycles(spark, sf):
     return handoffs.cycles(fixtures.records(spark, sf))
 
 
+@query
+def request_tree(spark, sf):
+    """Spans of requests over several traces, with broken and circular links among them."""
+    return requests.request_tree(fixtures.circular(fixtures.records(spark, sf))).select(
+        "request_id", "trace_id", "span_id", "depth", "root_trace_id", "root_span_id")
+
+
 @query
 def lineage_score(spark, sf):
     return analysis.lineage_score(fixtures.records(spark, sf))

@@ -106,6 +106,18 @@ def spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     ))
 
 
+#: Headers of the derived records, of which some lead to the trace after and so round in a circle.
+CIRCULAR = """case when traceparent is not null and {trace} % 50 = 7 then concat(
+ '00-', lower(lpad({hex}({trace} + 1), 32, '0')), '-', lower(lpad({hex}(({trace} + 1) * 8 + 1), 16, '0')), '-01')
+ else traceparent end"""
+
+
+def circular(records: DataFrame) -> DataFrame:
+    """The records with a few circles of remote calls."""
+    trace = "cast(conv(substring(trace_id, 17), 16, 10) as bigint)"
+    return records.withColumn("traceparent", F.expr(CIRCULAR.format(trace=trace, hex="hex")))
+
+
 #: How much later spans of some traces come, by the number of the trace and the place in it.
 PAUSE = """case when {trace} % 3 = 0 and {pos} >= 5 then {seconds25}
  when {trace} % 3 = 1 and {pos} = 7 then {hours36} else {none} end"""
@@ -197,6 +209,7 @@ def _duckdb(sql: str) -> str:
     return sql
 
 
+CIRCULAR_SQL = CIRCULAR.format(trace="cast('0x' || substring(trace_id, 17) as bigint)", hex="to_hex")
 PAUSE_SQL = PAUSE.format(
     trace="cast('0x' || substring(trace_id, 17) as bigint)", pos="((cast('0x' || span_id as bigint) - 1) % 8)",
     seconds25="interval 25 second", hours36="interval 36 hour", none="interval 0 second")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from ..functions.pii import PATTERNS
 from ..schema import JSON_COLUMNS
-from .fixtures import END, NOW, PAUSE_SQL, RECORDS_SQL, START, STATE
+from .fixtures import CIRCULAR_SQL, END, NOW, PAUSE_SQL, RECORDS_SQL, START, STATE
 
 W = f"with {RECORDS_SQL}"
 WR = f"with recursive {RECORDS_SQL}"
@@ -357,6 +357,29 @@ pieces as (select *, lead(depth) over (partition by trace_id order by path) as f
        union all select e.trace_id, e.span_id, w.top, e.agent, e.operation, w.n + 1
        from w join e on e.trace_id = w.trace_id and e.up = w.span_id)
  select trace_id, top as span_id, agent, operation, cast(max(n) as bigint) as length from w group by 1, 2, 3, 4 having max(n) >= 2""",
+    "request_tree": f"""{WR}, heads as (select *, {CIRCULAR_SQL} as header from records),
+ h as (select *, nullif(regexp_extract(header, '^00-([0-9a-f]{{32}})-([0-9a-f]{{16}})-[0-9a-f]{{2}}$', 1), '') as ct,
+              nullif(regexp_extract(header, '^00-([0-9a-f]{{32}})-([0-9a-f]{{16}})-[0-9a-f]{{2}}$', 2), '') as cs from heads),
+ n as (select h.trace_id, h.span_id, concat(h.trace_id, '/', h.span_id) as node,
+              concat(p.trace_id, '/', p.span_id) as own, concat(c.trace_id, '/', c.span_id) as caller, c.trace_id as ct
+       from h left join records p on p.trace_id = h.trace_id and p.span_id = h.parent_span_id
+       left join records c on c.trace_id = h.ct and c.span_id = h.cs),
+ up as (select trace_id, span_id, node, case when p.span_id is not null then own when c.span_id is not null then caller end as parent,
+               p.span_id is null and c.span_id is not null as remote, ct
+        from (select n.*, struct_pack(span_id := case when own <> '/' then own end) as p,
+                     struct_pack(span_id := case when caller <> '/' then caller end) as c from n)),
+ above as (select node, parent as far from up where parent is not null
+           union select a.node, u.parent from above a join up u on u.node = a.far where u.parent is not null),
+ kept as (select u.*, case when not (remote and exists (select 1 from above a where a.node = u.node and a.far = u.node))
+                           then parent end as joined from up u),
+ down as (select node, cast(0 as bigint) as depth, node as root from kept where joined is null
+          union all select k.node, d.depth + 1, d.root from down d join kept k on k.joined = d.node),
+ ways as (select trace_id as a, ct as b from up where remote union select ct, trace_id from up where remote),
+ reach as (select a, b from ways union select r.a, w.b from reach r join ways w on w.a = r.b),
+ requests as (select a as trace_id, least(a, min(b)) as request_id from reach group by a)
+ select coalesce(q.request_id, k.trace_id) as request_id, k.trace_id, k.span_id, d.depth,
+ split_part(d.root, '/', 1) as root_trace_id, split_part(d.root, '/', 2) as root_span_id
+ from kept k join down d using (node) left join requests q on q.trace_id = k.trace_id""",
     "delegation_chains": f"""{WR}, n as (
  select r.trace_id, r.span_id, r.agent_id as agent, r.timestamp, p.span_id as parent, p.agent_id as above
  from records r left join records p on p.trace_id = r.trace_id and p.span_id = r.parent_span_id),
