@@ -21,7 +21,7 @@ from ..functions.pii import Redactor, add_strategy
 from ..operators import (analysis, compliance, convert, cost, handoffs, lookup, loops, metrics, privacy,
                          replay, requests, sampling, sketches, tree)
 from ..schema import JSON_COLUMNS, RECORD
-from ..sources import nested, spans as span_files, tables
+from ..sources import nested, otlp, spans as span_files, tables
 from ..streaming import pipeline, verdicts
 from . import fixtures
 from .fixtures import END, NOW, START
@@ -501,6 +501,24 @@ def spans_from_json(spark, sf):
         F.count_if(F.col("status") == "error").alias("errors"))
 
 
+@query
+def spans_from_otlp(spark, sf):
+    """Spans as protocol lines, some of them broken, read back and converted, per agent; bad lines by reason."""
+    path = _scratch(spark)
+    lines = otlp.to_lines(fixtures.spans(spark, sf))
+    number = F.conv(F.regexp_extract("value", '"traceId":"([0-9a-f]*)"', 1), 16, 10).cast("long") % 40
+    lines.select(F.explode(F.when(number == 3, F.array(F.expr("left(value, length(value) div 2)")))
+                           .when(number == 4, F.array("value", F.lit('{"resourceLogs":[]}'), F.lit("")))
+                           .otherwise(F.array("value"))).alias("value")).write.text(path)
+    read = otlp.read_lines(spark, path)
+    records = convert.spans_to_records(otlp.parse(read)).groupBy("agent_id").agg(
+        F.count(F.lit(1)).alias("records"), F.sum("cost_usd").alias("cost"),
+        F.count_if(F.col("status") == "error").alias("errors"))
+    bad = otlp.bad_lines(read).groupBy(F.concat(F.lit("bad: "), F.col("reason")).alias("agent_id")).agg(
+        F.count(F.lit(1)).alias("records"))
+    return records.unionByName(bad, allowMissingColumns=True)
+
+
 @query
 def span_names(spark, sf):
     """Span names, configuration fingerprints and cut error text."""

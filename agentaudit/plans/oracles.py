@@ -556,6 +556,12 @@ built as (
  {_d('sum(cost_usd)')} as cost, count(compliance) as checked from records group by 1, 2""",
     "spans_from_json": f"""{W} select agent_id, count(*) as records, {_d('sum(cost_usd)')} as cost,
  count(*) filter (where status = 'error') as errors from records group by 1""",
+    "spans_from_otlp": f"""{W}, numbered as (select *, cast('0x' || substring(trace_id, 17) as bigint) % 40 as n from records)
+ select agent_id, count(*) as records, {_d('sum(cost_usd)')} as cost, count(*) filter (where status = 'error') as errors
+ from numbered where n <> 3 group by 1
+ union all
+ select case n when 3 then 'bad: not JSON' else 'bad: no resourceSpans' end, count(distinct trace_id), null, null
+ from numbered where n in (3, 4) group by 1""",
     "pii_own_strategy": f"""select doc_id, regexp_replace(text, '{EMAIL}', '<email>', 'g') as text,
  regexp_replace(text, '{EMAIL}', '<email>', 'g') as payload_text from documents""",
     "tier_export": f"""{W}, t as (select *, datediff('day', cast(timestamp as date), date '{NOW}') as age from records)
