@@ -8,6 +8,7 @@ arrays become text.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,7 +19,7 @@ from .. import session
 from ..functions import text
 from ..functions.payload import redact_json
 from ..functions.pii import Redactor, add_strategy
-from ..operators import (analysis, compliance, convert, cost, handoffs, lookup, loops, metrics, privacy,
+from ..operators import (analysis, compliance, convert, cost, handoffs, lookup, loops, metrics, partials, privacy,
                          replay, requests, sampling, sketches, tree)
 from ..schema import JSON_COLUMNS, RECORD
 from ..sources import nested, otlp, spans as span_files, tables
@@ -183,6 +184,32 @@ def compliance_report_long(spark, sf):
     )
 
 
+@query
+def partial_report(spark, sf):
+    """Costs and report sections of the whole range, from daily partial results alone."""
+    root = _scratch(spark)
+    tables.append(fixtures.records(spark, sf), f"{root}/table")
+    stored = tables.read(spark, f"{root}/table")
+    days = [r["date"] for r in stored.select("date").distinct().collect()]  # a row per day
+    partials.refresh(stored, f"{root}/partials", days)
+    args = spark, f"{root}/partials", START, END
+    row = lambda df, section, label, n, x=F.lit(None), y=F.lit(None): df.select(
+        F.lit(section).alias("section"), label.cast("string").alias("label"), n.cast("long").alias("n"),
+        x.cast("double").alias("x"), y.cast("timestamp").alias("y"))
+    c, costs, checks = F.col, partials.cost_attribution(*args), partials.guardrail_summary(*args)
+    hourly = partials.cost_hourly(*args)
+    parts = [
+        row(costs, "cost", c("agent_name"), c("invocations"), c("total_cost")),
+        row(costs, "tokens", c("agent_name"), c("total_tokens"), c("avg_latency_ms")),
+        row(hourly, "hour", F.concat_ws("|", "agent_name", F.date_format("hour", "yyyy-MM-dd HH")), c("total_tokens"), c("total_cost")),
+        row(partials.reference_databases(*args), "tool", F.concat_ws("/", "tool_name", "tool_type"), c("usage_count")),
+        row(partials.usage_periods(*args), "use", c("day").cast("date"), c("total_operations"), y=c("last_use")),
+        row(partials.root_usage_periods(*args), "session", c("day").cast("date"), c("sessions"), y=c("last_end")),
+        row(checks, "checks", c("pass_rate"), c("total_checked"), c("failed")),
+        row(partials.human_oversight(*args, ordered=False), "oversight", c("span_id"), F.lit(1), y=c("timestamp"))]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def risk_tags(spark, sf):
     """Risk level and domain of every record, counted per agent."""

@@ -556,6 +556,19 @@ built as (
  {_d('sum(cost_usd)')} as cost, count(compliance) as checked from records group by 1, 2""",
     "spans_from_json": f"""{W} select agent_id, count(*) as records, {_d('sum(cost_usd)')} as cost,
  count(*) filter (where status = 'error') as errors from records group by 1""",
+    "partial_report": f"""{W}, {CALLS}
+ select 'cost' as section, agent_name as label, count(*) as n, {_d('sum(cost_usd)')} as x, cast(null as timestamp) as y
+ from records where {RANGE} group by agent_name
+ union all select 'tokens', agent_name, cast(sum({TOKENS}) as bigint), {_d('avg(duration_ms)')}, null from records group by agent_name
+ union all select 'hour', concat_ws('|', agent_name, strftime(timestamp, '%Y-%m-%d %H')), cast(sum(input_tokens + output_tokens) as bigint),
+  {_d('sum(cost_usd)')}, null from records group by agent_name, strftime(timestamp, '%Y-%m-%d %H')
+ union all select 'tool', concat_ws('/', {TOOL}, {TOOL_TYPE}), count(*), null, null from calls group by {TOOL}, {TOOL_TYPE}
+ union all select 'use', strftime(timestamp, '%Y-%m-%d'), count(*), null, max(timestamp) from records group by 2
+ union all select 'session', strftime(timestamp, '%Y-%m-%d'), count(*), null, max(timestamp + to_milliseconds(coalesce(duration_ms, 0)))
+  from records where parent_span_id is null group by 2
+ union all select 'checks', concat(printf('%.1f', 100.0 * count(*) filter (where all_passed) / greatest(count(*), 1)), '%'), count(*),
+  cast(count(*) filter (where not all_passed) as double), null from records where compliance is not null
+ union all select 'oversight', span_id, 1, null, timestamp from records where human_in_loop""",
     "spans_from_otlp": f"""{W}, numbered as (select *, cast('0x' || substring(trace_id, 17) as bigint) % 40 as n from records)
  select agent_id, count(*) as records, {_d('sum(cost_usd)')} as cost, count(*) filter (where status = 'error') as errors
  from numbered where n <> 3 group by 1
