@@ -22,7 +22,7 @@ from ..functions.pii import Redactor, add_strategy
 from ..operators import (analysis, compliance, convert, cost, handoffs, lookup, loops, metrics, partials, privacy,
                          replay, requests, sampling, sketches, tree)
 from ..schema import JSON_COLUMNS, RECORD
-from ..sources import nested, otlp, spans as span_files, tables
+from ..sources import export, nested, otlp, spans as span_files, tables
 from ..streaming import pipeline, verdicts
 from . import fixtures
 from .fixtures import END, NOW, START
@@ -790,6 +790,21 @@ def stream_ingest(spark, sf):
         F.count_if(F.col("status") == "error").alias("errors"))
 
 
+@query
+def stream_export(spark, sf):
+    """Redacted spans through the export stream as protocol lines, read back and counted per agent."""
+    root = _scratch(spark)
+    fixtures.spans(spark, sf).write.parquet(f"{root}/spans")
+    stream = span_files.stream_spans(spark, f"{root}/spans")
+    _finish(pipeline.export(stream, f"{root}/lines", f"{root}/ck", once=True))
+    records = otlp.parse(export.read_lines(spark, f"{root}/lines"))
+    attr = lambda k: F.try_element_at("attributes", F.lit(k))
+    return records.groupBy(attr("gen_ai.agent.id").alias("agent_id")).agg(
+        F.count(F.lit(1)).alias("spans"), F.count_distinct(attr("user.id")).alias("users"),
+        F.count(attr("gen_ai.input.messages")).alias("with_content"),
+        F.count_if(F.col("status_code") == "STATUS_CODE_ERROR").alias("errors"))
+
+
 @query
 def stream_sample(spark, sf):
     """Spans through the sampling stream, decided per trace: spans of kept traces."""

@@ -581,6 +581,8 @@ built as (
  select case when age < 90 then 'warm' else 'cold' end as tier, count(*) as records, count(distinct trace_id) as traces,
  cast(sum(duration_ms) as bigint) as duration_ms from t where age >= 7 group by 1""",
     "stream_ingest": f"""{W} select agent_id, count(*) as records, {_d('sum(cost_usd)')} as cost,
+ count(*) filter (where status = 'error') as errors from records group by 1""",
+    "stream_export": f"""{W} select agent_id, count(*) as spans, 1 as users, 0 as with_content,
  count(*) filter (where status = 'error') as errors from records group by 1""",
     "stream_sample": f"""{W}, {FLAGS} select trace_id, span_id, timestamp as start_time from records
  where trace_id in (select trace_id from decided where keep)""",

@@ -145,6 +145,13 @@ def span_json() -> Column:
         F.lit('],"status":{"code":'), _quoted(F.col("status_code")), F.lit("}}"))
 
 
+def span_lines(spans: DataFrame) -> DataFrame:
+    """One line of the protocol per span (column ``value``), without a shuffle; works on streams."""
+    return spans.select(F.concat(
+        F.lit('{"resourceSpans":[{"resource":{"attributes":'), _pairs(F.col("resource")),
+        F.lit('},"scopeSpans":[{"scope":{},"spans":['), span_json(), F.lit("]}]}]}")).alias("value"))
+
+
 def to_lines(spans: DataFrame, per_line: int = 64) -> DataFrame:
     """Spans as lines of the protocol (column ``value``), for files or another collector.
 

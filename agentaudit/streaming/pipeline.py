@@ -23,6 +23,8 @@ from ..operators.cost import tokens
 from ..operators.lookup import flag
 from ..operators.sampling import Policy, flag_aggregates, span_flags, with_decision
 from ..operators.skew import join_unique
+from ..sources import otlp
+from ..sources.export import export as export_lines
 from ..sources.tables import BATCH_ROWS, BATCH_SECONDS
 
 #: Quiet time after which a trace is decided.
@@ -87,6 +89,17 @@ def ingest(spans: DataFrame, path: str, quarantine_path: str, checkpoint: str, o
     return _start(writer, once)
 
 
+def export(spans: DataFrame, path: str, checkpoint: str, once: bool = False,
+           capture_content: bool = False) -> StreamingQuery:
+    """Write redacted spans as lines of the trace protocol for another collector, each once.
+
+    Unlike the ``exporters`` of ``ingest``, which see a repeated batch again, this sink
+    commits its batches.
+    """
+    lines = otlp.span_lines(truncate_long_text(redact_attributes(spans, capture_content)))
+    return export_lines(lines, path, checkpoint, lambda writer: _start(writer, once))
+
+
 def session_decisions(spans: DataFrame, policy: Policy = Policy(), wait: str = DECISION_WAIT,
                       delay: str = DELAY) -> DataFrame:
     """Flags and verdict per trace and session, once the session is over."""
