@@ -23,7 +23,7 @@ from ..operators import (analysis, compliance, convert, cost, handoffs, lookup,
                          replay, requests, sampling, sketches, tree)
 from ..schema import JSON_COLUMNS, RECORD
 from ..sources import export, nested, otlp, spans as span_files, tables
-from ..streaming import pipeline, verdicts
+from ..streaming import pipeline, spikes, verdicts
 from . import fixtures
 from .fixtures import END, NOW, START
 
@@ -139,13 +139,13 @@ def version_compare(spark, sf):
 @query
 def cost_spikes(spark, sf):
     out = cost.cost_spikes(fixtures.records(spark, sf))
-    return out.select("agent_name", "hour", "cost", "baseline", "is_spike")
+    return out.select("agent_name", "hour", "cost", "baseline", "spread", "is_spike")
 
 
 @query
 def error_spikes(spark, sf):
     out = cost.error_spikes(fixtures.records(spark, sf))
-    return out.select("agent_name", "hour", "calls", "error_rate", "baseline", "is_spike")
+    return out.select("agent_name", "hour", "calls", "error_rate", "baseline", "spread", "is_spike")
 
 
 # -- compliance -----------------------------------------------------------------
@@ -868,6 +868,24 @@ def stream_trace_costs(spark, sf):
     return spark.read.parquet(f"{root}/dear")
 
 
+@query
+def stream_spikes(spark, sf):
+    """Hourly error rates of a stream of records against the day before, all columns."""
+    root = _scratch(spark)
+    found = spikes.error_spikes(_record_stream(spark, sf, root))
+    _finish(pipeline.to_table(found, f"{root}/spikes", f"{root}/ck", once=True))
+    return spark.read.parquet(f"{root}/spikes")
+
+
+@query
+def stream_cost_spikes(spark, sf):
+    """Hourly costs of a stream of records against the day before, quiet hours included."""
+    root = _scratch(spark)
+    found = spikes.cost_spikes(_record_stream(spark, sf, root))
+    _finish(pipeline.to_table(found, f"{root}/spikes", f"{root}/ck", once=True))
+    return spark.read.parquet(f"{root}/spikes")
+
+
 @query
 def stream_sample_batches(spark, sf):
     """The sampling stream fed in several batches, in time order, one file each."""

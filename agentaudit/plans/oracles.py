@@ -109,7 +109,7 @@ series as (select * replace (if(hour = called, {value}, 0.0) as {value}) from ev
 framed as (
  select *, avg({value}) over w as base, stddev_samp({value}) over w as spread from series
  window w as (partition by agent_name order by hour {frame}))
- select agent_name, hour, {cols}, {_d('base')} as baseline, coalesce({value} > base + 2.0 * spread, false) as is_spike
+ select agent_name, hour, {cols}, {_d('base')} as baseline, {_d('spread')} as spread, coalesce({value} > base + 2.0 * spread, false) as is_spike
  from framed where hour = called"""
 
 
@@ -624,3 +624,6 @@ verdicts as (
     "stream_sample_batches": f"""{W}, {FLAGS} select trace_id, span_id, timestamp as start_time from records
  where trace_id in (select trace_id from decided where keep)""",
 }
+# A stream gives what the batch gives.
+ORACLES["stream_spikes"] = ORACLES["error_spikes"]
+ORACLES["stream_cost_spikes"] = ORACLES["cost_spikes"]
