@@ -26,6 +26,10 @@ HIGH_RISK_DOMAINS = [
 ]
 
 
+#: Report rows keep empty fields and microseconds.
+JSON = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
+
 def usage_periods(records: DataFrame, start, end) -> DataFrame:
     """First use, last use and number of operations per day."""
     return (
@@ -123,7 +127,7 @@ def report_long(records: DataFrame, start, end, sections: Sequence[str] | None =
     parts = [
         df.select(
             F.lit(name).alias("section"),
-            F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("row_json"),
+            F.to_json(F.struct(*df.columns), JSON).alias("row_json"),
         )
         for name, df in report(records, start, end, sections, ordered=False).items()
     ]

@@ -15,8 +15,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import let
@@ -180,9 +179,7 @@ def forest_json(records: DataFrame, small: int = SMALL_TRACE) -> DataFrame:
     """The span forest of every trace as one nested JSON text.
 
     Children stand in time order under ``children``. Such a value has to fit into one
-    row; so do the spans of its trace, which are then put together by one grouped
-    function where they are more than ``small``. ``span_tree`` has the same as rows, for
-    traces too large for that.
+    row. ``forest_pieces`` has the same text as rows, for traces too large for that.
     """
     def build(nodes: Column, up: Column) -> Column:
         start = F.transform(nodes, lambda x, i: F.struct(
@@ -219,30 +216,49 @@ def forest_json(records: DataFrame, small: int = SMALL_TRACE) -> DataFrame:
 
 
 def _large_forests(records: DataFrame) -> DataFrame:
+    """The texts of large traces, put together from their pieces."""
+    piece = F.sort_array(F.collect_list(F.struct("position", "piece")))
+    inside = F.array_join(F.transform(piece, lambda p: p["piece"]), "")
+    texts = forest_pieces(records).groupBy("trace_id").agg(inside.alias("text"))
+    # A trace whose spans all run in circles has an empty forest.
+    return records.select("trace_id").distinct().join(texts, "trace_id", "left").select(
+        "trace_id", F.concat(F.lit("["), F.coalesce("text", F.lit("")), F.lit("]")).alias("forest"))
+
+
+def forest_pieces(records: DataFrame) -> DataFrame:
+    """The nested JSON of every trace as rows: trace_id, position, depth, piece.
+
+    Joined by position and put in brackets, the pieces of a trace are ``forest_json``; no
+    text and no task holds a whole trace. A span stands before its children: its position
+    is the sum, down from the root, of the spans that stand before it among its siblings'
+    subtrees. Sizes of subtrees are summed up by doubled pointers, 2^k steps a round.
+    """
     text = F.to_json(F.struct("span_id", "agent_name", "duration_ms"))
-    nodes = span_nodes(records).select("trace_id", "span_id", "parent", "timestamp", text.alias("text"))
-
-    def assemble(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["timestamp", "span_id"])
-        texts = dict(zip(rows["span_id"], rows["text"]))
-        below: dict = {}
-        for span, parent in zip(rows["span_id"], rows["parent"]):
-            below.setdefault(parent if parent in texts else None, []).append(span)
-        # Open nodes with what is left of their children; no recursion, however deep.
-        out, open_nodes = ["["], [iter(below.get(None, []))]
-        while open_nodes:
-            span = next(open_nodes[-1], None)
-            if span is None:
-                open_nodes.pop()
-                out.append("]}" if open_nodes else "]")
-                continue
-            if not out[-1].endswith("["):
-                out.append(",")
-            out.append(texts[span][:-1] + ',"children":[')
-            open_nodes.append(iter(below.get(span, [])))
-        return pd.DataFrame({"trace_id": rows["trace_id"].iloc[:1], "forest": ["".join(out)]})
-
-    return nodes.groupBy("trace_id").applyInPandas(assemble, "trace_id string, forest string")
+    nodes = cut(span_nodes(records).select("trace_id", "span_id", "parent", "timestamp", text.alias("text")))
+    known = nodes.select("trace_id", F.col("span_id").alias("parent"), F.lit(True).alias("known"))
+    linked = cut(join_unique(nodes, known, ["trace_id", "parent"], "left").withColumn(
+        "parent", F.when(F.col("known"), F.col("parent"))).drop("known"))
+    _, levels = climb(linked.withColumn("weight", F.lit(0).cast("long")))
+    sizes = linked.select("trace_id", "span_id", F.lit(1).cast("long").alias("size"))
+    for level in levels:
+        # Below a span within twice the distance: what was counted, and that of the spans 2^k steps down.
+        deeper = level.join(sizes, ["trace_id", "span_id"]).groupBy("trace_id", F.col("ptr").alias("span_id")).agg(
+            F.sum("size").alias("more"))
+        sizes = cut(sizes.join(deeper, ["trace_id", "span_id"], "left").select(
+            "trace_id", "span_id", (F.col("size") + F.coalesce("more", F.lit(0))).alias("size")))
+    siblings = Window.partitionBy("trace_id", "parent").orderBy("timestamp", "span_id")
+    ahead = F.coalesce(F.sum("size").over(siblings.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = cut(linked.join(sizes, ["trace_id", "span_id"]).withColumns({
+        "nth": F.row_number().over(siblings), "weight": ahead + F.when(F.col("parent").isNull(), 0).otherwise(1)}))
+    reached, _ = climb(placed.select("trace_id", "span_id", "parent", "weight"))
+    ordered = cut(reached.select("trace_id", "span_id", F.col("total").alias("position"), "depth").join(
+        placed.select("trace_id", "span_id", "nth", "text"), ["trace_id", "span_id"]))
+    after = ordered.select("trace_id", (F.col("position") - 1).alias("position"), F.col("depth").alias("next"))
+    closed = F.when(F.col("next").isNull(), F.col("depth") + 1).otherwise(F.col("depth") + 1 - F.col("next"))
+    piece = F.concat(F.when(F.col("nth") > 1, ",").otherwise(""), F.regexp_replace("text", r"\}$", ""),
+                     F.lit(',"children":['), F.repeat(F.lit("]}"), closed.cast("int")))
+    return join_unique(ordered, after, ["trace_id", "position"], "left").select(
+        "trace_id", "position", "depth", piece.alias("piece"))
 
 
 def climb(nodes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:

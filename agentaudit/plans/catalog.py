@@ -173,15 +173,14 @@ def guardrail_summary(spark, sf):
 
 @query
 def compliance_report_long(spark, sf):
-    """All report sections as rows; the JSON is read back for comparison."""
+    """All report sections as rows; every field of their JSON is read back for comparison."""
     rows = compliance.report_long(fixtures.records(spark, sf), START, END)
     get = lambda key: F.get_json_object("row_json", f"$.{key}")
-    label = F.coalesce(get("tool_name"), get("agent_name"), F.substring(get("day"), 1, 10), get("pass_rate"), F.lit(""))
-    number = F.coalesce(get("usage_count"), get("total_operations"), get("total_checked"), F.lit("0"))
-    return rows.select(
-        "section", label.alias("label"), number.cast("long").alias("number"),
-        F.coalesce(get("trace_id"), F.lit("")).alias("trace_id"),
-    )
+    text = [F.coalesce(get(k), F.lit("")).alias(k) for k in (
+        "tool_name", "tool_type", "trace_id", "span_id", "agent_name", "operation_name", "pass_rate")]
+    number = [get(k).cast("long").alias(k) for k in ("total_operations", "usage_count", "total_checked", "passed", "failed")]
+    time = [get(k).cast("timestamp").alias(f"at_{k}") for k in ("day", "first_use", "last_use", "timestamp")]
+    return rows.select("section", *text, *number, *time, get("pass_rate_pct").cast("double").alias("pass_rate_pct"))
 
 
 @query
@@ -259,6 +258,12 @@ def span_forest_json(spark, sf):
     return out.select("trace_id", "forest", spans.alias("spans"), leaves.alias("leaves"))
 
 
+@query
+def span_forest_pieces(spark, sf):
+    """The nested JSON of every trace as rows in order."""
+    return tree.forest_pieces(fixtures.records(spark, sf))
+
+
 @query
 def critical_path(spark, sf):
     return tree.critical_path_steps(fixtures.records(spark, sf))
@@ -888,7 +893,7 @@ def stream_cost_spikes(spark, sf):
 
 @query
 def stream_sample_batches(spark, sf):
-    """The sampling stream fed in several batches, in time order, one file each."""
+    """The sampling stream fed in several runs, in time order."""
     root = _scratch(spark)
     spans = fixtures.spans(spark, sf)
     third = F.floor(F.dayofmonth("start_time") / 11)  # the spans lie within one month
@@ -897,8 +902,8 @@ def stream_sample_batches(spark, sf):
         if part is None:
             _closing_span(spark, f"{root}/spans")
         else:
-            spans.where(third == part).coalesce(1).write.mode("append").parquet(f"{root}/spans")
-        stream = span_files.stream_spans(spark, f"{root}/spans", max_files_per_trigger=1)
+            spans.where(third == part).write.mode("append").parquet(f"{root}/spans")
+        stream = span_files.stream_spans(spark, f"{root}/spans")
         _finish(pipeline.stage(stream, staged, f"{root}/ck-stage", once=True))
         _finish(pipeline.sample(span_files.stream_spans(spark, staged), staged, kept, f"{root}/decisions",
                                 f"{root}/ck-sample", once=True))

@@ -236,14 +236,20 @@ ORACLES: dict[str, str] = {
  select total_checked, passed, failed, {_d('passed / greatest(total_checked, 1) * 100')} as pass_rate_pct,
  printf('%.1f%%', passed / greatest(total_checked, 1) * 100) as pass_rate from s""",
     "compliance_report_long": f"""{W}, {CALLS},
- s as (select count(*) as n, count(*) filter (where compliance ->> '$.all_passed' = 'true') as passed
- from records where compliance is not null and {RANGE})
- select 'usage_periods' as section, strftime(timestamp, '%Y-%m-%d') as label, count(*) as number, '' as trace_id
- from records where {RANGE} group by 2
- union all select 'reference_databases', coalesce({TOOL}, ''), count(*), '' from calls group by {TOOL}, {TOOL_TYPE}
- union all select 'human_oversight_events', coalesce(agent_name, ''), 0, trace_id
- from records where compliance ->> '$.human_in_loop' = 'true' and {RANGE}
- union all select 'guardrail_summary', printf('%.1f%%', passed / greatest(n, 1) * 100), n, '' from s""",
+s as (select count(*) as n, count(*) filter (where compliance ->> '$.all_passed' = 'true') as passed,
+ count(*) filter (where compliance ->> '$.all_passed' = 'false') as failed from records where compliance is not null and {RANGE})
+select 'usage_periods' as section, '' as tool_name, '' as tool_type, '' as trace_id, '' as span_id, '' as agent_name,
+ '' as operation_name, '' as pass_rate, count(*) as total_operations, cast(null as bigint) as usage_count,
+ cast(null as bigint) as total_checked, cast(null as bigint) as passed, cast(null as bigint) as failed,
+ date_trunc('day', timestamp)::timestamp as at_day, min(timestamp) as at_first_use, max(timestamp) as at_last_use,
+ cast(null as timestamp) as at_timestamp, cast(null as double) as pass_rate_pct
+from records where {RANGE} group by date_trunc('day', timestamp)
+union all select 'reference_databases', coalesce({TOOL}, ''), coalesce({TOOL_TYPE}, ''), '', '', '', '', '', null, count(*), null, null, null,
+ null, null, null, null, null from calls group by {TOOL}, {TOOL_TYPE}
+union all select 'human_oversight_events', '', '', trace_id, span_id, coalesce(agent_name, ''), operation_name, '', null, null, null, null, null,
+ null, null, null, timestamp, null from records where compliance ->> '$.human_in_loop' = 'true' and {RANGE}
+union all select 'guardrail_summary', '', '', '', '', '', '', printf('%.1f%%', passed / greatest(n, 1) * 100), null, null, n, passed, failed,
+ null, null, null, null, {_d('passed / greatest(n, 1) * 100')} from s""",
     "risk_tags": f"""{W}, d as (select *, list_value('Employment & HR', 'Credit & Finance', 'Healthcare', 'Education',
  'Law Enforcement', 'Critical Infrastructure', 'Biometrics', null)[cast((input_tokens % 80) // 10 + 1 as int)] as risk_domain from records)
  select risk_level, risk_domain, risk_domain is not null or risk_level in ('high', 'critical') as is_high_risk,
@@ -303,6 +309,20 @@ pieces as (select *, lead(depth) over (partition by trace_id order by path) as f
   '","agent_name":"', agent_name, '","duration_ms":', ms, ',"children":[',
   repeat(']}}', cast(depth - coalesce(following, 0) + 1 as bigint))), '' order by path), ']') as forest,
  count(*) as spans, count(*) filter (where following is null or following <= depth) as leaves from pieces group by 1""",
+    "span_forest_pieces": f"""{WR}, {TREE}, numbered as (
+ select n.trace_id, n.span_id, n.parent, coalesce(nullif(r.agent_name, ''), r.agent_id) as agent_name,
+  coalesce(r.duration_ms, 0) as ms,
+  row_number() over (partition by n.trace_id, n.parent order by n.timestamp, n.span_id) as nth
+ from nodes n join records r on r.trace_id = n.trace_id and r.span_id = n.span_id),
+walk as (
+ select *, 0 as depth, [nth] as path from numbered where parent is null
+ union all
+ select n.*, w.depth + 1, list_append(w.path, n.nth) from walk w join numbered n on n.trace_id = w.trace_id and n.parent = w.span_id),
+pieces as (select *, lead(depth) over (partition by trace_id order by path) as following,
+                  row_number() over (partition by trace_id order by path) - 1 as position from walk)
+ select trace_id, position, cast(depth as bigint) as depth, concat(case when nth > 1 then ',' else '' end, '{{"span_id":"', span_id,
+  '","agent_name":"', agent_name, '","duration_ms":', ms, ',"children":[',
+  repeat(']}}', cast(depth - coalesce(following, 0) + 1 as bigint))) as piece from pieces""",
     "critical_path": f"""{WR}, {STEPS}, {PATH} select trace_id, unnest(range(len(seqs))) as position, unnest(ids) as span_id,
  unnest(names) as agent_name, cast(unnest(durs) as bigint) as duration_ms from best""",
     "trace_analysis": f"""{WR}, {STEPS}, {PATH}, {TOTALS} select t.*, l.bottleneck_agent, l.costliest_agent,

@@ -147,3 +147,24 @@ def test_nested_json_matches_brute_force(spark):
     # Large traces are put together another way, to the same text.
     assert {r.trace_id: r.forest for r in tree.forest_json(df, small=5).collect()} == {
         r.trace_id: r.forest for r in tree.forest_json(df).collect()}
+
+
+def test_pieces_make_up_the_forest(spark):
+    """Wide, deep and broken traces: pieces in order, joined, are the nested text."""
+    rng = random.Random(5)
+    rows = []
+    for t in range(12):
+        n = rng.randrange(1, 60)
+        for i in range(n):
+            parent = None if rng.random() < 0.1 else f"s{rng.randrange(n)}" if rng.random() < 0.1 else f"s{rng.randrange(i)}" if i else "gone"
+            rows.append(record(f"t{t}", f"s{i}", parent_span_id=parent, timestamp=at(rng.randrange(20)), duration_ms=i))
+    rows += [record("wide", f"s{i}", parent_span_id="s0" if i else None, timestamp=at(i)) for i in range(200)]
+    rows += [record("deep", f"s{i}", parent_span_id=f"s{i - 1}" if i else None, timestamp=at(i)) for i in range(200)]
+    df = records(spark, *rows)
+    joined = {}
+    for r in sorted(tree.forest_pieces(df).collect(), key=lambda r: (r.trace_id, r.position)):
+        joined.setdefault(r.trace_id, []).append(r.piece)
+        assert r.position == len(joined[r.trace_id]) - 1
+    whole = {r.trace_id: r.forest for r in tree.forest_json(df, small=10_000).collect()}
+    assert {t: "[" + "".join(p) + "]" for t, p in joined.items()} == {t: f for t, f in whole.items() if f != "[]"}
+    assert {r.trace_id: r.forest for r in tree.forest_json(df, small=3).collect()} == whole
