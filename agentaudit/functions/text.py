@@ -21,6 +21,16 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+#: Text that stands in JSON as it is.
+PLAIN_JSON = r"^[ !#-\[\]-~]*\z"
+
+
+def json_string(value: Column) -> Column:
+    """The text as a JSON string; what needs escapes is taken from the one-field object ``{"v":…}``."""
+    escaped = F.regexp_extract(F.to_json(F.struct(value.alias("v"))), r'(?s)^\{"v":(.*)\}$', 1)
+    return F.when(value.rlike(PLAIN_JSON), F.concat(F.lit('"'), value, F.lit('"'))).otherwise(escaped)
+
+
 def truncate(value: Column, limit: int) -> Column:
     """First ``limit`` characters (code points)."""
     return F.substring(value, 1, limit)

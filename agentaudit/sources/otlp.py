@@ -17,7 +17,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import json_string, let
 from ..schema import SPAN
+from ..session import cut
 
 _PLAIN = "stringValue:string,intValue:string,doubleValue:string,boolValue:string,bytesValue:string"
 _VALUE = (f"struct<{_PLAIN},arrayValue:struct<values:array<variant>>,kvlistValue:struct<values:array<struct<key:string,value:variant>>>>")
@@ -33,8 +35,8 @@ _KINDS = ("stringValue", "intValue", "doubleValue", "boolValue", "bytesValue")
 
 
 def _quoted(text: Column) -> Column:
-    """Text as a JSON string, taken from the one-field object ``{"v":...}``; ``""`` for NULL."""
-    return F.regexp_extract(F.to_json(F.struct(F.coalesce(text, F.lit("")).alias("v"))), r'(?s)^\{"v":(.*)\}$', 1)
+    """Text as a JSON string; ``""`` for NULL."""
+    return json_string(F.coalesce(text, F.lit("")))
 
 
 def _json_of(value: Column) -> Column:
@@ -60,10 +62,14 @@ def _map(pairs: Column, *more: tuple[str, Column]) -> Column:
     if more:
         every = F.concat(F.array(*[F.struct(F.lit(k).alias("key"), v.alias("value")) for k, v in more]), every)
     kept = F.filter(every, lambda e: e["key"].isNotNull() & e["value"].isNotNull())
-    # The last of equal keys: those that come again later are left out.
-    last = F.filter(kept, lambda e, i: ~F.exists(
-        F.slice(kept, i + 2, F.size(kept)), lambda later: later["key"] == e["key"]))
-    return F.map_from_entries(last)
+
+    def last(kept: Column) -> Column:
+        # The last of equal keys: those that come again later are left out.
+        keys = kept["key"]
+        return F.when(F.size(F.array_distinct(keys)) == F.size(keys), kept).otherwise(F.filter(
+            kept, lambda e, i: ~F.exists(F.slice(kept, i + 2, F.size(kept)), lambda later: later["key"] == e["key"])))
+
+    return F.map_from_entries(let(kept, last))
 
 
 def _time(nanos: Column) -> Column:
@@ -93,10 +99,11 @@ def parse(lines: DataFrame, column: str = "value") -> DataFrame:
 def bad_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """The lines without spans: ``line`` and ``reason``; works on streams."""
     value = F.try_parse_json(column)
-    reason = F.when(value.isNull(), "not JSON").when(
-        F.try_variant_get(value, "$.resourceSpans", "array<variant>").isNull(), "no resourceSpans")
-    return lines.where(F.trim(column) != "").select(F.col(column).alias("line"), reason.alias("reason")).where(
-        "reason IS NOT NULL")
+    reason = let(value, lambda v: F.when(v.isNull(), "not JSON").when(
+        F.try_variant_get(v, "$.resourceSpans", "array<variant>").isNull(), "no resourceSpans"))
+    # Exploded, a line is parsed once for both the filter and the reason.
+    found = F.filter(F.array(F.struct(F.col(column).alias("line"), reason.alias("reason"))), lambda r: r["reason"].isNotNull())
+    return lines.where(F.trim(column) != "").select(F.inline(found))
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -115,9 +122,12 @@ def stream_lines(spark: SparkSession, path: str, max_files_per_trigger: int | No
 def _typed(value: Column) -> Column:
     """Text as a typed value: whole numbers, decimals and truth values by their looks."""
     json = lambda kind, c: F.concat(F.lit('{"' + kind + '":'), c, F.lit("}"))
-    return (F.when(value.rlike(r"^-?(0|[1-9]\d{0,17})$"), json("intValue", F.concat(F.lit('"'), value, F.lit('"'))))
-            .when(value.rlike(r"^-?(0|[1-9]\d{0,8})\.\d{1,6}$"), json("doubleValue", value))
-            .when(value.isin("true", "false"), json("boolValue", value)).otherwise(json("stringValue", _quoted(value))))
+    text = json("stringValue", _quoted(value))
+    number = (F.when(value.rlike(r"^-?(0|[1-9]\d{0,17})$"), json("intValue", F.concat(F.lit('"'), value, F.lit('"'))))
+              .when(value.rlike(r"^-?(0|[1-9]\d{0,8})\.\d{1,6}$"), json("doubleValue", value)).otherwise(text))
+    # What does not begin like a number is not matched as one.
+    return (F.when(F.substring(value, 1, 1).between("-", "9"), number)
+            .when(value.isin("true", "false"), json("boolValue", value)).otherwise(text))
 
 
 def _pairs(values: Column) -> Column:
@@ -159,10 +169,14 @@ def to_lines(spans: DataFrame, per_line: int = 64) -> DataFrame:
     so that a large trace becomes many lines.
     """
     rows = spans.select("trace_id", "span_id", _pairs(F.col("resource")).alias("resource"), span_json().alias("span"))
-    sizes = rows.groupBy(F.col("trace_id").alias("of_trace")).agg(
-        (F.count(F.lit(1)) / per_line).cast("long").alias("parts"))
-    dealt = rows.join(sizes, F.col("trace_id").eqNullSafe(F.col("of_trace"))).select(
-        "trace_id", "resource", "span", F.pmod(F.xxhash64("span_id"), F.col("parts") + 1).alias("part"))
+    # Only traces that fill more than a line are looked up; without any, no span is moved for a join.
+    sizes = cut(spans.groupBy(F.col("trace_id").alias("of_trace")).agg(
+        (F.count(F.lit(1)) / per_line).cast("long").alias("parts")).where("parts > 0"))
+    if sizes.isEmpty():
+        dealt = rows.withColumn("part", F.lit(0))
+    else:
+        dealt = rows.join(sizes, F.col("trace_id").eqNullSafe(F.col("of_trace")), "left").withColumn(
+            "part", F.pmod(F.xxhash64("span_id"), F.coalesce("parts", F.lit(0)) + 1))
     return dealt.groupBy("trace_id", "resource", "part").agg(F.sort_array(F.collect_list("span")).alias("spans")).select(
         F.concat(F.lit('{"resourceSpans":[{"resource":{"attributes":'), F.col("resource"),
                  F.lit('},"scopeSpans":[{"scope":{},"spans":['), F.array_join("spans", ","), F.lit("]}]}]}")).alias("value"))

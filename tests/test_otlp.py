@@ -1,6 +1,7 @@
 """Protocol lines: typed values, times, broken lines, round trips."""
 
 import json
+import time
 
 from pyspark.sql import functions as F
 
@@ -116,3 +117,33 @@ def test_stream(spark, sf, tmp_path):
     bad = pipeline.to_table(otlp.bad_lines(stream), f"{tmp_path}/lines", f"{tmp_path}/ck2", once=True)
     bad.awaitTermination()
     assert [tuple(r) for r in spark.read.parquet(f"{tmp_path}/lines").collect()] == [("broken", "not JSON")]
+
+
+def test_a_span_with_very_many_attributes(spark):
+    """The work per attribute does not grow with their number, and a line is parsed once for its reason."""
+    many = [pair(f"k{i}", arrayValue={"values": [{"intValue": str(i)}]}) for i in range(3000)]
+    start = time.perf_counter()
+    row = otlp.parse(lines(spark, line({"traceId": "a", "spanId": "1", "attributes": many}))).first()
+    assert time.perf_counter() - start < 20  # minutes, when every attribute went through all of them again
+    assert row.attributes == {f"k{i}": f"[{i}]" for i in range(3000)}
+    bad = otlp.bad_lines(lines(spark, "plain", line())).groupBy("reason").count()
+    assert bad._jdf.queryExecution().optimizedPlan().toString().count("parseJson") == 1
+
+
+def test_small_traces_become_lines_without_a_join(spark):
+    few = spans(spark, *[span(f"t{i % 5}", str(i)) for i in range(40)], span(None, "x"), span(None, "y"))
+    out = otlp.to_lines(few)
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert out.count() == 6 and otlp.parse(out).count() == 42
+    mixed = spans(spark, *[span(None, str(i)) for i in range(300)], *[span("t", str(i)) for i in range(9)])
+    out = otlp.to_lines(mixed, per_line=50)
+    assert 5 <= out.count() <= 8 and otlp.parse(out).count() == 309
+
+
+def test_texts_in_json(spark):
+    texts = ["", "plain é", 'a "quote"', "back\\slash", "line\n", "\t", "end\n\n", "\x7f", " ", None, "0", "-", "/usr", ".5", "9x"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    for row in df.select("t", otlp._quoted(F.col("t")).alias("quoted"), otlp._typed(F.col("t")).alias("typed")).collect():
+        assert json.loads(row.quoted) == (row.t or "")
+        if row.t is not None:
+            assert json.loads(row.typed) == ({"intValue": "0"} if row.t == "0" else {"stringValue": row.t})
