@@ -1,6 +1,7 @@
 """Verdicts per trace in the stream: waits, late spans, forgetting, repeated batches."""
 
 from datetime import timedelta
+from types import SimpleNamespace
 
 import pytest
 
@@ -120,3 +121,78 @@ def test_payloads_come_back_whole(spark, tmp_path):
     query.awaitTermination()
     want = spans(spark, whole).collect()
     assert spark.read.schema(verdicts.SPAN).parquet(f"{tmp_path}/out").collect() == want
+
+
+class Counting:
+    """A state's handle that keeps what it is told in lists and counts the calls."""
+
+    def __init__(self):
+        self.calls, self.timers = 0, set()
+
+    def getListState(self, *_):
+        return Kept(self)
+
+    getValueState = getListState
+
+    def registerTimer(self, ms):
+        self.calls += 1
+        self.timers.add(ms)
+
+    def deleteTimer(self, ms):
+        self.calls += 1
+        self.timers.discard(ms)
+
+
+class Kept:
+    def __init__(self, handle):
+        self.handle, self.items, self.value = handle, [], None
+
+    def __getattr__(self, name):
+        self.handle.calls += 1
+        return getattr(self, f"_{name}")
+
+    def _get(self):
+        return self.value if self.value is not None else iter(self.items) if self.items else None
+
+    def _update(self, value):
+        self.value = value
+
+    def _appendValue(self, value):
+        self.items.append(value)
+
+    def _appendList(self, values):
+        self.items += values
+
+    def _put(self, values):
+        self.items = list(values)
+
+    def _clear(self):
+        self.items, self.value = [], None
+
+
+def test_calls_to_the_state_do_not_grow_with_the_traces():
+    """A thousand traces of one group, every tenth with an error, in two halves a minute apart."""
+    handle, processor = Counting(), verdicts.Verdicts(10_000, 60_000, 5000)
+    processor.init(handle)
+    row = lambda n, us: SimpleNamespace(
+        trace_id=f"t{n}", start_us=us, end_us=us, flagged=n % 10 == 0, is_lucky=False, payload=f"{n}/{us}")
+
+    def fire(now_ms):
+        out = []
+        for _ in range(9):
+            for ms in [t for t in sorted(handle.timers) if t < now_ms]:
+                handle.timers.discard(ms)
+                out += processor.handleExpiredTimer((0,), SimpleNamespace(getCurrentWatermarkInMs=lambda: now_ms),
+                                                    SimpleNamespace(getExpiryTimeInMs=lambda: ms))
+        return [r.payload for r in out]
+
+    assert list(processor.handleInputRows((0,), iter([row(n, n) for n in range(500)]), None)) == []
+    assert list(processor.handleInputRows((0,), iter([row(n, 60_000_000 + n) for n in range(500, 1000)]), None)) == []
+    assert sorted(fire(30_000)) == sorted(f"{n}/{n}" for n in range(0, 500, 10))
+    # Late spans follow their verdict; the other half still waits.
+    late = processor.handleInputRows((0,), iter([row(n, 61_000_000) for n in (10, 11)]), None)
+    assert [r.payload for r in late] == ["10/61000000"]
+    assert sorted(fire(72_000)) == sorted(f"{n}/{60_000_000 + n}" for n in range(500, 1000, 10))
+    fire(500_000)
+    assert not handle.timers and processor.group.get() is None and processor.waiting.get() is None
+    assert handle.calls < 60
