@@ -16,10 +16,11 @@ from ..session import cut
 from . import tree
 from .analysis import stitch
 from .skew import join_unique
-from .tree import climb
 
 #: Stands between trace and span in the id of a joined span.
 SIGN = "/"
+#: What trees of spans are made of.
+TREE_COLUMNS = ["trace_id", "span_id", "parent_span_id", "timestamp", "agent_id", "agent_name", "duration_ms"]
 
 
 def links(records: DataFrame, header: str = "traceparent") -> DataFrame:
@@ -80,8 +81,8 @@ def joined(records: DataFrame, header: str = "traceparent") -> DataFrame:
     node = lambda t, s: F.concat(F.col(t), F.lit(SIGN), F.col(s))
     found = cut(links(records, header))
     # Every caller climbs to the top of its own trace; what is left is a graph of roots.
-    local = cut(tree.span_nodes(records).select("trace_id", "span_id", "parent").withColumn("weight", F.lit(0).cast("long")))
-    tops = climb(local)[0].select(F.col("trace_id").alias("caller_trace_id"), F.col("span_id").alias("caller_span_id"), "top")
+    tops = tree.span_tree(records).select(F.col("trace_id").alias("caller_trace_id"), F.col("span_id").alias("caller_span_id"),
+                                          F.col("root_span_id").alias("top"))
     roots = join_unique(found, tops, ["caller_trace_id", "caller_span_id"], "left").select(
         node("trace_id", "span_id").alias("span_id"), node("caller_trace_id", "top").alias("ptr"))
     circular = _circular(roots.where("ptr IS NOT NULL"))
@@ -111,7 +112,9 @@ def _split(column: str, trace: str, span: str) -> list:
 
 def request_tree(records: DataFrame, header: str = "traceparent") -> DataFrame:
     """The forest of every request: request_id, trace, span, depth over all traces, and root."""
-    found = tree.span_tree(_as_trace(records, header))
+    # Read many times: only what the tree is made of, once.
+    narrow = cut(records.select(*dict.fromkeys([*TREE_COLUMNS, header])))
+    found = tree.span_tree(_as_trace(narrow, header))
     return found.select(F.col("trace_id").alias("request_id"), *_split("span_id", "trace_id", "span_id"), "depth",
                         *_split("root_span_id", "root_trace_id", "root_span_id"), "sibling_no", "child_count")
 
