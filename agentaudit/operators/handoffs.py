@@ -11,6 +11,9 @@ from ..session import cut
 from .skew import join_unique
 from .tree import climb
 
+#: Traces of up to this many ways between agents are one row: a bit of a number for every agent.
+SMALL_EDGES = 62
+
 
 def handoffs(records: DataFrame) -> DataFrame:
     """The spans at which work passes to another agent, linked to the hand-off before.
@@ -87,16 +90,45 @@ def cycles(records: DataFrame) -> DataFrame:
     One row per agent in a circle: trace_id, agent, ``cycle`` (the smallest agent of the
     strongly connected component) and ``agents`` (its size).
     """
-    members = components(trace_edges(records))
+    members = cut(components(trace_edges(records)))
     sizes = members.groupBy("trace_id", "cycle").agg(F.count(F.lit(1)).alias("agents"))
     return members.join(sizes, ["trace_id", "cycle"]).select("trace_id", "agent", "cycle", "agents")
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, small: int = SMALL_EDGES) -> DataFrame:
     """Strongly connected components of two agents or more: trace_id, agent, cycle.
 
-    ``edges`` are distinct (trace_id, src, dst) without loops. Agents without a way in or
-    out are peeled off. Then every agent takes the smallest name that reaches it, and
+    ``edges`` are distinct (trace_id, src, dst) without loops. Traces of up to ``small`` of
+    them (at most ``SMALL_EDGES``) are worked on as one row each, larger ones in rounds over rows.
+    """
+    edges = cut(edges)
+    large = cut(edges.groupBy("trace_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > small).select("trace_id"))
+    if large.isEmpty():
+        return _small_components(edges)
+    return _small_components(join_unique(edges, large, ["trace_id"], "left_anti")).unionByName(
+        _large_components(join_unique(edges, large, ["trace_id"], "left_semi")))
+
+
+def _small_components(edges: DataFrame) -> DataFrame:
+    """Components of small traces: bit j of ``reach[i]`` says that a way leads from agent i to agent j."""
+    ways = edges.where("trace_id IS NOT NULL").groupBy("trace_id").agg(
+        F.collect_list(F.struct("src", "dst")).alias("e"))
+    # Only who hands on can be in a circle.
+    named = ways.withColumn("names", F.expr("array_sort(array_distinct(e.src))"))
+    reach = named.selectExpr("trace_id", "names", """aggregate(sequence(0, size(names) - 1),
+        transform(names, n -> aggregate(filter(e, x -> x.src = n AND array_contains(names, x.dst)), 0L,
+            (m, x) -> m | shiftleft(1L, cast(array_position(names, x.dst) AS int) - 1))),
+        (r, k) -> transform(r, m -> if(shiftright(m, k) & 1 = 1, m | r[k], m))) AS reach""")
+    # Whoever is in a circle reaches itself; all of its circle reach the same agents.
+    return reach.selectExpr("trace_id", """inline(transform(
+        filter(sequence(0, size(names) - 1), i -> shiftright(reach[i], i) & 1 = 1), i -> struct(names[i] AS agent,
+            filter(names, (o, j) -> reach[j] = reach[i] AND shiftright(reach[i], j) & 1 = 1)[0] AS cycle)))""")
+
+
+def _large_components(edges: DataFrame) -> DataFrame:
+    """Components of any traces, in rounds.
+
+    Agents without a way in or out are peeled off. Then every agent takes the smallest name that reaches it, and
     whoever reaches that agent back inside its colour makes up its component; the rest
     starts again. All traces go at once; a round is a join and an aggregation over edges.
     """

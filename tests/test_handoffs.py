@@ -119,3 +119,22 @@ def test_nothing(spark):
     assert handoffs.chains(empty).count() == 0 and handoffs.cycles(empty).count() == 0
     one = records(spark, record("t", "1", agent_id="a"))
     assert [(r.agent, r.hop, r.by) for r in handoffs.chains(one).collect()] == [("a", 0, "a")]
+
+
+def test_small_and_large_traces_have_the_same_components(spark):
+    rng = random.Random(7)
+    edges = {(f"t{t}", f"a{rng.randrange(n)}", f"a{rng.randrange(n)}") for t, n in enumerate([2, 3, 5, 8, 12] * 6)
+             for _ in range(rng.randrange(1, 2 * n))}
+    # A circle of as many agents as a small trace can hold, and edges of no trace.
+    edges = {e for e in edges if e[1] != e[2]} | {(None, "a", "b"), (None, "b", "a")}
+    ring = [("ring", f"a{i:02d}", f"a{(i + 1) % 62:02d}") for i in range(62)]
+    frame = lambda rows: spark.createDataFrame(rows, "trace_id string, src string, dst string")
+    rows = lambda found: sorted(map(tuple, found.collect()))
+    assert rows(handoffs.components(frame(sorted(edges, key=str)))) == rows(handoffs.components(frame(sorted(edges, key=str)), small=6))
+    assert rows(handoffs.components(frame(ring))) == [("ring", f"a{i:02d}", "a00") for i in range(62)]
+
+
+def test_small_traces_take_no_rounds(spark, monkeypatch):
+    monkeypatch.setattr(handoffs, "_large_components", None)
+    df = spark.createDataFrame([("t", "a", "b"), ("t", "b", "a"), ("t", "b", "c")], "trace_id string, src string, dst string")
+    assert sorted(map(tuple, handoffs.components(df).collect())) == [("t", "a", "a"), ("t", "b", "a")]
