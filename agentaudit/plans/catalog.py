@@ -895,14 +895,15 @@ def stream_cost_spikes(spark, sf):
 def stream_sample_batches(spark, sf):
     """The sampling stream fed in several runs, in time order."""
     root = _scratch(spark)
-    spans = fixtures.spans(spark, sf)
     third = F.floor(F.dayofmonth("start_time") / 11)  # the spans lie within one month
+    fixtures.spans(spark, sf).withColumn("third", third.cast("int")).write.partitionBy("third").parquet(f"{root}/parts")
+    parts = spark.read.parquet(f"{root}/parts")
     staged, kept = f"{root}/staged", f"{root}/kept"
     for part in (0, 1, 2, None):
         if part is None:
             _closing_span(spark, f"{root}/spans")
         else:
-            spans.where(third == part).write.mode("append").parquet(f"{root}/spans")
+            parts.where(F.col("third") == part).drop("third").write.mode("append").parquet(f"{root}/spans")
         stream = span_files.stream_spans(spark, f"{root}/spans")
         _finish(pipeline.stage(stream, staged, f"{root}/ck-stage", once=True))
         _finish(pipeline.sample(span_files.stream_spans(spark, staged), staged, kept, f"{root}/decisions",
