@@ -112,8 +112,7 @@ def _split(column: str, trace: str, span: str) -> list:
 
 def request_tree(records: DataFrame, header: str = "traceparent") -> DataFrame:
     """The forest of every request: request_id, trace, span, depth over all traces, and root."""
-    # Read many times: only what the tree is made of, once.
-    narrow = cut(records.select(*dict.fromkeys([*TREE_COLUMNS, header])))
+    narrow = records.select(*dict.fromkeys([*TREE_COLUMNS, header]))
     found = tree.span_tree(_as_trace(narrow, header))
     return found.select(F.col("trace_id").alias("request_id"), *_split("span_id", "trace_id", "span_id"), "depth",
                         *_split("root_span_id", "root_trace_id", "root_span_id"), "sibling_no", "child_count")
