@@ -168,7 +168,10 @@ def truncate_long_text(spans: DataFrame) -> DataFrame:
             for key, limit in text.LIMITS.items():
                 out = F.when(k == key, text.truncate(v, limit)).otherwise(out)
             return out
-        return F.transform_values(m, value)
+        # A text of no more bytes than the least limit is not cut; most maps have no longer one.
+        is_long = lambda v: F.octet_length(v) > min(text.LIMITS.values())
+        return text.let(m, lambda m: F.when(
+            F.exists(F.map_values(m), is_long), F.transform_values(m, value)).otherwise(m))
 
     cut_events = F.transform(
         "events", lambda e: e.withField("attributes", cut_map(e["attributes"]))

@@ -801,7 +801,7 @@ def stream_export(spark, sf):
     root = _scratch(spark)
     fixtures.spans(spark, sf).write.parquet(f"{root}/spans")
     stream = span_files.stream_spans(spark, f"{root}/spans")
-    _finish(pipeline.export(stream, f"{root}/lines", f"{root}/ck", once=True))
+    _finish(pipeline.export(stream, f"{root}/lines", f"{root}/ck", once=True, compression="gzip"))
     records = otlp.parse(export.read_lines(spark, f"{root}/lines"))
     attr = lambda k: F.try_element_at("attributes", F.lit(k))
     return records.groupBy(attr("gen_ai.agent.id").alias("agent_id")).agg(

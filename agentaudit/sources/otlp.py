@@ -14,10 +14,12 @@ later, by the record contract.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import json_string, let
+from ..functions.text import PLAIN_JSON, json_string, let
 from ..schema import SPAN
 from ..session import cut
 
@@ -65,8 +67,7 @@ def _map(pairs: Column, *more: tuple[str, Column]) -> Column:
 
     def last(kept: Column) -> Column:
         # The last of equal keys: those that come again later are left out.
-        keys = kept["key"]
-        return F.when(F.size(F.array_distinct(keys)) == F.size(keys), kept).otherwise(F.filter(
+        return F.when(F.size(F.array_distinct(kept["key"])) == F.size(kept), kept).otherwise(F.filter(
             kept, lambda e, i: ~F.exists(F.slice(kept, i + 2, F.size(kept)), lambda later: later["key"] == e["key"])))
 
     return F.map_from_entries(let(kept, last))
@@ -80,8 +81,10 @@ def _time(nanos: Column) -> Column:
 def parse(lines: DataFrame, column: str = "value") -> DataFrame:
     """The spans in a column of lines, with the columns of ``schema.SPAN``; works on streams."""
     parsed = lines.select(F.from_json(column, LINE).alias("l"))
-    resources = parsed.select(F.explode("l.resourceSpans").alias("r"))
-    scopes = resources.select(F.col("r.resource.attributes").alias("resource"), F.explode("r.scopeSpans").alias("s"))
+    # Outer up to the spans: of a plain explode Spark makes a filter on its input, which parses every line once
+    # more. What has no spans is left out by the last explode all the same.
+    resources = parsed.select(F.explode_outer("l.resourceSpans").alias("r"))
+    scopes = resources.select(F.col("r.resource.attributes").alias("resource"), F.explode_outer("r.scopeSpans").alias("s"))
     spans = scopes.select("resource", F.col("s.scope").alias("scope"), F.explode("s.spans").alias("p"))
     empty = lambda c: F.nullif(F.lower(F.trim(c)), F.lit(""))
     events = F.transform(F.coalesce("p.events", F.array()), lambda e: F.struct(
@@ -119,22 +122,32 @@ def stream_lines(spark: SparkSession, path: str, max_files_per_trigger: int | No
     return reader.load(path)
 
 
-def _typed(value: Column) -> Column:
+def _typed(value: Column, quoted: Callable[[Column], Column] = _quoted) -> Column:
     """Text as a typed value: whole numbers, decimals and truth values by their looks."""
-    json = lambda kind, c: F.concat(F.lit('{"' + kind + '":'), c, F.lit("}"))
-    text = json("stringValue", _quoted(value))
-    number = (F.when(value.rlike(r"^-?(0|[1-9]\d{0,17})$"), json("intValue", F.concat(F.lit('"'), value, F.lit('"'))))
-              .when(value.rlike(r"^-?(0|[1-9]\d{0,8})\.\d{1,6}$"), json("doubleValue", value)).otherwise(text))
-    # What does not begin like a number is not matched as one.
-    return (F.when(F.substring(value, 1, 1).between("-", "9"), number)
-            .when(value.isin("true", "false"), json("boolValue", value)).otherwise(text))
+    text = F.concat(F.lit('{"stringValue":'), quoted(value), F.lit("}"))
+    number = (F.when(value.rlike(r"^-?(0|[1-9]\d{0,17})$"), F.concat(F.lit('{"intValue":"'), value, F.lit('"}')))
+              .when(value.rlike(r"^-?(0|[1-9]\d{0,8})\.\d{1,6}$"), F.concat(F.lit('{"doubleValue":'), value, F.lit("}")))
+              .otherwise(text))
+    # What does not begin like a number is not matched as one: ":" follows "9".
+    return (F.when((value < ":") & (value >= "-"), number)
+            .when((value == "true") | (value == "false"), F.concat(F.lit('{"boolValue":'), value, F.lit("}"))).otherwise(text))
 
 
 def _pairs(values: Column) -> Column:
-    known = F.map_filter(F.coalesce(values, F.create_map().cast("map<string,string>")), lambda _, v: v.isNotNull())
-    entries = F.transform(F.map_entries(known), lambda e: F.concat(
-        F.lit('{"key":'), _quoted(e["key"]), F.lit(',"value":'), _typed(e["value"]), F.lit("}")))
-    return F.concat(F.lit("["), F.array_join(entries, ","), F.lit("]"))
+    """A map as the protocol's key-value pairs; NULL values are left out."""
+    def joined(known: Column, quoted: Callable[[Column], Column]) -> Column:
+        return F.array_join(F.transform(F.map_entries(known), lambda e: F.concat(
+            F.lit('{"key":'), quoted(e["key"]), F.lit(',"value":'), _typed(e["value"], quoted), F.lit("}"))), ",")
+
+    def either(known: Column) -> Column:
+        # Whether anything needs escapes is asked once for all texts of a map. A plain pair without a value is
+        # NULL, which array_join passes over.
+        every = F.concat(F.array_join(F.map_keys(known), ""), F.array_join(F.map_values(known), ""))
+        return F.when(every.rlike(PLAIN_JSON), joined(known, lambda c: F.concat(F.lit('"'), c, F.lit('"')))).otherwise(
+            joined(F.map_filter(known, lambda _, v: v.isNotNull()), _quoted))
+
+    known = F.coalesce(values, F.create_map().cast("map<string,string>"))
+    return F.concat(F.lit("["), let(known, either), F.lit("]"))
 
 
 def _nanos(time: Column) -> Column:

@@ -90,14 +90,14 @@ def ingest(spans: DataFrame, path: str, quarantine_path: str, checkpoint: str, o
 
 
 def export(spans: DataFrame, path: str, checkpoint: str, once: bool = False,
-           capture_content: bool = False) -> StreamingQuery:
+           capture_content: bool = False, compression: str = "none") -> StreamingQuery:
     """Write redacted spans as lines of the trace protocol for another collector, each once.
 
-    Unlike the ``exporters`` of ``ingest``, which see a repeated batch again, this sink
+    ``compression`` is ``none`` or ``gzip``. Unlike the ``exporters`` of ``ingest``, which see a repeated batch again, this sink
     commits its batches.
     """
     lines = otlp.span_lines(truncate_long_text(redact_attributes(spans, capture_content)))
-    return export_lines(lines, path, checkpoint, lambda writer: _start(writer, once))
+    return export_lines(lines, path, checkpoint, lambda writer: _start(writer, once), compression)
 
 
 def session_decisions(spans: DataFrame, policy: Policy = Policy(), wait: str = DECISION_WAIT,

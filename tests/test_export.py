@@ -10,6 +10,8 @@ from agentaudit.plans import fixtures
 from agentaudit.sources import export, otlp, spans as span_files
 from agentaudit.streaming import pipeline
 
+from helpers import span, spans
+
 
 def batch(*lines):
     return pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["value"])
@@ -87,6 +89,30 @@ def test_a_lost_mark_in_the_checkpoint(spark, tmp_path):
     assert read(spark, tmp_path / "out") == sorted(map(str, range(50)))
 
 
+def test_compressed_files_go_on_in_others(spark, tmp_path, monkeypatch):
+    """Nothing splits a compressed file among readers, so a task begins another one in time."""
+    monkeypatch.setattr(export, "FILE_BYTES", 100)
+    want = [f"line {i} é" for i in range(100)] + [""]
+    for kind, ending in export.ENDINGS.items():
+        writer = export.LinesWriter(str(tmp_path / kind), kind)
+        messages = [writer.write(iter([batch(*want[:50]), batch(None), batch(*want[50:80])])),
+                    writer.write(iter([batch(line) for line in want[80:]])), writer.write(iter([batch(None)]))]
+        writer.commit(messages, 0)
+        files = sorted(f.name for f in (tmp_path / kind / "batch=0").iterdir())
+        assert files[0] == f"part-00000{ending}" and len(files) > 3
+        assert read(spark, tmp_path / kind) == sorted(want)
+        assert list((tmp_path / kind / "_pending").iterdir()) == []
+        writer.abort([writer.write(iter([batch(*want[:50]), batch(*want[50:])]))], 1)
+        assert list((tmp_path / kind / "_pending").iterdir()) == []
+
+
+def test_unknown_compression_is_refused():
+    from pyspark.sql.types import StringType, StructType
+
+    with pytest.raises(ValueError, match="compressions none, gzip"):
+        export.LinesExport({"path": "/out", "compression": "lzo"}).streamWriter(StructType().add("value", StringType()), False)
+
+
 def test_other_columns_are_refused(spark, tmp_path):
     export.register(spark)
     stream = spark.readStream.format("rate").load()
@@ -104,3 +130,13 @@ def test_exported_spans_are_redacted(spark, sf, tmp_path):
     assert lines.count() == fixtures.records(spark, sf).count()
     assert lines.where("value LIKE '%hello from%' OR value LIKE '%u-agent%'").count() == 0
     assert otlp.parse(lines).select("span_id").distinct().count() == lines.count()
+
+
+def test_the_stream_writes_compressed_files(spark, tmp_path):
+    span_rows = spans(spark, span(attributes={"gen_ai.agent.id": "a", "n": "1.50", "user.id": "u"}), span(span_id="2"))
+    span_rows.write.parquet(f"{tmp_path}/spans")
+    stream = span_files.stream_spans(spark, f"{tmp_path}/spans")
+    pipeline.export(stream, f"{tmp_path}/out", f"{tmp_path}/ck", once=True, compression="gzip").awaitTermination()
+    files = list((tmp_path / "out" / "batch=0").iterdir())
+    assert files and all(f.name.endswith(".txt.gz") for f in files)
+    assert sorted(r.span_id for r in otlp.parse(export.read_lines(spark, f"{tmp_path}/out")).collect()) == ["1", "2"]

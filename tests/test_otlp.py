@@ -147,3 +147,34 @@ def test_texts_in_json(spark):
         assert json.loads(row.quoted) == (row.t or "")
         if row.t is not None:
             assert json.loads(row.typed) == ({"intValue": "0"} if row.t == "0" else {"stringValue": row.t})
+
+
+def test_a_line_is_parsed_once(spark, tmp_path):
+    """No filter that Spark makes of an explode parses the lines before the parse itself."""
+    spark.createDataFrame([("x",)], "value string").write.text(f"{tmp_path}/lines")
+    found = otlp.parse(otlp.read_lines(spark, f"{tmp_path}/lines")).groupBy("status_code").count()
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1, plan
+
+
+def test_lines_without_spans_give_no_row(spark):
+    span_text = '{"traceId":"a","spanId":"b"}'
+    whole = lambda scopes: '{"resourceSpans":[{"scopeSpans":[%s]}]}' % scopes
+    empty = ["x", "{}", "[]", "null", '{"resourceSpans":null}', '{"resourceSpans":[]}', '{"resourceSpans":[null,{}]}', whole(""),
+             whole("null"), whole("{}"), whole('{"spans":null}'), whole('{"spans":[]}')]
+    some = [whole('{"spans":[]},null,{"spans":[%s,%s]}' % (span_text, span_text)), None]
+    lines = spark.createDataFrame([(line,) for line in empty + some], "value string")
+    assert [(r.trace_id, r.span_id) for r in otlp.parse(lines).collect()] == [("a", "b")] * 2
+
+
+def test_values_with_and_without_escapes(spark):
+    """A map whose texts are all plain and one with a text to escape give the same pairs."""
+    plain = {"n": "1", "d": "-0.50", "e": "1.1234567", "big": "9" * 19, "t": "true", "f": "TRUE", "empty": "", "none": None, "v": "1.0.0", "c": ":"}
+    odd = {"quote": 'a"b', "back": "a\\b", "é": "ü", "control": "\x01\x7f"}
+    rows = [span(span_id="1", attributes=plain), span(span_id="2", attributes=plain | odd), span(span_id="3", attributes=None)]
+    lines = [json.loads(r.value) for r in otlp.span_lines(spans(spark, *rows)).collect()]
+    found = {p["spanId"]: {a["key"]: a["value"] for a in p["attributes"]} for line in lines
+             for p in line["resourceSpans"][0]["scopeSpans"][0]["spans"]}
+    want = {"n": {"intValue": "1"}, "d": {"doubleValue": -0.5}, "t": {"boolValue": True}}
+    want |= {k: {"stringValue": v} for k, v in plain.items() if k not in want and v is not None}
+    assert found == {"1": want, "2": want | {k: {"stringValue": v} for k, v in odd.items()}, "3": {}}
