@@ -35,8 +35,8 @@ from pyspark.sql.streaming.query import StreamingQuery
 FORMAT = "audit_lines"
 #: Lines written to a file at once.
 CHUNK = 1 << 20
-#: Bytes of text after which a task begins another file.
-FILE_BYTES = 64 << 20
+#: Bytes of text after which a task begins another file; readers put some 24 such files into a task.
+FILE_BYTES = 16 << 20
 #: What the option ``compression`` may be, and the endings of the files, by which readers know it.
 ENDINGS = {"none": ".txt", "gzip": ".txt.gz"}
 
