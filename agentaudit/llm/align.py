@@ -4,7 +4,7 @@ A is a byte-level vocabulary, B a SentencePiece model. Both encode a space and t
 Byte offsets where tokens of A and of B both end cut the tokens into groups; an A and a B
 token whose byte ranges overlap are linked. A single space between two words is a token
 start in both, so a text's alignment is that of its words, end to end, and every distinct
-word of a block is tokenised and aligned once.
+word of a block is tokenised and aligned once, in runs of words that bound the arrays.
 
 An array gives each A id the B id with the same bytes. Groups of one A and one B token
 that agree with it are counted in one vector per task, of the length of A's vocabulary;
@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +40,15 @@ from .wordcut import between_words, blank, cut, flat_bytes, from_offsets, prefix
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 SLICE = 2 << 20
+#: Bytes of distinct words that are tokenised, and tokens that are aligned, at once.
+WORD_BYTES = 256 << 10
+TOKENS = 1 << 17
+#: A row group of blocks, which are rows of a few megabytes: a task that writes or reads them holds one.
+BLOCK_GROUP = 4 << 20
+#: Two slices, or two blocks, go to a Python worker at a time.
+ARROW_BYTES = "4m"
+#: Vectors of direct links that one task adds up.
+ADDED = 16
 #: Pairs a task sums up before it hands them on.
 HELD_PAIRS = 1 << 20
 #: Sums of pairs that are broadcast, 16 bytes each; more of them are joined to the blocks.
@@ -83,10 +92,25 @@ class Tables:
         of_bytes = {t: i for whole in (False, True) for i, t in enumerate(self.b_bytes)
                     if t and whole != self.b.is_byte[i]}
         self.identity = np.array([of_bytes.get(t, -1) for t in self.a_bytes])
+        self.spellings = [pa.array(t, pa.binary()) for t in (self.a_bytes, self.b_bytes)]
 
-    def tokens(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """A ids and B ids of all ``words``, each with the number per word."""
-        return *self.a_tokens(words), *self.b.words(words)
+    @cached_property
+    def signs(self) -> pa.Array:
+        """A ids with each sign that may follow them, B ids with theirs, and B ids alone."""
+        sizes = len(self.a_len), len(self.b_len)
+        numbers = [str(i) for i in range(max(sizes))]
+        return pa.array([n + s for size, ends in zip(sizes, (",|", ",;")) for s in ends for n in numbers[:size]]
+                        + numbers[:sizes[1]], pa.binary())
+
+    def tokens(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """A ids and B ids of all ``words``, each with the number per word, and which words these spell."""
+        sizes = np.asarray(pc.binary_length(words), dtype=np.int64)
+        found = []
+        for at in _runs(sizes, WORD_BYTES):
+            part = words[at]
+            ids = *self.a_tokens(part), *self.b.words(part)
+            found.append((*ids, self.spelled(part, *ids)))
+        return tuple(np.concatenate(v) for v in zip(*found))
 
     def a_tokens(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         data, offsets = flat_bytes(words)
@@ -105,8 +129,8 @@ class Tables:
         """Which words are the bytes of their A tokens and of their B tokens."""
         same = np.ones(len(words), bool)
         wanted = words.cast(pa.binary())
-        for table, ids, n in ((self.a_bytes, a, a_n), (self.b_bytes, b, b_n)):
-            data, offsets = flat_bytes(pa.array(table, pa.binary()).take(pa.array(ids)))
+        for table, ids, n in zip(self.spellings, (a, b), (a_n, b_n)):
+            data, offsets = flat_bytes(table.take(pa.array(ids)))
             joined = from_offsets(data, offsets[np.append(0, np.cumsum(n))], pa.binary())
             same &= np.asarray(pc.equal(joined, wanted))
         return same
@@ -117,6 +141,19 @@ def tables(vocabulary: bytes, model: bytes) -> Tables:
     return Tables(vocabulary, model)
 
 
+def _runs(sizes: np.ndarray, limit: int) -> list[slice]:
+    """Runs of values, one run at least, of about ``limit`` together or up to one value more."""
+    edges = (np.flatnonzero(np.diff(np.cumsum(sizes) // limit)) + 1).tolist()
+    return [slice(*edge) for edge in zip([0, *edges], [*edges, len(sizes)])]
+
+
+def _parts(a: np.ndarray, a_n: np.ndarray, b: np.ndarray, b_n: np.ndarray) -> Iterator[tuple]:
+    """Runs of words, each with its own A and B ids and their numbers per word."""
+    a_ends, b_ends = (np.append(0, np.cumsum(n)) for n in (a_n, b_n))
+    for at in _runs(a_n + b_n, TOKENS):
+        yield (at, a[a_ends[at.start]:a_ends[at.stop]], a_n[at], b[b_ends[at.start]:b_ends[at.stop]], b_n[at])
+
+
 class Links:
     """Links and groups of words given by their A and B ids.
 
@@ -144,9 +181,6 @@ class Links:
     def text(self, a: np.ndarray, a_n: np.ndarray, b: np.ndarray, b_n: np.ndarray, table: Tables) -> pa.Array:
         """Per word its groups, ``a1,a2|b1;`` and so on, and the words again without the last sign."""
         sizes = len(table.a_len), len(table.b_len)
-        numbers = [str(i) for i in range(max(sizes))]
-        signs = pa.array([n + s for size, ends in zip(sizes, (",|", ",;")) for s in ends for n in numbers[:size]]
-                         + numbers[:sizes[1]], pa.binary())
         a_last = np.append(np.diff(self.a_group), 1) > 0
         b_last = np.append(np.diff(self.b_group), 1) > 0
         # A's tokens of a group come before B's.
@@ -157,10 +191,21 @@ class Links:
         last[len(each) + ends[ends > 0] - 1] = True
         each = np.concatenate((each, each))
         each[last] += sizes[1]
-        data, offsets = flat_bytes(signs.take(pa.array(each)))
+        data, offsets = flat_bytes(table.signs.take(pa.array(each)))
         return from_offsets(data, offsets[np.concatenate(([0], ends, ends[-1:] + ends))], pa.binary())
 
 
+def _pack(numbers: np.ndarray) -> bytes:
+    """The number of byte planes that are not all zero, and these: ids and counts take two or one of the four."""
+    width = max(1, -(-int(numbers.max(initial=0)).bit_length() // 8))
+    return bytes([width]) + pack(numbers)[:width * len(numbers)]
+
+
+def _unpack(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8, offset=1) if len(data) > 1 else np.zeros(0, np.uint8)
+    return unpack(np.concatenate((planes, np.zeros((4 - data[0]) * (len(planes) // data[0]), np.uint8))))
+
+
 def _one(array: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(array)], pa.int32()), array)
 
@@ -196,8 +241,7 @@ def _blocks(rows: DataFrame, vocabulary, model) -> DataFrame:
 
         for batch in slices(batches, "text", SLICE):
             words, codes, lens = cut(prefixed(batch.column("text")), between_words)
-            a, a_n, b, b_n = table.tokens(words)
-            good = table.spelled(words, a, a_n, b, b_n)
+            a, a_n, b, b_n, good = table.tokens(words)
             whole = _sums((~good[codes]).astype(np.int64), lens) == 0
             # Texts that do not come out of their tokens lose their words here.
             codes, lens = codes[np.repeat(whole, lens)], np.where(whole, lens, 0)
@@ -206,13 +250,16 @@ def _blocks(rows: DataFrame, vocabulary, model) -> DataFrame:
             a, b, a_n, b_n = gather(a, a_n, kept), gather(b, b_n, kept), a_n[kept], b_n[kept]
             renumber = np.zeros(len(words), np.int64)
             renumber[kept] = np.arange(len(kept))
-            links = Links(table, a, a_n, b, b_n)
-            weight = used[kept][links.word]
-            np.add.at(direct, links.a[links.direct], weight[links.direct])
-            sums.add(links.pair[~links.direct], weight[~links.direct])
+            used, others = used[kept], []
+            for at, *part in _parts(a, a_n, b, b_n):
+                links = Links(table, *part)
+                weight = used[at][links.word]
+                np.add.at(direct, links.a[links.direct], weight[links.direct])
+                others.append((links.pair[~links.direct], weight[~links.direct]))
+            sums.add(*map(np.concatenate, zip(*others)))
             ids = _one(batch.column("id"))
             id_list = ids.type
-            packed = [pa.array([pack(v)], blob) for v in (renumber[codes], a, a_n, b, b_n)]
+            packed = [pa.array([_pack(v)], blob) for v in (renumber[codes], a, a_n, b, b_n)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([number], pa.int64()), ids, _one(pa.array(lens, pa.int32())), *packed,
                  pa.nulls(1, longs), pa.nulls(1, longs), pa.nulls(1, blob)], names=names)
@@ -233,14 +280,27 @@ def _blocks(rows: DataFrame, vocabulary, model) -> DataFrame:
 
 def _vector(rows: DataFrame, size: int) -> np.ndarray:
     """The sum of all vectors of direct links, added up in a tree."""
-    parts = rows.where("direct IS NOT NULL").select("direct").rdd.map(lambda r: np.frombuffer(r["direct"], np.int64))
-    return parts.treeAggregate(np.zeros(size, np.int64), lambda x, y: x + y, lambda x, y: x + y, depth=3)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size, np.int64)
+        for batch in batches:
+            for one in batch.column("direct"):
+                total += np.frombuffer(one.as_buffer(), np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["direct"])
+
+    vectors = rows.where("direct IS NOT NULL").select("direct")
+    left = vectors.rdd.getNumPartitions()
+    while left > ADDED:
+        left = -(-left // ADDED)
+        vectors = vectors.mapInArrow(add, "direct binary").repartition(left)
+    found = vectors.mapInArrow(add, "direct binary").toArrow().column("direct")
+    return sum((np.frombuffer(one.as_buffer(), np.int64) for one in found), np.zeros(size, np.int64))
 
 
-def _block(batch: pa.RecordBatch, row: int, table: Tables) -> tuple:
+def _block(batch: pa.RecordBatch, row: int) -> tuple:
     value = lambda name: batch.column(name)[row]
-    codes, *tokens = (unpack(value(c).as_py()) for c in ("codes", "a", "a_n", "b", "b_n"))
-    return codes, tokens, Links(table, *tokens)
+    codes, *tokens = (_unpack(value(c).as_py()) for c in ("codes", "a", "a_n", "b", "b_n"))
+    return codes, tokens
 
 
 def _own_counts(blocks: DataFrame, totals: DataFrame, sent) -> DataFrame:
@@ -250,8 +310,8 @@ def _own_counts(blocks: DataFrame, totals: DataFrame, sent) -> DataFrame:
         table = tables(*(f.value for f in sent))
         for batch in batches:
             for row in range(batch.num_rows):
-                links = _block(batch, row, table)[2]
-                pairs = np.unique(links.pair[~links.direct])
+                parts = (Links(table, *part) for _, *part in _parts(*_block(batch, row)[1]))
+                pairs = np.unique(np.concatenate([links.pair[~links.direct] for links in parts]))
                 block = np.full(len(pairs), batch.column("block")[row].as_py())
                 yield pa.RecordBatch.from_arrays([pa.array(block), pa.array(pairs)], names=["block", "pair"])
 
@@ -272,11 +332,12 @@ def align(docs: DataFrame, vocabulary: str = VOCABULARY, model: str = MODEL, id_
     """
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     spark = rows.sparkSession
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
     # Two vocabularies, about two megabytes.
     files = [_read(path) for path in (vocabulary, model)]
     sent = [spark.sparkContext.broadcast(f) for f in files]
     table = tables(*files)
-    made = stored(_blocks(rows, *sent), "aligned")
+    made = stored(_blocks(rows, *sent), "aligned", BLOCK_GROUP, 1)
     vector = _vector(made, len(table.a_len))
     own = np.flatnonzero(vector)
     direct = spark.createDataFrame(pa.table({
@@ -309,18 +370,24 @@ def align(docs: DataFrame, vocabulary: str = VOCABULARY, model: str = MODEL, id_
             for row in range(batch.num_rows):
                 value = lambda name: batch.column(name)[row]  # noqa: B023,E731
                 lens = np.asarray(value("lens").values, dtype=np.int64)
-                codes, (a, a_n, b, b_n), links = _block(batch, row, table)
+                codes, tokens = _block(batch, row)
                 pairs, counts = (np.asarray(value(c).values, dtype=np.int64) for c in ("pairs", "n")) if value(
                     "pairs").is_valid else every
-                other, n = ~links.direct, identical[links.a]
-                if other.any():
-                    n[other] = counts[np.searchsorted(pairs, links.pair[other])]
-                total, top = np.zeros(len(a_n), np.int64), np.zeros(len(a_n), np.int64)
-                np.add.at(total, links.word, n)
-                np.add.at(top, links.word, (n == best[links.b]).astype(np.int64))
-                numbers = [_sums(v[codes], lens) for v in (a_n, b_n, links.n_groups, links.n_links, top, total)]
+                found, texts = [], []
+                for _, *part in _parts(*tokens):
+                    links = Links(table, *part)
+                    other, n = ~links.direct, identical[links.a]
+                    if other.any():
+                        n[other] = counts[np.searchsorted(pairs, links.pair[other])]
+                    total, top = np.zeros(len(part[1]), np.int64), np.zeros(len(part[1]), np.int64)
+                    np.add.at(total, links.word, n)
+                    np.add.at(top, links.word, (n == best[links.b]).astype(np.int64))
+                    found.append((links.n_groups, links.n_links, top, total))
+                    texts.append(links.text(*part, table))
+                of_word = (tokens[1], tokens[3], *map(np.concatenate, zip(*found)))
+                numbers = [_sums(v[codes], lens) for v in of_word]
                 yield pa.RecordBatch.from_arrays(
-                    [value("ids").values, *map(pa.array, numbers), _groups(links, table, a, a_n, b, b_n, codes, lens)],
+                    [value("ids").values, *map(pa.array, numbers), _groups(texts, codes, lens)],
                     names=["id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"])
 
     found = blocks.mapInArrow(run, T.StructType([
@@ -329,11 +396,13 @@ def align(docs: DataFrame, vocabulary: str = VOCABULARY, model: str = MODEL, id_
     return found, totals.selectExpr("cast(shiftright(pair, 32) as int) as a", "cast(pair & 4294967295L as int) as b", "n")
 
 
-def _groups(links: Links, table: Tables, a, a_n, b, b_n, codes: np.ndarray, lens: np.ndarray) -> pa.Array:
+def _groups(texts: list[pa.Array], codes: np.ndarray, lens: np.ndarray) -> pa.Array:
+    """Per text the groups of its words, given as the ``Links.text`` of each run of words."""
     ends = np.cumsum(lens)
     if not len(codes):
         return pa.array([""] * len(lens), pa.string())
     each = codes.copy()
-    each[ends[lens > 0] - 1] += len(a_n)  # a text's last word has no sign at its end
-    data, offsets = flat_bytes(links.text(a, a_n, b, b_n, table).take(pa.array(each)))
+    each[ends[lens > 0] - 1] += sum(map(len, texts)) // 2  # a text's last word has no sign at its end
+    halves = [t[k * len(t) // 2:(k + 1) * len(t) // 2] for k in (0, 1) for t in texts]
+    data, offsets = flat_bytes(pa.concat_arrays(halves).take(pa.array(each)))
     return from_offsets(data, offsets[np.append(0, ends)], pa.string())

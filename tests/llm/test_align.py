@@ -2,9 +2,13 @@
 
 import bisect
 import random
+import tracemalloc
 from collections import Counter
+from urllib.parse import urlparse
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -120,3 +124,68 @@ def test_other_vocabularies_are_refused():
     spec["model"]["merges"].reverse()
     with pytest.raises(ValueError):
         align.Tables(json.dumps(spec).encode(), align._read(align.MODEL))
+
+
+def random_words(rng, size):
+    return " ".join(f"{rng.getrandbits(48):x}" for _ in range(size // 13))
+
+
+def test_blocks_are_written_and_read_a_few_at_a_time(spark, monkeypatch):
+    made, keep = [], align.stored
+    monkeypatch.setattr(align, "stored", lambda *args: made.append(keep(*args)) or made[-1])
+    monkeypatch.setattr(align, "SLICE", 100_000)
+    rng = random.Random(5)
+    docs = spark.createDataFrame([(i, random_words(rng, 100_000)) for i in range(60)], "doc_id long, text string")
+    assert align.align(docs.coalesce(1))[0].count() == 60
+    groups = []
+    for path in made[0].inputFiles():
+        found = pq.ParquetFile(urlparse(path).path).metadata
+        groups += [found.row_group(k).total_byte_size for k in range(found.num_row_groups)]
+    assert sum(groups) > 12 << 20  # so it is not one group for want of rows
+    assert max(groups) < 6 << 20
+
+
+def test_tokens_of_a_slice_take_little_memory():
+    table = align.Tables(align._read(align.VOCABULARY), align._read(align.MODEL))
+    words = pa.array([f" {w}" for w in random_words(random.Random(6), align.SLICE).split()])
+    table.tokens(words[:10])
+    tracemalloc.start()
+    table.tokens(words)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 110 << 20
+
+
+def test_runs_of_words_are_aligned_as_all_words_at_once(monkeypatch):
+    table = align.Tables(align._read(align.VOCABULARY), align._read(align.MODEL))
+    rng = random.Random(9)
+    parts = [p for p in PARTS if p != "▁"]  # so that tokens spell every word
+    texts = pa.array(["".join(rng.choices(parts, k=rng.randrange(30))) for _ in range(300)])
+    words, codes, lens = align.cut(align.prefixed(texts), align.between_words)
+
+    def result():
+        *tokens, good = table.tokens(words)
+        parts = [(align.Links(table, *part), part) for _, *part in align._parts(*tokens)]
+        groups = align._groups([links.text(*part, table) for links, part in parts], codes, lens)
+        per_word = [sum((getattr(links, c).tolist() for links, _ in parts), []) for c in ("pair", "n_links", "n_groups")]
+        return len(parts), [v.tolist() for v in (*tokens, good)], per_word, groups.to_pylist()
+
+    n, *whole = result()
+    monkeypatch.setattr(align, "WORD_BYTES", 40)
+    monkeypatch.setattr(align, "TOKENS", 30)
+    many, *runs = result()
+    assert n == 1 and many > 50 and runs == whole
+
+
+def test_vectors_added_up_in_a_tree(spark, monkeypatch):
+    monkeypatch.setattr(align, "ADDED", 2)
+    rows = [(i, f"the end of {i} and the rest") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(11)
+    assert {(r["a"], r["b"]): r["n"] for r in align.align(docs)[1].collect()} == dict(brute(rows)[1])
+
+
+@pytest.mark.parametrize("largest", [0, 255, 256, 65_535, 65_536, (1 << 32) - 1])
+def test_packed_numbers_come_back(largest):
+    for numbers in ([], [0], [largest, 3, 0]):
+        packed = align._pack(np.array(numbers, np.int64))
+        assert align._unpack(packed).tolist() == numbers and packed[0] <= max(1, (largest.bit_length() + 7) // 8)
